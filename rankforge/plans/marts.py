@@ -53,7 +53,7 @@ def latest_list_row(stg_list: DataFrame, strip_decimal: bool = False) -> DataFra
     """The latest list row per book natural key (ISBN text as listed, else URI)."""
     nyt = stg_list.select(
         clean_isbn_text("isbn13", strip_decimal).alias("nyt_isbn"),
-        F.col("book_uri").alias("nyt_uri"), "published_date", "title_nyt", "author_nyt",
+        F.col("book_uri").alias("nyt_uri"), "published_date", "title_nyt",
         "publisher_nyt", "amazon_product_url", "book_image",
         F.col("extracted_at").alias("nyt_extracted_at"))
     nk = F.coalesce(F.nullif("nyt_isbn", F.lit("")), F.nullif("nyt_uri", F.lit("")))
