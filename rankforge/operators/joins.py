@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +17,18 @@ MAX_BROADCAST_ROWS = 2_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only when it is proven to hold at most ``max_rows``.
 
-    The check is a bounded count (it stops looking after ``max_rows + 1``
-    rows). Beyond the bound the frame is returned as is and the join falls
-    back to a shuffle join (AQE splits skewed partitions).
+    The side is persisted first, then counted with a bound (the count stops
+    looking after ``max_rows + 1`` rows); the broadcast then reads the
+    persisted rows instead of recomputing the side. A lost cached block is
+    recomputed from lineage. Beyond the bound the frame is released and
+    returned as is, and the join falls back to a shuffle join (AQE splits
+    skewed partitions).
     """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
+    df.unpersist()
     return df, False
 
 

@@ -159,24 +159,35 @@ class ModelGraph:
     @cached_property
     def weekly_scorecard(self):
         return M.weekly_scorecard(self._m("fct_weekly_rank"), self._m("dim_week"),
-                                  self._m("dim_book"), self._m("fct_book_views_7d"))
-
-
-def build(graph: ModelGraph, out_root: str, checks=None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Run the graph in order; write table models under ``out_root``.
-
-    ``out_root`` must be a shared folder (the cluster's checkpoint folder or
-    the warehouse path), never a machine-local one. The wide table is
-    partitioned by ``published_date`` so week filters prune files. Returns
-    the models (tables re-read from their files) and the check summary.
+                                  self._m("dim_book"), bridge=self._m("bridge_book_author"),
+                                  author_views=self._m("fct_author_views_7d"))
+
+
+def build(graph: ModelGraph, out_root: str | None = None, checks=None,
+          materialize_all: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Run the graph in order and materialise models, then run the checks.
+
+    With ``out_root`` (a shared folder: the warehouse path, never a
+    machine-local one) table models are written there as Parquet and re-read;
+    the wide table is partitioned by ``published_date`` so week filters prune
+    files. Without it, models are reliably checkpointed into the cluster's
+    ``spark.checkpoint.dir``. ``materialize_all`` also materialises the view
+    models. Either way every model is computed once and downstream models
+    read it back instead of re-running its lineage, which also keeps the
+    check plans small. Returns the models and the check summary.
     """
     from rankforge.plans.checks import DECLARED_CHECKS
+    from rankforge.session import cut_lineage
 
     for name in MODEL_ORDER:
+        if not (materialize_all or name in TABLE_MODELS):
+            continue
         df = graph[name]
-        if name in TABLE_MODELS:
+        if out_root:
             part = ["published_date"] if name == "weekly_scorecard" else None
             graph.replace(name, as_table(df, os.path.join(out_root, name), partition_by=part))
+        else:
+            graph.replace(name, cut_lineage(df))
     models = {n: graph[n] for n in MODEL_ORDER}
     summary = run_checks(models, checks if checks is not None else DECLARED_CHECKS)
     return models, summary

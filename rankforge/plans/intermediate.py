@@ -29,9 +29,11 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     published date (full dates only); later extraction; smaller id.
     """
     base = stg.where(F.col("isbn13_clean").isNotNull())
+    # The identifiers are an array of objects, tested with a higher-order
+    # exists over the parsed field (no rows generated).
     base = base.withColumns({
         "is_ebook_flag": json_flag_true("saleinfo", "$.isEbook"),
-        "published_date": safe_date(F.get_json_object("volumeinfo", "$.publishedDate")),
+        "published_date": safe_date("published_date_raw"),
     })
     order = []
     cols = list(BEST_VOLUME_COLS)

@@ -214,13 +214,29 @@ SCORECARD_COLS = [
 ]
 
 
+def listed_book_views(pairs: DataFrame, bridge: DataFrame, author_views: DataFrame) -> DataFrame:
+    """:func:`fct_book_views_7d` restricted to the given (week, book) pairs.
+
+    Same sums, but only for books on the list that week: the pairs join the
+    bridge first, so the roll-up never builds the books x weeks product of
+    every book whose author had views.
+    """
+    pb = pairs.select("week_key", "book_key").join(bridge.select("book_key", "author_key"), "book_key")
+    j = pb.join(author_views.select("week_key", "author_key", "views_7d"), ["week_key", "author_key"])
+    return j.groupBy("week_key", "book_key").agg(F.sum("views_7d").alias("views_7d"))
+
+
 def weekly_scorecard(ranks: DataFrame, weeks: DataFrame, books: DataFrame,
-                     book_views: DataFrame) -> DataFrame:
+                     book_views: DataFrame | None = None, bridge: DataFrame | None = None,
+                     author_views: DataFrame | None = None) -> DataFrame:
     """One row per (book, week) on the list with book attributes and 7-day views.
 
     Missing views read 0; ``extracted_at`` is the fresher of the rank row
-    and the book row.
+    and the book row. Views come from ``book_views`` (the book-week fact) or,
+    cheaper, from ``bridge`` + ``author_views`` for the listed pairs only.
     """
+    if book_views is None:
+        book_views = listed_book_views(ranks, bridge, author_views)
     wk = weeks.select("week_key", F.col("week_date").alias("published_date"))
     wk, _ = bounded_broadcast(wk)
     b = books.select("book_key", F.col("isbn13_clean").alias("isbn13"), "title", "publisher",

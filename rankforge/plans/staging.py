@@ -6,19 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    blank_to_null, decimal_to_text, json_text, safe_double, safe_int, safe_long,
-    yyyymmdd_to_date,
+    blank_to_null, decimal_to_text, safe_double, safe_int, safe_long, yyyymmdd_to_date,
 )
 
-# JSON paths read from a catalogue volume document.
-VOLUME_TEXT_PATHS = {
-    "title": "$.title",
-    "subtitle": "$.subtitle",
-    "publisher": "$.publisher",
-    "published_date_raw": "$.publishedDate",
-    "language": "$.language",
-    "category_1": "$.categories[0]",
-}
+# The fields read from a catalogue volume document. Every
+# value is read as text (numbers keep their JSON text), so one parse of the
+# document serves all fields.
+VOLUME_INFO_SCHEMA = (
+    "title string, subtitle string, publisher string, publishedDate string, "
+    "language string, categories array<string>, averageRating string, ratingsCount string"
+)
 
 
 def stg_ranked_list(raw: DataFrame) -> DataFrame:
@@ -50,15 +47,20 @@ def stg_volumes(raw: DataFrame) -> DataFrame:
     the ``volumeinfo`` JSON document; ratings are safe-cast; the raw JSON
     documents are carried for later steps.
     """
-    vi = F.col("volumeinfo")
-    return raw.select(
-        F.when(F.col("isbn13").isNotNull(), decimal_to_text("isbn13")).alias("isbn13_clean"),
+    doc = F.from_json("volumeinfo", VOLUME_INFO_SCHEMA)
+    return raw.withColumn("__doc", doc).select(
+        decimal_to_text("isbn13").alias("isbn13_clean"),
         F.col("id").alias("gbooks_id"),
         F.col("selflink").alias("gbooks_selflink"),
         F.col("_airbyte_extracted_at").alias("extracted_at"),
-        *[json_text(vi, p).alias(a) for a, p in VOLUME_TEXT_PATHS.items()],
-        safe_double(json_text(vi, "$.averageRating")).alias("average_rating"),
-        safe_long(json_text(vi, "$.ratingsCount")).alias("ratings_count"),
+        F.col("__doc.title").alias("title"),
+        F.col("__doc.subtitle").alias("subtitle"),
+        F.col("__doc.publisher").alias("publisher"),
+        F.col("__doc.publishedDate").alias("published_date_raw"),
+        F.col("__doc.language").alias("language"),
+        F.try_element_at("__doc.categories", F.lit(1)).alias("category_1"),
+        safe_double("__doc.averageRating").alias("average_rating"),
+        safe_long("__doc.ratingsCount").alias("ratings_count"),
         "volumeinfo", "saleinfo", "accessinfo", "searchinfo",
     )
 

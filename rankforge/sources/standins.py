@@ -20,6 +20,7 @@ A part name ``"<adj> <noun>"`` gives the two authors ``"<Adj> Writer"`` and
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,3 +171,25 @@ def derive_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
     return {k: df.select(*[F.col(f.name).cast(f.dataType) for f in RAW_TABLES[k].fields])
             for k, df in raw.items()}
+
+
+_LANDED: dict[tuple[int, str], dict[str, DataFrame]] = {}
+
+
+def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stand-in raw tables, landed once per session and test-data folder.
+
+    Like the real landing tables, they are written once (Parquet, under the
+    session's shared checkpoint folder) and every model run scans them; the
+    first call runs the derivation jobs.
+    """
+    from rankforge.session import checkpoint_dir
+    from rankforge.sources.io import read_raw
+
+    key = (id(spark), os.path.abspath(root))
+    if key not in _LANDED:
+        dest = os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
+        for name, df in derive_raw(spark, root).items():
+            df.write.mode("overwrite").parquet(os.path.join(dest, name))
+        _LANDED[key] = {n: read_raw(spark, dest, n) for n in RAW_TABLES}
+    return _LANDED[key]
