@@ -14,6 +14,7 @@ import datetime as _dt
 import os
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from rankforge.operators.quality import run_checks
@@ -34,6 +35,13 @@ MODEL_ORDER = [
     "weekly_scorecard",
 ]
 
+# Models read by three or more downstream models. The lazy graph persists
+# them (memory, spilling to disk) so one query computes each once; a lost
+# block is recomputed from lineage. The page-view staging model is left out
+# on purpose: it is the one input that grows with traffic, and its consumers
+# only need a scan each.
+SHARED_MODELS = {"stg_ranked_list", "best_volume_search", "book_keys", "author_parse"}
+
 # Models materialised as tables by ``build`` (the rest stay views).
 TABLE_MODELS = {
     "dim_author", "dim_book", "dim_week", "dim_date", "bridge_book_author",
@@ -52,17 +60,22 @@ class ModelGraph:
     """
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | _dt.date,
-                 strip_decimal: bool = False, collapse_ws: bool = False):
+                 strip_decimal: bool = False, collapse_ws: bool = False,
+                 reuse_shared: bool = True):
         self.raw = raw
         self.as_of = as_of
         self.strip_decimal = strip_decimal
         self.collapse_ws = collapse_ws
+        self.reuse_shared = reuse_shared
         self._override: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._override:
             return self._override[name]
-        return getattr(self, name)
+        df = getattr(self, name)
+        if self.reuse_shared and name in SHARED_MODELS:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Swap a model for its materialised copy (used by ``build``)."""

@@ -1,0 +1,147 @@
+"""Table operators against brute-force definitions on small random inputs."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from rankforge.operators import (
+    asc, best_per_key, bounded_broadcast, calendar, consolidate_keys, desc, explode_names,
+    join_first_available, number_in_group, top_k_per_group, trailing_window_sum,
+)
+from rankforge.operators import quality as Q
+from rankforge.operators import reports as R
+
+
+def rows(df, cols=None):
+    cols = cols or df.columns
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_join_first_available_equals_disjunctive_join(spark):
+    rnd = random.Random(7)
+    left = [(i, rnd.choice([None, "a", "b", "c"]), rnd.choice([None, "u", "v", "w"])) for i in range(60)]
+    right = [(rnd.choice([None, "a", "b", "d"]), rnd.choice([None, "u", "v"]), j) for j in range(40)]
+    L = spark.createDataFrame(left, "id int, k1 string, k2 string")
+    Rr = spark.createDataFrame(right, "r1 string, r2 string, val int")
+    got = rows(join_first_available(L, Rr, [("k1", "r1"), ("k2", "r2")]), ["id", "val"])
+    want = []
+    for i, k1, k2 in left:
+        m = [v for r1, r2, v in right
+             if (k1 is not None and r1 == k1) or (k1 is None and k2 is not None and r2 == k2)]
+        want += [(i, v) for v in m] or [(i, None)]
+    key = lambda t: (t[0], -1 if t[1] is None else t[1])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    # and the same as Spark's own OR join (planned as a nested loop)
+    cond = ((L.k1.isNotNull() & (Rr.r1 == L.k1)) |
+            (L.k1.isNull() & L.k2.isNotNull() & (Rr.r2 == L.k2)))
+    assert sorted(got, key=key) == sorted(rows(L.join(Rr, cond, "left"), ["id", "val"]), key=key)
+
+
+def test_trailing_window_sum_equals_range_join(spark):
+    rnd = random.Random(11)
+    base = dt.date(2024, 1, 1)
+    facts = [(rnd.choice("xyz"), base + dt.timedelta(days=rnd.randint(0, 40)),
+              rnd.choice([None, 1, 2, 5])) for _ in range(300)]
+    anchors = sorted({base + dt.timedelta(days=d) for d in range(0, 45, 3)})
+    fdf = spark.createDataFrame(facts, "g string, d date, v long")
+    adf = spark.createDataFrame([(int(a.strftime("%Y%m%d")), a) for a in anchors], "k int, a date")
+    got = rows(trailing_window_sum(fdf, adf, "d", "a", ["g"], "v", days=7, out="s"), ["k", "g", "s"])
+    want = {}
+    for g, d, v in facts:
+        for a in anchors:
+            if a - dt.timedelta(days=6) <= d <= a:
+                key = (int(a.strftime("%Y%m%d")), g)
+                cur = want.get(key, "unset")
+                want[key] = v if cur in ("unset", None) else (cur + v if v is not None else cur)
+    assert got == sorted((k, g, s) for (k, g), s in want.items())
+    cond = (fdf.d >= F.date_sub(adf.a, 6)) & (fdf.d <= adf.a)
+    sql = fdf.join(adf, cond).groupBy("k", "g").agg(F.sum("v").alias("s"))
+    assert got == rows(sql, ["k", "g", "s"])
+
+
+def test_best_per_key_is_order_and_partition_invariant(spark):
+    rnd = random.Random(3)
+    data = [(rnd.randint(0, 9), rnd.choice([None, 1, 2, 3]), f"id{i:03d}") for i in range(200)]
+    df = spark.createDataFrame(data, "k int, score int, id string")
+    order = [desc("score"), asc("id")]
+    a = rows(best_per_key(df, ["k"], order))
+    b = rows(best_per_key(df.repartition(7).orderBy(F.rand(1)), ["k"], order))
+    assert a == b
+    want = {}
+    for k, s, i in data:
+        key = (-(s if s is not None else -10**9), i)
+        if k not in want or key < want[k][0]:
+            want[k] = (key, (k, s, i))
+    assert a == sorted(v for _, v in want.values())
+
+
+def test_top_k_and_numbering(spark):
+    df = spark.createDataFrame([("w", p, q) for p, q in [(1, 5), (2, 9), (3, 9), (4, 1)]],
+                               "w string, p int, q int")
+    top = rows(top_k_per_group(df, ["w"], [desc("q"), asc("p")], 2, rank_col="rank"), ["p", "rank"])
+    assert top == [(2, 1), (3, 2)]
+    n = rows(number_in_group(df, ["w"], [asc("p")], out="n", first_flag="first"), ["p", "n", "first"])
+    assert n == [(1, 1, True), (2, 2, False), (3, 3, False), (4, 4, False)]
+
+
+def test_explode_names_separators(spark):
+    df = spark.createDataFrame([(1, "A & B AND C and D"), (2, "A And B"), (3, "King, Jr."),
+                                (4, None), (5, " , ")], "id int, t string")
+    out = explode_names(df, "t", keep=["id"])
+    got = rows(out, ["id", "name_raw", "name_norm"])
+    assert got == [(1, "A", "a"), (1, "B", "b"), (1, "C", "c"), (1, "D", "d"),
+                   (2, "A And B", "a and b"), (3, "Jr.", "jr."), (3, "King", "king")]
+
+
+def test_consolidate_keys(spark):
+    a = spark.createDataFrame([("1", "u1"), ("", "u2"), (" ", "u3"), (None, None)], "isbn string, uri string")
+    b = spark.createDataFrame([("1", None), ("2", None)], "isbn string, uri string")
+    got = rows(consolidate_keys([a, b], ["isbn", "uri"]), ["nk", "isbn", "uri"])
+    assert got == [(" ", " ", "u3"), ("1", "1", "u1"), ("2", "2", None), ("u2", None, "u2")]
+
+
+def test_bounded_broadcast_falls_back_beyond_bound(spark):
+    df = spark.range(10)
+    b, ok = bounded_broadcast(df, max_rows=100)
+    assert ok and b.count() == 10
+    nb, ok2 = bounded_broadcast(df, max_rows=5)
+    assert not ok2 and nb.count() == 10
+
+
+def test_calendar_is_inclusive(spark):
+    b = spark.createDataFrame([(dt.date(2024, 2, 27), dt.date(2024, 3, 2))], "lo date, hi date")
+    got = rows(calendar(b, "lo", "hi"), ["date_key", "year", "month", "day"])
+    assert [g[0] for g in got] == [20240227, 20240228, 20240229, 20240301, 20240302]
+
+
+def test_quality_checks(spark):
+    df = spark.createDataFrame([(1, "a", 5, "daily"), (1, None, -1, "hourly"), (2, "b", None, None)],
+                               "k int, s string, v int, g string")
+    assert Q.check_not_null(df, "s").count() == 1
+    assert rows(Q.check_unique(df, "k")) == [(1, 2)]
+    assert Q.check_compound_unique(df, ["k", "s"]).count() == 0
+    assert Q.check_row_count(df, 1, 2).count() == 1 and Q.check_row_count(df, 1, 3).count() == 0
+    assert Q.check_between(df, "v", 0).count() == 1 and Q.check_between(df, "v", 0, 4).count() == 2
+    assert Q.check_regex(df, "s", "^[a]$").count() == 1
+    assert Q.check_in_set(df, "g", ["daily"]).count() == 1
+    assert Q.check_non_negative(df, "v").count() == 1
+    parent = spark.createDataFrame([(1,)], "k int")
+    assert rows(Q.check_relationships(df, "k", parent, "k"), ["k"]) == [(2,)]
+    summary = Q.run_checks({"t": df}, [Q.Check("a", "t", "not_null", {"col": "s"}),
+                                       Q.Check("b", "t", "non_negative", {"col": "k"})])
+    assert rows(summary, ["check_name", "failures", "status"]) == [("a", 1, "FAIL"), ("b", 0, "PASS")]
+
+
+def test_reports(spark):
+    sc = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), "b1", 1, 2, True, 10), (dt.date(2024, 1, 1), "b2", 2, -1, False, 0),
+         (dt.date(2024, 1, 1), "b3", 3, None, False, 5), (dt.date(2024, 1, 8), "b1", 1, 0, False, 7)],
+        "published_date date, book_key string, rank int, rank_delta int, is_new boolean, views_7d long")
+    assert rows(R.top_k_for(sc, 2, "2024-01-01"), ["book_key"]) == [("b1",), ("b2",)]
+    assert rows(R.movers_up(sc), ["book_key"]) == [("b1",)]
+    assert rows(R.movers_down(sc), ["book_key"]) == [("b2",)]
+    assert rows(R.new_entries(sc), ["book_key"]) == [("b1",)]
+    k = {r.published_date: r for r in R.weekly_kpi(sc).collect()}
+    assert k[dt.date(2024, 1, 1)].n_books == 3 and k[dt.date(2024, 1, 1)].views_7d_total == 15
+    assert k[dt.date(2024, 1, 1)].n_up == 1 and k[dt.date(2024, 1, 1)].n_with_views == 2
