@@ -5,7 +5,7 @@ from rankforge.functions.casting import (  # noqa: F401
 )
 from rankforge.functions.dates import EPOCH, date_from_key, date_key, epoch_ts, freshest  # noqa: F401
 from rankforge.functions.json import (  # noqa: F401
-    json_array_contains, json_fields, json_flag_true, json_list_as_csv, json_text,
+    array_has_struct, json_array_contains, json_fields, json_flag_true, json_list_as_csv, json_text,
 )
 from rankforge.functions.keys import md5_key  # noqa: F401
 from rankforge.functions.text import (  # noqa: F401

@@ -28,25 +28,27 @@ def json_list_as_csv(doc, path: str) -> Column:
     return strip_chars(json_text(doc, path), '[]"')
 
 
+def array_has_struct(arr, match: dict) -> Column:
+    """True when the array of structs ``arr`` holds an element whose fields
+    equal ``match`` (field order as given); False otherwise, also for NULL.
+
+    A struct ``array_contains`` (whole-stage codegen), not a lambda.
+    """
+    probe = F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast("string").alias(k)
+                       for k, v in match.items()])
+    return F.coalesce(F.array_contains(as_col(arr), probe), F.lit(False))
+
+
 def json_array_contains(doc, field: str, match: dict) -> Column:
     """True when some object of the JSON array ``field`` has all ``match``
     attributes equal to the given columns/literals; False otherwise.
 
-    Parses only the one field (one pass over the document) and tests it with
-    a higher-order ``exists``; no rows are generated.
+    Parses only the one field (one pass over the document) and tests it
+    without generating rows.
     """
     struct_t = ",".join(f"`{k}`:string" for k in match)
     parsed = F.from_json(as_col(doc), f"`{field}` array<struct<{struct_t}>>")
-
-    def pred(x):
-        cond = None
-        for k, v in match.items():
-            v = v if isinstance(v, Column) else F.lit(v)
-            term = x[k] == v
-            cond = term if cond is None else (cond & term)
-        return cond
-
-    return F.coalesce(F.exists(parsed[field], pred), F.lit(False))
+    return array_has_struct(parsed[field], match)
 
 
 def json_flag_true(doc, path: str) -> Column:

@@ -27,10 +27,17 @@ def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
     """Sum a per-(link, ...) measure to (``group_keys``) through a bridge.
 
     ``facts`` should already be aggregated to one row per link key and
-    period, so the join sees no raw-level fan-out. The bridge is broadcast
-    only when its size is proven small; otherwise both sides shuffle on the
+    period, so the join sees no raw-level fan-out. The join multiplies each
+    fact row by its link's bridge rows, so its output can dwarf its input:
+    when the bridge is proven small it is broadcast and the facts are first
+    spread round-robin over the shuffle partitions (a pre-aggregated input
+    is small enough for AQE to pack into one task, and a hot link key would
+    otherwise expand in a single task). Otherwise both sides shuffle on the
     link key and AQE splits skewed link keys.
     """
-    b, _ = bounded_broadcast(bridge)
+    b, small = bounded_broadcast(bridge)
+    if small:
+        n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        facts = facts.repartition(n)
     j = facts.join(b, link_key, "inner")
     return j.groupBy(*group_keys).agg(F.sum(measure).alias(out or measure))

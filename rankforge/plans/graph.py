@@ -40,7 +40,7 @@ MODEL_ORDER = [
 # block is recomputed from lineage. The page-view staging model is left out
 # on purpose: it is the one input that grows with traffic, and its consumers
 # only need a scan each.
-SHARED_MODELS = {"stg_ranked_list", "best_volume_search", "book_keys", "author_parse"}
+SHARED_MODELS = {"stg_ranked_list", "best_volume_search", "book_keys", "author_parse", "dim_week"}
 
 # Models materialised as tables by ``build`` (the rest stay views).
 TABLE_MODELS = {
@@ -104,7 +104,11 @@ class ModelGraph:
     # intermediate
     @cached_property
     def best_volume_search(self):
-        return I.best_volume(self._m("stg_volumes_search"), match_isbn=True)
+        # Built on the parse that also yields the identifier list, so each
+        # document is parsed once (the staging model's columns plus one).
+        if "stg_volumes_search" in self._override:
+            return I.best_volume(self._m("stg_volumes_search"), match_isbn=True)
+        return I.best_volume(S.parse_volumes(self.raw["catalogue_search"]), match_isbn=True)
 
     @cached_property
     def best_volume_isbn(self):
@@ -162,8 +166,7 @@ class ModelGraph:
 
     @cached_property
     def fct_author_views_7d(self):
-        return M.fct_author_views_7d(self._m("fct_pageviews_daily"), self._m("dim_date"),
-                                     self._m("dim_week"))
+        return M.fct_author_views_7d(self._m("fct_pageviews_daily"), None, self._m("dim_week"))
 
     @cached_property
     def fct_book_views_7d(self):

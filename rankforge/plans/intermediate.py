@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    clean_isbn_text, json_array_contains, json_flag_true, json_list_as_csv, md5_key,
+    array_has_struct, clean_isbn_text, json_array_contains, json_flag_true, json_list_as_csv, md5_key,
     normalize_name, safe_date, trimmed_or_null, zs_trim,
 )
 from rankforge.operators.keys import consolidate_keys
@@ -29,8 +29,8 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     published date (full dates only); later extraction; smaller id.
     """
     base = stg.where(F.col("isbn13_clean").isNotNull())
-    # The identifiers are an array of objects, tested with a higher-order
-    # exists over the parsed field (no rows generated).
+    # The identifiers are an array of objects; with ``parse_volumes`` input
+    # they come from the same single parse as the other fields.
     base = base.withColumns({
         "is_ebook_flag": json_flag_true("saleinfo", "$.isEbook"),
         "published_date": safe_date("published_date_raw"),
@@ -38,10 +38,10 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     order = []
     cols = list(BEST_VOLUME_COLS)
     if match_isbn:
-        base = base.withColumn(
-            "has_isbn_match",
-            json_array_contains("volumeinfo", "industryIdentifiers",
-                                {"type": "ISBN_13", "identifier": F.col("isbn13_clean")}).cast("int"))
+        want = {"type": "ISBN_13", "identifier": F.col("isbn13_clean")}
+        has = (array_has_struct("__identifiers", want) if "__identifiers" in stg.columns
+               else json_array_contains("volumeinfo", "industryIdentifiers", want))
+        base = base.withColumn("has_isbn_match", has.cast("int"))
         order.append(desc("has_isbn_match"))
         cols.insert(1, "has_isbn_match")
     order += [desc("ratings_count"), desc("average_rating"), desc("is_ebook_flag"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    clean_isbn_text, date_key, freshest, md5_key, trimmed_or_null,
+    clean_isbn_text, date_from_key, date_key, freshest, md5_key, trimmed_or_null,
 )
 from rankforge.operators.bridge import build_bridge, rollup_over_bridge
 from rankforge.operators.calendar import calendar, week_dimension
@@ -187,11 +187,23 @@ def fct_pageviews_daily(stg_views: DataFrame, wiki_map: DataFrame) -> DataFrame:
                     "agent", "project", "granularity", "extracted_at")
 
 
-def fct_author_views_7d(daily: DataFrame, dates: DataFrame, weeks: DataFrame, days: int = 7) -> DataFrame:
+def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFrame,
+                        days: int = 7) -> DataFrame:
     """Views per (week, author) over the 7 days ending on the list date
-    (days -6..0, inclusive)."""
-    cal, _ = bounded_broadcast(dates.select("date_key", "date_day"))
-    d = daily.join(cal, "date_key", "inner").select("author_key", "date_day", "views")
+    (days -6..0, inclusive).
+
+    The daily facts meet the calendar on ``date_key`` only to turn the key
+    into a date: the calendar always runs from the earliest view date (or
+    earlier) to the latest view date plus two days (or later), so that join
+    drops no fact row. With ``dates=None`` the date is derived from the key
+    directly, which gives the same rows without computing the calendar
+    (whose end bound needs the whole catalogue chain).
+    """
+    if dates is None:
+        d = daily.select("author_key", date_from_key("date_key").alias("date_day"), "views")
+    else:
+        cal, _ = bounded_broadcast(dates.select("date_key", "date_day"))
+        d = daily.join(cal, "date_key", "inner").select("author_key", "date_day", "views")
     return trailing_window_sum(d, weeks.select("week_key", "week_date"), "date_day", "week_date",
                                ["author_key"], "views", days=days, out="views_7d").select(
         "week_key", "week_date", "author_key", "views_7d")

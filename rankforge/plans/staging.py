@@ -14,7 +14,8 @@ from rankforge.functions import (
 # document serves all fields.
 VOLUME_INFO_SCHEMA = (
     "title string, subtitle string, publisher string, publishedDate string, "
-    "language string, categories array<string>, averageRating string, ratingsCount string"
+    "language string, categories array<string>, averageRating string, ratingsCount string, "
+    "industryIdentifiers array<struct<type:string,identifier:string>>"
 )
 
 
@@ -47,6 +48,12 @@ def stg_volumes(raw: DataFrame) -> DataFrame:
     the ``volumeinfo`` JSON document; ratings are safe-cast; the raw JSON
     documents are carried for later steps.
     """
+    return parse_volumes(raw).drop("__identifiers")
+
+
+def parse_volumes(raw: DataFrame) -> DataFrame:
+    """:func:`stg_volumes` plus the parsed identifier list ``__identifiers``
+    (array of ``type, identifier``), all from one parse of the document."""
     doc = F.from_json("volumeinfo", VOLUME_INFO_SCHEMA)
     return raw.withColumn("__doc", doc).select(
         decimal_to_text("isbn13").alias("isbn13_clean"),
@@ -62,6 +69,7 @@ def stg_volumes(raw: DataFrame) -> DataFrame:
         safe_double("__doc.averageRating").alias("average_rating"),
         safe_long("__doc.ratingsCount").alias("ratings_count"),
         "volumeinfo", "saleinfo", "accessinfo", "searchinfo",
+        F.col("__doc.industryIdentifiers").alias("__identifiers"),
     )
 
 

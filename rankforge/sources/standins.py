@@ -189,7 +189,10 @@ def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     key = (id(spark), os.path.abspath(root))
     if key not in _LANDED:
         dest = os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
+        # One file per shuffle partition, as an extraction lands many
+        # files: scans of the landed tables then split across all cores.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         for name, df in derive_raw(spark, root).items():
-            df.write.mode("overwrite").parquet(os.path.join(dest, name))
+            df.repartition(n).write.mode("overwrite").parquet(os.path.join(dest, name))
         _LANDED[key] = {n: read_raw(spark, dest, n) for n in RAW_TABLES}
     return _LANDED[key]
