@@ -23,6 +23,48 @@ from rankforge.plans import marts as M
 from rankforge.plans import staging as S
 from rankforge.sources.io import as_table
 
+# What each model reads (the model dependency graph).
+DEPENDS = {
+    "stg_ranked_list": [], "stg_volumes_search": [], "stg_volumes_isbn": [], "stg_pageviews": [],
+    "best_volume_search": ["stg_volumes_search"],
+    "best_volume_isbn": ["stg_volumes_isbn"],
+    "wiki_author_map": ["stg_pageviews"],
+    "dim_week": ["stg_ranked_list"],
+    "book_keys": ["stg_ranked_list", "best_volume_search"],
+    "fct_pageviews_daily": ["stg_pageviews", "wiki_author_map"],
+    "author_parse": ["book_keys", "best_volume_search", "stg_ranked_list"],
+    "dim_book": ["book_keys", "best_volume_isbn", "best_volume_search", "stg_ranked_list"],
+    "fct_weekly_rank": ["stg_ranked_list", "book_keys"],
+    "fct_catalogue_snapshot": ["best_volume_search", "book_keys"],
+    "dim_author": ["author_parse", "wiki_author_map"],
+    "dim_date": ["stg_pageviews", "stg_ranked_list", "fct_catalogue_snapshot"],
+    "bridge_book_author": ["author_parse", "dim_author"],
+    "fct_author_views_7d": ["fct_pageviews_daily", "dim_week"],
+    "fct_book_views_7d": ["bridge_book_author", "fct_author_views_7d"],
+    "weekly_scorecard": ["fct_weekly_rank", "dim_week", "dim_book", "bridge_book_author",
+                         "fct_author_views_7d"],
+}
+
+
+def build_levels(names=None) -> list[list[str]]:
+    """Group models into levels; every model's inputs are in earlier levels."""
+    names = list(names or DEPENDS)
+    level: dict[str, int] = {}
+
+    def lv(n):
+        if n not in level:
+            level[n] = 1 + max((lv(d) for d in DEPENDS[n]), default=-1)
+        return level[n]
+
+    for n in names:
+        lv(n)
+    out: list[list[str]] = [[] for _ in range(max(level.values()) + 1)]
+    for n in DEPENDS:
+        if n in level:
+            out[level[n]].append(n)
+    return [grp for grp in out if grp]
+
+
 # Build order (each model after everything it reads).
 MODEL_ORDER = [
     "stg_ranked_list", "stg_volumes_search", "stg_volumes_isbn", "stg_pageviews",
@@ -180,30 +222,41 @@ class ModelGraph:
 
 
 def build(graph: ModelGraph, out_root: str | None = None, checks=None,
-          materialize_all: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Run the graph in order and materialise models, then run the checks.
+          materialize_all: bool = False, threads: int = 4) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Run the graph level by level and materialise models, then run the checks.
 
     With ``out_root`` (a shared folder: the warehouse path, never a
     machine-local one) table models are written there as Parquet and re-read;
     the wide table is partitioned by ``published_date`` so week filters prune
-    files. Without it, models are reliably checkpointed into the cluster's
-    ``spark.checkpoint.dir``. ``materialize_all`` also materialises the view
+    files. Without it, models are written as Parquet tables under the
+    cluster's ``spark.checkpoint.dir``. ``materialize_all`` also materialises the view
     models. Either way every model is computed once and downstream models
     read it back instead of re-running its lineage, which also keeps the
-    check plans small. Returns the models and the check summary.
+    check plans small. Models of one level do not read each other, so up to
+    ``threads`` of them run as concurrent Spark jobs. Returns the models and
+    the check summary.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from rankforge.plans.checks import DECLARED_CHECKS
-    from rankforge.session import cut_lineage
+    from rankforge.session import write_and_read
 
-    for name in MODEL_ORDER:
-        if not (materialize_all or name in TABLE_MODELS):
-            continue
+    def materialise(name: str) -> tuple[str, DataFrame]:
         df = graph[name]
         if out_root:
             part = ["published_date"] if name == "weekly_scorecard" else None
-            graph.replace(name, as_table(df, os.path.join(out_root, name), partition_by=part))
-        else:
-            graph.replace(name, cut_lineage(df))
+            return name, as_table(df, os.path.join(out_root, name), partition_by=part)
+        return name, write_and_read(df, name)
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for level in build_levels(MODEL_ORDER):
+            todo = [n for n in level if materialize_all or n in TABLE_MODELS]
+            # Resolve the lazy frames on this thread first (plan construction
+            # is not thread-safe); only the Spark jobs run concurrently.
+            for n in todo:
+                graph[n]
+            for name, df in pool.map(materialise, todo):
+                graph.replace(name, df)
     models = {n: graph[n] for n in MODEL_ORDER}
     summary = run_checks(models, checks if checks is not None else DECLARED_CHECKS)
     return models, summary

@@ -70,6 +70,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table under the shared
+    checkpoint folder and scanning it back (columnar, column-pruned reads;
+    a lost executor only loses work that the re-scan does not need)."""
+    import uuid
+
+    path = os.path.join(checkpoint_dir(df.sparkSession), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)

@@ -45,7 +45,10 @@ def as_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    r = df.sparkSession.read.format(fmt)
+    if not partition_by:  # partition columns come back from the folder names
+        r = r.schema(df.schema)
+    return r.load(path)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
