@@ -31,14 +31,14 @@ DEPENDS = {
     "wiki_author_map": ["stg_pageviews"],
     "dim_week": ["stg_ranked_list"],
     "book_keys": ["stg_ranked_list", "best_volume_search"],
-    "fct_pageviews_daily": ["stg_pageviews", "wiki_author_map"],
+    "fct_pageviews_daily": ["stg_pageviews"],
     "author_parse": ["book_keys", "best_volume_search", "stg_ranked_list"],
     "dim_book": ["book_keys", "best_volume_isbn", "best_volume_search", "stg_ranked_list"],
     "fct_weekly_rank": ["stg_ranked_list", "book_keys"],
     "fct_catalogue_snapshot": ["best_volume_search", "book_keys"],
     "dim_author": ["author_parse", "wiki_author_map"],
     "dim_date": ["stg_pageviews", "stg_ranked_list", "fct_catalogue_snapshot"],
-    "bridge_book_author": ["author_parse", "dim_author"],
+    "bridge_book_author": ["author_parse"],
     "fct_author_views_7d": ["fct_pageviews_daily", "dim_week"],
     "fct_book_views_7d": ["bridge_book_author", "fct_author_views_7d"],
     "weekly_scorecard": ["fct_weekly_rank", "dim_week", "dim_book", "bridge_book_author",
@@ -192,7 +192,9 @@ class ModelGraph:
 
     @cached_property
     def bridge_book_author(self):
-        return M.bridge_book_author(self._m("author_parse"), self._m("dim_author"))
+        # Keys derived from the name (see the function); the dimension join
+        # variant gives the same rows.
+        return M.bridge_book_author(self._m("author_parse"))
 
     @cached_property
     def fct_weekly_rank(self):
@@ -204,7 +206,7 @@ class ModelGraph:
 
     @cached_property
     def fct_pageviews_daily(self):
-        return M.fct_pageviews_daily(self._m("stg_pageviews"), self._m("wiki_author_map"))
+        return M.fct_pageviews_daily(self._m("stg_pageviews"), collapse_ws=self.collapse_ws)
 
     @cached_property
     def fct_author_views_7d(self):

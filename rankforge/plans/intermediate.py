@@ -91,6 +91,19 @@ def author_parse(keys: DataFrame, best_search: DataFrame, stg_list: DataFrame,
                            "author_order", "is_primary")
 
 
+def article_author_name(article: str = "article", collapse_ws: bool = False):
+    """An article title read as a normalised person name (``_`` is a space)."""
+    return normalize_name(F.replace(F.col(article), F.lit("_"), F.lit(" ")), collapse_ws)
+
+
+def with_article_author_key(df: DataFrame, article: str = "article", collapse_ws: bool = False) -> DataFrame:
+    """Rows whose article reads as a usable name, with that name's MD5
+    ``author_key`` (the rows and keys the article map would give them)."""
+    name = article_author_name(article, collapse_ws)
+    keep = (F.col(article).isNotNull() & (zs_trim(article) != "") & name.isNotNull() & (name != ""))
+    return df.where(keep).withColumn("author_key", md5_key(name))
+
+
 def wiki_author_map(stg_views: DataFrame, collapse_ws: bool = False) -> DataFrame:
     """Distinct (article, normalised author name) with an MD5 author key.
 
@@ -98,8 +111,7 @@ def wiki_author_map(stg_views: DataFrame, collapse_ws: bool = False) -> DataFram
     """
     src = (stg_views.where(F.col("article").isNotNull() & (zs_trim("article") != ""))
                     .select(F.col("article").alias("wiki_article"),
-                            normalize_name(F.replace("article", F.lit("_"), F.lit(" ")),
-                                           collapse_ws).alias("author_name_norm"))
+                            article_author_name("article", collapse_ws).alias("author_name_norm"))
                     .distinct())
     return (src.where(F.col("author_name_norm").isNotNull() & (F.col("author_name_norm") != ""))
                .select(md5_key("author_name_norm").alias("author_key"), "wiki_article",

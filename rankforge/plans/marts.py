@@ -11,6 +11,7 @@ from rankforge.functions import (
     clean_isbn_text, date_from_key, date_key, freshest, md5_key, trimmed_or_null,
 )
 from rankforge.operators.bridge import build_bridge, rollup_over_bridge
+from rankforge.plans.intermediate import with_article_author_key
 from rankforge.operators.calendar import calendar, week_dimension
 from rankforge.operators.joins import bounded_broadcast, join_first_available
 from rankforge.operators.ranking import rank_change_columns
@@ -115,28 +116,48 @@ def dim_date(stg_views: DataFrame, stg_list: DataFrame, snapshot: DataFrame,
     reproducible.
     """
     today = F.lit(str(as_of)).cast("date")
-    v = stg_views.agg(F.min("view_date").alias("v_lo"), F.max("view_date").alias("v_hi"))
-    l = stg_list.agg(F.min("published_date").alias("l_lo"))
-    s = snapshot.agg(F.max("snapshot_date_key").alias("s_hi_key"))
-    b = v.crossJoin(l).crossJoin(s).select(
+    # One aggregation over the three date sources tagged by origin (each
+    # source's min/max stays separate, so an empty source still falls back
+    # to ``as_of``): a single one-row result, no joins between aggregates.
+    tagged = (stg_views.select(F.lit("v").alias("src"), F.col("view_date").alias("d"))
+              .unionByName(stg_list.select(F.lit("l").alias("src"), F.col("published_date").alias("d")))
+              .unionByName(snapshot.select(
+                  F.lit("s").alias("src"),
+                  F.to_date(F.col("snapshot_date_key").cast("string"), "yyyyMMdd").alias("d"))))
+
+    def of(src):
+        return F.when(F.col("src") == src, F.col("d"))
+
+    b = tagged.agg(F.min(of("v")).alias("v_lo"), F.max(of("v")).alias("v_hi"),
+                   F.min(of("l")).alias("l_lo"), F.max(of("s")).alias("s_hi")).select(
         F.least(F.coalesce("v_lo", today), F.coalesce("l_lo", today)).alias("lo"),
-        F.date_add(F.greatest(F.coalesce("v_hi", today),
-                              F.coalesce(F.to_date(F.col("s_hi_key").cast("string"), "yyyyMMdd"), today),
-                              today), 2).alias("hi"))
+        F.date_add(F.greatest(F.coalesce("v_hi", today), F.coalesce("s_hi", today), today),
+                   2).alias("hi"))
     return calendar(b, "lo", "hi")
 
 
 # ---------------------------------------------------------------- bridge
 
 
-def bridge_book_author(parsed: DataFrame, authors: DataFrame) -> DataFrame:
-    """One row per (book, author); keeps the primary flag, else the lowest order."""
-    links = parsed.where(F.col("book_key").isNotNull()).select(
-        "book_key", "author_name_norm", "author_order", "is_primary")
-    return build_bridge(links, authors.select("author_key", "author_name_norm"),
-                        on="author_name_norm", keys=["book_key", "author_key"],
-                        order=[desc("is_primary"), asc("author_order")],
-                        cols=["book_key", "author_key", "author_order", "is_primary"])
+def bridge_book_author(parsed: DataFrame, authors: DataFrame | None = None) -> DataFrame:
+    """One row per (book, author); keeps the primary flag, else the lowest order.
+
+    With ``authors`` (the author dimension) names are resolved by a join.
+    Without it the key is derived directly: the dimension holds exactly one
+    row for every parsed name, keyed by the MD5 of the name, so the join
+    only ever returns that key - the same rows without scanning the
+    dimension's sources.
+    """
+    links = parsed.where(F.col("book_key").isNotNull() & F.col("author_name_norm").isNotNull())
+    links = links.select("book_key", "author_name_norm", "author_order", "is_primary")
+    order = [desc("is_primary"), asc("author_order")]
+    cols = ["book_key", "author_key", "author_order", "is_primary"]
+    if authors is not None:
+        return build_bridge(links, authors.select("author_key", "author_name_norm"),
+                            on="author_name_norm", keys=["book_key", "author_key"],
+                            order=order, cols=cols)
+    keyed = links.withColumn("author_key", md5_key("author_name_norm"))
+    return best_per_key(keyed, ["book_key", "author_key"], order).select(*cols)
 
 
 # ---------------------------------------------------------------- facts
@@ -176,13 +197,24 @@ def fct_catalogue_snapshot(best_search: DataFrame, keys: DataFrame) -> DataFrame
                        "gbooks_id", "gbooks_selflink", "extracted_at")
 
 
-def fct_pageviews_daily(stg_views: DataFrame, wiki_map: DataFrame) -> DataFrame:
+def fct_pageviews_daily(stg_views: DataFrame, wiki_map: DataFrame | None = None,
+                        collapse_ws: bool = False) -> DataFrame:
     """Raw view rows with an author key and date key; unmapped rows dropped.
 
-    Not deduplicated: a view row landed twice counts twice.
+    Not deduplicated: a view row landed twice counts twice. With
+    ``wiki_map`` the article is resolved by a join. Without it the key is
+    derived directly: the map is exactly the distinct (article, name) pairs
+    of these same rows that have a usable name, keyed by the MD5 of the
+    name, so the join keeps a row iff its article yields a name and returns
+    that name's key. Deriving it needs one scan of the views instead of a
+    scan for the distinct articles plus a second scan and a join.
     """
-    m = wiki_map.select("author_key", F.col("wiki_article").alias("article"))
-    j = stg_views.where(F.col("view_date").isNotNull()).join(m, "article", "inner")
+    src = stg_views.where(F.col("view_date").isNotNull())
+    if wiki_map is not None:
+        m = wiki_map.select("author_key", F.col("wiki_article").alias("article"))
+        j = src.join(m, "article", "inner")
+    else:
+        j = with_article_author_key(src, "article", collapse_ws)
     return j.select("author_key", date_key("view_date").alias("date_key"), "views", "access",
                     "agent", "project", "granularity", "extracted_at")
 
