@@ -192,7 +192,14 @@ def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         # One file per shuffle partition, as an extraction lands many
         # files: scans of the landed tables then split across all cores.
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        for name, df in derive_raw(spark, root).items():
+
+        def land(item):
+            name, df = item
             df.repartition(n).write.mode("overwrite").parquet(os.path.join(dest, name))
+
+        # The four derivations are independent jobs: submit them together.
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(land, derive_raw(spark, root).items()))
         _LANDED[key] = {n: read_raw(spark, dest, n) for n in RAW_TABLES}
     return _LANDED[key]
