@@ -173,7 +173,7 @@ def derive_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             for k, df in raw.items()}
 
 
-_LANDED: dict[tuple[int, str], dict[str, DataFrame]] = {}
+_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -186,7 +186,7 @@ def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     from rankforge.session import checkpoint_dir
     from rankforge.sources.io import read_raw
 
-    key = (id(spark), os.path.abspath(root))
+    key = (spark.sparkContext.applicationId, os.path.abspath(root))
     if key not in _LANDED:
         dest = os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
         # One file per shuffle partition, as an extraction lands many
