@@ -189,9 +189,9 @@ def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, os.path.abspath(root))
     if key not in _LANDED:
         dest = os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
-        # One file per shuffle partition, as an extraction lands many
-        # files: scans of the landed tables then split across all cores.
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # One file per core, as an extraction lands many files: scans of
+        # the landed tables then split across all cores.
+        n = spark.sparkContext.defaultParallelism
 
         def land(item):
             name, df = item
