@@ -33,7 +33,10 @@ def check_unique(df: DataFrame, cols: str | Sequence[str], ignore_nulls: bool =
 
 
 def check_compound_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return check_unique(df, cols, ignore_nulls=False)
+    """Duplicated combinations of ``cols``; rows whose every column is NULL
+    are ignored (the compound test's default)."""
+    any_set = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
+    return check_unique(df.where(any_set), cols, ignore_nulls=False)
 
 
 def check_relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:

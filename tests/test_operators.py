@@ -145,3 +145,8 @@ def test_reports(spark):
     k = {r.published_date: r for r in R.weekly_kpi(sc).collect()}
     assert k[dt.date(2024, 1, 1)].n_books == 3 and k[dt.date(2024, 1, 1)].views_7d_total == 15
     assert k[dt.date(2024, 1, 1)].n_up == 1 and k[dt.date(2024, 1, 1)].n_with_views == 2
+
+
+def test_compound_unique_ignores_all_null_rows(spark):
+    df = spark.createDataFrame([(None, None), (None, None), (1, None), (1, None), (2, 3)], "a int, b int")
+    assert rows(Q.check_compound_unique(df, ["a", "b"])) == [(1, None, 2)]
