@@ -33,7 +33,8 @@ REPORTS = {
 def _build(args) -> int:
     spark = get_session(args.master)
     graph = ModelGraph(read_all_raw(spark, args.raw, args.format), as_of=args.as_of,
-                       strip_decimal=args.strip_decimal, collapse_ws=args.collapse_ws)
+                       strip_decimal=args.strip_decimal, collapse_ws=args.collapse_ws,
+                       null_authors_as_text=args.null_authors_as_text)
     models, summary = build(graph, out_root=args.out, threads=args.threads)
     for name, df in models.items():
         as_view(df, name)
@@ -68,6 +69,7 @@ def main(argv=None) -> int:
     b.add_argument("--threads", type=int, default=4)
     b.add_argument("--strip-decimal", action="store_true")
     b.add_argument("--collapse-ws", action="store_true")
+    b.add_argument("--null-authors-as-text", action="store_true")
     b.add_argument("--fail-on-check", action="store_true")
     e = sub.add_parser("export")
     e.add_argument("--marts", required=True)

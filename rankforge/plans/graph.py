@@ -98,13 +98,15 @@ class ModelGraph:
     ``raw`` maps ``ranked_list``, ``catalogue_search``, ``catalogue_isbn``,
     ``pageviews`` to DataFrames. ``as_of`` stands in for "today" in the
     calendar. ``strip_decimal``/``collapse_ws`` switch on the intended
-    (rather than the reference's literal) text clean-up.
+    (rather than the reference's literal) text clean-up;
+    ``null_authors_as_text`` reproduces the reference's phantom "null" author.
     """
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | _dt.date,
                  strip_decimal: bool = False, collapse_ws: bool = False,
-                 reuse_shared: bool = True):
+                 reuse_shared: bool = True, null_authors_as_text: bool = False):
         self.raw = raw
+        self.null_authors_as_text = null_authors_as_text
         self.as_of = as_of
         self.strip_decimal = strip_decimal
         self.collapse_ws = collapse_ws
@@ -164,7 +166,8 @@ class ModelGraph:
     @cached_property
     def author_parse(self):
         return I.author_parse(self._m("book_keys"), self._m("best_volume_search"),
-                              self._m("stg_ranked_list"), self.collapse_ws)
+                              self._m("stg_ranked_list"), self.collapse_ws,
+                              self.null_authors_as_text)
 
     @cached_property
     def wiki_author_map(self):

@@ -65,16 +65,24 @@ def book_keys(stg_list: DataFrame, best_search: DataFrame, strip_decimal: bool =
 
 
 def author_parse(keys: DataFrame, best_search: DataFrame, stg_list: DataFrame,
-                 collapse_ws: bool = False) -> DataFrame:
+                 collapse_ws: bool = False, null_authors_as_text: bool = False) -> DataFrame:
     """One row per (book, list row, author name piece) - not unique.
 
     The byline is the catalogue's JSON author list when it has one, else the
     list's author text. Joining the list by ISBN repeats a book once per
     week it was listed; ``author_order`` numbers the pieces alphabetically
     over those repeated rows and ``is_primary`` marks the first.
+
+    An explicit ``"authors": null`` counts as no list (the list author is
+    used); ``null_authors_as_text=True`` reproduces the reference instead,
+    where it reads as the text ``null`` - a phantom author named "null".
     """
-    gb = best_search.select(F.col("isbn13_clean").alias("__gb_isbn"),
-                            json_list_as_csv("volumeinfo", "$.authors").alias("__gb_authors"))
+    authors = json_list_as_csv("volumeinfo", "$.authors")
+    if null_authors_as_text:
+        explicit_null = (F.array_contains(F.json_object_keys("volumeinfo"), "authors")
+                         & F.get_json_object("volumeinfo", "$.authors").isNull())
+        authors = F.when(explicit_null, F.lit("null")).otherwise(authors)
+    gb = best_search.select(F.col("isbn13_clean").alias("__gb_isbn"), authors.alias("__gb_authors"))
     nyt = stg_list.select(F.col("isbn13").alias("__nyt_isbn"), F.col("author_nyt"))
     base = (keys.join(gb, keys["isbn13_clean"] == gb["__gb_isbn"], "left")
                 .join(nyt, keys["isbn13_clean"] == nyt["__nyt_isbn"], "left")

@@ -212,3 +212,17 @@ def test_derived_keys_equal_dimension_joins(graph):
         M.bridge_book_author(graph["author_parse"], graph["dim_author"]))
     assert rows(M.fct_pageviews_daily(graph["stg_pageviews"])) == rows(
         M.fct_pageviews_daily(graph["stg_pageviews"], graph["wiki_author_map"]))
+
+
+def test_t6_null_author_list(spark, graph):
+    """{"authors": null}: list author by default; phantom "null" author on request."""
+    from rankforge.plans import intermediate as I
+
+    doc = '{"title":"X","authors":null}'
+    best = spark.createDataFrame([("9780000000007", doc)], "isbn13_clean string, volumeinfo string")
+    keys = spark.createDataFrame([("k7", "9780000000007", "9780000000007", None)],
+                                 "book_key string, book_nk string, isbn13_clean string, book_uri string")
+    lst = spark.createDataFrame([("9780000000007", "B Writer")], "isbn13 string, author_nyt string")
+    dflt = [r.author_name_norm for r in I.author_parse(keys, best, lst).collect()]
+    parity = [r.author_name_norm for r in I.author_parse(keys, best, lst, null_authors_as_text=True).collect()]
+    assert dflt == ["b writer"] and parity == ["null"]
