@@ -63,14 +63,6 @@ def latest_list_row(stg_list: DataFrame, strip_decimal: bool = False) -> DataFra
                                     asc("nyt_isbn"), asc("nyt_uri"), asc("title_nyt")])
 
 
-DIM_BOOK_COLS = [
-    "book_key", "book_nk", "isbn13_clean", "book_uri", "title", "title_nyt", "title_gb",
-    "subtitle", "publisher", "publisher_nyt", "publisher_gb", "language", "category_1",
-    "average_rating", "ratings_count", "gbooks_id", "gbooks_selflink", "amazon_product_url",
-    "book_image", "extracted_at",
-]
-
-
 def dim_book(keys: DataFrame, best_isbn: DataFrame, best_search: DataFrame,
              stg_list: DataFrame, strip_decimal: bool = False) -> DataFrame:
     """One row per book key with precedence-merged attributes.
