@@ -8,18 +8,32 @@ from pyspark.sql import functions as F
 from rankforge.functions._col import as_col
 
 
+# Integer text forms the warehouse's cast accepts besides plain
+# decimals - digit-group underscores between two digits (``1_000``) and
+# unsigned, unpadded hexadecimal / binary literals (``0x1F``, ``0b101``).
+_BAD_UNDERSCORE = r"(^|[^0-9])_|_([^0-9]|$)"
+_HEX = r"^0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*$"
+_BIN = r"^0[bB][01]+(_[01]+)*$"
+
+
 def safe_long(c) -> Column:
     """Text/number -> bigint, NULL when impossible.
 
     Fractional text rounds half away from zero (``'4.5'`` -> 5,
-    ``'-2.5'`` -> -3), exponent text is accepted (``'1e3'`` -> 1000) and
-    overflow gives NULL.
+    ``'-2.5'`` -> -3), exponent text is accepted (``'1e3'`` -> 1000),
+    underscores between digits are ignored (``'1_000'``), ``0x``/``0b``
+    literals are read in base 16/2, and overflow gives NULL.
     """
-    c = as_col(c)
-    return F.coalesce(
-        c.try_cast("bigint"),
-        F.round(c.try_cast("decimal(38,9)"), 0).try_cast("bigint"),
-    )
+    c = as_col(c).cast("string")
+    txt = F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", ""))
+    dec = F.coalesce(txt.try_cast("bigint"),
+                     F.round(txt.try_cast("decimal(38,9)"), 0).try_cast("bigint"))
+
+    def radix(pattern: str, base: int) -> Column:
+        digits = F.regexp_replace(F.substring(c, 3, 1 << 20), "_", "")
+        return F.when(c.rlike(pattern), F.conv(digits, base, 10).try_cast("decimal(38,0)").try_cast("bigint"))
+
+    return F.coalesce(radix(_HEX, 16), radix(_BIN, 2), dec)
 
 
 def safe_int(c) -> Column:
@@ -28,7 +42,10 @@ def safe_int(c) -> Column:
 
 
 def safe_double(c) -> Column:
-    return as_col(c).try_cast("double")
+    """Text/number -> double, NULL when impossible (underscores between
+    digits ignored; ``inf``/``nan`` spellings accepted)."""
+    c = as_col(c).cast("string")
+    return F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", "")).try_cast("double")
 
 
 def safe_date(c) -> Column:
