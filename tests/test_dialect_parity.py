@@ -80,3 +80,27 @@ def test_double_cast(spark, con):
     want = duck_values(con, DOUBLES, "try_cast(? as double)")
     norm = lambda xs: [("nan" if x != x else x) if isinstance(x, float) else x for x in xs]
     assert norm(got) == norm(want)
+
+
+JSON_DOCS = [
+    '{"title":"A","averageRating":4.50,"ratingsCount":12,"categories":["Fic","X"],"publishedDate":"2020"}',
+    '{"title":"Caf\\u00e9 \\"Q\\"","averageRating":1e2,"ratingsCount":"7","categories":[]}',
+    '{"title": {"a": [1, 2]}, "averageRating": true, "ratingsCount": null, "categories": [ {"x":1} ]}',
+    '{ "title" : "  spaced  " , "averageRating" : -0.0, "ratingsCount": 1.5e1, "categories":"notarray"}',
+    '{"title":null,"categories":[null,"b"]}',
+    '[1,2,3]',
+    '{"title":123456789012345678901234567890}',
+]
+
+
+def test_json_fields(spark, con):
+    from rankforge.plans.staging import VOLUME_INFO_SCHEMA
+
+    df = spark.createDataFrame([(d,) for d in JSON_DOCS], "v string").select(
+        F.from_json("v", VOLUME_INFO_SCHEMA).alias("d"))
+    got = [tuple(r) for r in df.select("d.title", "d.averageRating", "d.ratingsCount",
+                                       F.try_element_at("d.categories", F.lit(1))).collect()]
+    want = [con.execute("select v->>'$.title', v->>'$.averageRating', v->>'$.ratingsCount', "
+                        "v->>'$.categories[0]' from (select ?::varchar as v)", [d]).fetchone()
+            for d in JSON_DOCS]
+    assert got == want
