@@ -3,7 +3,8 @@
 Each function reads whole tables and exercises one operator outside the
 model graph: trailing windows on events, best/latest record per key with
 NULL sort keys, name explosion, key consolidation, first-available-key
-joins, JSON scalar extraction.
+joins, JSON scalar extraction, calendars and week dimensions, the
+warehouse's safe text casts, and freshest-timestamp merging.
 """
 
 from __future__ import annotations
@@ -13,7 +14,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.functions import json_text, safe_long
+from rankforge.functions import (
+    freshest, json_text, safe_date, safe_double, safe_int, safe_long, yyyymmdd_to_date,
+)
+from rankforge.operators.calendar import calendar, week_dimension
 from rankforge.operators.joins import join_first_available
 from rankforge.operators.keys import consolidate_keys
 from rankforge.operators.names import explode_names
@@ -90,6 +94,51 @@ def events_json_scalars(spark: SparkSession, root: str) -> DataFrame:
                      json_text("props", "$.missing").alias("missing"))
 
 
+def order_calendar(spark: SparkSession, root: str, as_of: str = "2001-12-31") -> DataFrame:
+    """Day calendar from the first order date to the later of the last ship
+    date and ``as_of``, plus two days (bounds from one aggregate each)."""
+    o = _t(spark, root, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"))
+    li = _t(spark, root, "lineitem").agg(F.max(F.to_date("l_shipdate")).alias("ship_hi"))
+    today = F.lit(as_of).cast("date")
+    b = o.unionByName(li, allowMissingColumns=True).agg(
+        F.min("lo").alias("lo"), F.date_add(F.greatest(F.max("ship_hi"), today), 2).alias("hi"))
+    return calendar(b, "lo", "hi")
+
+
+def ship_weeks(spark: SparkSession, root: str) -> DataFrame:
+    """Week dimension of the Mondays of ship dates."""
+    li = _t(spark, root, "lineitem").select(F.to_date(F.date_trunc("week", "l_shipdate")).alias("wk"))
+    return week_dimension(li, "wk")
+
+
+def event_text_casts(spark: SparkSession, root: str) -> DataFrame:
+    """Event values and times written as text, read back with the
+    warehouse's safe casts (rounding, exponent text, partial dates)."""
+    ev = _t(spark, root, "events")
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    txt = F.concat(F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
+                   F.lpad((cents % 100).cast("string"), 2, "0"))
+    return ev.select(
+        "event_id",
+        safe_long(txt).alias("value_long"),
+        safe_int(F.concat(txt, F.lit("e1"))).alias("value_x10"),
+        safe_double(json_text("props", "$.k")).alias("k_double"),
+        safe_date(F.date_format("ts", "yyyy-M-d")).alias("day"),
+        safe_date(F.date_format("ts", "yyyy-MM")).alias("month_only"),
+        yyyymmdd_to_date(F.date_format("ts", "yyyyMMddHH")).alias("view_day"),
+    )
+
+
+def freshest_order_event(spark: SparkSession, root: str) -> DataFrame:
+    """Per order: the fresher of its order time and its customer's latest
+    event (missing counts as the epoch)."""
+    o = _t(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    last = (_t(spark, root, "events").groupBy(F.col("user_id").alias("o_custkey"))
+            .agg(F.max("ts").alias("last_event")))
+    j = o.join(last, "o_custkey", "left")
+    return j.select("o_orderkey", freshest("o_orderdate", "last_event").alias("freshest_at"))
+
+
 GENERIC_QUERIES = {
     "generic_events_trailing_7d": events_trailing_7d,
     "generic_orders_best_per_customer": orders_best_per_customer,
@@ -98,4 +147,8 @@ GENERIC_QUERIES = {
     "generic_part_key_consolidation": part_key_consolidation,
     "generic_orders_customer_first_key": orders_customer_first_key,
     "generic_events_json_scalars": events_json_scalars,
+    "generic_order_calendar": order_calendar,
+    "generic_ship_weeks": ship_weeks,
+    "generic_event_text_casts": event_text_casts,
+    "generic_freshest_order_event": freshest_order_event,
 }
