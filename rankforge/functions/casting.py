@@ -48,17 +48,23 @@ def safe_double(c) -> Column:
     return F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", "")).try_cast("double")
 
 
+# Fixed value: the date text forms the warehouse's date cast accepts - a 1-4
+# digit year, month and day joined by one repeated separator (- / or \),
+# optionally followed by blanks or by a time of day after a space or "T".
+_DATE_TEXT = r"^\s*(\d{1,4})([-/\\])(\d{1,2})\2(\d{1,2})(\s*|[ T]\d{1,2}:\d{2}.*)$"
+
+
 def safe_date(c) -> Column:
     """Text -> date, requiring year, month and day.
 
-    Year-only (``'2021'``) and year-month (``'2021-05'``) text give NULL;
-    one-digit parts, ``/`` separators and leading blanks are accepted.
+    Year-only (``'2021'``) and year-month (``'2021-05'``) text give NULL, as
+    do mixed separators and impossible days; one-digit parts, short years,
+    ``/`` separators, surrounding blanks and a trailing time are accepted.
     """
     c = as_col(c)
-    return F.when(
-        c.rlike(r"^\s*\d{4}[-/]\d{1,2}[-/]\d{1,2}"),
-        F.translate(c, "/", "-").try_cast("date"),
-    )
+    part = lambda i: F.regexp_extract(c, _DATE_TEXT, i)
+    iso = F.concat(F.lpad(part(1), 4, "0"), F.lit("-"), part(3), F.lit("-"), part(4))
+    return F.when(c.rlike(_DATE_TEXT), iso.try_cast("date"))
 
 
 def decimal_to_text(c) -> Column:

@@ -104,3 +104,51 @@ def test_json_fields(spark, con):
                         "v->>'$.categories[0]' from (select ?::varchar as v)", [d]).fetchone()
             for d in JSON_DOCS]
     assert got == want
+
+
+MORE_DATES = ["1-1-1", "21-1-1", "021-1-1", "2021-001-01", "2021-01-001", "2021-01-01 x", "2021-01-01T",
+              "2021-01-01 10", "2021-01-01 10:00:00 x", "2021-01-01BC", "2021 -01-01", "2021- 01-01",
+              "2021-01-01\t", "2021-01-01\n", "2021/01/01 10:00", "2021\\01\\01", "2021-02-29",
+              "2000-02-29", "2021-01-01+01", "2021/01-1", "2021-1/1"]
+
+
+def test_t2_date_corners(spark, con):
+    assert spark_values(spark, MORE_DATES, RF.safe_date) == duck_values(con, MORE_DATES, "try_cast(? as date)")
+
+
+def _fuzz_values():
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    out = {"num": [], "date": []}
+    num = st.text(alphabet="0123456789+-._eExXbB ", max_size=12)
+    date = st.builds(lambda y, a, m, b, d, t: f"{y}{a}{m}{b}{d}{t}",
+                     st.sampled_from(["2021", "21", "0021", " 2021", "2021 "]),
+                     st.sampled_from(["-", "/", ".", ""]), st.sampled_from(["1", "01", "12", "13", "00", ""]),
+                     st.sampled_from(["-", "/", ""]), st.sampled_from(["1", "06", "29", "30", "31", "32", ""]),
+                     st.sampled_from(["", " ", "T10:00", " 10:00:00", "x"]))
+    cfg = settings(max_examples=250, derandomize=True, database=None, suppress_health_check=list(HealthCheck))
+
+    @cfg
+    @given(num)
+    def a(s):
+        out["num"].append(s)
+
+    @cfg
+    @given(date)
+    def b(s):
+        out["date"].append(s)
+
+    a()
+    b()
+    return sorted(set(out["num"])), sorted(set(out["date"]))
+
+
+def test_fuzzed_casts_match_duckdb(spark, con):
+    nums, dates = _fuzz_values()
+    assert spark_values(spark, nums, RF.safe_long) == duck_values(con, nums, "try_cast(? as bigint)")
+    assert spark_values(spark, nums, RF.safe_int) == duck_values(con, nums, "try_cast(? as integer)")
+    nan_safe = lambda xs: ["nan" if x != x else x for x in xs]
+    assert nan_safe(spark_values(spark, nums, RF.safe_double)) == nan_safe(
+        duck_values(con, nums, "try_cast(? as double)"))
+    assert spark_values(spark, dates, RF.safe_date) == duck_values(con, dates, "try_cast(? as date)")
