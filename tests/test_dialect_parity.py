@@ -22,7 +22,7 @@ INTS = ["4.5", "-2.5", "1e3", "12", " 12 ", "0", "-0", "3.49", "2.5000", "922337
         "1.5e2", ".5", "5.", "-.5", "0x7FFFFFFFFFFFFFFF", "0x8000000000000000", "0xFFFFFFFFFFFFFFFF",
         "1e1_0", "1.0_5", "1e19", "inf", "nan", "+5", "  -7"]
 
-SPACES = [" x ", " x ", "\tx\t", "\nx", "x ", "　x", "  ", "", "a b", None]
+XX
 
 STAMPS = ["2024022900", "2024023000", "abc", "20240101", "2024010112", "202401", "2024-01-01", None]
 
