@@ -22,7 +22,10 @@ INTS = ["4.5", "-2.5", "1e3", "12", " 12 ", "0", "-0", "3.49", "2.5000", "922337
         "1.5e2", ".5", "5.", "-.5", "0x7FFFFFFFFFFFFFFF", "0x8000000000000000", "0xFFFFFFFFFFFFFFFF",
         "1e1_0", "1.0_5", "1e19", "inf", "nan", "+5", "  -7"]
 
-XX
+SPACES_BASE = [" x ", "\u00a0x\u00a0", "\tx\t", "\nx", "x ", "\u3000x", "  ", "", "a b", None]
+_WS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C),
+       0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
+SPACES = SPACES_BASE + [chr(c) + "x" + chr(c) for c in _WS]
 
 STAMPS = ["2024022900", "2024023000", "abc", "20240101", "2024010112", "202401", "2024-01-01", None]
 
