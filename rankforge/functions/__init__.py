@@ -9,6 +9,6 @@ from rankforge.functions.json import (  # noqa: F401
 )
 from rankforge.functions.keys import md5_key  # noqa: F401
 from rankforge.functions.text import (  # noqa: F401
-    blank_to_null, clean_isbn_text, collapse_spaces, normalize_name, strip_chars,
+    blank_to_null, clean_isbn_text, collapse_spaces, normalize_name, simple_lower, strip_chars,
     strip_decimal_suffix, trimmed_or_null, zs_trim,
 )

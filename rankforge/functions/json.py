@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rankforge.functions._col import as_col
-from rankforge.functions.text import strip_chars
+from rankforge.functions.text import simple_lower, strip_chars
 
 
 def json_text(doc, path: str) -> Column:
@@ -53,4 +53,4 @@ def json_array_contains(doc, field: str, match: dict) -> Column:
 
 def json_flag_true(doc, path: str) -> Column:
     """1 when the value at ``path`` reads ``true`` (case-insensitive), else 0."""
-    return F.when(F.lower(F.coalesce(json_text(doc, path), F.lit("false"))) == "true", 1).otherwise(0)
+    return F.when(simple_lower(F.coalesce(json_text(doc, path), F.lit("false"))) == "true", 1).otherwise(0)

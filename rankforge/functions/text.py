@@ -11,6 +11,11 @@ from rankforge.functions._col import as_col
 # trimming strips Unicode space separators (category Zs, e.g. U+0020 and
 # U+00A0) at both ends, but not tab or newline.
 _EDGE_SPACES = r"^\p{Zs}+|\p{Zs}+$"
+# Lower-casing is one code point to one code point: the two letters whose
+# Java lower case is context-dependent or longer - capital I with dot above
+# and capital sigma - are mapped to their simple lower case first.
+_SIMPLE_LOWER_FROM = "\u0130\u03a3"
+_SIMPLE_LOWER_TO = "i\u03c3"
 
 
 def zs_trim(c) -> Column:
@@ -29,6 +34,11 @@ def trimmed_or_null(c) -> Column:
     return F.nullif(zs_trim(c), F.lit(""))
 
 
+def simple_lower(c) -> Column:
+    """Lower case, one code point at a time (no final-sigma or dotted-I rules)."""
+    return F.lower(F.translate(as_col(c), _SIMPLE_LOWER_FROM, _SIMPLE_LOWER_TO))
+
+
 def collapse_spaces(c) -> Column:
     """Collapse every whitespace run to a single space."""
     return F.regexp_replace(as_col(c), r"\s+", " ")
@@ -46,7 +56,7 @@ def normalize_name(c, collapse_ws: bool = False) -> Column:
     reference behaviour, whose collapsing pattern never matches ordinary
     text). ``collapse_ws=True`` collapses them to one space.
     """
-    out = zs_trim(F.lower(as_col(c)))
+    out = zs_trim(simple_lower(c))
     return collapse_spaces(out) if collapse_ws else out
 
 

@@ -155,3 +155,11 @@ def test_fuzzed_casts_match_duckdb(spark, con):
     assert nan_safe(spark_values(spark, nums, RF.safe_double)) == nan_safe(
         duck_values(con, nums, "try_cast(? as double)"))
     assert spark_values(spark, dates, RF.safe_date) == duck_values(con, dates, "try_cast(? as date)")
+
+
+NAMES = ["İstanbul", "ẞTRASSE", "ΣΟΦΟΣ", "ÅNGSTRÖM", "Ǆ", "ǅ", "Ꭰ", "ΐ", "K", "Ω", "ÉCOLE",
+         "ДОСТОЕВСКИЙ", "ŁÓDŹ", "ǱǲǳḞ", "ℌ", "Ⅻ", "Ⓐ", "𐐀", "Ana María  NÚÑEZ", " ΣΑΣ "]
+
+
+def test_name_normalisation(spark, con):
+    assert spark_values(spark, NAMES, RF.normalize_name) == duck_values(con, NAMES, "trim(lower(?))")
