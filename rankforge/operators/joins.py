@@ -9,6 +9,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Frames persisted by bounded_broadcast, so a caller can release them.
+PERSISTED: list[DataFrame] = []
+
 # Largest row count a side may have to be broadcast. The sides that use this
 # are narrow (a few short columns), so this bounds the broadcast to tens of MB.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -27,11 +30,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
+        PERSISTED.append(df)
         return F.broadcast(df), True
     df.unpersist()
     return df, False
 
 
+def release_broadcast_sides() -> None:
+    """Unpersist every side persisted by :func:`bounded_broadcast`."""
+    while PERSISTED:
+        PERSISTED.pop().unpersist()
+
+
 def join_first_available(left: DataFrame, right: DataFrame,
                          pairs: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:
     """Join each left row on the first of its keys that is not NULL.

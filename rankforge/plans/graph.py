@@ -112,15 +112,26 @@ class ModelGraph:
         self.collapse_ws = collapse_ws
         self.reuse_shared = reuse_shared
         self._override: dict[str, DataFrame] = {}
+        self._persisted: list[DataFrame] = []
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._override:
             return self._override[name]
         df = getattr(self, name)
-        if self.reuse_shared and name in SHARED_MODELS:
+        if self.reuse_shared and name in SHARED_MODELS and not df.is_cached:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(df)
         return df
 
+    def release(self) -> None:
+        """Unpersist the shared models and the size-checked broadcast sides
+        (for long-lived sessions running many graphs)."""
+        from rankforge.operators.joins import release_broadcast_sides
+
+        while self._persisted:
+            self._persisted.pop().unpersist()
+        release_broadcast_sides()
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Swap a model for its materialised copy (used by ``build``)."""
         self._override[name] = df

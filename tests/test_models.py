@@ -226,3 +226,12 @@ def test_t6_null_author_list(spark, graph):
     dflt = [r.author_name_norm for r in I.author_parse(keys, best, lst).collect()]
     parity = [r.author_name_norm for r in I.author_parse(keys, best, lst, null_authors_as_text=True).collect()]
     assert dflt == ["b writer"] and parity == ["null"]
+
+
+def test_release_unpersists(spark, graph):
+    g = ModelGraph(graph.raw, as_of="2024-03-01")
+    g["weekly_scorecard"].count()
+    keys = g["book_keys"]
+    assert keys.is_cached
+    g.release()
+    assert not keys.is_cached and not g._persisted
