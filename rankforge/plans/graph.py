@@ -171,6 +171,8 @@ class ModelGraph:
 
     @cached_property
     def book_keys(self):
+        # Reads the persisted best volumes (shared with three other models)
+        # rather than re-scanning the staged catalogue for its ISBN set.
         return I.book_keys(self._m("stg_ranked_list"), self._m("best_volume_search"),
                            self.strip_decimal)
 

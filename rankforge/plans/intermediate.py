@@ -52,6 +52,10 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
 def book_keys(stg_list: DataFrame, best_search: DataFrame, strip_decimal: bool = False) -> DataFrame:
     """One row per book natural key (ISBN, else list URI) with an MD5 key.
 
+    ``best_search`` only contributes its set of ISBNs, so the staged
+    catalogue can be passed instead: the best-volume step keeps exactly one
+    row per non-NULL staged ISBN, and the consolidation groups repeats, so
+    the keys are the same - without parsing any JSON or ranking volumes.
     Output: ``book_key, book_nk, isbn13_clean, book_uri``.
     """
     from_list = stg_list.select(

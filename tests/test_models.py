@@ -235,3 +235,11 @@ def test_release_unpersists(spark, graph):
     assert keys.is_cached
     g.release()
     assert not keys.is_cached and not g._persisted
+
+
+def test_book_keys_from_staged_isbns_equal_best_volume_isbns(graph):
+    from rankforge.plans import intermediate as I
+
+    a = sorted(tuple(r) for r in I.book_keys(graph["stg_ranked_list"], graph["best_volume_search"]).collect())
+    b = sorted(tuple(r) for r in I.book_keys(graph["stg_ranked_list"], graph["stg_volumes_search"]).collect())
+    assert a == b
