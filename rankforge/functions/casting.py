@@ -16,14 +16,37 @@ _HEX = r"^0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*$"
 _BIN = r"^0[bB][01]+(_[01]+)*$"
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _safe_long_sql(x: str) -> str:
+    """:func:`safe_long` as one SQL expression over the column reference ``x``."""
+    txt = f"CASE WHEN NOT (CAST({x} AS STRING) RLIKE '{_BAD_UNDERSCORE}') " \
+          f"THEN regexp_replace(CAST({x} AS STRING), '_', '') END"
+
+    def radix(pattern: str, base: int) -> str:
+        digits = f"regexp_replace(substring(CAST({x} AS STRING), 3, 1048576), '_', '')"
+        return (f"CASE WHEN CAST({x} AS STRING) RLIKE '{pattern}' THEN "
+                f"try_cast(try_cast(conv({digits}, {base}, 10) AS DECIMAL(38,0)) AS BIGINT) END")
+
+    dec = (f"coalesce(try_cast({txt} AS BIGINT), "
+           f"try_cast(round(try_cast({txt} AS DECIMAL(38,9)), 0) AS BIGINT))")
+    return f"coalesce({radix(_HEX, 16)}, {radix(_BIN, 2)}, {dec})"
+
+
 def safe_long(c) -> Column:
     """Text/number -> bigint, NULL when impossible.
 
     Fractional text rounds half away from zero (``'4.5'`` -> 5,
     ``'-2.5'`` -> -3), exponent text is accepted (``'1e3'`` -> 1000),
     underscores between digits are ignored (``'1_000'``), ``0x``/``0b``
-    literals are read in base 16/2, and overflow gives NULL.
+    literals are read in base 16/2, and overflow gives NULL. A column name
+    is turned into one SQL expression (a single call to the JVM); a Column
+    is built up expression by expression.
     """
+    if isinstance(c, str):
+        return F.expr(_safe_long_sql(_quoted(c)))
     c = as_col(c).cast("string")
     txt = F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", ""))
     dec = F.coalesce(txt.try_cast("bigint"),
@@ -44,6 +67,10 @@ def safe_int(c) -> Column:
 def safe_double(c) -> Column:
     """Text/number -> double, NULL when impossible (underscores between
     digits ignored; ``inf``/``nan`` spellings accepted)."""
+    if isinstance(c, str):
+        x = f"CAST({_quoted(c)} AS STRING)"
+        return F.expr(f"try_cast(CASE WHEN NOT ({x} RLIKE '{_BAD_UNDERSCORE}') "
+                      f"THEN regexp_replace({x}, '_', '') END AS DOUBLE)")
     c = as_col(c).cast("string")
     return F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", "")).try_cast("double")
 

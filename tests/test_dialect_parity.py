@@ -36,8 +36,13 @@ def con():
 
 
 def spark_values(spark, values, fn):
+    """``fn`` applied to a Column and to a column name; both must agree."""
     df = spark.createDataFrame([(v,) for v in values], "x string")
-    return [r[0] for r in df.select(fn(F.col("x"))).collect()]
+    rows = df.select(fn(F.col("x")).alias("a"), fn("x").alias("b")).collect()
+    a = [r.a for r in rows]
+    b = [r.b for r in rows]
+    assert [("nan" if x != x else x) for x in a] == [("nan" if x != x else x) for x in b]
+    return a
 
 
 def duck_values(con, values, expr):
@@ -63,7 +68,8 @@ def test_t4_trim(spark, con):
 def test_t5_decimal_to_text(spark, con):
     vals = ["9780000000001.500000000", "9780000000001.499999999", "9780000000001.000000000",
             "-1.500000000", None]
-    got = spark_values(spark, vals, lambda c: RF.decimal_to_text(c.cast("decimal(38,9)")))
+    got = spark_values(spark, vals,
+                       lambda c: RF.decimal_to_text((F.col(c) if isinstance(c, str) else c).cast("decimal(38,9)")))
     want = duck_values(con, vals, "cast(cast(cast(? as decimal(38,9)) as bigint) as varchar)")
     assert got == want
 
