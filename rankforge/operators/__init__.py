@@ -10,6 +10,6 @@ from rankforge.operators.reports import (  # noqa: F401
     movers_down, movers_up, new_entries, top_k_for, weekly_kpi,
 )
 from rankforge.operators.topn import (  # noqa: F401
-    asc, best_per_key, desc, number_in_group, top_k_per_group,
+    asc, best_per_key, desc, latest_per_key, number_in_group, top_k_per_group,
 )
 from rankforge.operators.windows import trailing_window_sum  # noqa: F401

@@ -47,6 +47,12 @@ def best_per_key(df: DataFrame, keys: Sequence, order: Sequence[Column]) -> Data
     return top_k_per_group(df, keys, order, 1)
 
 
+def latest_per_key(df: DataFrame, keys: Sequence, ts, tiebreak: Sequence[Column] = ()) -> DataFrame:
+    """One row per key: the latest by ``ts`` (NULL times last), then
+    ``tiebreak`` - the "latest extraction wins" rule of append-only data."""
+    return best_per_key(df, keys, [desc(ts), *tiebreak])
+
+
 def number_in_group(df: DataFrame, keys: Sequence, order: Sequence[Column],
                     out: str = "n", first_flag: str | None = None) -> DataFrame:
     """Number rows 1..n inside each group (bigint); optionally flag row 1."""

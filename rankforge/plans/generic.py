@@ -21,7 +21,7 @@ from rankforge.operators.calendar import calendar, week_dimension
 from rankforge.operators.joins import join_first_available
 from rankforge.operators.keys import consolidate_keys
 from rankforge.operators.names import explode_names
-from rankforge.operators.topn import asc, best_per_key, desc, number_in_group
+from rankforge.operators.topn import asc, best_per_key, desc, latest_per_key, number_in_group
 from rankforge.operators.windows import trailing_window_sum
 
 
@@ -51,7 +51,7 @@ def events_latest_per_user_day(spark: SparkSession, root: str) -> DataFrame:
     """The latest event per (user, day); event id breaks ties."""
     ev = _t(spark, root, "events").select("user_id", "event_id", "ts", "event_type",
                                           F.to_date("ts").alias("day"))
-    return best_per_key(ev, ["user_id", "day"], [desc("ts"), asc("event_id")])
+    return latest_per_key(ev, ["user_id", "day"], "ts", [asc("event_id")])
 
 
 def part_name_pieces(spark: SparkSession, root: str) -> DataFrame:

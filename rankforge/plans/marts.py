@@ -15,7 +15,7 @@ from rankforge.plans.intermediate import with_article_author_key
 from rankforge.operators.calendar import calendar, week_dimension
 from rankforge.operators.joins import bounded_broadcast, join_first_available
 from rankforge.operators.ranking import rank_change_columns
-from rankforge.operators.topn import asc, best_per_key, desc
+from rankforge.operators.topn import asc, best_per_key, desc, latest_per_key
 from rankforge.operators.windows import trailing_window_sum
 
 # ---------------------------------------------------------------- dimensions
@@ -59,8 +59,8 @@ def latest_list_row(stg_list: DataFrame, strip_decimal: bool = False) -> DataFra
         F.col("extracted_at").alias("nyt_extracted_at"))
     nk = F.coalesce(F.nullif("nyt_isbn", F.lit("")), F.nullif("nyt_uri", F.lit("")))
     # Tie-breakers after the two listed keys make the winner deterministic.
-    return best_per_key(nyt, [nk], [desc("nyt_extracted_at"), desc("published_date"),
-                                    asc("nyt_isbn"), asc("nyt_uri"), asc("title_nyt")])
+    return latest_per_key(nyt, [nk], "nyt_extracted_at",
+                          [desc("published_date"), asc("nyt_isbn"), asc("nyt_uri"), asc("title_nyt")])
 
 
 def dim_book(keys: DataFrame, best_isbn: DataFrame, best_search: DataFrame,
@@ -171,7 +171,7 @@ def fct_weekly_rank(stg_list: DataFrame, keys: DataFrame, strip_decimal: bool =
     src = (src.where(F.col("week_date").isNotNull() & nk.isNotNull())
               .withColumn("__nk", nk).withColumn("week_key", date_key("week_date")))
     j = src.join(keys.select("book_key", F.col("book_nk").alias("__nk")), "__nk", "inner")
-    best = best_per_key(j, ["book_key", "week_key"], [desc("extracted_at"), asc("rank")])
+    best = latest_per_key(j, ["book_key", "week_key"], "extracted_at", [asc("rank")])
     return best.select("book_key", "week_key", "rank", "rank_last_week", "weeks_on_list",
                        "rank_delta", "is_new", "extracted_at")
 
@@ -183,8 +183,7 @@ def fct_catalogue_snapshot(best_search: DataFrame, keys: DataFrame) -> DataFrame
                       .where(F.col("__day").isNotNull())
                       .withColumn("snapshot_date_key", date_key("__day")))
     j = src.join(keys.select("book_key", "isbn13_clean"), "isbn13_clean", "inner")
-    best = best_per_key(j, ["book_key", "snapshot_date_key"],
-                        [desc("extracted_at"), asc("gbooks_id")])
+    best = latest_per_key(j, ["book_key", "snapshot_date_key"], "extracted_at", [asc("gbooks_id")])
     return best.select("book_key", "snapshot_date_key", "average_rating", "ratings_count",
                        "gbooks_id", "gbooks_selflink", "extracted_at")
 
