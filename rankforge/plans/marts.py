@@ -272,8 +272,9 @@ def weekly_scorecard(ranks: DataFrame, weeks: DataFrame, books: DataFrame,
     """
     if book_views is None:
         book_views = listed_book_views(ranks, bridge, author_views)
+    # Both sides of the week join are list-sized, so no forced broadcast (and
+    # no size-check job): AQE picks the strategy from runtime sizes.
     wk = weeks.select("week_key", F.col("week_date").alias("published_date"))
-    wk, _ = bounded_broadcast(wk)
     b = books.select("book_key", F.col("isbn13_clean").alias("isbn13"), "title", "publisher",
                      "language", "category_1", "average_rating", "ratings_count", "gbooks_id",
                      "gbooks_selflink", "amazon_product_url", "book_image",
