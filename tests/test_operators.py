@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rankforge.operators import (
@@ -150,3 +152,39 @@ def test_reports(spark):
 def test_compound_unique_ignores_all_null_rows(spark):
     df = spark.createDataFrame([(None, None), (None, None), (1, None), (1, None), (2, 3)], "a int, b int")
     assert rows(Q.check_compound_unique(df, ["a", "b"])) == [(1, None, 2)]
+
+
+@pytest.mark.parametrize("seed,days", [(1, 1), (2, 3), (5, 10)])
+def test_trailing_window_any_length(spark, seed, days):
+    rnd = random.Random(seed)
+    base = dt.date(2024, 1, 1)
+    facts = [(rnd.choice("ab"), base + dt.timedelta(days=rnd.randint(0, 30)), rnd.randint(0, 9))
+             for _ in range(120)]
+    anchors = sorted({base + dt.timedelta(days=rnd.randint(0, 35)) for _ in range(8)})
+    fdf = spark.createDataFrame(facts, "g string, d date, v long")
+    adf = spark.createDataFrame([(a,) for a in anchors], "a date")
+    got = rows(trailing_window_sum(fdf, adf, "d", "a", ["g"], "v", days=days, out="s"), ["a", "g", "s"])
+    want = {}
+    for g, d, v in facts:
+        for a in anchors:
+            if a - dt.timedelta(days=days - 1) <= d <= a:
+                want[(a, g)] = want.get((a, g), 0) + v
+    assert got == sorted((a, g, s) for (a, g), s in want.items())
+
+
+def test_join_first_available_three_keys(spark):
+    rnd = random.Random(9)
+    pick = lambda xs: rnd.choice(xs)
+    left = [(i, pick([None, "a", "b"]), pick([None, 1, 2]), pick([None, "x", "y"])) for i in range(80)]
+    right = [(pick([None, "a", "c"]), pick([None, 1, 3]), pick([None, "x"]), j) for j in range(30)]
+    L = spark.createDataFrame(left, "id int, k1 string, k2 int, k3 string")
+    Rr = spark.createDataFrame(right, "r1 string, r2 int, r3 string, val int")
+    got = rows(join_first_available(L, Rr, [("k1", "r1"), ("k2", "r2"), ("k3", "r3")]), ["id", "val"])
+    want = []
+    for i, k1, k2, k3 in left:
+        keys = [k1, k2, k3]
+        first = next((n for n, k in enumerate(keys) if k is not None), None)
+        m = [] if first is None else [v for r in right for v in [r[3]] if r[first] == keys[first]]
+        want += [(i, v) for v in m] or [(i, None)]
+    key = lambda t: (t[0], -1 if t[1] is None else t[1])
+    assert sorted(got, key=key) == sorted(want, key=key)
