@@ -69,3 +69,13 @@ def test_cli_build_and_export(spark, tmp_dir):
     main(["export", "--marts", marts, "--csv", out2, "--single-file",
           "--sql", "select published_date, count(*) as n from weekly_scorecard group by 1"])
     assert len(open(glob.glob(os.path.join(out2, "*.csv"))[0]).read().splitlines()) > 300
+
+
+def test_partitioned_table_writes_few_files_per_value(spark, tmp_dir):
+    import glob
+
+    df = spark.range(0, 4000).selectExpr("id", "cast(id % 4 as string) as part").repartition(16)
+    as_table(df, os.path.join(tmp_dir, "pt"), partition_by=["part"])
+    for v in "0123":
+        files = glob.glob(os.path.join(tmp_dir, "pt", f"part={v}", "*.parquet"))
+        assert 1 <= len(files) <= 2
