@@ -169,3 +169,23 @@ NAMES = ["İstanbul", "ẞTRASSE", "ΣΟΦΟΣ", "ÅNGSTRÖM", "Ǆ", "ǅ", "Ꭰ"
 
 def test_name_normalisation(spark, con):
     assert spark_values(spark, NAMES, RF.normalize_name) == duck_values(con, NAMES, "trim(lower(?))")
+
+
+BYLINES = ["A & B AND C and D", "A And B", "King, Jr.", "A and  B", "A andB", "A,,B", ",A,", "and A",
+           "A and", " & ", "A & B & C", "Ana María, NÚÑEZ and Zoë", "A and B", "A\tand B",
+           "A AND B and C & D, E", "x , y", "ΣΑΣ and Ω", "", "   "]
+
+
+def test_byline_splitting(spark, con):
+    """explode_names against the warehouse's replace/split/unnest/trim chain."""
+    from rankforge.operators.names import explode_names
+
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(BYLINES)], "id int, t string")
+    got = sorted((r.id, r.name_raw, r.name_norm) for r in explode_names(df, "t", keep=["id"]).collect())
+    want = sorted(con.execute("""
+        select id, trim(p), trim(lower(p))
+        from (select id, unnest(string_split(replace(replace(replace(t, ' & ', ' and '), ' AND ', ' and '),
+                                                     ' and ', ','), ',')) as p
+              from (select unnest(?::varchar[]) as t, generate_subscripts(?::varchar[], 1) - 1 as id))
+        where trim(p) <> ''""", [BYLINES, BYLINES]).fetchall())
+    assert got == want
