@@ -134,11 +134,11 @@ def dim_date(stg_views: DataFrame, stg_list: DataFrame, snapshot: DataFrame,
 def bridge_book_author(parsed: DataFrame, authors: DataFrame | None = None) -> DataFrame:
     """One row per (book, author); keeps the primary flag, else the lowest order.
 
-    With ``authors`` (the author dimension) names are resolved by a join.
-    Without it the key is derived directly: the dimension holds exactly one
-    row for every parsed name, keyed by the MD5 of the name, so the join
-    only ever returns that key - the same rows without scanning the
-    dimension's sources.
+    With ``authors`` (the author dimension) names are resolved by a join and
+    the preferred row is picked by a window. Without it the key is derived
+    directly: the dimension holds exactly one row for every parsed name,
+    keyed by the MD5 of the name, so the join only ever returns that key -
+    the same rows without scanning the dimension's sources.
     """
     links = parsed.where(F.col("book_key").isNotNull() & F.col("author_name_norm").isNotNull())
     links = links.select("book_key", "author_name_norm", "author_order", "is_primary")
@@ -148,8 +148,13 @@ def bridge_book_author(parsed: DataFrame, authors: DataFrame | None = None) -> D
         return build_bridge(links, authors.select("author_key", "author_name_norm"),
                             on="author_name_norm", keys=["book_key", "author_key"],
                             order=order, cols=cols)
+    # The preferred row per (book, author) is (lowest order, primary flag if
+    # any): a primary row always has order 1, the book's lowest. So it is a
+    # plain grouped min/max - partial aggregation map-side, no sort.
     keyed = links.withColumn("author_key", md5_key("author_name_norm"))
-    return best_per_key(keyed, ["book_key", "author_key"], order).select(*cols)
+    return (keyed.groupBy("book_key", "author_key")
+                 .agg(F.min("author_order").alias("author_order"), F.max("is_primary").alias("is_primary"))
+                 .select(*cols))
 
 
 # ---------------------------------------------------------------- facts
