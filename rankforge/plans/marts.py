@@ -14,7 +14,7 @@ from rankforge.operators.bridge import build_bridge, rollup_over_bridge
 from rankforge.operators.calendar import calendar, week_dimension
 from rankforge.operators.joins import bounded_broadcast, join_first_available
 from rankforge.operators.ranking import rank_change_columns
-from rankforge.operators.topn import asc, best_per_key, desc, latest_per_key
+from rankforge.operators.topn import asc, desc, latest_per_key
 from rankforge.operators.windows import trailing_window_sum
 from rankforge.plans.intermediate import with_article_author_key
 
@@ -34,19 +34,19 @@ def dim_author(parsed: DataFrame, wiki_map: DataFrame) -> DataFrame:
     wiki = (wiki_map.where(F.col("author_name_norm").isNotNull())
                     .select("author_name_norm", F.lit(None).cast("string").alias("author_name_raw"),
                             "wiki_article"))
-    # Identical candidate rows cannot change the winner: drop them map-side
-    # first, so a much-repeated name does not reach the window whole.
-    cand = books.unionByName(wiki).distinct()
-    has_wiki = F.col("wiki_article").isNotNull().cast("int")
-    has_raw = F.col("author_name_raw").isNotNull().cast("int")
-    best = best_per_key(cand, ["author_name_norm"], [
-        desc(has_wiki), desc(has_raw),
-        desc(F.length(F.coalesce("author_name_raw", F.lit("")))),
-        desc(F.coalesce("wiki_article", F.lit(""))),
-        desc(F.coalesce("author_name_raw", F.lit(""))),
-    ])
+    # Book rows never carry an article and article rows never carry a raw
+    # name, so the preferred row is: the greatest article if the name has
+    # one, else the raw name with the greatest (length, text). That is one
+    # grouped max per name - partial aggregation map-side, no sort - and the
+    # same row the ordered preference picks.
+    raw = F.col("author_name_raw")
+    best = (books.unionByName(wiki).groupBy("author_name_norm").agg(
+        F.max("wiki_article").alias("wiki_article"),
+        F.max(F.when(raw.isNotNull(), F.struct(F.length(raw).alias("n"), raw.alias("raw"))))
+         .alias("__raw")))
     return best.select(md5_key("author_name_norm").alias("author_key"), "author_name_norm",
-                       "author_name_raw", "wiki_article",
+                       F.when(F.col("wiki_article").isNull(), F.col("__raw.raw")).alias("author_name_raw"),
+                       "wiki_article",
                        F.col("wiki_article").isNotNull().alias("is_wiki_resolved"))
 
 

@@ -243,3 +243,26 @@ def test_book_keys_from_staged_isbns_equal_best_volume_isbns(graph):
     a = sorted(tuple(r) for r in I.book_keys(graph["stg_ranked_list"], graph["best_volume_search"]).collect())
     b = sorted(tuple(r) for r in I.book_keys(graph["stg_ranked_list"], graph["stg_volumes_search"]).collect())
     assert a == b
+
+
+def test_dim_author_preference_matches_ordered_rule(spark):
+    """Grouped dim_author equals the ordered preference (brute force)."""
+    from rankforge.plans import marts as M
+
+    parsed = [("b1", "Eve Writer", "eve writer"), ("b2", "EVE WRITER", "eve writer"), ("b3", "Eve  Writer", "eve writer"),
+              ("b1", "Al", "al"), ("b2", "Al B", "al"), ("b4", "Zed", "zed")]
+    wiki = [("k", "Zed_B", "zed"), ("k", "Zed_A", "zed"), ("k", "Nob", "nob")]
+    p = spark.createDataFrame(parsed, "book_key string, author_name_raw string, author_name_norm string")
+    w = spark.createDataFrame(wiki, "author_key string, wiki_article string, author_name_norm string")
+    got = {r.author_name_norm: (r.author_name_raw, r.wiki_article) for r in M.dim_author(p, w).collect()}
+    cands = [(n, r, None) for _, r, n in parsed] + [(n, None, a) for _, a, n in wiki]
+
+    def pref(c):
+        n, r, a = c
+        return (a is not None, r is not None, len(r or ""), (a or "").encode(), (r or "").encode())
+
+    want = {}
+    for c in cands:
+        if c[0] not in want or pref(c) > pref(want[c[0]]):
+            want[c[0]] = c
+    assert got == {n: (c[1], c[2]) for n, c in want.items()}
