@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.joins import bounded_broadcast
+from rankforge.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
 from rankforge.operators.topn import best_per_key
 
 
@@ -23,7 +23,8 @@ def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
 
 
 def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
-                       group_keys: Sequence[str], measure: str, out: str | None = None) -> DataFrame:
+                       group_keys: Sequence[str], measure: str, out: str | None = None,
+                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Sum a per-(link, ...) measure to (``group_keys``) through a bridge.
 
     ``facts`` should already be aggregated to one row per link key and
@@ -35,7 +36,7 @@ def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
     otherwise expand in a single task). Otherwise both sides shuffle on the
     link key and AQE splits skewed link keys.
     """
-    b, small = bounded_broadcast(bridge)
+    b, small = bounded_broadcast(bridge, max_broadcast_rows)
     if small:
         n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         facts = facts.repartition(n)

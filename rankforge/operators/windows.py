@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.joins import bounded_broadcast
+from rankforge.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
 
 
 def expand_anchors(anchors: DataFrame, anchor_date: str, days: int, out: str = "date_day") -> DataFrame:
@@ -21,7 +21,8 @@ def expand_anchors(anchors: DataFrame, anchor_date: str, days: int, out: str = "
 
 def trailing_window_sum(facts: DataFrame, anchors: DataFrame, fact_date: str, anchor_date: str,
                         group_keys: Sequence[str], measure: str, days: int = 7,
-                        out: str = "value_nd", anchor_cols: Sequence[str] | None = None) -> DataFrame:
+                        out: str = "value_nd", anchor_cols: Sequence[str] | None = None,
+                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Sum ``measure`` per (anchor, ``group_keys``) over the ``days`` days
     ending on each anchor date, both ends inclusive.
 
@@ -42,7 +43,7 @@ def trailing_window_sum(facts: DataFrame, anchors: DataFrame, fact_date: str, an
     daily = (facts.groupBy(*group_keys, F.col(fact_date).alias("__day"))
                   .agg(F.sum(measure).alias("__v")))
     exp = expand_anchors(anchors.select(*anchor_cols), anchor_date, days, out="__day")
-    exp, _ = bounded_broadcast(exp)
+    exp, _ = bounded_broadcast(exp, max_broadcast_rows)
     joined = daily.join(exp, "__day", "inner")
     return (joined.groupBy(*anchor_cols, *group_keys)
                   .agg(F.sum("__v").alias(out)))

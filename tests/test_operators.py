@@ -187,3 +187,23 @@ def test_join_first_available_three_keys(spark):
         want += [(i, v) for v in m] or [(i, None)]
     key = lambda t: (t[0], -1 if t[1] is None else t[1])
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_beyond_the_broadcast_bound_results_are_the_same(spark):
+    """Over the size bound the operators fall back to shuffle joins; same rows."""
+    from rankforge.operators import rollup_over_bridge
+
+    rnd = random.Random(4)
+    bridge = spark.createDataFrame([(f"b{i}", f"a{rnd.randint(0, 5)}") for i in range(40)], "book string, author string")
+    facts = spark.createDataFrame([(f"a{a}", w, rnd.randint(0, 9)) for a in range(6) for w in range(5)],
+                                  "author string, week int, v long")
+    small = rows(rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v"))
+    big = rows(rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v", max_broadcast_rows=3))
+    assert small == big and len(small) > 0
+    base = dt.date(2024, 1, 1)
+    f = spark.createDataFrame([(rnd.choice("xy"), base + dt.timedelta(days=rnd.randint(0, 20)), 1) for _ in range(60)],
+                              "g string, d date, v long")
+    a = spark.createDataFrame([(base + dt.timedelta(days=d),) for d in range(0, 21, 4)], "a date")
+    w1 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s"))
+    w2 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s", max_broadcast_rows=2))
+    assert w1 == w2 and len(w1) > 0
