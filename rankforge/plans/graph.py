@@ -39,7 +39,7 @@ DEPENDS = {
     "dim_author": ["author_parse", "wiki_author_map"],
     "dim_date": ["stg_pageviews", "stg_ranked_list", "fct_catalogue_snapshot"],
     "bridge_book_author": ["author_parse"],
-    "fct_author_views_7d": ["fct_pageviews_daily", "dim_week"],
+    "fct_author_views_7d": ["stg_pageviews", "dim_week"],
     "fct_book_views_7d": ["bridge_book_author", "fct_author_views_7d"],
     "weekly_scorecard": ["fct_weekly_rank", "dim_week", "dim_book", "bridge_book_author",
                          "fct_author_views_7d"],
@@ -226,7 +226,10 @@ class ModelGraph:
 
     @cached_property
     def fct_author_views_7d(self):
-        return M.fct_author_views_7d(self._m("fct_pageviews_daily"), None, self._m("dim_week"))
+        # Views summed per (article, day) before the key is derived (see
+        # author_day_views); the same sums as aggregating the daily fact.
+        return M.fct_author_views_7d(M.author_day_views(self._m("stg_pageviews"), self.collapse_ws),
+                                     None, self._m("dim_week"))
 
     @cached_property
     def fct_book_views_7d(self):

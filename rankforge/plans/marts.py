@@ -215,6 +215,21 @@ def fct_pageviews_daily(stg_views: DataFrame, wiki_map: DataFrame | None = None,
                     "agent", "project", "granularity", "extracted_at")
 
 
+def author_day_views(stg_views: DataFrame, collapse_ws: bool = False) -> DataFrame:
+    """Views per (author, date key), summed per (article, day) first.
+
+    Same sums as aggregating :func:`fct_pageviews_daily`: the author key is a
+    function of the article, so the raw rows are first summed per (article,
+    day) - partial aggregation map-side on the raw text - and the name
+    normalisation and MD5 run once per (article, day) rather than per row.
+    All-NULL views stay NULL.
+    """
+    per_article = (stg_views.where(F.col("view_date").isNotNull())
+                            .groupBy("article", "view_date").agg(F.sum("views").alias("views")))
+    keyed = with_article_author_key(per_article, "article", collapse_ws)
+    return keyed.select("author_key", date_key("view_date").alias("date_key"), "views")
+
+
 def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFrame,
                         days: int = 7) -> DataFrame:
     """Views per (week, author) over the 7 days ending on the list date

@@ -266,3 +266,14 @@ def test_dim_author_preference_matches_ordered_rule(spark):
         if c[0] not in want or pref(c) > pref(want[c[0]]):
             want[c[0]] = c
     assert got == {n: (c[1], c[2]) for n, c in want.items()}
+
+
+def test_author_views_from_article_days_equal_daily_fact(graph):
+    from rankforge.plans import marts as M
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    via_fact = M.fct_author_views_7d(graph["fct_pageviews_daily"], None, graph["dim_week"])
+    via_articles = M.fct_author_views_7d(M.author_day_views(graph["stg_pageviews"]), None, graph["dim_week"])
+    assert rows(via_fact) == rows(via_articles)
