@@ -89,7 +89,7 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit_logistic(x, y, l2: float = 1e-2, steps: int = 30):
+def fit_logistic(x, y, l2: float = 1e-2, steps: int = 30, weight=1.0):
     """Newton's method on columns of x plus an intercept; returns the weights, intercept last."""
     import numpy as np
 
@@ -98,8 +98,8 @@ def fit_logistic(x, y, l2: float = 1e-2, steps: int = 30):
     reg = np.full(len(w), l2)
     for _ in range(steps):
         p = sigmoid(a @ w)
-        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(reg) + 1e-9 * np.eye(len(w))
-        step = np.linalg.solve(h, a.T @ (p - y) + reg * w)
+        h = (a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(reg) + 1e-9 * np.eye(len(w))
+        step = np.linalg.solve(h, a.T @ (weight * (p - y)) + reg * w)
         w -= step
         if np.abs(step).max() < 1e-7:
             break
@@ -112,15 +112,30 @@ def labelled(labels: DataFrame, label_col: str, learn: Column, id_col: str = "do
             .where(F.col(id_col).isNotNull() & F.col("_y").isin(0, 1)).where(learn).groupBy(id_col).agg(F.max("_y").alias("_y")))
 
 
-def roles(lab: DataFrame, name: str, each: int, calibration: int, id_col: str = "doc_id") -> dict:
-    """id to (label, "example" or "calibration"): at most ``each`` examples of either label, then rows as they come, all by hash of the id."""
+def roles(lab: DataFrame, name: str, each: int, calibration: int, id_col: str = "doc_id") -> tuple[dict, dict]:
+    """id to (label, "example" or "calibration"), and the number of rows with each label.
+
+    Examples are at most ``each`` rows and two thirds of the rows of either label; then come calibration rows. All by hash of the id.
+    """
     by = F.struct(F.xxhash64(F.lit(name), F.col(id_col)), F.col(id_col))
-    out = {r[0]: (r[1], "example") for y in (0, 1) for r in bounded_rows(lab.where(F.col("_y") == y), each, by)}
+    n = {r["_y"]: r["count"] for r in lab.groupBy("_y").count().collect()}
+    out = {r[0]: (r[1], "example") for y in n for r in bounded_rows(lab.where(F.col("_y") == y), min(each, -(-2 * n[y] // 3)), by)}
     most = len(out) + calibration
     for r in bounded_rows(lab, calibration + 2 * each, by):
         if len(out) < most:
             out.setdefault(r[0], (r[1], "calibration"))
-    return out
+    return out, n
+
+
+def calibrated(vote, label, n: dict, default=(6.0, -3.0)):
+    """Slope and intercept from a vote in 0..1 to the probability of label 1, each label weighing as in all labelled rows."""
+    import numpy as np
+
+    label = np.asarray(label, float)
+    have = [(label == y).sum() for y in (0, 1)]
+    if not all(have):
+        return np.array(default)
+    return fit_logistic(np.asarray(vote)[:, None], label, weight=np.where(label == 1, n[1] / have[1], n[0] / have[0]) * len(label) / (n[0] + n[1]))
 
 
 def rows_of(docs: DataFrame, ids: list, kind: T.DataType, id_col: str, text_col: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rankforge.llm.common import fit_logistic, labelled, per_text, roles, rows_of, sigmoid, share
+from rankforge.llm.common import calibrated, fit_logistic, labelled, per_text, roles, rows_of, sigmoid, share
 
 MAX_EXAMPLES = 1000
 MAX_CALIBRATION = 2000
@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         max_examples: int = MAX_EXAMPLES, max_calibration: int = MAX_CALIBRATION) -> Crf | None:
     """``learn``: a condition on the id column; labels of other rows are never read. None without labels."""
     lab = labelled(labels, label_col, learn, id_col)
-    role = roles(lab, "quality", max_examples, max_calibration, id_col)
+    role, n = roles(lab, "quality", max_examples, max_calibration, id_col)
     if not role:
         return None
 
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     weight = np.concatenate([seen[i][1] for i in rest]) + 1.0
     begin = np.cumsum(counts) - counts
     doc = np.add.reduceat(good * weight, begin) / np.add.reduceat(weight, begin)
-    crf.curve = fit_logistic(doc[:, None], np.array([role[i][0] for i in rest], float))
+    crf.curve = calibrated(doc, [role[i][0] for i in rest], n)
     return crf
 
 

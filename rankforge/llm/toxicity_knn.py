@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.llm.common import fit_logistic, labelled, per_text, roles, rows_of, sigmoid, share
+from rankforge.llm.common import calibrated, labelled, per_text, roles, rows_of, sigmoid, share
 
 BLOCK = 64
 K = 31
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         max_examples: int = MAX_EXAMPLES, max_calibration: int = MAX_CALIBRATION, k: int = K) -> Index:
     """``learn``: a condition on the id column; labels of other rows are never read."""
     lab = labelled(labels, label_col, learn, id_col)
-    role = roles(lab, "toxicity", max_examples, max_calibration, id_col)
+    role, n = roles(lab, "toxicity", max_examples, max_calibration, id_col)
     terms, idf, ids, x, y = {}, np.zeros(0), [], np.zeros((0, 0), np.float32), np.zeros(0)
     if not role:
         return build_index(x, ids, y, terms, idf, k)
@@ -158,11 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         return vectors_of_bags([seen[i] for i in which], terms, idf)
 
     index = build_index(x_of(ids), ids, np.array([role[i][0] for i in ids], float), terms, idf, k)
-    if calibration:
-        v, _, _ = votes(index, x_of(calibration))
-        index.curve = fit_logistic(v[:, None], np.array([role[i][0] for i in calibration], float))
-    else:
-        index.curve = np.array([6.0, -3.0])
+    v, _, _ = votes(index, x_of(calibration))
+    index.curve = calibrated(v, [role[i][0] for i in calibration], n)
     return index
 
 
