@@ -65,8 +65,8 @@ def per_text(df: DataFrame, keep: list[str], text_col: str, fn: Callable[[list],
 
     Rows stay in their partition; a task holds one Arrow batch of texts.
     """
-    src = df.select(*keep, F.col(text_col).alias("_rf_text"))
-    schema = T.StructType([*(src.schema[c] for c in keep), *fields])
+    src = df.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), F.col(text_col).alias("text"))
+    schema = T.StructType([*(T.StructField(c, src.schema[f"k{i}"].dataType) for i, c in enumerate(keep)), *fields])
 
     def run(batches):
         for big in batches:
