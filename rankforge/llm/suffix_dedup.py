@@ -9,7 +9,8 @@ place, so only the suffixes at anchors (about one in 80) are sorted first, and
 those of the other starts are induced from them. An anchor owns the run of
 starts [lo, hi] that have it. Sorted by (hash, name of all that its starts
 can see), tuples that are equal to a neighbour have all their starts repeated; a
-tuple whose hash stands alone has none. What is left are anchors at the ends of repeated
+tuple whose hash stands alone has none. A hash that is frequent within one task's batch
+is dealt out by name, after its tuples with one name became one, so no hash holds a task up. What is left are anchors at the ends of repeated
 passages.
 
 Induction. Their suffixes, with the bytes before them, are dealt by anchor hash and
@@ -48,6 +49,7 @@ LENGTH = 200
 GRAM = 48
 QUEUE_ROWS = 1 << 15
 HOT = 1 << 14
+LOCAL_HOT = 32
 #: Positions of a text that are hashed at once.
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -113,72 +115,112 @@ def _unpack(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return p, p - (x >> 8 & 255), p - (x & 255)
 
 
-def _anchor_rows(length: int, gram: int):
-    """(x1, x2, text) to tuples (fp, k1, k2, x1, x2, at); k is the name of text[lo : hi + length] and the anchor's place in it."""
+_SALTED, _KNOWN, _SHARED, _MANY = 1, 2, 4, 8
+
+
+def _dealt(fp, k1, k2, x1, x2, at, local_hot: int) -> list[np.ndarray]:
+    """Adds to a batch's tuples where each is dealt to, and its flags.
+
+    A hash with ``local_hot`` tuples here goes to its names' places instead of its own (_SALTED), and one row in
+    its own place says that it is shared (_SHARED). Of its tuples with one name a single one is dealt out (_MANY);
+    the others are known to be repeated and only pass through (_KNOWN).
+    """
+    order = np.lexsort((k2, k1, fp))
+    fp, k1, k2, x1, x2, at = (c[order] for c in (fp, k1, k2, x1, x2, at))
+    new_fp = np.append(True, fp[1:] != fp[:-1])
+    new_name = new_fp | np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))
+    start = np.flatnonzero(new_fp)
+    size = np.diff(np.append(start, len(fp)))
+    hot = np.repeat(size >= local_hot, size)
+    name = np.flatnonzero(new_name)
+    several = np.zeros(len(fp), bool)
+    several[name] = np.diff(np.append(name, len(fp))) > 1
+    flag = np.where(hot, np.where(new_name, _SALTED | np.where(several, _MANY, 0), _KNOWN), 0).astype(np.int8)
+    route = np.where(hot, np.where(new_name, fp ^ (k1 * 31 + 1), x1 ^ at), fp)
+    told = fp[start[size >= local_hot]]
+    z = np.zeros(len(told), np.int64)
+    return [np.concatenate(c) for c in ((route, told), (fp, told), (k1, z), (k2, z), (x1, z), (x2, z), (at, z - 1), (flag, np.full(len(told), _SHARED, np.int8)))]
+
+
+def _anchor_rows(length: int, gram: int, local_hot: int):
+    """(x1, x2, text) to tuples (route, fp, k1, k2, x1, x2, at, flag); k is the name of text[lo : hi + length] and the anchor's place in it."""
     def run(batches):
-        for big in batches:
-            for b in chunks(big):
-                parts = []
-                for x1, x2, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
-                    if text is None or len(text) < length:
-                        continue
-                    fp, p, lo, hi = anchors(np.frombuffer(text, np.uint8), length, gram)
-                    names = b"".join([hashlib.blake2b(text[a:z + length], digest_size=16, salt=bytes((q - a,))).digest() for q, a, z in zip(p.tolist(), lo.tolist(), hi.tolist(), strict=True)])
-                    k = np.frombuffer(names, np.int64).reshape(-1, 2)
-                    parts.append((fp.view(np.int64), k[:, 0], k[:, 1], np.full(len(p), x1), np.full(len(p), x2), _pack(p, lo, hi)))
-                if parts:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=["fp", "k1", "k2", "x1", "x2", "at"])
+        for b in batches:
+            parts, size = [], 0
+            for x1, x2, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
+                if text is None or len(text) < length:
+                    continue
+                fp, p, lo, hi = anchors(np.frombuffer(text, np.uint8), length, gram)
+                names = b"".join([hashlib.blake2b(text[a:z + length], digest_size=16, salt=bytes((q - a,))).digest() for q, a, z in zip(p.tolist(), lo.tolist(), hi.tolist(), strict=True)])
+                k = np.frombuffer(names, np.int64).reshape(-1, 2)
+                parts.append((fp.view(np.int64), k[:, 0], k[:, 1], np.full(len(p), x1), np.full(len(p), x2), _pack(p, lo, hi)))
+                size += len(p)
+                if size > PIECE // 4:
+                    yield _tuples(parts, local_hot)
+                    parts, size = [], 0
+            if parts:
+                yield _tuples(parts, local_hot)
 
     return run
 
 
+def _tuples(parts: list, local_hot: int) -> pa.RecordBatch:
+    cols = _dealt(*(np.concatenate(c) for c in zip(*parts, strict=True)), local_hot)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["route", "fp", "k1", "k2", "x1", "x2", "at", "flag"])
+
+
 def _sweep(batches):
-    """Tuples sorted by (fp, k1, k2) to (fp, x1, x2, at, sure, ask): sure, all its starts are repeated; ask, its context is needed.
+    """Tuples sorted by (route, fp, k1, k2) to (fp, x1, x2, at, sure, ask): sure, all its starts are repeated; ask, its context is needed.
 
-    Holds a batch, one tuple more, and the first tuple of a group until a second name shows up.
+    A group is one hash in one place. Its tuples are sure if a neighbour has their name; the first tuple of each name is
+    asked if the group has a second name. Holds a batch, one tuple more, and the first tuple of a group until a second name shows up.
     """
     prev = None  # the tuple before the first held one
-    pending = None  # first tuple of the current group, not given out yet, and whether it is sure
+    pending = None  # first tuple of the current group, if it wasn't asked yet
     held: list[np.ndarray] | None = None
+    names = ["fp", "x1", "x2", "at", "sure", "ask"]
 
     def settle(rows, n):
         """Decides the first n rows; the row after them, if any, is known."""
         nonlocal prev, pending
-        fp, k1, k2 = rows[:3]
-        before = [np.concatenate([[prev[i]] if prev else [c[0]], c[:-1]]) for i, c in enumerate((fp, k1, k2))]
-        old_group = (fp == before[0])
-        old_name = old_group & (k1 == before[1]) & (k2 == before[2])
+        before = [np.concatenate([[prev[i]] if prev else c[:1], c[:-1]]) for i, c in enumerate(rows[:4])]
+        old_group = (rows[0] == before[0]) & (rows[1] == before[1])
+        old_name = old_group & (rows[2] == before[2]) & (rows[3] == before[3])
         if prev is None:
             old_group[0] = old_name[0] = False
-        sure = old_name.copy()
+        flag = rows[7]
+        sure = old_name | (flag & _MANY > 0)
         sure[:-1] |= old_name[1:]
         second = (old_group & ~old_name)[:n]  # first tuple of a further name
         first = ~old_group[:n]
         group = np.cumsum(first)
-        ask = second.copy()
+        ask = second | (~old_name[:n] & (flag[:n] & _SALTED > 0))
         has_second = np.zeros(group[-1] + 1, bool)
         has_second[group[second]] = True
-        extra = []
-        if pending is not None and has_second[0]:
-            extra.append(pending)
+        late = pending if pending is not None and has_second[0] else None
+        if late is not None:
             pending = None
         at = np.flatnonzero(first)
-        ask[at] = has_second[group[at]]
+        ask[at] |= has_second[group[at]]
         if len(at):
             last = at[-1]
-            pending = None if ask[last] else [c[last] for c in rows] + [sure[last]]
-        prev = [fp[n - 1], k1[n - 1], k2[n - 1]]
-        keep = np.flatnonzero((sure[:n] | ask))
-        # A pending tuple was given out if it was sure; given again it only asks.
-        cols = [rows[0][keep], rows[3][keep], rows[4][keep], rows[5][keep], sure[:n][keep], ask[keep]]
-        for e in extra:
-            cols = [np.append(c, v) for c, v in zip(cols, (e[0], e[3], e[4], e[5], e[6], True), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["fp", "x1", "x2", "at", "sure", "ask"])
+            pending = None if ask[last] else [*(c[last] for c in rows), sure[last]]
+        prev = [c[n - 1] for c in rows[:4]]
+        keep = np.flatnonzero((sure[:n] | ask) & (flag[:n] & _SHARED == 0))
+        cols = [rows[i][keep] for i in (1, 4, 5, 6)] + [sure[:n][keep], ask[keep]]
+        if late is not None and not late[7] & _SHARED:  # given out before, if it was sure; now it only asks
+            cols = [np.append(c, v) for c, v in zip(cols, (late[1], late[4], late[5], late[6], late[8], True), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
 
     for b in batches:
-        if not b.num_rows:
+        new = [b.column(i).to_numpy() for i in range(8)]
+        known = new[7] & _KNOWN > 0
+        if known.any():
+            yes = np.ones(int(known.sum()), bool)
+            yield pa.RecordBatch.from_arrays([pa.array(new[i][known]) for i in (1, 4, 5, 6)] + [pa.array(yes), pa.array(~yes)], names=names)
+            new = [c[~known] for c in new]
+        if not len(new[0]):
             continue
-        new = [b.column(i).to_numpy() for i in range(6)]
         rows = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
         if len(rows[0]) > 1:
             yield settle(rows, len(rows[0]) - 1)
@@ -380,7 +422,7 @@ def _cut(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT,
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, local_hot: int = LOCAL_HOT,
                    queue_rows: int = QUEUE_ROWS) -> DataFrame:
     """A row for each document: its id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte ranges (starts, ends)."""
     body = F.coalesce(F.col(text_col), F.lit(""))
@@ -388,8 +430,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Map-side: copies in a task are one row before anything is dealt out. All three reads of the texts below take the same columns, so one exchange serves them.
     texts = keyed.groupBy("x1", "x2").agg(F.first("text").alias("text"), F.count("*").alias("n"))
 
-    tuples = texts.select("x1", "x2", "text", "n").mapInArrow(_anchor_rows(length, gram), "fp long, k1 long, k2 long, x1 long, x2 long, at long")
-    swept = tuples.repartition("fp").sortWithinPartitions("fp", "k1", "k2").mapInArrow(_sweep, "fp long, x1 long, x2 long, at long, sure boolean, ask boolean")
+    tuples = texts.select("x1", "x2", "text", "n").mapInArrow(_anchor_rows(length, gram, local_hot), "route long, fp long, k1 long, k2 long, x1 long, x2 long, at long, flag byte")
+    swept = tuples.repartition("route").sortWithinPartitions("route", "fp", "k1", "k2").mapInArrow(_sweep, "fp long, x1 long, x2 long, at long, sure boolean, ask boolean")
 
     large = swept.where("ask").groupBy("fp").count().where(F.col("count") > hot).select("fp", F.lit(True).alias("hot"))
     asked = (swept.where("ask").join(large, "fp", "left").groupBy("x1", "x2")

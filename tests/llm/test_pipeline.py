@@ -21,7 +21,7 @@ def test_stages_one_by_one(spark, tmp_dir):
         rows.append((i, prose(rnd, 40) + " vilex nastyo vilex grubby " * 3 + prose(rnd, 40)))
     labels = [(i, 1, int(i >= 60)) for i in range(90)]
     rows += [(200, rows[1][1]), (201, rows[2][1] + " more"), (202, prose(rnd, 10) + " " + item + " " + prose(rnd, 10)), (203, prose(rnd, 50) + " password = hunter2222 " + prose(rnd, 50))]
-    rows += [(i and 300 + i, t) for i, t in awkward() if i is None or i >= 30]
+    rows += [(i and 300 + i, t) for i, t in awkward(7) if i is None or i >= 30 and i != 37]
     df = docs(spark, rows, extra=False)
     df.write.parquet(f"{tmp_dir}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")

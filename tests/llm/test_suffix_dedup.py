@@ -35,8 +35,8 @@ def test_awkward(spark):
     assert run(spark, []) == []
 
 
-@pytest.mark.parametrize("hot", [1, 1 << 14])
-def test_shared_passages(spark, hot):
+@pytest.mark.parametrize("hot,local_hot", [(1, 2), (1 << 14, 32), (1 << 14, 3)])
+def test_shared_passages(spark, hot, local_hot):
     """Passages of about the length, in other surroundings, at any offset; periodic text; both ways for hot hashes."""
     rnd = random.Random(5)
     parts = [prose(rnd, rnd.randint(3, 12)) for _ in range(12)] + ["ab" * 40, "é" * 25]
@@ -45,7 +45,7 @@ def test_shared_passages(spark, hot):
         rows.append((i, "".join(rnd.choice(parts) + ("" if rnd.random() < .5 else prose(rnd, 2)) for _ in range(rnd.randint(1, 9)))))
     want = brute(rows, 60)
     assert sum(r[2] for r in want) > 1000
-    assert run(spark, rows, length=60, gram=16, hot=hot, queue_rows=64) == want
+    assert run(spark, rows, length=60, gram=16, hot=hot, local_hot=local_hot, queue_rows=64) == want
 
 
 def test_long_text_is_cut_into_pieces(spark, monkeypatch):
