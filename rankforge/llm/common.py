@@ -115,19 +115,20 @@ def labelled(labels: DataFrame, label_col: str, learn: Column, id_col: str = "do
 def roles(lab: DataFrame, name: str, each: int, calibration: int, id_col: str = "doc_id") -> tuple[dict, dict]:
     """id to (label, "example" or "calibration"), and the number of rows with each label.
 
-    Examples are at most ``each`` rows and two thirds of the rows of either label; then come calibration rows. All by hash of the id.
+    Examples are at most ``each`` rows and two thirds of the rows of either label; then come calibration rows. All by hashes of the id.
     """
     by = F.struct(F.xxhash64(F.lit(name), F.col(id_col)), F.col(id_col))
     n = {r["_y"]: r["count"] for r in lab.groupBy("_y").count().collect()}
     out = {r[0]: (r[1], "example") for y in n for r in bounded_rows(lab.where(F.col("_y") == y), min(each, -(-2 * n[y] // 3)), by)}
-    most = len(out) + calibration
-    for r in bounded_rows(lab, calibration + 2 * each, by):
+    # By another hash: the same one would bring the examples up again.
+    most, other = len(out) + calibration, F.struct(F.xxhash64(F.lit(f"{name} calibration"), F.col(id_col)), F.col(id_col))
+    for r in bounded_rows(lab, calibration + 2 * each, other):
         if len(out) < most:
             out.setdefault(r[0], (r[1], "calibration"))
     return out, n
 
 
-def calibrated(vote, label, n: dict, default=(6.0, -3.0)):
+def calibrated(vote, label, n: dict, default=(8.0, -6.4)):
     """Slope and intercept from a vote in 0..1 to the probability of label 1, each label weighing as in all labelled rows."""
     import numpy as np
 
