@@ -18,7 +18,7 @@ import sys
 
 from rankforge.operators import reports
 from rankforge.plans.graph import TABLE_MODELS, ModelGraph, build
-from rankforge.session import get_session
+from rankforge.session import get_session, path_exists
 from rankforge.sources.io import as_view, export_csv, read_all_raw
 
 REPORTS = {
@@ -38,8 +38,10 @@ def _build(args) -> int:
     models, summary = build(graph, out_root=args.out, threads=args.threads)
     for name, df in models.items():
         as_view(df, name)
-    summary.orderBy("check_name").show(100, truncate=False)
-    failed = summary.where("status = 'FAIL'").count()
+    results = sorted(summary.collect(), key=lambda r: r["check_name"])  # one row per declared check
+    for r in results:
+        print(f"{r['status']}  {r['failures']:>10}  {r['check_name']}")
+    failed = sum(r["status"] == "FAIL" for r in results)
     return 1 if (failed and args.fail_on_check) else 0
 
 
@@ -47,7 +49,7 @@ def _export(args) -> int:
     spark = get_session(args.master)
     for name in TABLE_MODELS:
         path = os.path.join(args.marts, name)
-        if os.path.exists(path) or "://" in path:
+        if path_exists(spark, path):
             as_view(spark.read.parquet(path), name)
     if args.sql:
         df = spark.sql(args.sql)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankforge.functions._col import as_col
 
@@ -16,23 +17,10 @@ _HEX = r"^0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*$"
 _BIN = r"^0[bB][01]+(_[01]+)*$"
 
 
-def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
-
-
-def _safe_long_sql(x: str) -> str:
-    """:func:`safe_long` as one SQL expression over the column reference ``x``."""
-    txt = f"CASE WHEN NOT (CAST({x} AS STRING) RLIKE '{_BAD_UNDERSCORE}') " \
-          f"THEN regexp_replace(CAST({x} AS STRING), '_', '') END"
-
-    def radix(pattern: str, base: int) -> str:
-        digits = f"regexp_replace(substring(CAST({x} AS STRING), 3, 1048576), '_', '')"
-        return (f"CASE WHEN CAST({x} AS STRING) RLIKE '{pattern}' THEN "
-                f"try_cast(try_cast(conv({digits}, {base}, 10) AS DECIMAL(38,0)) AS BIGINT) END")
-
-    dec = (f"coalesce(try_cast({txt} AS BIGINT), "
-           f"try_cast(round(try_cast({txt} AS DECIMAL(38,9)), 0) AS BIGINT))")
-    return f"coalesce({radix(_HEX, 16)}, {radix(_BIN, 2)}, {dec})"
+def _digits(c: Column, most: int) -> Column:
+    """Digits after a two-character prefix, without underscores and leading zeros; NULL beyond ``most`` of them."""
+    d = F.regexp_replace(F.regexp_replace(F.substr(c, F.lit(3)), "_", ""), "^0+(?=.)", "")
+    return F.when(F.length(d) <= most, d)
 
 
 def safe_long(c) -> Column:
@@ -41,22 +29,30 @@ def safe_long(c) -> Column:
     Fractional text rounds half away from zero (``'4.5'`` -> 5,
     ``'-2.5'`` -> -3), exponent text is accepted (``'1e3'`` -> 1000),
     underscores between digits are ignored (``'1_000'``), ``0x``/``0b``
-    literals are read in base 16/2, and overflow gives NULL. A column name
-    is turned into one SQL expression (a single call to the JVM); a Column
-    is built up expression by expression.
+    literals are read in base 16/2, and overflow gives NULL.
     """
-    if isinstance(c, str):
-        return F.expr(_safe_long_sql(_quoted(c)))
     c = as_col(c).cast("string")
     txt = F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", ""))
     dec = F.coalesce(txt.try_cast("bigint"),
                      F.round(txt.try_cast("decimal(38,9)"), 0).try_cast("bigint"))
 
-    def radix(pattern: str, base: int) -> Column:
-        digits = F.regexp_replace(F.substring(c, 3, 1 << 20), "_", "")
-        return F.when(c.rlike(pattern), F.conv(digits, base, 10).try_cast("decimal(38,0)").try_cast("bigint"))
+    def radix(pattern: str, base: int, most: int) -> Column:
+        value = F.conv(_digits(c, most), base, 10)
+        return F.when(c.rlike(pattern), value.try_cast("decimal(38,0)").try_cast("bigint"))
+
+    return F.coalesce(radix(_HEX, 16, 16), radix(_BIN, 2, 64), dec)
+
+
+def long_of(df: DataFrame, name: str) -> Column:
+    """:func:`safe_long` of a column; one declared as an integer is only widened."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).cast("bigint")
+    return safe_long(name)
+
 
-    return F.coalesce(radix(_HEX, 16), radix(_BIN, 2), dec)
+def int_of(df: DataFrame, name: str) -> Column:
+    """As :func:`long_of`, narrowed to int (NULL on overflow)."""
+    return long_of(df, name).try_cast("int")
 
 
 def safe_int(c) -> Column:
@@ -67,10 +63,6 @@ def safe_int(c) -> Column:
 def safe_double(c) -> Column:
     """Text/number -> double, NULL when impossible (underscores between
     digits ignored; ``inf``/``nan`` spellings accepted)."""
-    if isinstance(c, str):
-        x = f"CAST({_quoted(c)} AS STRING)"
-        return F.expr(f"try_cast(CASE WHEN NOT ({x} RLIKE '{_BAD_UNDERSCORE}') "
-                      f"THEN regexp_replace({x}, '_', '') END AS DOUBLE)")
     c = as_col(c).cast("string")
     return F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", "")).try_cast("double")
 

@@ -20,8 +20,7 @@ def date_key(c) -> Column:
 
 def date_from_key(c) -> Column:
     """Inverse of :func:`date_key` (strict)."""
-    k = as_col(c)
-    return F.make_date((k / 10000).cast("int"), ((k / 100) % 100).cast("int"), (k % 100).cast("int"))
+    return F.to_date(F.lpad(as_col(c).cast("string"), 8, "0"), "yyyyMMdd")
 
 
 def epoch_ts() -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    blank_to_null, decimal_to_text, safe_double, safe_int, safe_long, yyyymmdd_to_date,
+    blank_to_null, decimal_to_text, int_of, long_of, safe_double, safe_long, yyyymmdd_to_date,
 )
 
 # The fields read from a catalogue volume document. Every
@@ -32,9 +32,9 @@ def stg_ranked_list(raw: DataFrame) -> DataFrame:
         blank_to_null("title").alias("title_nyt"),
         blank_to_null("author").alias("author_nyt"),
         blank_to_null("publisher").alias("publisher_nyt"),
-        safe_int("rank").alias("rank"),
-        safe_int("rank_last_week").alias("rank_last_week"),
-        safe_int("weeks_on_list").alias("weeks_on_list"),
+        int_of(raw, "rank").alias("rank"),
+        int_of(raw, "rank_last_week").alias("rank_last_week"),
+        int_of(raw, "weeks_on_list").alias("weeks_on_list"),
         "amazon_product_url",
         "book_image",
         F.col("_airbyte_extracted_at").alias("extracted_at"),
@@ -79,6 +79,6 @@ def stg_pageviews(raw: DataFrame) -> DataFrame:
     return (raw.select(
         "project", "article", "access", "agent", "granularity", "timestamp",
         yyyymmdd_to_date("timestamp").alias("view_date"),
-        safe_long("views").alias("views"),
+        long_of(raw, "views").alias("views"),
         F.col("_airbyte_extracted_at").alias("extracted_at"),
     ).where(F.col("view_date").isNotNull()))

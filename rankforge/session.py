@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,42 +42,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     for k, v in conf.items():
         if not k.startswith("spark.ui") and not k.startswith("spark.driver"):
-            try:
+            if spark.conf.isModifiable(k):  # static settings of a running session stay
                 spark.conf.set(k, v)
-            except Exception:  # static conf of an already-running session
-                pass
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder created.
+    Only a local session without one gets a scratch folder; on a cluster each
+    machine would write to its own disk, so there the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="rankforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Survives executor loss (unlike a local checkpoint); use it where a plan
-    is reused many times or has grown deep.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table under the shared
     checkpoint folder and scanning it back (columnar, column-pruned reads;
     a lost executor only loses work that the re-scan does not need)."""
-    import uuid
-
     path = os.path.join(checkpoint_dir(df.sparkSession), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -84,3 +75,9 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, in whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

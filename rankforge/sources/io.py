@@ -14,12 +14,15 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankforge.operators.topn import latest_per_key
 from rankforge.sources.schemas import RAW_TABLES
 
 
 def read_raw(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """Scan one raw landing table with its declared schema."""
-    return spark.read.schema(RAW_TABLES[name]).format(fmt).load(os.path.join(root, name))
+    """Scan one raw landing table with its declared schema: files appended by
+    batch runs and the per-batch folders of the landing stream alike."""
+    return (spark.read.schema(RAW_TABLES[name]).format(fmt).option("recursiveFileLookup", "true")
+                 .load(os.path.join(root, name)))
 
 
 def read_all_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -31,6 +34,20 @@ def land_append(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> No
     df.select(*RAW_TABLES[name].fieldNames()).write.mode("append").format(fmt).save(os.path.join(root, name))
 
 
+# What makes two landed rows the same record.
+LANDING_KEYS = {
+    "ranked_list": ["published_date", "rank", "primary_isbn13", "book_uri"],
+    "catalogue_search": ["isbn13", "id"],
+    "catalogue_isbn": ["isbn13", "id"],
+    "pageviews": ["project", "article", "access", "agent", "granularity", "timestamp"],
+}
+
+
+def latest_landing(df: DataFrame, name: str) -> DataFrame:
+    """One row for each record of a raw table, its latest landing."""
+    return latest_per_key(df, LANDING_KEYS[name], "_airbyte_extracted_at")
+
+
 def as_view(df: DataFrame, name: str | None = None) -> DataFrame:
     """View materialisation: stays lazy; optionally registered for SQL."""
     if name:
@@ -52,17 +69,17 @@ def as_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    r = df.sparkSession.read.format(fmt)
-    if not partition_by:  # partition columns come back from the folder names
-        r = r.schema(df.schema)
-    return r.load(path)
+    # The declared schema gives partition columns their own types back, and the
+    # selection their own places (folder names alone give neither).
+    return df.sparkSession.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write a query result as CSV with a header row.
 
-    Written by the executors in parallel; ``single_file`` coalesces to one
-    part file (only for small report results).
+    Written by the executors in parallel; ``single_file`` brings the rows of a
+    small report together for the final write only (the query itself stays
+    parallel).
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)

@@ -84,3 +84,19 @@ def test_json_helpers(spark):
 
 def test_md5_key_is_hex(spark):
     assert one_col(spark, ["abc"], RF.md5_key) == ["900150983cd24fb0d6963f7d28e17f72"]
+
+
+def test_long_radix_text_is_null_not_an_error(spark):
+    """Hex and binary text of any length: a value where it fits, else NULL."""
+    texts = ["0x1FFFFFFFFFFFFFFFFFF", "0b" + "1" * 70, "0x" + "0" * 40 + "1F", "0b" + "0" * 80 + "101", "0x7FFFFFFFFFFFFFFF",
+             "0xFFFFFFFFFFFFFFFF", "0b" + "1" * 64, "0x" + "F" * 5000, "9" * 60, "1_000", "0x0", "0x1_F"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.v for r in df.select("i", RF.safe_long("t").alias("v")).orderBy("i").collect()]
+    assert got == [None, None, 31, 5, 2**63 - 1, None, None, None, None, 1000, 0, 31]
+
+
+def test_integral_columns_are_not_cast_through_text(spark):
+    df = spark.createDataFrame([(5, "0x1F")], "views long, t string")
+    plan = df.select(RF.long_of(df, "views").alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "string" not in plan and "RLIKE" not in plan
+    assert df.select(RF.long_of(df, "t").alias("v"), RF.int_of(df, "views").alias("w")).first() == (31, 5)

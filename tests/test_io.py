@@ -4,7 +4,12 @@ materialisation, CSV export."""
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+from rankforge.session import checkpoint_dir
 from rankforge.sources import as_table, as_view, export_csv, land_append, read_raw
+from rankforge.sources.io import latest_landing
 from rankforge.sources.schemas import PAGEVIEWS
 
 
@@ -31,6 +36,38 @@ def test_table_and_view_materialisation(spark, tmp_dir):
     assert spark.sql("select count(*) from rf_test_view").first()[0] == 4
 
 
+def test_partitioned_table_keeps_schema_and_order(spark, tmp_dir):
+    df = spark.createDataFrame([("x", dt.date(2024, 1, 1), "007", 1), ("y", None, "8", 2), ("z", dt.date(2024, 1, 2), None, 3)],
+                               "a string, published_date date, code string, b int")
+    t = as_table(df, os.path.join(tmp_dir, "t"), partition_by=["published_date", "code"])
+    assert t.schema == df.schema
+    assert sorted(map(str, t.collect())) == sorted(map(str, df.collect()))
+
+
+def test_latest_landing_keeps_one_row_a_record(spark):
+    df = _views(spark, 3, "20240101")
+    later = df.limit(2).withColumn("views", df.views + 10).withColumn("_airbyte_extracted_at", F.lit(dt.datetime(2024, 1, 5)))
+    got = {r.article: r.views for r in latest_landing(df.unionByName(later), "pageviews").collect()}
+    assert len(got) == 3 and sum(got.values()) == 0 + 1 + 2 + 20
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
+
+
 def test_export_csv(spark, tmp_dir):
     out = os.path.join(tmp_dir, "csv")
     export_csv(_views(spark, 3, "20240101").select("article", "views"), out, single_file=True)
