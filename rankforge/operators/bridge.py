@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
 from rankforge.operators.topn import best_per_key
 
+# Parts that the bridge rows of one link are dealt to.
+SALTS = 16
+
 
 def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
                  order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
@@ -24,21 +26,23 @@ def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
 
 def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
                        group_keys: Sequence[str], measure: str, out: str | None = None,
-                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                       salts: int = SALTS) -> DataFrame:
     """Sum a per-(link, ...) measure to (``group_keys``) through a bridge.
 
     ``facts`` should already be aggregated to one row per link key and
     period, so the join sees no raw-level fan-out. The join multiplies each
-    fact row by its link's bridge rows, so its output can dwarf its input:
-    when the bridge is proven small it is broadcast and the facts are first
-    spread round-robin over the shuffle partitions (a pre-aggregated input
-    is small enough for AQE to pack into one task, and a hot link key would
-    otherwise expand in a single task). Otherwise both sides shuffle on the
-    link key and AQE splits skewed link keys.
+    fact row by its link's bridge rows, so its output can dwarf its input and
+    a link with very many bridge rows would expand in one task. Bridge rows
+    are therefore dealt to ``salts`` parts by their other columns and each
+    fact row is repeated once per part: a hot link spreads over ``salts``
+    places. Both sides are placed by (link, part) over the configured number
+    of shuffle partitions, which adaptive coalescing (it sees only the small
+    inputs, not the expansion) leaves alone.
     """
-    b, small = bounded_broadcast(bridge, max_broadcast_rows)
-    if small:
-        n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        facts = facts.repartition(n)
-    j = facts.join(b, link_key, "inner")
+    others = [c for c in bridge.columns if c != link_key]
+    n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = bridge.withColumn("__part", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    f = facts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    j = (f.repartition(n, link_key, "__part")
+          .join(b.repartition(n, link_key, "__part"), [link_key, "__part"], "inner"))
     return j.groupBy(*group_keys).agg(F.sum(measure).alias(out or measure))

@@ -1,45 +1,12 @@
-"""Join helpers: size-checked broadcast and first-available-key joins."""
+"""First-available-key joins."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Frames persisted by bounded_broadcast, so a caller can release them.
-PERSISTED: list[DataFrame] = []
-
-# Largest row count a side may have to be broadcast. The sides that use this
-# are narrow (a few short columns), so this bounds the broadcast to tens of MB.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows``.
-
-    The side is persisted first, then counted with a bound (the count stops
-    looking after ``max_rows + 1`` rows); the broadcast then reads the
-    persisted rows instead of recomputing the side. A lost cached block is
-    recomputed from lineage. Beyond the bound the frame is released and
-    returned as is, and the join falls back to a shuffle join (AQE splits
-    skewed partitions).
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        PERSISTED.append(df)
-        return F.broadcast(df), True
-    df.unpersist()
-    return df, False
-
-
-def release_broadcast_sides() -> None:
-    """Unpersist every side persisted by :func:`bounded_broadcast`."""
-    while PERSISTED:
-        PERSISTED.pop().unpersist()
-
 
 def join_first_available(left: DataFrame, right: DataFrame,
                          pairs: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:

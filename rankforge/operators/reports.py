@@ -28,18 +28,18 @@ def top_k_for(scorecard: DataFrame, k: int = 15, week: str | _dt.date | None = N
 
 
 def movers_up(scorecard: DataFrame, week: str | _dt.date | None = None) -> DataFrame:
-    """Books that climbed since last week (``rank_delta > 0``)."""
-    return _week(scorecard, week).where(F.col("rank_delta") > 0)
+    """Books that climbed since last week (``rank_delta > 0``), the largest climbs of a week first."""
+    return ordered(_week(scorecard, week).where(F.col("rank_delta") > 0), "published_date", "-rank_delta", "rank", "book_key")
 
 
 def movers_down(scorecard: DataFrame, week: str | _dt.date | None = None) -> DataFrame:
-    """Books that dropped since last week (``rank_delta < 0``)."""
-    return _week(scorecard, week).where(F.col("rank_delta") < 0)
+    """Books that dropped since last week (``rank_delta < 0``), the largest drops of a week first."""
+    return ordered(_week(scorecard, week).where(F.col("rank_delta") < 0), "published_date", "rank_delta", "rank", "book_key")
 
 
 def new_entries(scorecard: DataFrame, week: str | _dt.date | None = None) -> DataFrame:
-    """Books entering the list this week."""
-    return _week(scorecard, week).where(F.col("is_new"))
+    """Books entering the list this week, by rank."""
+    return ordered(_week(scorecard, week).where(F.col("is_new")), "published_date", "rank", "book_key")
 
 
 def weekly_kpi(scorecard: DataFrame, week: str | _dt.date | None = None) -> DataFrame:

@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
-
 
 def expand_anchors(anchors: DataFrame, anchor_date: str, days: int, out: str = "date_day") -> DataFrame:
     """Each anchor row once per day of its window ``[anchor-days+1, anchor]``."""
@@ -22,7 +20,7 @@ def expand_anchors(anchors: DataFrame, anchor_date: str, days: int, out: str = "
 def trailing_window_sum(facts: DataFrame, anchors: DataFrame, fact_date: str, anchor_date: str,
                         group_keys: Sequence[str], measure: str, days: int = 7,
                         out: str = "value_nd", anchor_cols: Sequence[str] | None = None,
-                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        pre_aggregate: bool = True) -> DataFrame:
     """Sum ``measure`` per (anchor, ``group_keys``) over the ``days`` days
     ending on each anchor date, both ends inclusive.
 
@@ -31,19 +29,22 @@ def trailing_window_sum(facts: DataFrame, anchors: DataFrame, fact_date: str, an
 
     1. facts are pre-aggregated to one row per (group, day) - the sum is
        associative, partial aggregation runs map-side, so hot groups shrink
-       before any shuffle;
+       before any shuffle (``pre_aggregate=False`` skips this for facts that
+       are about that grain already);
     2. each anchor is expanded to its ``days`` dates (anchors x days rows);
-    3. the expanded anchors are broadcast when their size is proven small,
-       and joined on the date with a hash equi-join;
+    3. the expanded anchors are joined on the date with an equi-join, whose
+       strategy Spark picks from run-time sizes;
     4. a final hash aggregate sums per (anchor, group).
 
     NULL measures stay NULL when every value in a window is NULL.
     """
     anchor_cols = list(anchor_cols or anchors.columns)
-    daily = (facts.groupBy(*group_keys, F.col(fact_date).alias("__day"))
-                  .agg(F.sum(measure).alias("__v")))
+    if pre_aggregate:
+        daily = (facts.groupBy(*group_keys, F.col(fact_date).alias("__day"))
+                      .agg(F.sum(measure).alias("__v")))
+    else:
+        daily = facts.select(*group_keys, F.col(fact_date).alias("__day"), F.col(measure).alias("__v"))
     exp = expand_anchors(anchors.select(*anchor_cols), anchor_date, days, out="__day")
-    exp, _ = bounded_broadcast(exp, max_broadcast_rows)
     joined = daily.join(exp, "__day", "inner")
     return (joined.groupBy(*anchor_cols, *group_keys)
                   .agg(F.sum("__v").alias(out)))

@@ -12,7 +12,7 @@ from rankforge.functions import (
 )
 from rankforge.operators.bridge import build_bridge, rollup_over_bridge
 from rankforge.operators.calendar import calendar, week_dimension
-from rankforge.operators.joins import bounded_broadcast, join_first_available
+from rankforge.operators.joins import join_first_available
 from rankforge.operators.ranking import rank_change_columns
 from rankforge.operators.topn import asc, desc, latest_per_key
 from rankforge.operators.windows import trailing_window_sum
@@ -216,7 +216,7 @@ def fct_pageviews_daily(stg_views: DataFrame, wiki_map: DataFrame | None = None,
 
 
 def author_day_views(stg_views: DataFrame, collapse_ws: bool = False) -> DataFrame:
-    """Views per (author, date key), summed per (article, day) first.
+    """Views per (author, day), summed per (article, day) first.
 
     Same sums as aggregating :func:`fct_pageviews_daily`: the author key is a
     function of the article, so the raw rows are first summed per (article,
@@ -227,7 +227,7 @@ def author_day_views(stg_views: DataFrame, collapse_ws: bool = False) -> DataFra
     per_article = (stg_views.where(F.col("view_date").isNotNull())
                             .groupBy("article", "view_date").agg(F.sum("views").alias("views")))
     keyed = with_article_author_key(per_article, "article", collapse_ws)
-    return keyed.select("author_key", date_key("view_date").alias("date_key"), "views")
+    return keyed.select("author_key", "view_date", "views")
 
 
 def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFrame,
@@ -238,17 +238,21 @@ def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFr
     The daily facts meet the calendar on ``date_key`` only to turn the key
     into a date: the calendar always runs from the earliest view date (or
     earlier) to the latest view date plus two days (or later), so that join
-    drops no fact row. With ``dates=None`` the date is derived from the key
-    directly, which gives the same rows without computing the calendar
-    (whose end bound needs the whole catalogue chain).
+    drops no fact row. With ``dates=None`` the rows' own ``view_date`` is used
+    (or, without one, the key's date), which gives the same rows without
+    computing the calendar (whose end bound needs the whole catalogue chain).
     """
-    if dates is None:
-        d = daily.select("author_key", date_from_key("date_key").alias("date_day"), "views")
+    summed = "view_date" in daily.columns
+    if dates is not None:
+        d = daily.join(dates.select("date_key", "date_day"), "date_key", "inner")
+    elif summed:
+        d = daily.withColumnRenamed("view_date", "date_day")
     else:
-        cal, _ = bounded_broadcast(dates.select("date_key", "date_day"))
-        d = daily.join(cal, "date_key", "inner").select("author_key", "date_day", "views")
+        d = daily.withColumn("date_day", date_from_key("date_key"))
+    d = d.select("author_key", "date_day", "views")
     return trailing_window_sum(d, weeks.select("week_key", "week_date"), "date_day", "week_date",
-                               ["author_key"], "views", days=days, out="views_7d").select(
+                               ["author_key"], "views", days=days, out="views_7d",
+                               pre_aggregate=not summed).select(
         "week_key", "week_date", "author_key", "views_7d")
 
 

@@ -39,7 +39,7 @@ def _tables(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
 
 
 def _cap(c: Column) -> Column:
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 20))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
 def _word(i: int) -> Column:
@@ -189,13 +189,10 @@ def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, os.path.abspath(root))
     if key not in _LANDED:
         dest = os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
-        # One file per core, as an extraction lands many files: scans of
-        # the landed tables then split across all cores.
-        n = spark.sparkContext.defaultParallelism
 
         def land(item):
             name, df = item
-            df.repartition(n).write.mode("overwrite").parquet(os.path.join(dest, name))
+            df.write.mode("overwrite").parquet(os.path.join(dest, name))
 
         # The four derivations are independent jobs: submit them together.
         from concurrent.futures import ThreadPoolExecutor

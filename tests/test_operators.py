@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankforge.operators import (
-    asc, best_per_key, bounded_broadcast, calendar, consolidate_keys, desc, explode_names,
+    asc, best_per_key, calendar, consolidate_keys, desc, explode_names,
     join_first_available, number_in_group, top_k_per_group, trailing_window_sum,
 )
 from rankforge.operators import quality as Q
@@ -102,12 +102,35 @@ def test_consolidate_keys(spark):
     assert got == [(" ", " ", "u3"), ("1", "1", "u1"), ("2", "2", None), ("u2", None, "u2")]
 
 
-def test_bounded_broadcast_falls_back_beyond_bound(spark):
-    df = spark.range(10)
-    b, ok = bounded_broadcast(df, max_rows=100)
-    assert ok and b.count() == 10
-    nb, ok2 = bounded_broadcast(df, max_rows=5)
-    assert not ok2 and nb.count() == 10
+def test_first_landing_plans_start_no_job(spark):
+    """Building the roll-up and the window reads nothing."""
+    from rankforge.operators import rollup_over_bridge
+
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    b = spark.range(10).selectExpr("id as book", "id % 2 as author")
+    f = spark.range(10).selectExpr("id % 2 as author", "id as week", "id as v")
+    rollup_over_bridge(b, f, "author", ["book", "week"], "v")
+    d = spark.range(10).selectExpr("date_add(date'2024-01-01', cast(id as int)) as d", "id as v", "1 as g")
+    trailing_window_sum(d, d.select(F.col("d").alias("a")), "d", "a", ["g"], "v")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_hot_links_spread_over_many_tasks(spark):
+    """16 equally hot authors: the join's rows come from more than 16 partitions."""
+    from rankforge.operators.bridge import rollup_over_bridge
+
+    bridge = spark.range(16 * 200).selectExpr("id as book", "id % 16 as author")
+    facts = spark.range(16 * 4).selectExpr("id % 16 as author", "id div 16 as week", "id as v")
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        out = rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v")
+        want = bridge.join(facts, "author").groupBy("book", "week").agg(F.sum("v").alias("v"))
+        assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+        parts = bridge.withColumn("__part", F.pmod(F.xxhash64("book"), F.lit(16)).cast("int")).repartition(64, "author", "__part")
+        assert parts.select(F.spark_partition_id().alias("p")).distinct().count() > 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
 
 
 def test_calendar_is_inclusive(spark):
@@ -189,21 +212,12 @@ def test_join_first_available_three_keys(spark):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
-def test_beyond_the_broadcast_bound_results_are_the_same(spark):
-    """Over the size bound the operators fall back to shuffle joins; same rows."""
-    from rankforge.operators import rollup_over_bridge
-
+def test_window_without_pre_aggregation_gives_the_same_sums(spark):
     rnd = random.Random(4)
-    bridge = spark.createDataFrame([(f"b{i}", f"a{rnd.randint(0, 5)}") for i in range(40)], "book string, author string")
-    facts = spark.createDataFrame([(f"a{a}", w, rnd.randint(0, 9)) for a in range(6) for w in range(5)],
-                                  "author string, week int, v long")
-    small = rows(rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v"))
-    big = rows(rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v", max_broadcast_rows=3))
-    assert small == big and len(small) > 0
     base = dt.date(2024, 1, 1)
     f = spark.createDataFrame([(rnd.choice("xy"), base + dt.timedelta(days=rnd.randint(0, 20)), 1) for _ in range(60)],
                               "g string, d date, v long")
     a = spark.createDataFrame([(base + dt.timedelta(days=d),) for d in range(0, 21, 4)], "a date")
     w1 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s"))
-    w2 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s", max_broadcast_rows=2))
+    w2 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s", pre_aggregate=False))
     assert w1 == w2 and len(w1) > 0
