@@ -21,7 +21,7 @@ from rankforge.operators.quality import run_checks
 from rankforge.plans import intermediate as I
 from rankforge.plans import marts as M
 from rankforge.plans import staging as S
-from rankforge.sources.io import as_table
+from rankforge.sources.io import as_table, latest_landing
 
 # What each model reads (the model dependency graph).
 DEPENDS = {
@@ -30,7 +30,7 @@ DEPENDS = {
     "best_volume_isbn": ["stg_volumes_isbn"],
     "wiki_author_map": ["stg_pageviews"],
     "dim_week": ["stg_ranked_list"],
-    "book_keys": ["stg_ranked_list", "best_volume_search"],
+    "book_keys": ["stg_ranked_list", "stg_volumes_search"],
     "fct_pageviews_daily": ["stg_pageviews"],
     "author_parse": ["book_keys", "best_volume_search", "stg_ranked_list"],
     "dim_book": ["book_keys", "best_volume_isbn", "best_volume_search", "stg_ranked_list"],
@@ -82,7 +82,7 @@ MODEL_ORDER = [
 # block is recomputed from lineage. The page-view staging model is left out
 # on purpose: it is the one input that grows with traffic, and its consumers
 # only need a scan each.
-SHARED_MODELS = {"stg_ranked_list", "best_volume_search", "book_keys", "author_parse", "dim_week"}
+SHARED_MODELS = {"stg_ranked_list", "listed_volumes", "book_keys", "author_parse", "dim_week"}
 
 # Models materialised as tables by ``build`` (the rest stay views).
 TABLE_MODELS = {
@@ -100,12 +100,15 @@ class ModelGraph:
     calendar. ``strip_decimal``/``collapse_ws`` switch on the intended
     (rather than the reference's literal) text clean-up;
     ``null_authors_as_text`` reproduces the reference's phantom "null" author.
+    ``dedup_latest`` keeps the latest landing of rows that were landed again;
+    by default they count again, as the append-only landing has them.
     """
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | _dt.date,
                  strip_decimal: bool = False, collapse_ws: bool = False,
-                 reuse_shared: bool = True, null_authors_as_text: bool = False):
-        self.raw = raw
+                 reuse_shared: bool = True, null_authors_as_text: bool = False,
+                 dedup_latest: bool = False):
+        self.raw = {n: latest_landing(df, n) for n, df in raw.items()} if dedup_latest else raw
         self.null_authors_as_text = null_authors_as_text
         self.as_of = as_of
         self.strip_decimal = strip_decimal
@@ -124,13 +127,9 @@ class ModelGraph:
         return df
 
     def release(self) -> None:
-        """Unpersist the shared models and the size-checked broadcast sides
-        (for long-lived sessions running many graphs)."""
-        from rankforge.operators.joins import release_broadcast_sides
-
+        """Unpersist the shared models (for long-lived sessions running many graphs)."""
         while self._persisted:
             self._persisted.pop().unpersist()
-        release_broadcast_sides()
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Swap a model for its materialised copy (used by ``build``)."""
@@ -165,22 +164,27 @@ class ModelGraph:
             return I.best_volume(self._m("stg_volumes_search"), match_isbn=True)
         return I.best_volume(S.parse_volumes(self.raw["catalogue_search"]), match_isbn=True)
 
+    @cached_property
+    def listed_volumes(self):
+        """What the marts read of the best volumes: no JSON document, so the
+        shared copy is narrow and documents are parsed for the fields read."""
+        return I.narrow_volumes(self._m("best_volume_search"), self.null_authors_as_text)
+
     @cached_property
     def best_volume_isbn(self):
         return I.best_volume(self._m("stg_volumes_isbn"), match_isbn=False)
 
     @cached_property
     def book_keys(self):
-        # Reads the persisted best volumes (shared with three other models)
-        # rather than re-scanning the staged catalogue for its ISBN set.
-        return I.book_keys(self._m("stg_ranked_list"), self._m("best_volume_search"),
+        # Only the catalogue's ISBN set matters: a one-column scan of the staged
+        # catalogue, no JSON parsing and no ranking of volumes.
+        return I.book_keys(self._m("stg_ranked_list"), self._m("stg_volumes_search"),
                            self.strip_decimal)
 
     @cached_property
     def author_parse(self):
-        return I.author_parse(self._m("book_keys"), self._m("best_volume_search"),
-                              self._m("stg_ranked_list"), self.collapse_ws,
-                              self.null_authors_as_text)
+        return I.author_parse(self._m("book_keys"), self._m("listed_volumes"),
+                              self._m("stg_ranked_list"), self.collapse_ws)
 
     @cached_property
     def wiki_author_map(self):
@@ -194,7 +198,7 @@ class ModelGraph:
     @cached_property
     def dim_book(self):
         return M.dim_book(self._m("book_keys"), self._m("best_volume_isbn"),
-                          self._m("best_volume_search"), self._m("stg_ranked_list"),
+                          self._m("listed_volumes"), self._m("stg_ranked_list"),
                           self.strip_decimal)
 
     @cached_property
@@ -218,7 +222,7 @@ class ModelGraph:
 
     @cached_property
     def fct_catalogue_snapshot(self):
-        return M.fct_catalogue_snapshot(self._m("best_volume_search"), self._m("book_keys"))
+        return M.fct_catalogue_snapshot(self._m("listed_volumes"), self._m("book_keys"))
 
     @cached_property
     def fct_pageviews_daily(self):

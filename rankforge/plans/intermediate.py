@@ -49,6 +49,22 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     return best_per_key(base, ["isbn13_clean"], order).select(*cols)
 
 
+def authors_text(null_authors_as_text: bool = False):
+    """The catalogue's author list of a volume, as comma-separated text."""
+    authors = json_list_as_csv("volumeinfo", "$.authors")
+    if null_authors_as_text:
+        explicit_null = (F.array_contains(F.json_object_keys("volumeinfo"), "authors")
+                         & F.get_json_object("volumeinfo", "$.authors").isNull())
+        authors = F.when(explicit_null, F.lit("null")).otherwise(authors)
+    return authors
+
+
+def narrow_volumes(best_search: DataFrame, null_authors_as_text: bool = False) -> DataFrame:
+    """The best volumes' fields that the marts read, and their authors' text; no JSON document."""
+    return best_search.select("isbn13_clean", "gbooks_id", "gbooks_selflink", "extracted_at", "average_rating",
+                              "ratings_count", authors_text(null_authors_as_text).alias("authors_text"))
+
+
 def book_keys(stg_list: DataFrame, best_search: DataFrame, strip_decimal: bool = False) -> DataFrame:
     """One row per book natural key (ISBN, else list URI) with an MD5 key.
 
@@ -81,11 +97,8 @@ def author_parse(keys: DataFrame, best_search: DataFrame, stg_list: DataFrame,
     used); ``null_authors_as_text=True`` reproduces the reference instead,
     where it reads as the text ``null`` - a phantom author named "null".
     """
-    authors = json_list_as_csv("volumeinfo", "$.authors")
-    if null_authors_as_text:
-        explicit_null = (F.array_contains(F.json_object_keys("volumeinfo"), "authors")
-                         & F.get_json_object("volumeinfo", "$.authors").isNull())
-        authors = F.when(explicit_null, F.lit("null")).otherwise(authors)
+    authors = (F.col("authors_text") if "authors_text" in best_search.columns
+               else authors_text(null_authors_as_text))
     gb = best_search.select(F.col("isbn13_clean").alias("__gb_isbn"), authors.alias("__gb_authors"))
     nyt = stg_list.select(F.col("isbn13").alias("__nyt_isbn"), F.col("author_nyt"))
     base = (keys.join(gb, keys["isbn13_clean"] == gb["__gb_isbn"], "left")

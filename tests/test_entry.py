@@ -12,7 +12,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 
 def test_contract_names_match():
-    assert set(E.oracle_sql()) == set(E.queries())
+    names = set(E.queries())
+    assert set(E.oracle_sql()) <= names
+    # Only the optional training-data queries may lack SQL.
+    assert all(n in E.oracle_sql() for n in names if n != "pipeline" and not n.startswith("op"))
 
 
 def test_entry_runs(spark):
@@ -23,7 +26,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", ["weekly_scorecard", "dim_book", "author_parse", "bridge_book_author",
                                   "fct_author_views_7d", "dim_date", "report_weekly_kpi",
-                                  "check_relationships"])
+                                  "check_relationships", "check_between", "fct_pageviews_daily_dedup", "report_export_round_trip"])
 def test_matches_oracle(spark, name):
     r = compare(spark, name, SF)
     assert r["ok"], (r["rows"], r["cols"], r["hash_match"])
