@@ -92,7 +92,7 @@ def test_cli_build_and_export(spark, tmp_dir):
         land_append(df, raw_root, name)
     marts = os.path.join(tmp_dir, "marts")
     assert main(["build", "--raw", raw_root, "--out", marts, "--as-of", "2001-12-31"]) == 0
-    assert spark.sql("select count(*) from weekly_scorecard").first()[0] == 4983
+    assert spark.sql("select count(*) from weekly_scorecard").first()[0] == 4781
     # a week filter on the built wide table prunes its published_date folders
     from rankforge.operators.reports import top_k_for
     plan = top_k_for(spark.table("weekly_scorecard"), 15, "1998-01-05")._jdf.queryExecution() \
