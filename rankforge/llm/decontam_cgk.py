@@ -42,13 +42,15 @@ from pyspark.sql import types as T
 from rankforge.llm.common import chunks, share
 
 MAX_DISTANCE = 0.2
-TABLES = 4
+TABLES = 6
 EARLY, EARLY_STEPS = 10, 20
 LATE = 4
 LEAST_ITEM = 24
 ITEM_BLOCK = 5_000
 #: Bytes of text looked at together.
-PIECE = 1 << 21
+PIECE = 1 << 22
+#: Windows that walk together: their state stays in a core's cache.
+AT_ONCE = 1 << 16
 _BITS = 20
 
 LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
@@ -89,8 +91,8 @@ def walks(sizes: list[int], tables: int, seed: int = 11) -> list[Walk]:
 
 
 def _mix(key: np.ndarray, c: np.ndarray) -> np.ndarray:
-    key = (key ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return key ^ (key >> np.uint64(29))
+    key = (key ^ c) * np.uint32(0x9E3779B1)
+    return key ^ (key >> np.uint32(15))
 
 
 def walk_windows(buf: np.ndarray, start: np.ndarray, walk: Walk, size: int, kept=None, begun=None):
@@ -101,7 +103,7 @@ def walk_windows(buf: np.ndarray, start: np.ndarray, walk: Walk, size: int, kept
     """
     rows = np.arange(len(start))
     if begun is None:
-        pos, key = start.astype(np.int32), np.full(len(start), 17, np.uint64)
+        pos, key = start.astype(np.int32), np.full(len(start), 17, np.uint32)
         for j in range(walk.early[-1] + 1):
             c = buf.take(pos)
             if j in walk.early:
@@ -168,7 +170,7 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
             maps = []
             for _, _, key in walk_windows(buf, start, walk, w):
                 maps.append(np.zeros(1 << _BITS, bool))
-                maps[-1][key >> np.uint64(64 - _BITS)] = True
+                maps[-1][key >> np.uint32(32 - _BITS)] = True
             early[t] |= maps[0]
             full = defaultdict(list)
             for k, i, s in zip(key.tolist(), who.tolist(), inside.tolist(), strict=True):
@@ -180,18 +182,26 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
 def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(item, where the item would begin, hit, table) for each hit of an LSH table."""
     out = set()
-    starts = word_starts(buf)
+    every = word_starts(buf)
     for t, walk in enumerate(index.walks):
-        _, pos, key = next(walk_windows(buf, starts, walk, index.sizes[0]))
+        begun = []
+        for at in range(0, len(every), AT_ONCE):
+            _, pos, key = next(walk_windows(buf, every[at:at + AT_ONCE], walk, index.sizes[0]))
+            on = np.flatnonzero(index.early[t][key >> np.uint32(32 - _BITS)])
+            begun.append((on + at, pos[on], key[on]))
+        if not begun:
+            continue
+        row, pos, key = (np.concatenate(x) for x in zip(*begun, strict=True))
+        starts = every[row]
         for w in index.sizes:
             maps = index.seen[t, w]
-            on = np.flatnonzero(maps[0][key >> np.uint64(64 - _BITS)])
+            on = np.flatnonzero(maps[0][key >> np.uint32(32 - _BITS)])
             if not len(on):
                 continue
-            for rows, _, full in walk_windows(buf, starts[on], walk, w, lambda n, k, maps=maps: maps[n][k >> np.uint64(64 - _BITS)], (pos[on], key[on])):
+            for rows, _, full in walk_windows(buf, starts[on], walk, w, lambda n, k, maps=maps: maps[n][k >> np.uint32(32 - _BITS)], (pos[on], key[on])):
                 pass
-            on, full = on[rows], full
-            hit = np.flatnonzero(maps[-1][full >> np.uint64(64 - _BITS)])
+            on = on[rows]
+            hit = np.flatnonzero(maps[-1][full >> np.uint32(32 - _BITS)])
             table = index.at[t, w]
             for p, k in zip(starts[on[hit]].tolist(), full[hit].tolist(), strict=True):
                 out.update((i, p - s, p, t) for i, s in table.get(k, ()))
