@@ -27,6 +27,8 @@ columns are not read (``mixed`` passes them through).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +38,6 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 FILLS = 3
-#: Documents for each bucket of the running sums.
-BUCKET_ROWS = 50_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -87,7 +87,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     narrow = written(narrow.withColumn("u", uniform("doc_id", "source", "_h")).drop("_h"), "mix-sizes")
     goal = written(targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     goal = goal.select(F.col("source").alias("_g"), "source_size", "target")
-    buckets = max(1, -(-narrow.count() // BUCKET_ROWS))
+    buckets = max(1, math.isqrt(narrow.count()))  # as many buckets as documents in one, at most: both steps stay small
     m = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (narrow.join(goal, F.col("source").eqNullSafe(F.col("_g"))).drop("_g")
             .withColumn("sure", F.floor(m + 1e-9)).withColumn("f", F.greatest(m - F.col("sure"), F.lit(0.0)))
@@ -101,7 +101,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         now = open_.withColumn("extra", enough.cast("int"))
         rows = written(now.drop("upto").unionByName(rows.where(~fits)), f"mix-fill{n}")
         if not last:
-            used = rows.groupBy("source").agg(F.sum(F.col("extra") * F.col("size")).alias("_used")).withColumnRenamed("source", "_g")
+            used = written(rows.groupBy("source").agg(F.sum(F.col("extra") * F.col("size")).alias("_used")).withColumnRenamed("source", "_g"), f"mix-used{n}")
             rows = rows.join(used, F.col("source").eqNullSafe(F.col("_g"))).withColumn("left", F.greatest(F.col("target") - F.col("sure") * F.col("source_size") - F.col("_used"), F.lit(0.0))).drop("_g", "_used")
     n = F.least(F.col("sure") + F.col("extra"), F.lit(int(most))).cast("int")
     return rows.select(*keep, "doc_id", "source", "size", "source_size", "target", n.alias("copies"), (n * F.col("size")).cast("long").alias("taken"))
