@@ -132,6 +132,13 @@ def word_starts(buf: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~gap & np.append(True, gap[:-1]))
 
 
+def _bitmaps(places: list[np.ndarray]) -> list[np.ndarray]:
+    out = [np.zeros(1 << _BITS, bool) for _ in places]
+    for bitmap, at in zip(out, places, strict=True):
+        bitmap[at] = True
+    return out
+
+
 @dataclass
 class Items:
     ids: list
@@ -144,6 +151,15 @@ class Items:
     early: list[np.ndarray]
     max_distance: float
 
+    def __getstate__(self):
+        """Bitmaps travel as the places that are set: a broadcast is copied to the disks of all executors."""
+        places = lambda maps: [np.flatnonzero(m).astype(np.uint32) for m in maps]
+        return self.__dict__ | {"seen": {k: places(v) for k, v in self.seen.items()}, "early": places(self.early)}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self.seen, self.early = {k: _bitmaps(v) for k, v in self.seen.items()}, _bitmaps(self.early)
+
 
 def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables: int = TABLES) -> Items:
     """items: (id, text); ids of equal texts are kept together."""
