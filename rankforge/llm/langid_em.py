@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.llm.common import TEXT_BATCH, per_text, share
+from rankforge.llm.common import TEXT_BATCH, per_text, share, written
 
 BINS = 1 << 15
 SMOOTH = 0.3
 ROUNDS = 12
 PENALTY = 1.0
 PER_LANGUAGE = 500
+PARTS = 16
 #: Words whose likelihoods are worked out at once, and bytes of text whose words are held.
 PIECE = 1 << 16
 HELD = 1 << 22
@@ -86,10 +87,13 @@ def count_grams(texts: list) -> np.ndarray:
 def fit(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Models:
     """``learn``: a condition on the id; other rows' languages are never read."""
     rows = docs.where(learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    # The sample's ids first: narrow rows, and a limit that is applied before the shuffle.
-    by = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), "id"), "id")
-    ids = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("n", F.row_number().over(by))
-           .where(F.col("n") <= per_language).select("id", "lang").distinct())
+    # The sample's ids first: narrow rows, limited in parts and then for each language, so no task gets more than parts * per_language of them.
+    narrow = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        by = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit("language"), "id"), "id")
+        narrow = narrow.withColumn("n", F.row_number().over(by)).where(F.col("n") <= per_language)
+    # Written, so that its size is known: small enough, it is broadcast and no text is dealt out.
+    ids = written(narrow.select("id", "lang").distinct(), "language-sample")
     sample = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(ids, ["id", "lang"])
 
     def count(batches):
