@@ -1,13 +1,19 @@
 """Toxicity by the nearest labelled examples.
 
-Exact TF-IDF cosine against a bounded set of labelled examples, searched
-through an inverted index whose posting lists are cut into blocks of
-``BLOCK`` examples. Every (term, block) keeps its largest weight, so a query's
-bound for a block is one sparse dot product; blocks are visited from the
-highest bound, and a block whose bound can't reach the query's k-th score so far is
+Exact TF-IDF cosine, over all terms, against a bounded set of labelled examples,
+searched through an inverted index of every term that an example has. Terms that many
+examples have are dense rows in blocks of ``BLOCK`` examples, and every (term, block)
+keeps its largest weight; the posting lists of the others are added up first. A query's
+bound for a block is one dot product plus the block's largest sum so far; blocks are visited
+from the highest bound, and a block whose bound can't reach the query's k-th score so far is
 skipped. The k neighbours vote with weight cosine**SHARPNESS; a logistic
 curve fitted on further labelled rows turns the vote into a probability.
 
+A text's own length scales all of its cosines alike: neighbours, vote and score don't
+depend on it. The evidence's cosines do: the terms of a text that no example has are
+counted over all documents and joined to the texts (a left join by a digest of the text,
+which Spark leaves out where the evidence isn't selected).
+
 Document frequencies count every document. Only the examples and the
 calibration rows are a (documented) bounded sample: ``max_examples`` of each
 class and ``max_calibration`` rows, the smallest by hash of their id.
@@ -21,6 +27,7 @@ scored alike. Without any usable labels every score is 0.0.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -37,9 +44,11 @@ K = 31
 SHARPNESS = 2.0
 MAX_EXAMPLES = 1000
 MAX_CALIBRATION = 2000
-#: A term is indexed if this share of the examples has it, at least.
-MIN_SHARE = 0.03
-MAX_TERMS = 8000
+#: Terms that this share of the examples has are dense rows, the most frequent ones; all others are posting lists.
+DENSE_SHARE = 0.03
+MAX_DENSE = 8000
+#: Products of posting lists that are held at once.
+AT_ONCE = 1 << 22
 
 # Every ASCII character that is neither letter nor digit separates; A-Z become a-z.
 _SEPARATE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -51,27 +60,39 @@ def tokens(text: str | None) -> list[bytes]:
 
 @dataclass
 class Index:
-    terms: dict[bytes, int]
+    terms: dict[bytes, int]  # the dense ones first
     idf: np.ndarray
     ids: list
     toxic: np.ndarray
     blocks: list[tuple[int, np.ndarray, np.ndarray]]  # first example, terms it has, weights (terms x examples)
-    highest: np.ndarray  # terms x blocks
+    highest: np.ndarray  # dense terms x blocks
+    first: np.ndarray  # by other term: where its postings begin, and the end
+    who: np.ndarray
+    weight: np.ndarray
     curve: np.ndarray
     k: int
 
 
-def vectors(texts: list, terms: dict[bytes, int], idf: np.ndarray) -> np.ndarray:
-    """Rows of (1 + ln tf) * idf, of length 1 or, without terms, 0."""
-    out = np.zeros((len(texts), len(idf)), np.float32)
-    for i, text in enumerate(texts):
-        found = [t for t in map(terms.get, tokens(text)) if t is not None]
-        if found:
-            tf = np.bincount(found)
-            at = np.flatnonzero(tf)
-            out[i, at] = (1 + np.log(tf[at])) * idf[at]
-    norm = np.sqrt((out * out).sum(1, keepdims=True))
-    return out / np.where(norm > 0, norm, 1)
+@dataclass
+class Vectors:
+    """Rows of (1 + ln tf) * idf, of length 1 or, without known terms, 0."""
+    dense: np.ndarray
+    row: np.ndarray  # the other terms: row, number among the others, weight
+    term: np.ndarray
+    weight: np.ndarray
+    norm: np.ndarray  # before
+
+
+def vectors(bags: list[dict], terms: dict[bytes, int], idf: np.ndarray, n_dense: int) -> Vectors:
+    found = [[(i, terms[t], n) for t, n in bag.items() if t in terms] for i, bag in enumerate(bags)]
+    row, term, tf = np.array([x for f in found for x in f], np.int64).reshape(-1, 3).T
+    weight = (1 + np.log(tf)) * idf[term]
+    norm = np.sqrt(np.bincount(row, weight * weight, len(bags)))
+    weight = (weight / norm[row]).astype(np.float32)
+    own = term < n_dense
+    dense = np.zeros((len(bags), n_dense), np.float32)
+    dense[row[own], term[own]] = weight[own]
+    return Vectors(dense, row[~own], term[~own] - n_dense, weight[~own], norm)
 
 
 def ordered_by_likeness(x: np.ndarray, rounds: int = 4, seed: int = 7) -> np.ndarray:
@@ -85,29 +106,53 @@ def ordered_by_likeness(x: np.ndarray, rounds: int = 4, seed: int = 7) -> np.nda
     return np.argsort(near, kind="stable")
 
 
-def build_index(x: np.ndarray, ids: list, toxic: np.ndarray, terms: dict, idf: np.ndarray, k: int = K) -> Index:
+def build_index(x: np.ndarray, ids: list, toxic: np.ndarray, terms: dict, idf: np.ndarray, k: int = K, others: Vectors | None = None) -> Index:
+    """x: the examples' dense terms; others: the rest of them."""
     order = ordered_by_likeness(x) if len(x) else np.zeros(0, int)
     x, toxic, ids = x[order], toxic[order], [ids[i] for i in order]
-    blocks, highest = [], np.zeros((len(idf), -(-len(x) // BLOCK)), np.float32)
+    blocks, highest = [], np.zeros((x.shape[1], -(-len(x) // BLOCK)), np.float32)
     for b, at in enumerate(range(0, len(x), BLOCK)):
         part = x[at:at + BLOCK]
         has = np.flatnonzero(part.any(0))
         blocks.append((at, has, np.ascontiguousarray(part[:, has].T)))
         highest[:, b] = part.max(0)
-    return Index(terms, idf, ids, toxic, blocks, highest, np.zeros(2), k)
-
-
-def nearest(index: Index, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest cosines of each row and their examples (-1: none), ties to the smaller example."""
+    first, who, weight = np.zeros(len(idf) - x.shape[1] + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)
+    if others is not None:
+        by_term = np.argsort(others.term, kind="stable")
+        first = np.searchsorted(others.term[by_term], np.arange(len(first)))
+        who, weight = np.argsort(order)[others.row[by_term]].astype(np.int32), others.weight[by_term]
+    return Index(terms, idf, ids, toxic, blocks, highest, first, who, weight, np.zeros(2), k)
+
+
+def posted(index: Index, q: Vectors) -> np.ndarray:
+    """What the terms of posting lists add to the cosine of each row with each example."""
+    n, m = len(q.dense), len(index.ids)
+    out = np.zeros(n * m)
+    size = index.first[q.term + 1] - index.first[q.term]
+    total = np.cumsum(size)
+    cuts = np.searchsorted(total, np.arange(AT_ONCE, total[-1] if len(total) else 0, AT_ONCE))
+    for a, b in zip([0, *cuts], [*cuts, len(size)], strict=True):
+        s = size[a:b]
+        at = np.repeat(index.first[q.term[a:b]] - np.cumsum(s) + s, s) + np.arange(s.sum())
+        out += np.bincount(np.repeat(q.row[a:b], s) * m + index.who[at], np.repeat(q.weight[a:b], s) * index.weight[at], n * m)
+    return out.reshape(n, m).astype(np.float32)
+
+
+def nearest(index: Index, q: np.ndarray, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest cosines of each row and their examples (-1: none), ties to the smaller example. more: what ``posted`` gives."""
     n, k = len(q), index.k
     score, who = np.zeros((n, k), np.float32), np.full((n, k), -1)
     bound = q @ index.highest + 1e-5
+    if more is not None:
+        bound += np.maximum.reduceat(more, [at for at, _, _ in index.blocks], axis=1)
     for b in np.argsort(-bound.mean(0), kind="stable"):
         at, has, weights = index.blocks[b]
         rows = np.flatnonzero(bound[:, b] > score[:, -1])
         if not len(rows):
             continue
         s = q[np.ix_(rows, has)] @ weights
+        if more is not None:
+            s += more[rows, at:at + s.shape[1]]
         everyone = np.hstack([score[rows], s])
         number = np.hstack([who[rows], np.broadcast_to(np.arange(at, at + s.shape[1]), s.shape)])
         order = np.lexsort((number, -everyone))[:, :k]
@@ -116,10 +161,10 @@ def nearest(index: Index, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return score, who
 
 
-def votes(index: Index, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def votes(index: Index, q: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not index.blocks:
-        return np.zeros(len(q)), np.zeros((len(q), index.k)), np.full((len(q), index.k), -1)
-    score, who = nearest(index, q)
+        return np.zeros(len(q.dense)), np.zeros((len(q.dense), index.k)), np.full((len(q.dense), index.k), -1)
+    score, who = nearest(index, q.dense, posted(index, q))
     w = np.where(who >= 0, score.astype(float) ** SHARPNESS, 0)
     total = w.sum(1)
     prior = index.toxic.mean()
@@ -149,30 +194,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     ids = sorted((i for i in seen if role[i][1] == "example"), key=str)
     calibration = sorted((i for i in seen if role[i][1] == "calibration"), key=str)
     have = Counter(t for i in ids for t in seen[i])
-    least = max(2, MIN_SHARE * len(ids))
-    kept = sorted((t for t, n in have.items() if n >= least), key=lambda t: (-have[t], t))[:MAX_TERMS]
-    terms = {t: i for i, t in enumerate(kept)}
+    terms = {t: i for i, t in enumerate(sorted(have, key=lambda t: (-have[t], t)))}
+    n_dense = min(MAX_DENSE, sum(n >= max(2, DENSE_SHARE * len(ids)) for n in have.values()))
     idf = document_frequencies(docs, text_col, terms)
 
     def x_of(which):
-        return vectors_of_bags([seen[i] for i in which], terms, idf)
+        return vectors([seen[i] for i in which], terms, idf, n_dense)
 
-    index = build_index(x_of(ids), ids, np.array([role[i][0] for i in ids], float), terms, idf, k)
+    x = x_of(ids)
+    index = build_index(x.dense, ids, np.array([role[i][0] for i in ids], float), terms, idf, k, x)
     v, _, _ = votes(index, x_of(calibration))
     index.curve = calibrated(v, [role[i][0] for i in calibration], n)
     return index
 
 
-def vectors_of_bags(bags: list[dict], terms: dict[bytes, int], idf: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(bags), len(idf)), np.float32)
-    for i, bag in enumerate(bags):
-        for t, n in bag.items():
-            if t in terms:
-                out[i, terms[t]] = (1 + np.log(n)) * idf[terms[t]]
-    norm = np.sqrt((out * out).sum(1, keepdims=True))
-    return out / np.where(norm > 0, norm, 1)
-
-
 def document_frequencies(docs: DataFrame, text_col: str, terms: dict[bytes, int]) -> np.ndarray:
     """idf of each indexed term over all documents: one row of sums per task, then one."""
     n_terms = len(terms)
@@ -186,7 +221,9 @@ def document_frequencies(docs: DataFrame, text_col: str, terms: dict[bytes, int]
                 n += 1
                 if text:
                     total[[t for t in map(get, set(tokens(text))) if t is not None]] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_terms + 1)), pa.array(np.append(total, n))], names=["term", "n"])
+        total = np.append(total, n)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
 
     sums = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     df = np.zeros(n_terms + 1)
@@ -195,19 +232,53 @@ def document_frequencies(docs: DataFrame, text_col: str, terms: dict[bytes, int]
     return np.log((1 + df[-1]) / (1 + df[:-1])) + 0.1
 
 
+def digest(text: str | None) -> bytes:
+    return hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=16).digest()
+
+
+def unknown_lengths(docs: DataFrame, held, text_col: str) -> DataFrame:
+    """(_digest, _more): by text, the sum of the squared weights of its terms that no example has; only texts with such terms.
+
+    Frequencies are counted over all documents; a term's rows meet its count in a join, counts of 1 left out.
+    """
+    n = F.broadcast(docs.agg(F.count(F.lit(1)).alias("_n")))
+
+    def unknown(texts):
+        terms = held().terms
+        bags = [Counter(t for t in tokens(x) if t not in terms) for x in texts]
+        return {"_digest": pa.array([digest(x) for x in texts], pa.binary()), "_terms": pa.array([[*b] for b in bags], pa.list_(pa.binary())),
+                "_tfs": pa.array([[*b.values()] for b in bags], pa.list_(pa.int32()))}
+
+    rows = per_text(docs, [], text_col, unknown, [T.StructField("_digest", T.BinaryType()), T.StructField("_terms", T.ArrayType(T.BinaryType())),
+                                                  T.StructField("_tfs", T.ArrayType(T.IntegerType()))])
+    rows = rows.select("_digest", F.explode(F.arrays_zip("_terms", "_tfs")).alias("_x")).select("_digest", F.col("_x._terms").alias("_term"), F.col("_x._tfs").alias("_tf"))
+    texts = rows.dropDuplicates(["_term", "_digest"])  # repeated texts: once
+    often = rows.groupBy("_term").agg(F.count(F.lit(1)).alias("_all")).where("_all > 1")
+    idf = F.log((1 + F.col("_n")) / (1 + F.coalesce(F.col("_all"), F.lit(1)))) + 0.1
+    weight = (1 + F.log("_tf")) * idf
+    return texts.join(often, "_term", "left").crossJoin(n).groupBy("_digest").agg(F.sum(weight * weight).alias("_more"))
+
+
 def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (the id by default), ``score``, ``predicted`` and ``evidence``: the neighbours, nearest first."""
     held = share(docs.sparkSession, index)
 
     def run(texts):
         ix = held()
-        v, s, who = votes(ix, vectors(texts, ix.terms, ix.idf))
+        q = vectors([Counter(tokens(x)) for x in texts], ix.terms, ix.idf, len(ix.highest))
+        v, s, who = votes(ix, q)
         p = sigmoid(ix.curve[0] * v + ix.curve[1]) if ix.blocks else np.zeros(len(texts))
         evidence = [[{"example": str(ix.ids[e]), "cosine": float(c), "label": int(ix.toxic[e])} for c, e in zip(cs, es, strict=True) if e >= 0]
                     for cs, es in zip(s, who, strict=True)]
         return {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32)),
-                "evidence": pa.array(evidence, pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())])))}
+                "_found": pa.array(evidence, pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))),
+                "_norm": pa.array(q.norm), "_digest": pa.array([digest(x) for x in texts], pa.binary())}
 
-    return per_text(docs, keep or [id_col], text_col, run, [
+    kept = keep or [id_col]
+    found = per_text(docs, kept, text_col, run, [
         T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
-        T.StructField("evidence", T.ArrayType(T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())])))])
+        T.StructField("_found", T.ArrayType(T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())]))),
+        T.StructField("_norm", T.DoubleType()), T.StructField("_digest", T.BinaryType())])
+    part = F.col("_norm") / F.sqrt(F.col("_norm") * F.col("_norm") + F.coalesce("_more", F.lit(0.0)))
+    evidence = F.transform("_found", lambda e: F.struct(e["example"].alias("example"), (e["cosine"] * part).alias("cosine"), e["label"].alias("label")))
+    return found.join(unknown_lengths(docs, held, text_col), "_digest", "left").select(*kept, "score", "predicted", evidence.alias("evidence"))

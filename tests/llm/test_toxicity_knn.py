@@ -63,3 +63,27 @@ def test_edges(spark):
     assert t.score(docs(spark, []), index).collect() == []
     none = t.fit(docs(spark, rows), lab.limit(0), F.lit(True))
     assert {(r.score, r.predicted) for r in t.score(docs(spark, rows), none).collect()} == {(0.0, 0)}
+
+
+def test_rare_words_count_as_in_brute_force(spark):
+    """Neighbours and cosines from the raw texts, with words that one or two examples, or no example, have."""
+    from collections import Counter
+
+    rows, labels = corpus(4, 150)
+    rnd = random.Random(5)
+    rows = [(i, f"{x} only{i} pair{i // 2} group{rnd.randrange(9)} far{i % 40 if i >= 120 else 'x'}") for i, x in rows] + [(900, "unheard words alone"), (901, rows[0][1] + " only0 unheard unheard")]
+    df = docs(spark, rows).repartition(3)
+    index = t.fit(df, spark.createDataFrame(labels[:120], "doc_id long, toxic int"), F.lit(True), k=7)
+    bags = {i: Counter(x.split()) for i, x in rows}
+    many = Counter(w for b in bags.values() for w in b)
+    vec = {i: {w: (1 + np.log(n)) * (np.log((1 + len(rows)) / (1 + many[w])) + .1) for w, n in b.items()} for i, b in bags.items()}
+    norm = {i: np.sqrt(sum(x * x for x in v.values())) for i, v in vec.items()}
+    out = t.score(df, index).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        v = vec[r.doc_id]
+        cosine = {e: sum(x * vec[e].get(w, 0) for w, x in v.items()) / norm[r.doc_id] / norm[e] for e in index.ids}
+        best = sorted((c for c in cosine.values() if c > 0), reverse=True)[:7]
+        assert np.allclose([e.cosine for e in r.evidence], best, atol=1e-5)
+        assert all(abs(e.cosine - cosine[int(e.example)]) < 1e-5 for e in r.evidence)
+    assert "Join" not in t.score(df, index).select("doc_id", "score")._jdf.queryExecution().optimizedPlan().toString()
