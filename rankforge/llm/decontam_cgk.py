@@ -5,9 +5,8 @@ walk reads a string step by step: step j copies the character under the
 pointer and moves on by R_j(character), 0 or 1 at random, so strings a few edits
 apart get embeddings with small Hamming distance. One LSH table keeps the
 characters of a few sampled steps as its key, and tables with walks of their
-own are repeated (``TABLES``) for a recall of 0.9 or more where up to a tenth of an
-item's characters are edited; a test measures it against brute force, and the README
-gives the lower recall closer to the 0.2 limit.
+own are repeated (``TABLES``) for a recall of 0.9 or more at any share of edited
+characters up to the 0.2 limit; a test measures it against brute force, and the README gives the figures.
 
 An item of L bytes gives windows of ``window_size(L)`` bytes (a power of two,
 from a third to three quarters of the item) at each of its words; every
@@ -42,9 +41,9 @@ from pyspark.sql import types as T
 from rankforge.llm.common import chunks, share
 
 MAX_DISTANCE = 0.2
-TABLES = 6
+TABLES = 24
 EARLY, EARLY_STEPS = 10, 20
-LATE = 4
+LATE = 3
 LEAST_ITEM = 24
 ITEM_BLOCK = 5_000
 #: Bytes of text looked at together.

@@ -88,3 +88,19 @@ def test_walks_are_the_same_wherever_a_window_is():
     buf = np.frombuffer(b"xx " + text + b" " + text + b"\0" * 300, np.uint8)
     keys = [k for _, _, k in g.walk_windows(buf, np.array([3, 4 + len(text)]), walk, 64)]
     assert all(k[0] == k[1] for k in keys)
+
+
+def test_recall_up_to_the_limit():
+    """At every share of edited characters up to MAX_DISTANCE, nine of ten of the pairs that brute force accepts are found."""
+    rnd = random.Random(7)
+    items = [(i, prose(rnd, rnd.randint(15, 45))) for i in range(200)]
+    index = g.index_items(items)
+    for rate in (0, .05, .1, .15, .18, .2):
+        texts, want = [], set()
+        for n, (i, item) in enumerate(items):
+            mid = edit(rnd, item, rate)
+            texts.append(prose(rnd, 30) + " " + mid + " " + prose(rnd, 30))
+            if distance(g.normal(item), g.normal(mid)) <= int(g.MAX_DISTANCE * len(g.normal(item))):
+                want.add((n, i))
+        found = {(n, r["item_id"]) for n, rows in enumerate(g.leaks(index, texts)) for r in rows}
+        assert len(found & want) / len(want) >= .9, rate
