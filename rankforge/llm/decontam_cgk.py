@@ -10,7 +10,11 @@ characters up to the 0.2 limit; a test measures it against brute force, and the
 
 An item of L bytes gives windows of ``window_size(L)`` bytes (a power of two,
 from a third to three quarters of the item) at each of its words; every
-document word starts one window of every size in use. All windows of
+document word starts one window of every size in use, and so does every ``step``-th
+byte from there to the next word, so that unspaced text has windows as well. The step is
+no longer than the stretch in which an item's windows can start. Where an item's next word is
+far, it gives windows at every byte up to it, as a document may count from elsewhere: an exact
+copy is found wherever it stands. All windows of
 all documents walk through the early sampled steps; only those whose key so far
 is a key of some item window walk on. Hits give (item, place) candidates, which a
 bit-parallel edit distance between the whole item and the best stretch of text
@@ -46,6 +50,8 @@ EARLY, EARLY_STEPS = 10, 20
 LATE = 3
 LEAST_ITEM = 24
 ITEM_BLOCK = 5_000
+#: Windows start this many bytes apart at most.
+STEP = 12
 #: Bytes of text looked at together.
 PIECE = 1 << 22
 #: Windows that walk together: their state stays in a core's cache.
@@ -125,10 +131,33 @@ def walk_windows(buf: np.ndarray, start: np.ndarray, walk: Walk, size: int, kept
         yield rows, pos, key
 
 
+# ASCII characters that are neither letter nor digit.
+_SEPARATES = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+
+
 def word_starts(buf: np.ndarray) -> np.ndarray:
-    """Starts of words: after a space or a zero byte, and not one of them."""
-    gap = buf <= 32
-    return np.flatnonzero(~gap & np.append(True, gap[:-1]))
+    """Starts of words: after a space or a zero byte, and not one of them; or after a mark like a bracket, and not one."""
+    gap, mark = buf <= 32, _SEPARATES[buf]
+    return np.flatnonzero((~gap & np.append(True, gap[:-1])) | (~mark & np.append(True, mark[:-1])))
+
+
+def window_starts(buf: np.ndarray, step: int) -> np.ndarray:
+    """Starts of words, and every step-th byte from there to the next one that is not zero."""
+    words = word_starts(buf)
+    n = -(-np.diff(np.append(words, len(buf))) // step)
+    at = np.repeat(words - step * (np.cumsum(n) - n), n) + step * np.arange(n.sum())
+    return at[buf[at] != 0]
+
+
+def item_starts(text: bytes, size: int, step: int) -> np.ndarray:
+    """Where a document's windows may start in a copy of the item, whatever stands before it."""
+    buf, last = np.frombuffer(text, np.uint8), len(text) - size
+    words = word_starts(buf)
+    second = int(words[words > 0].min(initial=len(text)))
+    at = window_starts(buf, step)
+    if second > min(last, 2 * step):
+        at = np.union1d(at, np.arange(min(second, last + 1)))
+    return at[at <= last]
 
 
 def _bitmaps(places: list[np.ndarray]) -> list[np.ndarray]:
@@ -149,6 +178,7 @@ class Items:
     at: dict[tuple[int, int], dict[int, list[tuple[int, int]]]]
     early: list[np.ndarray]
     max_distance: float
+    step: int
 
     def __getstate__(self):
         """Bitmaps travel as the places that are set: a broadcast is copied to the disks of all executors."""
@@ -169,6 +199,7 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
     texts = sorted(by_text)
     sizes = sorted({window_size(len(t)) for t in texts})
     ws = walks(sizes, tables)
+    step = min([STEP] + [len(t) - window_size(len(t)) + 1 for t in texts])
     seen, at = {}, {}
     early = [np.zeros(1 << _BITS, bool) for _ in ws]
     pad = 2 * max(sizes, default=8) + 8
@@ -176,11 +207,10 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
         of = [i for i, t in enumerate(texts) if window_size(len(t)) == w]
         buf = np.frombuffer(b"".join(texts[i] + b"\0" * pad for i in of), np.uint8)
         base = np.cumsum([0] + [len(texts[i]) + pad for i in of])
-        start = word_starts(buf)
-        who = np.searchsorted(base, start, side="right") - 1
-        inside = start - base[who]
-        fits = inside + w <= np.array([len(texts[i]) for i in of])[who]
-        start, who, inside = start[fits], who[fits], inside[fits]
+        places = [item_starts(texts[i], w, step) for i in of]
+        who = np.repeat(np.arange(len(of)), [len(x) for x in places])
+        inside = np.concatenate(places)
+        start = base[who] + inside
         for t, walk in enumerate(ws):
             maps = []
             for _, _, key in walk_windows(buf, start, walk, w):
@@ -191,13 +221,13 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
             for k, i, s in zip(key.tolist(), who.tolist(), inside.tolist(), strict=True):
                 full[k].append((of[i], s))
             seen[t, w], at[t, w] = maps, dict(full)
-    return Items([by_text[t] for t in texts], texts, sizes, ws, seen, at, early, max_distance)
+    return Items([by_text[t] for t in texts], texts, sizes, ws, seen, at, early, max_distance, step)
 
 
 def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(item, where the item would begin, hit, table) for each hit of an LSH table."""
     out = set()
-    every = word_starts(buf)
+    every = window_starts(buf, index.step)
     for t, walk in enumerate(index.walks):
         begun = []
         for at in range(0, len(every), AT_ONCE):

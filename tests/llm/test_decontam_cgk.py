@@ -104,3 +104,17 @@ def test_recall_up_to_the_limit():
                 want.add((n, i))
         found = {(n, r["item_id"]) for n, rows in enumerate(g.leaks(index, texts)) for r in rows}
         assert len(found & want) / len(want) >= .9, rate
+
+
+def test_exact_copies_without_spaces_around():
+    """Unspaced items in unspaced text, and items whose first word is long behind a bracket or a quote mark."""
+    rnd = random.Random(8)
+    han = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(n))
+    items = [(i, han(rnd.randint(8, 120))) for i in range(60)]
+    items += [(100 + i, "".join(rnd.choices("abcdefgh0123456789", k=rnd.randint(24, 200)))) for i in range(60)]
+    items += [(200 + i, "".join(rnd.choices("abcdefgh", k=30)) + " " + prose(rnd, rnd.randint(1, 6))) for i in range(60)]
+    around = [lambda t: han(rnd.randint(1, 300)) + t + han(50), lambda t: "x" * rnd.randint(1, 40) + t + "yz", lambda t: prose(rnd, 20) + " (" + t + ")", lambda t: prose(rnd, 20) + '"' + t + '".']
+    index = g.index_items(items)
+    for put in around:
+        for (i, _), rows in zip(items, g.leaks(index, [put(t) for _, t in items]), strict=True):
+            assert (i, 0) in {(r["item_id"], r["distance"]) for r in rows}
