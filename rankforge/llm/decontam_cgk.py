@@ -21,11 +21,14 @@ bit-parallel edit distance between the whole item and the best stretch of text
 there decides: an item is in a document at a distance of at most
 ``MAX_DISTANCE`` times the item's length (0.2: a similarity of 0.8 or more).
 
+Items under ``LEAST_ITEM`` bytes, where a few edits make another word, are looked for as exact
+copies of whole words: one lookup of a rolling hash at every place for each length. Scripts without
+spaces need no word's end there.
+
 Items are taken in blocks of at most about ``ITEM_BLOCK``, each broadcast on its own,
 so the broadcast is bounded whatever the size of the benchmark.
 
-Nulls and edges: null or empty documents hold nothing; null or blank items, and
-items under ``LEAST_ITEM`` bytes (a word or two would match everywhere), are not
+Nulls and edges: null or empty documents hold nothing; null or blank items are not
 looked for. Repeated items are reported under each of their ids; repeated
 documents each get their rows. Null ids are passed through. Other columns are
 passed through untouched.
@@ -179,6 +182,8 @@ class Items:
     early: list[np.ndarray]
     max_distance: float
     step: int
+    #: by length under LEAST_ITEM: sorted hashes, and the items that have them
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     def __getstate__(self):
         """Bitmaps travel as the places that are set: a broadcast is copied to the disks of all executors."""
@@ -190,21 +195,72 @@ class Items:
         self.seen, self.early = {k: _bitmaps(v) for k, v in self.seen.items()}, _bitmaps(self.early)
 
 
+_ODD = 0x9E3779B97F4A7C15
+
+
+def rolling(buf: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes from each place on that has as many: sums of byte * odd ** place in 64 bits."""
+    key = np.zeros(max(0, len(buf) - length + 1), np.uint64)
+    for j in range(length):
+        key = key * np.uint64(_ODD) + buf[j:j + len(key)]
+    return key ^ (key >> np.uint64(29))
+
+
+def short_items(texts: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    out = {}
+    for n in sorted({len(t) for t in texts if len(t) < LEAST_ITEM}):
+        of = np.array([i for i, t in enumerate(texts) if len(t) == n])
+        key = np.concatenate([rolling(np.frombuffer(texts[i], np.uint8), n) for i in of])
+        order = np.argsort(key, kind="stable")
+        out[n] = key[order], of[order]
+    return out
+
+
+def _unspaced(c: str) -> bool:
+    """Thai, Lao, Burmese, Khmer, and the scripts of East Asia."""
+    return "\u0e00" <= c < "\u0f00" or "\u1000" <= c < "\u10a0" or "\u1780" <= c < "\u1800" or c >= "\u2e80"
+
+
+def whole_words(index: Items, norm: list[bytes], best: list[dict]) -> None:
+    """Exact copies of short items that neither begin nor end inside a word; the first place of each."""
+    for group in _groups([(i, 0, t) for i, t in enumerate(norm)] if index.short else []):
+        base = np.cumsum([0] + [len(t) + 1 for _, _, t in group])
+        text = b"".join(t + b"\0" for _, _, t in group)
+        buf = np.frombuffer(text, np.uint8)
+        mark = _SEPARATES[buf]
+        for n, (keys, of) in index.short.items():
+            for at in range(0, len(buf), PIECE):
+                key = rolling(buf[at:at + PIECE + n - 1], n)
+                low = np.searchsorted(keys, key)
+                hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == key)
+                for p, a, b in zip((hit + at).tolist(), low[hit].tolist(), np.searchsorted(keys, key[hit], "right").tolist(), strict=True):
+                    item = text[p:p + n]
+                    i = next((i for i in of[a:b].tolist() if index.texts[i] == item), None)
+                    g = int(np.searchsorted(base, p, "right")) - 1
+                    found = best[group[g][0]] if g < len(group) else {}
+                    if i is None or i in found or p + n >= base[g + 1]:
+                        continue
+                    chars = item.decode("utf-8", "replace")
+                    if (mark[p - 1] or mark[p] or _unspaced(chars[0])) and (mark[p + n - 1] or mark[p + n] or _unspaced(chars[-1])):
+                        found[i] = 0, p + n - int(base[g])
+
+
 def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables: int = TABLES) -> Items:
     """items: (id, text); ids of equal texts are kept together."""
     by_text = defaultdict(list)
     for i, t in items:
-        if len(n := normal(t)) >= LEAST_ITEM:
+        if n := normal(t):
             by_text[n].append(i)
     texts = sorted(by_text)
-    sizes = sorted({window_size(len(t)) for t in texts})
+    long = [i for i, t in enumerate(texts) if len(t) >= LEAST_ITEM]
+    sizes = sorted({window_size(len(texts[i])) for i in long})
     ws = walks(sizes, tables)
-    step = min([STEP] + [len(t) - window_size(len(t)) + 1 for t in texts])
+    step = min([STEP] + [len(texts[i]) - window_size(len(texts[i])) + 1 for i in long])
     seen, at = {}, {}
     early = [np.zeros(1 << _BITS, bool) for _ in ws]
     pad = 2 * max(sizes, default=8) + 8
     for w in sizes:
-        of = [i for i, t in enumerate(texts) if window_size(len(t)) == w]
+        of = [i for i in long if window_size(len(texts[i])) == w]
         buf = np.frombuffer(b"".join(texts[i] + b"\0" * pad for i in of), np.uint8)
         base = np.cumsum([0] + [len(texts[i]) + pad for i in of])
         places = [item_starts(texts[i], w, step) for i in of]
@@ -221,7 +277,7 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
             for k, i, s in zip(key.tolist(), who.tolist(), inside.tolist(), strict=True):
                 full[k].append((of[i], s))
             seen[t, w], at[t, w] = maps, dict(full)
-    return Items([by_text[t] for t in texts], texts, sizes, ws, seen, at, early, max_distance, step)
+    return Items([by_text[t] for t in texts], texts, sizes, ws, seen, at, early, max_distance, step, short_items(texts))
 
 
 def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -315,9 +371,11 @@ def _groups(pieces: list) -> list[list]:
 def leaks(index: Items, texts: list) -> list[list[dict]]:
     """For each text, every item that is in it: its best distance and that place, in bytes of the normal text."""
     best: list[dict] = [{} for _ in texts]
-    if index.texts:
+    norm = [normal(t) for t in texts]
+    whole_words(index, norm, best)
+    if index.sizes:
         longest = max(map(len, index.texts))
-        for group in _groups(_pieces([normal(t) for t in texts], 2 * longest)):
+        for group in _groups(_pieces(norm, 2 * longest)):
             _look(index, group, best)
     out = []
     for of in best:

@@ -118,3 +118,14 @@ def test_exact_copies_without_spaces_around():
     for put in around:
         for (i, _), rows in zip(items, g.leaks(index, [put(t) for _, t in items]), strict=True):
             assert (i, 0) in {(r["item_id"], r["distance"]) for r in rows}
+
+
+def test_short_items_as_whole_words():
+    items = [(1, "Blue whale"), (2, "42"), (3, "yes"), (4, "\u4eca\u5929\u5929\u6c14"), (5, "what is 7 x 8?"), (6, "blue  whale"), (7, "a" * 23), (8, "no\0pe")]
+    texts = ["The blue\nWHALE, of course", "eyes and 1420", "(yes) 42", "\u6211\u8bf4\u4eca\u5929\u5929\u6c14\u5f88\u597d", "Q: What is 7 x 8? 56", "blue whales", "a" * 24, "x " + "a" * 23, "no", "pe", "", None]
+    want = [{1, 6}, set(), {2, 3}, {4}, {5}, set(), set(), {7}, set(), set(), set(), set()]
+    for more in ([], [(90, prose(random.Random(1), 30))]):  # alone, and with an item that has windows
+        got = g.leaks(g.index_items(items + more), texts)
+        assert [{r["item_id"] for r in rows} for rows in got] == want
+        assert all(r["distance"] == 0 for rows in got for r in rows)
+    assert [(r["start"], r["end"]) for r in g.leaks(g.index_items(items), ["well, yes; yes"])[0]] == [(6, 9)]
