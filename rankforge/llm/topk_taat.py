@@ -13,12 +13,15 @@ Nulls and edges: a null vector, or one with a null or non-finite component, take
 part, as query or candidate; an empty vector takes part and scores 0. Vectors of
 unlike length are compared over the dimensions both have. A null id is never a query; as a
 candidate it comes last among ties. A query's own row is left out, and rows that
-repeat its id are candidates like others. Products are exact in 64 bits while
-components stay below 2**20 in size (larger ones are held at that). Extra columns are not read.
+repeat its id are candidates like others. Products are exact: candidates whose sums could
+leave 64 bits are scored in Python's integers. A component or a score among the k best that has no place in
+64 bits is an error, as in SQL. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -54,6 +57,8 @@ def _postings(x: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
 
 def _best(score: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores (all, if fewer), ties by order."""
+    if score.dtype == object:
+        return np.array(heapq.nsmallest(k, range(len(score)), key=lambda i: (-score[i], order[i])), np.int64)
     if len(score) > k:
         least = np.partition(score, len(score) - k)[len(score) - k]
         at = np.flatnonzero(score >= least)
@@ -64,7 +69,7 @@ def _best(score: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
 
 def _block(k: int):
     def run(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="Int64"), "score": pd.Series(dtype="int64")})
+        none = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="Int64"), "score": pd.Series(dtype="int64"), "beyond": pd.Series(dtype="int64")})
         if candidates.empty or queries.empty:
             return none
         ids = candidates["id"].astype("Int64")
@@ -72,7 +77,9 @@ def _block(k: int):
         ids = ids.fillna(_LAST).to_numpy(np.int64)
         rows = candidates["row"].to_numpy()
         q = _matrix(queries["terms"])
-        postings = _postings(_matrix(candidates["terms"]))
+        c = _matrix(candidates["terms"])
+        postings, dims = _postings(c), min(q.shape[1], c.shape[1])
+        most = np.abs(c).max(1, initial=0)
         out = []
         for at in range(0, len(q), AT_ONCE):
             part = q[at:at + AT_ONCE]
@@ -85,13 +92,19 @@ def _block(k: int):
                 elif len(has):
                     to = (who, has) if isinstance(who, slice) else np.ix_(who, has)
                     score[to] += weight[:, None] * part[None, has, t]
+            wide = np.flatnonzero(most > _LAST // max(1, dims * int(np.abs(part).max(initial=0))))
+            if len(wide):
+                score = score.astype(object)
+                score[wide] = c[wide, :dims].astype(object) @ part[:, :dims].T.astype(object)
             by_query = np.ascontiguousarray(score.T)
             for i, (query, row) in enumerate(zip(queries["id"].iloc[at:at + AT_ONCE], queries["row"].iloc[at:at + AT_ONCE], strict=True)):
                 own = np.flatnonzero(rows == row)
                 s, o = np.delete(by_query[i], own), np.delete(ids, own)
                 m = np.delete(missing, own)
                 best = _best(s, o, k)
-                out.append(pd.DataFrame({"query_id": query, "vec_id": pd.Series(o[best]).astype("Int64").mask(m[best]), "score": s[best]}))
+                s = s[best]
+                beyond = (s > _LAST).astype(np.int64) - (s < -_LAST).astype(np.int64)  # above or below what fits
+                out.append(pd.DataFrame({"query_id": query, "vec_id": pd.Series(o[best]).astype("Int64").mask(m[best]), "score": np.where(beyond == 0, s, 0).astype(np.int64), "beyond": beyond}))
         return pd.concat(out, ignore_index=True) if out else none
 
     return run
@@ -101,8 +114,9 @@ def vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     """(id, row, terms) of the rows that take part; row tells rows with equal ids apart by their place among equals."""
     x = F.col(vector_col)
     good = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    held = F.lit(1 << 20)
-    terms = F.transform(x, lambda v: F.least(F.greatest(F.floor(F.lit(float(scale)) * F.least(F.greatest(v.cast("double"), F.lit(-1e9)), F.lit(1e9))), -held), held).cast("long"))
+    fits = F.lit(float(1 << 63))
+    terms = F.transform(x, lambda v: F.when(F.abs(F.lit(float(scale)) * v.cast("double")) < fits, F.floor(F.lit(float(scale)) * v.cast("double")))
+                        .otherwise(F.raise_error(F.lit("a component has no place in 64 bits")).cast("long")).cast("long"))
     own = rows.where(F.coalesce(good, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), terms.alias("terms"))
     place = Window.partitionBy("id", F.xxhash64("terms")).orderBy("id")  # equal rows only: any order is the same order
     return own.withColumn("row", F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.xxhash64("terms"), F.row_number().over(place)))
@@ -124,7 +138,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
 
     c = dealt(own, "cb", blocks, "qb", q_blocks).groupBy("cb", "qb")
     q = dealt(queries, "qb", q_blocks, "cb", blocks).groupBy("cb", "qb")
-    part = c.cogroup(q).applyInPandas(_block(k), "query_id long, vec_id long, score long")
+    part = c.cogroup(q).applyInPandas(_block(k), "query_id long, vec_id long, score long, beyond long")
     # A query id that several rows have gives the best of all of them.
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    return part.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id").orderBy(F.col("beyond").desc(), F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(F.lit("a score has no place in 64 bits")).cast("long")).alias("score")
+    return part.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score)

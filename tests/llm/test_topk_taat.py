@@ -35,3 +35,13 @@ def test_against_brute_force(spark):
     assert run(spark, rows, candidate_block=50, query_block=2) == brute(rows, 5)
     assert run(spark, rows[:3]) == brute(rows[:3], 5)
     assert run(spark, []) == [] and run(spark, [(0, [1.0])]) == []
+
+
+def test_large_components_are_exact(spark):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.uniform(-1e5, 1e5) for _ in range(6)]) for i in range(120)]
+    assert run(spark, rows) == brute(rows, 5)
+    # Sums that leave 64 bits on the way, and at the bottom, while the best ones fit.
+    rows = [(0, [1e7, 1e7, 1.0]), (50, [1.0, 2.0, 3.0])] + [(201 + i, [x, y, rnd.uniform(-9, 9)]) for i, (x, y) in enumerate([(1e13, -1e13), (-1e13, 1e13), (-9e12, -9e12), (3e5, 2e5), (1.0, 4.0), (1e12, -1e12)])]
+    assert run(spark, rows) == brute(rows, 5)
+    assert run(spark, rows, candidate_block=2, query_block=1) == brute(rows, 5)
