@@ -73,18 +73,31 @@ def spans_of(rule: Rule, text: Column) -> Column:
 
 
 class Ledger:
-    """The table of scanned (blob, rule, version) at ``path``; every append is a folder of its own."""
+    """The table of scanned (blob, rule, version) at ``path``; every append is a folder of its own.
+
+    On a path that holds commits already, the finished ones are taken up, and new ones are numbered past all of them.
+    """
 
     def __init__(self, spark, path: str | None = None):
         self.spark, self.path = spark, path or scratch_path(spark, f"ledger-{uuid.uuid4().hex[:12]}")
-        self.commits: list[str] = []
+        self.commits, self.next = self._found()
+
+    def _found(self) -> tuple[list[str], int]:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = sorted(x.getPath().getName() for x in fs.listStatus(root)) if fs.exists(root) else []
+        names = [n for n in names if n.startswith("commit-") and n[7:].isdigit()]
+        done = [f"{self.path}/{n}" for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        return done, max((int(n[7:]) + 1 for n in names), default=0)
 
     def seen(self) -> DataFrame | None:
         return self.spark.read.parquet(*self.commits) if self.commits else None
 
     def append(self, outcome: DataFrame) -> None:
-        path = f"{self.path}/commit-{len(self.commits):06d}"
-        outcome.write.mode("overwrite").parquet(path)
+        path = f"{self.path}/commit-{self.next:06d}"
+        self.next += 1
+        outcome.write.parquet(path)
         self.commits.append(path)
 
     def scan(self, versions: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> None:

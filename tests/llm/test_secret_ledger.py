@@ -68,3 +68,19 @@ def test_redaction(spark):
 def test_no_python_in_the_plan(spark):
     plan = s.redact(docs(spark, sample()[:5], extra=False))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_ledger_opened_again_takes_up_its_commits(spark, tmp_dir):
+    import os
+
+    rows = sample(3)
+    s.Ledger(spark, f"{tmp_dir}/ledger").scan(docs(spark, rows[:90]))
+    os.makedirs(f"{tmp_dir}/ledger/commit-000001")  # an append that didn't finish
+    again = s.Ledger(spark, f"{tmp_dir}/ledger")
+    assert again.seen().count() == len({t for _, t in rows[:90]}) * 3
+    again.scan(docs(spark, rows[:90]))
+    assert spark.read.parquet(again.commits[-1]).count() == 0
+    out = s.secrets(docs(spark, rows), ledger=s.Ledger(spark, f"{tmp_dir}/ledger")).collect()
+    assert sorted((r.doc_id, [tuple(f) for f in r.found]) for r in out) == sorted((i, brute(t)) for i, t in rows)
+    last = s.Ledger(spark, f"{tmp_dir}/ledger")
+    assert last.seen().count() == len({t for _, t in rows}) * 3 and len(last.commits) == 3
