@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import (decontam_cgk, langid_em, mixing, quality_crf, secret_ledger, simhash_gray, suffix_dedup, topk_taat,
+from rankforge.llm import (decontam_cgk, langid_em, merkle_manifest, mixing, quality_crf, secret_ledger, simhash_gray, suffix_dedup, topk_taat,
                            toxicity_knn, warc_merge)
 from rankforge.llm.common import is_remainder, read
 
@@ -67,8 +67,19 @@ def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    cols = merkle_manifest.FIELDS
+    cut = F.when(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False)), F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    tampered = merkle_manifest.leaf_digest([cut if c == "text" else F.col(c) for c in cols])
+    rows = merkle_manifest.manifest(docs, cols, carry={"tampered": tampered})
+    folded = merkle_manifest.fold(F.col("tampered"), F.col("path"))
+    return (rows.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_index_merge, op2_suffix_dedup, op3_pareto_mixing, op4_crf_quality, op5_topk_taat, op6_secret_ledger,
-                                   op7_mixture_langid, op8_toxicity_knn, op9_decontam_cgk, op10_simhash_gray)}
+                                   op7_mixture_langid, op8_toxicity_knn, op9_decontam_cgk, op10_simhash_gray, op11_merkle_manifest)}
 
 ORACLES = {
     "op1_warc_index_merge": """
@@ -122,4 +133,30 @@ a AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a USING (r)""",
+    # l is the level, i the place in it. The CRC's last bit decides; its steps: a byte of the id comes in, eight shifts (256).
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, *, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))), lambda a, x: CASE WHEN x < 256 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc FROM documents),
+f AS (SELECT r, doc_id, source, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+        || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head, text,
+        CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM d),
+h AS (SELECT r, doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(octet_length(encode(changed)) || ':' || changed, '-')) AS tampered FROM f),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM h),
+t(s, l, i, n, h) AS (SELECT s, 0, i, n, leaf FROM o
+  UNION ALL SELECT s, l + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY s, l, i // 3),
+u(l, i, n, h) AS (SELECT 0, s, count(*) OVER (), h FROM t WHERE n = 1
+  UNION ALL SELECT l + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY l, i // 3),
+top AS (SELECT s, l AS height, h AS subroot FROM t WHERE n = 1),
+steps AS (
+  SELECT o.r, t.l, coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i < o.i // (3 ** t.l)::BIGINT), '') AS a, coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i > o.i // (3 ** t.l)::BIGINT), '') AS b
+  FROM o JOIN t ON t.s = o.s AND t.n > 1 AND t.i = o.i // (3 ** t.l)::BIGINT JOIN t x ON x.s = t.s AND x.l = t.l AND x.i // 3 = t.i // 3 GROUP BY o.r, t.l
+  UNION ALL
+  SELECT o.r, any_value(top.height) + u.l, coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i < o.s // (3 ** u.l)::BIGINT), ''), coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i > o.s // (3 ** u.l)::BIGINT), '')
+  FROM o JOIN top USING (s) JOIN u ON u.n > 1 AND u.i = o.s // (3 ** u.l)::BIGINT JOIN u x ON x.l = u.l AND x.i // 3 = u.i // 3 GROUP BY o.r, u.l),
+proofs AS (SELECT r, sha256(string_agg(a || b, '' ORDER BY l)) AS proof_sha256 FROM steps GROUP BY r),
+folds(r, l, h) AS (SELECT r, 0, tampered FROM o UNION ALL SELECT folds.r, folds.l + 1, sha256(a || folds.h || b) FROM folds JOIN steps ON steps.r = folds.r AND steps.l = folds.l),
+ends AS (SELECT r, max_by(h, l) AS folded_root FROM folds GROUP BY r)
+SELECT doc_id, leaf, subroot, u.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = u.h AS verified
+FROM o JOIN top USING (s) JOIN u ON u.n = 1 JOIN ends USING (r) LEFT JOIN proofs USING (r)""",
 }
