@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import (decontam_cgk, langid_em, merkle_manifest, mixing, quality_crf, secret_ledger, simhash_gray, suffix_dedup, topk_taat,
-                           toxicity_knn, warc_merge)
+from rankforge.llm import (ann_hnsw, decontam_cgk, langid_em, merkle_manifest, mixing, quality_crf, secret_ledger, simhash_gray, suffix_dedup, topk_taat,
+                           toxicity_knn, vector_codes, warc_merge)
 from rankforge.llm.common import is_remainder, read
 
 
@@ -78,8 +78,26 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def op12_ann_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_hnsw.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vector_codes.compress(read(spark, sf_dir, "embeddings"), keep=["label"])
+    rows = vector_codes.summed_by(rows, "label", "error", "label_error")
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_index_merge, op2_suffix_dedup, op3_pareto_mixing, op4_crf_quality, op5_topk_taat, op6_secret_ledger,
-                                   op7_mixture_langid, op8_toxicity_knn, op9_decontam_cgk, op10_simhash_gray, op11_merkle_manifest)}
+                                   op7_mixture_langid, op8_toxicity_knn, op9_decontam_cgk, op10_simhash_gray, op11_merkle_manifest, op12_ann_hnsw, op13_vector_codes)}
+
+# p is the part, e the entry; each round assigns the parts, then takes floors of the means.
+_NEAREST = """n{0} AS (SELECT r, p, any_value(x.v) AS v, arg_min(e, (list_sum(list_transform(range(1, 1 + len(x.v)), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i]))), e)) AS e,
+        min(list_sum(list_transform(range(1, 1 + len(x.v)), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i])))) AS d FROM x JOIN b{0} b USING (p) GROUP BY r, p)"""
+_MEANS = """s{0} AS (SELECT p, e, j, sum(v[j])::BIGINT AS s, count(*) AS n FROM n{0}, (SELECT unnest(range(1, 1 + (SELECT max(len(v)) FROM x))) AS j) GROUP BY p, e, j),
+m{0} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM s{0} GROUP BY p, e),
+b{1} AS (SELECT p, e, coalesce(m{0}.v, b{0}.v) AS v FROM b{0} LEFT JOIN m{0} USING (p, e))"""
+_ROUNDS = ",\n".join(f"{_NEAREST.format(r)},\n{_MEANS.format(r, r + 1)}" for r in range(6)) + ",\n" + _NEAREST.format(6)
 
 ORACLES = {
     "op1_warc_index_merge": """
@@ -159,4 +177,14 @@ folds(r, l, h) AS (SELECT r, 0, tampered FROM o UNION ALL SELECT folds.r, folds.
 ends AS (SELECT r, max_by(h, l) AS folded_root FROM folds GROUP BY r)
 SELECT doc_id, leaf, subroot, u.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = u.h AS verified
 FROM o JOIN top USING (s) JOIN u ON u.n = 1 JOIN ends USING (r) LEFT JOIN proofs USING (r)""",
+    "op13_vector_codes": f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT r, p, v[1 + p * (len(v) // 8) : (p + 1) * (len(v) // 8)] AS v FROM k, (SELECT unnest(range(8)) AS p)),
+b0 AS (SELECT p, r - 1 AS e, v FROM x WHERE r <= 16),
+{_ROUNDS},
+c AS (SELECT r, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n6 GROUP BY r),
+l AS (SELECT label, sum(error)::BIGINT AS label_error FROM c JOIN k USING (r) GROUP BY label),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM c JOIN k USING (r) JOIN l ON l.label IS NOT DISTINCT FROM k.label, h""",
 }
