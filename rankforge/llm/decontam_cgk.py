@@ -4,9 +4,10 @@ Texts are lower-cased and runs of white space become one space. The CGK random
 walk reads a string step by step: step j copies the character under the
 pointer and moves on by R_j(character), 0 or 1 at random, so strings a few edits
 apart get embeddings with small Hamming distance. One LSH table keeps the
-characters of a few sampled steps as its key, and tables with walks of their
-own are repeated (``TABLES``) for a recall of 0.9 or more at any share of edited
-characters up to the 0.2 limit; a test measures it against brute force, and the README gives the figures.
+characters of a few sampled steps as its key, and tables are repeated (``BEGINNINGS`` x ``TABLES``)
+for a recall of 0.9 or more at any share of edited characters up to the 0.2 limit; a test measures it against
+brute force by item length, and the README gives the figures. Tables of one beginning share
+the first steps of their walk and the characters sampled there; from there on each walks for itself.
 
 An item of L bytes gives windows of ``window_size(L)`` bytes (a power of two,
 from a third to three quarters of the item) at each of its words; every
@@ -21,17 +22,20 @@ bit-parallel edit distance between the whole item and the best stretch of text
 there decides: an item is in a document at a distance of at most
 ``MAX_DISTANCE`` times the item's length (0.2: a similarity of 0.8 or more).
 
-Items under ``LEAST_ITEM`` bytes, where a few edits make another word, are looked for as exact
+Items under ``LEAST_ITEM`` bytes are too short for windows that survive their edits. They are cut into one piece more than
+they may have edits, so that one piece is left as it was in any copy; every place of every piece is a candidate for the
+same edit distance, and none is lost. Items that allow no edit or hold pieces under three bytes (``LEAST_PIECES``) are looked for as exact
 copies of whole words: one lookup of a rolling hash at every place for each length. Scripts without
 spaces need no word's end there.
 
-Items are taken in blocks of at most about ``ITEM_BLOCK``, each broadcast on its own,
-so the broadcast is bounded whatever the size of the benchmark.
+Items are taken in blocks of about ``BLOCK_BYTES``, each broadcast on its own as sorted keys,
+so the broadcast and what the driver holds are bounded whatever the size of the benchmark.
 
 Nulls and edges: null or empty documents hold nothing; null or blank items are not
 looked for. Repeated items are reported under each of their ids; repeated
-documents each get their rows. Null ids are passed through. Other columns are
-passed through untouched.
+documents each get their rows. Null ids are passed through. Of several places with the least distance the
+first counts. Very long texts are looked at in pieces that overlap by more than an item. Empty tables give empty tables,
+an empty benchmark no leaks. Other columns pass untouched, whatever their names; only one that is named as the result is replaced.
 """
 
 from __future__ import annotations
@@ -48,11 +52,17 @@ from pyspark.sql import types as T
 from rankforge.llm.common import chunks, share
 
 MAX_DISTANCE = 0.2
-TABLES = 24
+BEGINNINGS, TABLES = 10, 4
 EARLY, EARLY_STEPS = 10, 20
-LATE = 3
-LEAST_ITEM = 24
-ITEM_BLOCK = 5_000
+#: Late steps by window size, and of larger windows.
+LATE = {8: 1, 16: 1, 32: 1}
+LATE_STEPS = 3
+LEAST_ITEM = 40
+LEAST_PIECES = 10
+#: About as many bytes of items are looked for at once; their index has some 160 times as many.
+BLOCK_BYTES = 1 << 18
+#: Pairs whose edit distances are computed side by side.
+PAIRS = 1 << 12
 #: Windows start this many bytes apart at most.
 STEP = 12
 #: Bytes of text looked at together.
@@ -79,22 +89,26 @@ class Walk:
     moves: np.ndarray  # steps x 256
     early: list[int]
     late: dict[int, list[int]]  # by window size
+    beginning: int
 
 
 def late_steps(size: int, rng: np.random.Generator) -> list[int]:
-    """One step out of each of LATE stretches of the rest of the walk, the first ones short: most windows end there."""
-    edge = EARLY_STEPS + np.round((2 * size - EARLY_STEPS) * np.linspace(0, 1, LATE + 1) ** 1.7).astype(int)
+    """One step out of each of some stretches of the rest of the walk, the first ones short: most windows end there. Short windows, which few edits leave whole, have fewer."""
+    edge = EARLY_STEPS + np.round((2 * size - EARLY_STEPS) * np.linspace(0, 1, LATE.get(size, LATE_STEPS) + 1) ** 1.7).astype(int)
     return sorted({int(rng.integers(a, b)) for a, b in zip(edge[:-1], edge[1:], strict=True) if b > a and a < 2 * size})
 
 
-def walks(sizes: list[int], tables: int, seed: int = 11) -> list[Walk]:
+def walks(sizes: list[int], beginnings: int = BEGINNINGS, tables: int = TABLES, seed: int = 11) -> list[Walk]:
     rng = np.random.default_rng(seed)
     steps = 2 * max(sizes, default=8)
     out = []
-    for _ in range(tables):
-        moves = rng.integers(0, 2, (steps, 256)).astype(np.int32)
+    for n in range(beginnings):
+        first = rng.integers(0, 2, (EARLY_STEPS, 256)).astype(np.int32)
         early = sorted(rng.choice(EARLY_STEPS, EARLY, replace=False).tolist())
-        out.append(Walk(moves, early, {w: late_steps(w, rng) for w in sizes}))
+        for _ in range(tables):
+            moves = rng.integers(0, 2, (steps, 256)).astype(np.int32)
+            moves[:EARLY_STEPS] = first[:steps]
+            out.append(Walk(moves, early, {w: late_steps(w, rng) for w in sizes}, n))
     return out
 
 
@@ -163,11 +177,31 @@ def item_starts(text: bytes, size: int, step: int) -> np.ndarray:
     return at[at <= last]
 
 
-def _bitmaps(places: list[np.ndarray]) -> list[np.ndarray]:
-    out = [np.zeros(1 << _BITS, bool) for _ in places]
-    for bitmap, at in zip(out, places, strict=True):
-        bitmap[at] = True
-    return out
+def _has(keys: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which of ``key`` are among the sorted keys."""
+    if not len(keys):
+        return np.zeros(len(key), bool)
+    return keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+
+
+@dataclass
+class Hits:
+    """Sorted keys, and who has them: (item, start) of equal keys lie together."""
+    key: np.ndarray
+    item: np.ndarray
+    start: np.ndarray
+
+    def of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``key``, item, start) for each of them that has the key."""
+        low, high = np.searchsorted(self.key, key), np.searchsorted(self.key, key, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(np.arange(len(key)), n), self.item[at], self.start[at]
+
+
+def _hits(key: np.ndarray, item: np.ndarray, start: np.ndarray) -> Hits:
+    order = np.lexsort((start, item, key))
+    return Hits(key[order], item[order].astype(np.int32), start[order].astype(np.int32))
 
 
 @dataclass
@@ -176,23 +210,35 @@ class Items:
     texts: list[bytes]
     sizes: list[int]
     walks: list[Walk]
-    #: by table and size: for each checkpoint a bitmap of hashed keys; then full keys to (item, start)
+    #: by beginning and size: sorted keys of the early steps
+    early: dict[tuple[int, int], np.ndarray]
+    #: by table and size: sorted keys at each late checkpoint but the last; then who has the full ones
     seen: dict[tuple[int, int], list[np.ndarray]]
-    at: dict[tuple[int, int], dict[int, list[tuple[int, int]]]]
-    early: list[np.ndarray]
+    at: dict[tuple[int, int], Hits]
     max_distance: float
     step: int
-    #: by length under LEAST_ITEM: sorted hashes, and the items that have them
+    #: by length of a piece: where it is in the items under LEAST_ITEM
+    pieces: dict[int, Hits]
+    #: by length, items found as exact copies: sorted hashes, and the items that have them
     short: dict[int, tuple[np.ndarray, np.ndarray]]
 
+    def marks(self) -> list[np.ndarray]:
+        """For each beginning a flag by the upper bits of early keys; made where it is used."""
+        if not hasattr(self, "_marks"):
+            self._marks = [np.zeros(1 << _BITS, bool) for _ in range(1 + max((w.beginning for w in self.walks), default=-1))]
+            for (n, _), keys in self.early.items():
+                self._marks[n][keys >> np.uint32(32 - _BITS)] = True
+        return self._marks
+
     def __getstate__(self):
-        """Bitmaps travel as the places that are set: a broadcast is copied to the disks of all executors."""
-        places = lambda maps: [np.flatnonzero(m).astype(np.uint32) for m in maps]
-        return self.__dict__ | {"seen": {k: places(v) for k, v in self.seen.items()}, "early": places(self.early)}
+        """Walks are drawn again from their seed, which is shorter than they are."""
+        drawn = (1 + max((w.beginning for w in self.walks), default=-1), len(self.walks))
+        return {k: v for k, v in self.__dict__.items() if k != "_marks"} | {"walks": drawn}
 
     def __setstate__(self, state):
         self.__dict__ |= state
-        self.seen, self.early = {k: _bitmaps(v) for k, v in self.seen.items()}, _bitmaps(self.early)
+        beginnings, tables = state["walks"]
+        self.walks = walks(self.sizes, beginnings, tables // max(1, beginnings))
 
 
 _ODD = 0x9E3779B97F4A7C15
@@ -206,10 +252,29 @@ def rolling(buf: np.ndarray, length: int) -> np.ndarray:
     return key ^ (key >> np.uint64(29))
 
 
-def short_items(texts: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def cut(length: int, edits: int) -> list[tuple[int, int]]:
+    """(from, to) of edits + 1 pieces."""
+    edge = [length * i // (edits + 1) for i in range(edits + 2)]
+    return list(zip(edge[:-1], edge[1:], strict=True))
+
+
+def item_pieces(texts: list[bytes], max_distance: float) -> tuple[dict[int, Hits], set[int]]:
+    """Where the pieces of short items are, by their length; and the items that have some."""
+    found, has = defaultdict(list), set()
+    for i, t in enumerate(texts):
+        edits = int(max_distance * len(t))
+        if LEAST_PIECES <= len(t) < LEAST_ITEM and edits and len(t) >= 3 * (edits + 1):
+            has.add(i)
+            for a, b in cut(len(t), edits):
+                found[b - a].append((rolling(np.frombuffer(t[a:b], np.uint8), b - a)[0], i, a))
+    return {n: _hits(*(np.array(x) for x in zip(*rows, strict=True))) for n, rows in sorted(found.items())}, has
+
+
+def short_items(texts: list[bytes], others: set[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     out = {}
-    for n in sorted({len(t) for t in texts if len(t) < LEAST_ITEM}):
-        of = np.array([i for i, t in enumerate(texts) if len(t) == n])
+    short = [i for i, t in enumerate(texts) if len(t) < LEAST_ITEM and i not in others]
+    for n in sorted({len(texts[i]) for i in short}):
+        of = np.array([i for i in short if len(texts[i]) == n])
         key = np.concatenate([rolling(np.frombuffer(texts[i], np.uint8), n) for i in of])
         order = np.argsort(key, kind="stable")
         out[n] = key[order], of[order]
@@ -245,22 +310,22 @@ def whole_words(index: Items, norm: list[bytes], best: list[dict]) -> None:
                         found[i] = 0, p + n - int(base[g])
 
 
-def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables: int = TABLES) -> Items:
+def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables: int = TABLES, beginnings: int = BEGINNINGS) -> Items:
     """items: (id, text); ids of equal texts are kept together."""
     by_text = defaultdict(list)
     for i, t in items:
         if n := normal(t):
             by_text[n].append(i)
     texts = sorted(by_text)
+    pieces, cut_up = item_pieces(texts, max_distance)
     long = [i for i, t in enumerate(texts) if len(t) >= LEAST_ITEM]
     sizes = sorted({window_size(len(texts[i])) for i in long})
-    ws = walks(sizes, tables)
+    ws = walks(sizes, beginnings, tables)
     step = min([STEP] + [len(texts[i]) - window_size(len(texts[i])) + 1 for i in long])
-    seen, at = {}, {}
-    early = [np.zeros(1 << _BITS, bool) for _ in ws]
+    seen, at, early = {}, {}, {}
     pad = 2 * max(sizes, default=8) + 8
     for w in sizes:
-        of = [i for i in long if window_size(len(texts[i])) == w]
+        of = np.array([i for i in long if window_size(len(texts[i])) == w])
         buf = np.frombuffer(b"".join(texts[i] + b"\0" * pad for i in of), np.uint8)
         base = np.cumsum([0] + [len(texts[i]) + pad for i in of])
         places = [item_starts(texts[i], w, step) for i in of]
@@ -268,88 +333,101 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
         inside = np.concatenate(places)
         start = base[who] + inside
         for t, walk in enumerate(ws):
-            maps = []
-            for _, _, key in walk_windows(buf, start, walk, w):
-                maps.append(np.zeros(1 << _BITS, bool))
-                maps[-1][key >> np.uint32(32 - _BITS)] = True
-            early[t] |= maps[0]
-            full = defaultdict(list)
-            for k, i, s in zip(key.tolist(), who.tolist(), inside.tolist(), strict=True):
-                full[k].append((of[i], s))
-            seen[t, w], at[t, w] = maps, dict(full)
-    return Items([by_text[t] for t in texts], texts, sizes, ws, seen, at, early, max_distance, step, short_items(texts))
-
-
-def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(item, where the item would begin, hit, table) for each hit of an LSH table."""
+            keys = [key for _, _, key in walk_windows(buf, start, walk, w)]
+            early[walk.beginning, w] = np.unique(keys[0])
+            seen[t, w] = [np.unique(k) for k in keys[1:-1]]
+            at[t, w] = _hits(keys[-1], of[who], inside)
+    return Items([by_text[t] for t in texts], texts, sizes, ws, early, seen, at, max_distance, step, pieces, short_items(texts, cut_up))
+
+
+def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int]]:
+    """(item, where the item would begin, hit) for the hits of all LSH tables and pieces."""
     out = set()
-    every = window_starts(buf, index.step)
-    for t, walk in enumerate(index.walks):
-        begun = []
+    every = window_starts(buf, index.step) if index.sizes else np.zeros(0, np.int64)
+    for number, mark in enumerate(index.marks() if len(every) else ()):
+        tables = [t for t, walk in enumerate(index.walks) if walk.beginning == number]
+        parts = []
         for at in range(0, len(every), AT_ONCE):
-            _, pos, key = next(walk_windows(buf, every[at:at + AT_ONCE], walk, index.sizes[0]))
-            on = np.flatnonzero(index.early[t][key >> np.uint32(32 - _BITS)])
-            begun.append((on + at, pos[on], key[on]))
-        if not begun:
-            continue
-        row, pos, key = (np.concatenate(x) for x in zip(*begun, strict=True))
-        starts = every[row]
+            _, pos, key = next(walk_windows(buf, every[at:at + AT_ONCE], index.walks[tables[0]], index.sizes[0]))
+            on = np.flatnonzero(mark[key >> np.uint32(32 - _BITS)])
+            parts.append((on + at, pos[on], key[on]))
+        row, pos, key = (np.concatenate(x) for x in zip(*parts, strict=True))
         for w in index.sizes:
-            maps = index.seen[t, w]
-            on = np.flatnonzero(maps[0][key >> np.uint32(32 - _BITS)])
+            on = np.flatnonzero(_has(index.early[number, w], key))
             if not len(on):
                 continue
-            for rows, _, full in walk_windows(buf, starts[on], walk, w, lambda n, k, maps=maps: maps[n][k >> np.uint32(32 - _BITS)], (pos[on], key[on])):
-                pass
-            on = on[rows]
-            hit = np.flatnonzero(maps[-1][full >> np.uint32(32 - _BITS)])
-            table = index.at[t, w]
-            for p, k in zip(starts[on[hit]].tolist(), full[hit].tolist(), strict=True):
-                out.update((i, p - s, p, t) for i, s in table.get(k, ()))
+            starts, begun = every[row[on]], (pos[on], key[on])
+            for t in tables:
+                maps = index.seen[t, w]
+                for rows, _, full in walk_windows(buf, starts, index.walks[t], w, lambda n, k, maps=maps: slice(None) if n == 0 else _has(maps[n - 1], k), begun):
+                    pass
+                place, item, inside = index.at[t, w].of(full)
+                p = starts[rows[place]]
+                out.update(zip(item.tolist(), (p - inside).tolist(), p.tolist(), strict=True))
+    for n, hits in index.pieces.items():
+        for at in range(0, len(buf), AT_ONCE << 4):
+            key = rolling(buf[at:at + (AT_ONCE << 4) + n - 1], n)
+            on = np.flatnonzero(_has(hits.key, key))
+            place, item, inside = hits.of(key[on])
+            p = on[place] + at
+            out.update(zip(item.tolist(), (p - inside).tolist(), p.tolist(), strict=True))
     return sorted(out)
 
 
 def best_stretches(items: list[bytes], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Least edit distance of each item to any stretch of its text, and that stretch's first end; all pairs side by side in 64-bit words."""
+    """Least edit distance of each item to any stretch of its text, and that stretch's first end; pairs side by side in 64-bit words."""
     best, end = np.array([len(i) for i in items], np.int64), np.zeros(len(items), np.int64)
     words = -(-best // 64)
     for w in np.unique(words):
         of = np.flatnonzero(words == w)
         kinds = sorted({items[i] for i in of})
         number = {k: n for n, k in enumerate(kinds)}
-        eq = np.zeros((256, w, len(kinds)), np.uint64)
+        eq = np.zeros((w, 256, len(kinds)), np.uint64)
         for n, k in enumerate(kinds):
             for at, c in enumerate(k):
-                eq[c, at >> 6, n] |= np.uint64(1) << np.uint64(at & 63)
-        eq[0] = 0
+                eq[at >> 6, c, n] |= np.uint64(1) << np.uint64(at & 63)
+        eq[:, 0] = 0
+        flat = eq.reshape(w, -1)
         of = of[np.argsort([-len(texts[i]) for i in of], kind="stable")]
-        which = np.array([number[items[i]] for i in of])
-        size = np.array([len(texts[i]) for i in of])
-        chars = np.zeros((int(size.max(initial=0)), len(of)), np.uint8)
-        for n, i in enumerate(of):
-            chars[:size[n], n] = np.frombuffer(texts[i], np.uint8)
-        one = np.uint64(1)
-        tops = [np.full(len(of), one << np.uint64(63))] * (w - 1) + [one << ((best[of] - 1) & 63).astype(np.uint64)]
-        up, down = [np.full(len(of), ~np.uint64(0)) for _ in range(w)], [np.zeros(len(of), np.uint64) for _ in range(w)]
-        d, low, at = best[of].copy(), best[of].copy(), np.zeros(len(of), np.int64)
-        for j in range(len(chars)):
-            n = int(np.searchsorted(-size, -j, side="left"))  # the pairs whose text goes on
-            rise, fall = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            for b in range(w):
-                p, m, e = up[b][:n], down[b][:n], eq[chars[j, :n], b, which[:n]]
-                v = e | m
+        for at in range(0, len(of), PAIRS):
+            part = of[at:at + PAIRS]
+            best[part], end[part] = _distances(flat, len(kinds), np.array([number[items[i]] for i in part]), best[part], [texts[i] for i in part])
+    return best, end
+
+
+def _distances(eq: np.ndarray, kinds: int, which: np.ndarray, length: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """eq: by word, the places of each character in each item. texts: longest first."""
+    w, one = len(eq), np.uint64(1)
+    size = np.array([len(t) for t in texts])
+    at = np.repeat(which[None, :], int(size.max(initial=0)), 0)  # of the pair's character in eq
+    for n, t in enumerate(texts):
+        at[:size[n], n] += np.frombuffer(t, np.uint8).astype(at.dtype) * kinds
+    tops = [np.full(len(which), one << np.uint64(63))] * (w - 1) + [one << ((length - 1) & 63).astype(np.uint64)]
+    up, down = [np.full(len(which), ~np.uint64(0)) for _ in range(w)], [np.zeros(len(which), np.uint64) for _ in range(w)]
+    d, low, end = length.copy(), length.copy(), np.zeros(len(which), np.int64)
+    for j in range(len(at)):
+        n = int(np.searchsorted(-size, -j, side="left"))  # the pairs whose text goes on
+        rise = fall = None
+        for b in range(w):
+            p, m, e = up[b][:n], down[b][:n], eq[b].take(at[j, :n])
+            v = e | m
+            if fall is not None:
                 e = e | fall
-                h = (((e & p) + p) ^ p) | e
-                plus, minus = m | ~(h | p), p & h
-                more, less = (plus & tops[b][:n]) != 0, (minus & tops[b][:n]) != 0
-                plus, minus = (plus << one) | rise, (minus << one) | fall
+            h = (((e & p) + p) ^ p) | e
+            plus, minus = m | ~(h | p), p & h
+            more, less = (plus & tops[b][:n]) != 0, (minus & tops[b][:n]) != 0
+            plus, minus = plus << one, minus << one
+            if rise is not None:
+                plus, minus = plus | rise, minus | fall
+            if b < w - 1:
                 rise, fall = more.astype(np.uint64), less.astype(np.uint64)
-                up[b][:n], down[b][:n] = minus | ~(v | plus), plus & v
-            d[:n] += more.astype(np.int64) - less
-            better = np.flatnonzero(d[:n] < low[:n])
-            low[better], at[better] = d[better], j + 1
-        best[of], end[of] = low, at
-    return best, end
+            up[b][:n], down[b][:n] = minus | ~(v | plus), plus & v
+        d[:n] += more.astype(np.int64) - less
+        better = d[:n] < low[:n]
+        if better.any():
+            better = np.flatnonzero(better)
+            low[better], end[better] = d[better], j + 1
+    return low, end
 
 
 def _pieces(norm: list[bytes], overlap: int) -> list[tuple[int, int, bytes]]:
@@ -369,11 +447,13 @@ def _groups(pieces: list) -> list[list]:
 
 
 def leaks(index: Items, texts: list) -> list[list[dict]]:
-    """For each text, every item that is in it: its best distance and that place, in bytes of the normal text."""
-    best: list[dict] = [{} for _ in texts]
-    norm = [normal(t) for t in texts]
+    """For each text, every item that is in it: its best distance and that place, in bytes of the normal text. Equal texts are looked at once."""
+    number: dict[bytes, int] = {}
+    of_text = [number.setdefault(n, len(number)) for n in map(normal, texts)]
+    norm = list(number)
+    best: list[dict] = [{} for _ in norm]
     whole_words(index, norm, best)
-    if index.sizes:
+    if index.sizes or index.pieces:
         longest = max(map(len, index.texts))
         for group in _groups(_pieces(norm, 2 * longest)):
             _look(index, group, best)
@@ -384,26 +464,26 @@ def leaks(index: Items, texts: list) -> list[list[dict]]:
             n = len(index.texts[i])
             rows += [{"item_id": x, "distance": d, "similarity": 1 - d / n, "start": max(0, end - n), "end": end} for x in index.ids[i]]
         out.append(sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"])))
-    return out
+    return [out[n] for n in of_text]
 
 
 def _look(index: Items, group: list, best: list[dict]) -> None:
     """Candidates of some pieces, each place decided once; what is found goes to ``best``."""
-    pad = 2 * index.sizes[-1] + EARLY_STEPS + 8
+    pad = 2 * max(index.sizes, default=LEAST_ITEM) + EARLY_STEPS + 8
     base = np.cumsum([0] + [len(t) + pad for _, _, t in group])
     buf = np.frombuffer(b"".join(t + b"\0" * pad for _, _, t in group), np.uint8)
     looked: dict[tuple[int, int], int] = {}
     work = []
     found = candidates(index, buf)
-    place = [(int(g), i, p - int(base[g])) for (i, p, _, _), g in zip(found, np.searchsorted(base, [h for _, _, h, _ in found], side="right") - 1, strict=True)]
+    place = [(int(g), i, p - int(base[g])) for (i, p, _), g in zip(found, np.searchsorted(base, [h for _, _, h in found], side="right") - 1, strict=True)]
     for g, i, p in place:  # by item, then by place
         size = len(index.texts[i])
         most = int(index.max_distance * size)
         if p <= looked.get((g, i), -1 << 60):  # the stretch before covers this place
             continue
-        looked[g, i] = p + most // 2
+        looked[g, i] = p + most // 4
         left = max(0, p - most)
-        work.append((i, g, left, group[g][2][left:max(left, p + size + most + most // 2)]))
+        work.append((i, g, left, group[g][2][left:max(left, p + size + most + most // 4)]))
     if not work:
         return
     distance, end = best_stretches([index.texts[i] for i, *_ in work], [w[3] for w in work])
@@ -415,17 +495,17 @@ def _look(index: Items, group: list, best: list[dict]) -> None:
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "leaks", max_distance: float = MAX_DISTANCE,
-               tables: int = TABLES, item_block: int = ITEM_BLOCK) -> DataFrame:
+               tables: int = TABLES, beginnings: int = BEGINNINGS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``docs`` plus ``out_col``: the items (item_id, text) that each text holds. One pass for each block of items, no shuffle."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
-    blocks = max(1, -(-items.count() // item_block))
+    blocks = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
     block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = docs.withColumn(out_col, F.array().cast(LEAKS))
-    at = docs.columns.index(text_col)
-    last = len(docs.columns)
+    last, at = len(docs.columns), docs.columns.index(text_col)
+    out = docs.toDF(*(f"c{i}" for i in range(last))).withColumn("found", F.array().cast(LEAKS))
     for b in range(blocks):
-        rows = items.where(block_of == b).collect()  # about item_block items
-        held = share(docs.sparkSession, index_items([(r["item_id"], r["text"]) for r in rows], max_distance, tables))
+        rows = items.where(block_of == b).collect()  # about block_bytes
+        held = share(docs.sparkSession, index_items([(r["item_id"], r["text"]) for r in rows], max_distance, tables, beginnings))
+        del rows
 
         def run(batches, held=held):
             for big in batches:
@@ -437,4 +517,5 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ou
                     yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(last)), pa.array(found, had.type)], names=part.schema.names)
 
         out = out.mapInArrow(run, out.schema)
-    return out
+    kept = [i for i, c in enumerate(docs.columns) if c != out_col]
+    return out.select(*(F.col(f"c{i}").alias(docs.columns[i]) for i in kept), F.col("found").alias(out_col))
