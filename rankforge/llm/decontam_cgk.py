@@ -52,12 +52,12 @@ from pyspark.sql import types as T
 from rankforge.llm.common import chunks, share
 
 MAX_DISTANCE = 0.2
-BEGINNINGS, TABLES = 10, 4
+BEGINNINGS, TABLES = 8, 4
 EARLY, EARLY_STEPS = 10, 20
 #: Late steps by window size, and of larger windows.
 LATE = {8: 1, 16: 1, 32: 1}
 LATE_STEPS = 3
-LEAST_ITEM = 40
+LEAST_ITEM = 64
 LEAST_PIECES = 10
 #: About as many bytes of items are looked for at once; their index has some 160 times as many.
 BLOCK_BYTES = 1 << 18
@@ -65,11 +65,13 @@ BLOCK_BYTES = 1 << 18
 PAIRS = 1 << 12
 #: Windows start this many bytes apart at most.
 STEP = 12
+#: Sampled early steps after which windows that begin like no item's are left out.
+CHECKS = (5, EARLY)
 #: Bytes of text looked at together.
-PIECE = 1 << 22
+PIECE = 1 << 23
 #: Windows that walk together: their state stays in a core's cache.
-AT_ONCE = 1 << 16
-_BITS = 20
+AT_ONCE = 1 << 15
+_BITS, _LATE_BITS = 20, 16
 
 LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
                                   T.StructField("similarity", T.DoubleType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -86,15 +88,19 @@ def window_size(length: int) -> int:
 @dataclass
 class Walk:
     """One LSH table: the walk's moves and the steps that are sampled."""
-    moves: np.ndarray  # steps x 256
+    moves: list[bytes]  # by step, the move of each of the 256 bytes
     early: list[int]
     late: dict[int, list[int]]  # by window size
     beginning: int
 
+    def samples(self, size: int) -> tuple[list[int], list[int]]:
+        """The sampled steps, and those after which windows may be left out."""
+        return self.early + self.late[size], [self.early[n - 1] for n in CHECKS] + self.late[size]
+
 
 def late_steps(size: int, rng: np.random.Generator) -> list[int]:
     """One step out of each of some stretches of the rest of the walk, the first ones short: most windows end there. Short windows, which few edits leave whole, have fewer."""
-    edge = EARLY_STEPS + np.round((2 * size - EARLY_STEPS) * np.linspace(0, 1, LATE.get(size, LATE_STEPS) + 1) ** 1.7).astype(int)
+    edge = EARLY_STEPS + np.round((2 * size - EARLY_STEPS) * np.linspace(0, 1, LATE.get(size, LATE_STEPS) + 1) ** 2.5).astype(int)
     return sorted({int(rng.integers(a, b)) for a, b in zip(edge[:-1], edge[1:], strict=True) if b > a and a < 2 * size})
 
 
@@ -103,49 +109,55 @@ def walks(sizes: list[int], beginnings: int = BEGINNINGS, tables: int = TABLES,
     steps = 2 * max(sizes, default=8)
     out = []
     for n in range(beginnings):
-        first = rng.integers(0, 2, (EARLY_STEPS, 256)).astype(np.int32)
+        first = rng.integers(0, 2, (EARLY_STEPS, 256), np.uint8)
         early = sorted(rng.choice(EARLY_STEPS, EARLY, replace=False).tolist())
         for _ in range(tables):
-            moves = rng.integers(0, 2, (steps, 256)).astype(np.int32)
+            moves = rng.integers(0, 2, (steps, 256), np.uint8)
             moves[:EARLY_STEPS] = first[:steps]
-            out.append(Walk(moves, early, {w: late_steps(w, rng) for w in sizes}, n))
+            out.append(Walk([m.tobytes() for m in moves], early, {w: late_steps(w, rng) for w in sizes}, n))
     return out
 
 
-def _mix(key: np.ndarray, c: np.ndarray) -> np.ndarray:
-    key = (key ^ c) * np.uint32(0x9E3779B1)
-    return key ^ (key >> np.uint32(15))
+@dataclass
+class State:
+    """Windows on their way: which ones, where they are, their keys so far."""
+    rows: np.ndarray
+    pos: np.ndarray
+    key: np.ndarray
+
+    def only(self, on: np.ndarray) -> State:
+        return State(self.rows[on], self.pos[on], self.key[on])
+
+
+def begin(start: np.ndarray) -> State:
+    return State(np.arange(len(start)), start.astype(np.intp), np.full(len(start), 17, np.uint32))
+
+
+_ODD32 = np.uint32(0x9E3779B1)
 
 
-def walk_windows(buf: np.ndarray, start: np.ndarray, walk: Walk, size: int, kept=None, begun=None):
-    """Yields (rows left, key) at each checkpoint: after the early steps, then after each late one.
+def walk_on(buf: np.ndarray, at: State, walk: Walk, size: int, first: int, last: int, kept=None, start: np.ndarray | None = None) -> State:
+    """The windows after the checkpoints first .. last - 1; kept(checkpoint, key) says which of them walk on.
 
-    buf ends with at least 2 * size zero bytes; past a window's end the walk reads zeros.
-    kept(checkpoint, key) says which rows walk on. begun: an early checkpoint's (position, key).
+    buf ends with at least 2 * size zero bytes. start: of all windows; with it, a walk past a window's end reads zeros.
     """
-    rows = np.arange(len(start))
-    if begun is None:
-        pos, key = start.astype(np.int32), np.full(len(start), 17, np.uint32)
-        for j in range(walk.early[-1] + 1):
-            c = buf.take(pos)
-            if j in walk.early:
-                key = _mix(key, c)
-            pos += walk.moves[j].take(c)
-    else:
-        pos, key = begun
-    yield rows, pos, key
-    end, j = start + size, walk.early[-1] + 1
-    for n, sampled in enumerate(walk.late[size]):
-        if kept is not None:
-            on = kept(n, key)
-            rows, pos, key, end = rows[on], pos[on], key[on], end[on]
-        while j <= sampled:
-            c = np.where(pos < end, buf.take(pos, mode="clip"), 0)
-            if j == sampled:
-                key = _mix(key, c)
-            pos = pos + walk.moves[j].take(c)
+    sampled, stops = walk.samples(size)
+    j = stops[first - 1] + 1 if first else 0
+    for n in range(first, last):
+        end = None if start is None else start[at.rows] + size
+        pos, key = at.pos, at.key
+        while j <= stops[n]:
+            c = buf.take(pos, mode="clip")
+            if end is not None:
+                c *= pos < end
+            if j in sampled:
+                key = (key ^ c) * _ODD32
+            pos = pos + np.frombuffer(c.tobytes().translate(walk.moves[j]), np.uint8)
             j += 1
-        yield rows, pos, key
+        at = State(at.rows, pos, key)
+        if kept is not None:
+            at = at.only(kept(n, key))
+    return at
 
 
 # ASCII characters that are neither letter nor digit.
@@ -184,6 +196,12 @@ def _has(keys: np.ndarray, key: np.ndarray) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
 
 
+def _flags(keys: np.ndarray, bits: int) -> np.ndarray:
+    out = np.zeros(1 << bits, bool)
+    out[keys >> np.uint32(32 - bits)] = True
+    return out
+
+
 @dataclass
 class Hits:
     """Sorted keys, and who has them: (item, start) of equal keys lie together."""
@@ -210,8 +228,9 @@ class Items:
     texts: list[bytes]
     sizes: list[int]
     walks: list[Walk]
-    #: by beginning and size: sorted keys of the early steps
+    #: by beginning and early checkpoint, and at the last of these by size: sorted keys
     early: dict[tuple[int, int], np.ndarray]
+    begun: dict[tuple[int, int], np.ndarray]
     #: by table and size: sorted keys at each late checkpoint but the last; then who has the full ones
     seen: dict[tuple[int, int], list[np.ndarray]]
     at: dict[tuple[int, int], Hits]
@@ -222,12 +241,11 @@ class Items:
     #: by length, items found as exact copies: sorted hashes, and the items that have them
     short: dict[int, tuple[np.ndarray, np.ndarray]]
 
-    def marks(self) -> list[np.ndarray]:
-        """For each beginning a flag by the upper bits of early keys; made where it is used."""
+    def marks(self) -> dict[tuple, np.ndarray]:
+        """Flags by the upper bits of keys, made where they are used: by beginning and early checkpoint, by table, size and late one."""
         if not hasattr(self, "_marks"):
-            self._marks = [np.zeros(1 << _BITS, bool) for _ in range(1 + max((w.beginning for w in self.walks), default=-1))]
-            for (n, _), keys in self.early.items():
-                self._marks[n][keys >> np.uint32(32 - _BITS)] = True
+            self._marks = {at: _flags(keys, _BITS) for at, keys in self.early.items()}
+            self._marks |= {(t, w, n): _flags(keys, _LATE_BITS) for (t, w), maps in self.seen.items() for n, keys in enumerate([*maps, self.at[t, w].key])}
         return self._marks
 
     def __getstate__(self):
@@ -322,7 +340,7 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
     sizes = sorted({window_size(len(texts[i])) for i in long})
     ws = walks(sizes, beginnings, tables)
     step = min([STEP] + [len(texts[i]) - window_size(len(texts[i])) + 1 for i in long])
-    seen, at, early = {}, {}, {}
+    seen, at, begun, early = {}, {}, {}, defaultdict(list)
     pad = 2 * max(sizes, default=8) + 8
     for w in sizes:
         of = np.array([i for i in long if window_size(len(texts[i])) == w])
@@ -333,36 +351,49 @@ def index_items(items: list[tuple], max_distance: float = MAX_DISTANCE, tables:
         inside = np.concatenate(places)
         start = base[who] + inside
         for t, walk in enumerate(ws):
-            keys = [key for _, _, key in walk_windows(buf, start, walk, w)]
-            early[walk.beginning, w] = np.unique(keys[0])
-            seen[t, w] = [np.unique(k) for k in keys[1:-1]]
+            if (walk.beginning, w) not in begun:  # its first table
+                early_on = begin(start)
+                for n in range(len(CHECKS)):
+                    early_on = walk_on(buf, early_on, walk, w, n, n + 1)
+                    early[walk.beginning, n].append(early_on.key)
+                begun[walk.beginning, w] = np.unique(early_on.key)
+            keys, state = [], early_on
+            for n in range(len(CHECKS), len(CHECKS) + len(walk.late[w])):
+                state = walk_on(buf, state, walk, w, n, n + 1, start=start)
+                keys.append(state.key)
+            seen[t, w] = [np.unique(k) for k in keys[:-1]]
             at[t, w] = _hits(keys[-1], of[who], inside)
-    return Items([by_text[t] for t in texts], texts, sizes, ws, early, seen, at, max_distance, step, pieces, short_items(texts, cut_up))
+    early = {n: np.unique(np.concatenate(k)) for n, k in early.items()}
+    return Items([by_text[t] for t in texts], texts, sizes, ws, early, begun, seen, at, max_distance, step, pieces, short_items(texts, cut_up))
 
 
 def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int]]:
     """(item, where the item would begin, hit) for the hits of all LSH tables and pieces."""
     out = set()
     every = window_starts(buf, index.step) if index.sizes else np.zeros(0, np.int64)
-    for number, mark in enumerate(index.marks() if len(every) else ()):
+    marks, first = index.marks(), len(CHECKS)
+    for number in sorted({walk.beginning for walk in index.walks}) if len(every) else ():
         tables = [t for t, walk in enumerate(index.walks) if walk.beginning == number]
         parts = []
         for at in range(0, len(every), AT_ONCE):
-            _, pos, key = next(walk_windows(buf, every[at:at + AT_ONCE], index.walks[tables[0]], index.sizes[0]))
-            on = np.flatnonzero(mark[key >> np.uint32(32 - _BITS)])
-            parts.append((on + at, pos[on], key[on]))
-        row, pos, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+            part = walk_on(buf, begin(every[at:at + AT_ONCE]), index.walks[tables[0]], index.sizes[0], 0, first,
+                           lambda n, key: np.flatnonzero(marks[number, n].take(key >> np.uint32(32 - _BITS))))
+            parts.append((part.rows + at, part.pos, part.key))
+        begun = State(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         for w in index.sizes:
-            on = np.flatnonzero(_has(index.early[number, w], key))
-            if not len(on):
+            on = begun.only(np.flatnonzero(_has(index.begun[number, w], begun.key)))
+            if not len(on.rows):
                 continue
-            starts, begun = every[row[on]], (pos[on], key[on])
             for t in tables:
                 maps = index.seen[t, w]
-                for rows, _, full in walk_windows(buf, starts, index.walks[t], w, lambda n, k, maps=maps: slice(None) if n == 0 else _has(maps[n - 1], k), begun):
-                    pass
-                place, item, inside = index.at[t, w].of(full)
-                p = starts[rows[place]]
+
+                def kept(n, key, t=t, w=w, maps=maps):
+                    on = np.flatnonzero(marks[t, w, n - first].take(key >> np.uint32(32 - _LATE_BITS)))
+                    return on[_has(maps[n - first], key[on])] if n - first < len(maps) else on
+
+                end = walk_on(buf, on, index.walks[t], w, first, first + len(maps) + 1, kept, every)
+                place, item, inside = index.at[t, w].of(end.key)
+                p = every[end.rows[place]]
                 out.update(zip(item.tolist(), (p - inside).tolist(), p.tolist(), strict=True))
     for n, hits in index.pieces.items():
         for at in range(0, len(buf), AT_ONCE << 4):
@@ -509,7 +540,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ou
 
         def run(batches, held=held):
             for big in batches:
-                for part in chunks(big, 2048):
+                for part in chunks(big, 8192):
                     found = leaks(held(), part.column(at).to_pylist())
                     had = part.column(last)
                     if blocks > 1:
