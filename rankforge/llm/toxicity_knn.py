@@ -5,9 +5,10 @@ searched through an inverted index of every term that an example has. Terms that
 examples have are dense rows in blocks of ``BLOCK`` examples, and every (term, block)
 keeps its largest weight; the posting lists of the others are added up first. A query's
 bound for a block is one dot product plus the block's largest sum so far; blocks are visited
-from the highest bound, and a block whose bound can't reach the query's k-th score so far is
-skipped. The k neighbours vote with weight cosine**SHARPNESS; a logistic
-curve fitted on further labelled rows turns the vote into a probability.
+from the highest bound, and a block whose bound can't reach the query's last score so far is
+skipped. The nearest ``voters`` vote with weight cosine**sharpness, both chosen by leaving one example out at a time
+(the widest area under the curve); a logistic curve fitted on further labelled rows turns the vote into a
+probability. The ``k`` nearest are the evidence.
 
 A text's own length scales all of its cosines alike: neighbours, vote and score don't
 depend on it. The evidence's cosines do: the terms of a text that no example has are
@@ -20,7 +21,9 @@ class and ``max_calibration`` rows, the smallest by hash of their id.
 
 Nulls and edges: a null or empty text has no terms and so no neighbours; its
 score is the calibrated value of an empty vote (the share of label 1 among the
-examples' prior). Label rows with a null id or null label teach nothing; an
+examples' prior). Very long texts are whole; a task holds one batch of texts. Equal cosines go to the example that comes first
+in the index. An empty table gives an empty one. Columns of ``docs`` pass by their places, so any names do; kept ones that are named as the
+result's are replaced by them. Label rows with a null id or null label teach nothing; an
 id labelled twice counts once, with its larger label. Repeated documents are
 scored alike. Without any usable labels every score is 0.0.
 """
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +45,9 @@ from rankforge.llm.common import calibrated, labelled, per_text, roles, rows_of,
 
 BLOCK = 64
 K = 31
-SHARPNESS = 2.0
+#: What is tried for the number of voters and for the power of a cosine in the vote.
+VOTERS = (15, 31, 63, 127)
+SHARPNESS = (1.0, 2.0, 4.0)
 MAX_EXAMPLES = 1000
 MAX_CALIBRATION = 2000
 #: Terms that this share of the examples has are dense rows, the most frequent ones; all others are posting lists.
@@ -71,6 +77,8 @@ class Index:
     weight: np.ndarray
     curve: np.ndarray
     k: int
+    voters: int
+    sharpness: float = SHARPNESS[0]
 
 
 @dataclass
@@ -121,7 +129,7 @@ def build_index(x: np.ndarray, ids: list, toxic: np.ndarray, terms: dict, idf: n
         by_term = np.argsort(others.term, kind="stable")
         first = np.searchsorted(others.term[by_term], np.arange(len(first)))
         who, weight = np.argsort(order)[others.row[by_term]].astype(np.int32), others.weight[by_term]
-    return Index(terms, idf, ids, toxic, blocks, highest, first, who, weight, np.zeros(2), k)
+    return Index(terms, idf, ids, toxic, blocks, highest, first, who, weight, np.zeros(2), k, k)
 
 
 def posted(index: Index, q: Vectors) -> np.ndarray:
@@ -138,37 +146,72 @@ def posted(index: Index, q: Vectors) -> np.ndarray:
     return out.reshape(n, m).astype(np.float32)
 
 
-def nearest(index: Index, q: np.ndarray, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest cosines of each row and their examples (-1: none), ties to the smaller example. more: what ``posted`` gives."""
-    n, k = len(q), index.k
-    score, who = np.zeros((n, k), np.float32), np.full((n, k), -1)
+def nearest(index: Index, q: np.ndarray, more: np.ndarray | None = None, n_best: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The highest cosines of each row (k of them) and their examples (-1: none), ties to the smaller example. more: what ``posted`` gives."""
+    n, k = len(q), n_best or index.k
+    # A cosine's bits, which are in its order, over the example's number from behind.
+    best = np.zeros((n, k), np.int64)
     bound = q @ index.highest + 1e-5
     if more is not None:
         bound += np.maximum.reduceat(more, [at for at, _, _ in index.blocks], axis=1)
     for b in np.argsort(-bound.mean(0), kind="stable"):
         at, has, weights = index.blocks[b]
-        rows = np.flatnonzero(bound[:, b] > score[:, -1])
+        rows = np.flatnonzero(bound[:, b] > _cosine(best[:, 0]))
         if not len(rows):
             continue
         s = q[np.ix_(rows, has)] @ weights
         if more is not None:
             s += more[rows, at:at + s.shape[1]]
-        everyone = np.hstack([score[rows], s])
-        number = np.hstack([who[rows], np.broadcast_to(np.arange(at, at + s.shape[1]), s.shape)])
-        order = np.lexsort((number, -everyone))[:, :k]
-        score[rows], who[rows] = np.take_along_axis(everyone, order, 1), np.take_along_axis(number, order, 1)
-    who[score <= 0] = -1
-    return score, who
+        new = np.ascontiguousarray(np.maximum(s, 0), np.float32).view(np.int32).astype(np.int64) << 32 | (_LAST - np.arange(at, at + s.shape[1]))
+        best[rows] = np.partition(np.hstack([best[rows], new]), s.shape[1], axis=1)[:, s.shape[1]:]
+    best = np.sort(best, axis=1)[:, ::-1]
+    score = _cosine(best)
+    return score, np.where(score > 0, _LAST - (best & _LAST), -1)
+
+
+_LAST = (1 << 32) - 1
+
+
+def _cosine(best: np.ndarray) -> np.ndarray:
+    return (best >> 32).astype(np.int32).view(np.float32)
+
+
+def tally(index: Index, score: np.ndarray, who: np.ndarray, voters: int, sharpness: float) -> np.ndarray:
+    """The share of label 1 among the voters, by weight; the examples' share where there are none."""
+    score, who = score[:, :voters], who[:, :voters]
+    w = np.where(who >= 0, score.astype(float) ** sharpness, 0)
+    total = w.sum(1)
+    return np.where(total > 0, (w * index.toxic[who]).sum(1) / np.where(total > 0, total, 1), index.toxic.mean())
 
 
 def votes(index: Index, q: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The vote, and the evidence's cosines and examples."""
     if not index.blocks:
         return np.zeros(len(q.dense)), np.zeros((len(q.dense), index.k)), np.full((len(q.dense), index.k), -1)
-    score, who = nearest(index, q.dense, posted(index, q))
-    w = np.where(who >= 0, score.astype(float) ** SHARPNESS, 0)
-    total = w.sum(1)
-    prior = index.toxic.mean()
-    return np.where(total > 0, (w * index.toxic[who]).sum(1) / np.where(total > 0, total, 1), prior), score, who
+    score, who = nearest(index, q.dense, posted(index, q), max(index.k, index.voters))
+    return tally(index, score, who, index.voters, index.sharpness), score[:, :index.k], who[:, :index.k]
+
+
+def area(vote: np.ndarray, label: np.ndarray) -> float:
+    """Under the curve: the share of (1, 0) pairs in order, ties by half."""
+    order = np.sort(vote[label == 0])
+    if not len(order) or len(order) == len(vote):
+        return 0.5
+    of = vote[label == 1]
+    return float((np.searchsorted(order, of) + np.searchsorted(order, of, "right")).mean() / 2 / len(order))
+
+
+def choose(index: Index, own: Vectors, place: np.ndarray) -> None:
+    """Voters and sharpness, by leaving each example out of its own neighbours. place: the examples' numbers in the index, by row of ``own``."""
+    score, who = nearest(index, own.dense, posted(index, own), max(VOTERS) + 1)
+    other = np.argsort(who == place[:, None], axis=1, kind="stable")  # itself last
+    score, who = (np.take_along_axis(x, other, 1)[:, :-1] for x in (score, who))
+    label, best = index.toxic[place], -1.0
+    for voters in VOTERS:
+        for sharpness in SHARPNESS:
+            a = area(tally(index, score, who, voters, sharpness), label)
+            if a > best + 1e-9:
+                best, index.voters, index.sharpness = a, voters, sharpness
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -203,6 +246,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
 
     x = x_of(ids)
     index = build_index(x.dense, ids, np.array([role[i][0] for i in ids], float), terms, idf, k, x)
+    if index.blocks:
+        number = {i: n for n, i in enumerate(index.ids)}
+        choose(index, x, np.array([number[i] for i in ids]))
     v, _, _ = votes(index, x_of(calibration))
     index.curve = calibrated(v, [role[i][0] for i in calibration], n)
     return index
@@ -259,8 +305,11 @@ def unknown_lengths(docs: DataFrame, held, text_col: str) -> DataFrame:
     return texts.join(often, "_term", "left").crossJoin(n).groupBy("_digest").agg(F.sum(weight * weight).alias("_more"))
 
 
-def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (the id by default), ``score``, ``predicted`` and ``evidence``: the neighbours, nearest first."""
+_FOUND = T.ArrayType(T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())]))
+
+
+def judged(docs: DataFrame, index: Index, text_col: str = "text") -> tuple[DataFrame, Callable]:
+    """Every column of ``docs`` by its place (c0, c1, ...), then score, predicted, found, norm and digest; and the shared index."""
     held = share(docs.sparkSession, index)
 
     def run(texts):
@@ -271,14 +320,28 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
         evidence = [[{"example": str(ix.ids[e]), "cosine": float(c), "label": int(ix.toxic[e])} for c, e in zip(cs, es, strict=True) if e >= 0]
                     for cs, es in zip(s, who, strict=True)]
         return {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32)),
-                "_found": pa.array(evidence, pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))),
-                "_norm": pa.array(q.norm), "_digest": pa.array([digest(x) for x in texts], pa.binary())}
-
-    kept = keep or [id_col]
-    found = per_text(docs, kept, text_col, run, [
-        T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
-        T.StructField("_found", T.ArrayType(T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())]))),
-        T.StructField("_norm", T.DoubleType()), T.StructField("_digest", T.BinaryType())])
-    part = F.col("_norm") / F.sqrt(F.col("_norm") * F.col("_norm") + F.coalesce("_more", F.lit(0.0)))
-    evidence = F.transform("_found", lambda e: F.struct(e["example"].alias("example"), (e["cosine"] * part).alias("cosine"), e["label"].alias("label")))
-    return found.join(unknown_lengths(docs, held, text_col), "_digest", "left").select(*kept, "score", "predicted", evidence.alias("evidence"))
+                "found": pa.array(evidence, pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))),
+                "norm": pa.array(q.norm), "digest": pa.array([digest(x) for x in texts], pa.binary())}
+
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("found", _FOUND),
+              T.StructField("norm", T.DoubleType()), T.StructField("digest", T.BinaryType())]
+    return per_text(docs.toDF(*places), places, places[docs.columns.index(text_col)], run, fields), held
+
+
+def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The kept columns (the id by default), ``score``, ``predicted`` and ``evidence``: the neighbours, nearest first."""
+    kept = [c for c in keep or [id_col] if c not in ("score", "predicted", "evidence")]
+    need = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text_col).alias("text"))
+    rows = need.toDF(*(f"k{i}" for i in range(len(kept))), "text")
+    found, held = judged(rows, index)
+    part = F.col("norm") / F.sqrt(F.col("norm") * F.col("norm") + F.coalesce("_more", F.lit(0.0)))
+    evidence = F.transform("found", lambda e: F.struct(e["example"].alias("example"), (e["cosine"] * part).alias("cosine"), e["label"].alias("label")))
+    found = found.join(unknown_lengths(rows, held, "text").withColumnRenamed("_digest", "digest"), "digest", "left").withColumn("evidence", evidence)
+    return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), "score", "predicted", "evidence")
+
+
+def accepted(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not called toxic, with all of their columns."""
+    rows, _ = judged(docs, index, text_col)
+    return rows.where("predicted = 0").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -87,3 +87,43 @@ def test_rare_words_count_as_in_brute_force(spark):
         assert np.allclose([e.cosine for e in r.evidence], best, atol=1e-5)
         assert all(abs(e.cosine - cosine[int(e.example)]) < 1e-5 for e in r.evidence)
     assert "Join" not in t.score(df, index).select("doc_id", "score")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_voters_are_chosen_on_the_examples():
+    """Leaving one out: what is chosen has the widest area of all that is tried, and no example votes for itself."""
+    rng = np.random.default_rng(6)
+    y = (rng.random(300) < .4).astype(float)
+    x = np.abs(rng.normal(size=(300, 30))) * (rng.random((300, 30)) < .4)
+    x[:, :3] += y[:, None] * rng.random((300, 3))
+    x = (x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)).astype(np.float32)
+    index = t.build_index(x, list(range(300)), y, {}, np.ones(30, np.float32), 7)
+    place = np.array([index.ids.index(i) for i in range(300)])
+    none = np.zeros(0, np.int64)
+    t.choose(index, t.Vectors(x, none, none, none.astype(np.float32), np.ones(300)), place)
+    cosine = (x @ x.T).astype(float)
+    np.fill_diagonal(cosine, -1)
+
+    def tried(k, p):
+        vote = []
+        for i in range(300):
+            near = np.argsort(-cosine[i], kind="stable")[:k]
+            w = np.maximum(cosine[i, near], 0) ** p
+            vote.append((w * y[near]).sum() / w.sum())
+        pairs = [(a > b) + (a == b) / 2 for a, ya in zip(vote, y) if ya for b, yb in zip(vote, y) if not yb]
+        return np.mean(pairs)
+
+    areas = {(k, p): tried(k, p) for k in t.VOTERS for p in t.SHARPNESS}
+    assert areas[index.voters, index.sharpness] >= max(areas.values()) - 1e-3
+
+
+def test_any_column_names(spark):
+    rows, labels = corpus(7, 60)
+    df = docs(spark, rows)
+    index = t.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    odd = df.withColumns({c: F.lit(c) for c in ("_found", "found", "evidence", "_norm", "norm", "_digest", "digest", "_more", "c0", "k0", "a.b")})
+    want = {r.doc_id for r in t.score(df, index).collect() if r.predicted == 0}
+    kept = t.accepted(odd, index)
+    assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == want
+    assert all(r["a.b"] == "a.b" and r["score"] == 7 for r in kept.collect())
+    out = t.score(odd, index, keep=odd.columns)
+    assert out.columns[-3:] == ["score", "predicted", "evidence"] and len(set(out.columns)) == len(out.columns) and out.count() == 60
