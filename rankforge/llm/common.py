@@ -26,6 +26,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return write_and_read(df, f"llm-{name}")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, whatever its columns' letter case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def remainder(id_col: str, n: int) -> Column:
     """crc32(id as text) mod n; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(n))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import written
+from rankforge.llm.common import unused, written
 from rankforge.session import scratch_path
 
 
@@ -141,18 +141,19 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """All columns; each maximal run of covered characters becomes ``MASK``. Other texts stay as they are."""
     ledger = ledger or Ledger(docs.sparkSession)
     ledger.scan(docs, text_col, rules)
-    found = written(ledger.findings(rules), "findings").select(F.col("blob").alias("_rf_blob"), F.col("found").alias("_rf_found"))
+    blob, spans, new = (unused(docs, n) for n in ("_rf_blob", "_rf_found", "_rf_text"))
+    found = written(ledger.findings(rules), "findings").select(F.col("blob").alias(blob), F.col("found").alias(spans))
     text = F.col(text_col)
     made = F.aggregate(
-        "_rf_found", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+        spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
             F.concat(a["out"], F.when((s["start"] < a["at"]) & (a["at"] > 0), F.lit("")).otherwise(F.concat(text.substr(a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))), F.lit(MASK)))).alias("out"),
             s["end"].alias("at"))),
         lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.greatest(F.length(text) - a["at"], F.lit(0)))))
-    hit = F.col("_rf_found").isNotNull()
-    joined = docs.withColumn("_rf_blob", blob_id(text_col)).join(found, "_rf_blob", "left")
-    out = joined.withColumn("_rf_text", F.when(hit, made).otherwise(text))
-    kept = {text_col: F.col("_rf_text")}
+    hit = F.col(spans).isNotNull()
+    joined = docs.withColumn(blob, blob_id(text_col)).join(found, blob, "left")
+    out = joined.withColumn(new, F.when(hit, made).otherwise(text))
+    kept = {text_col: F.col(new)}
     if length_col in docs.columns:
-        kept[length_col] = F.when(hit, F.length("_rf_text").cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return out.select(*(kept.get(c, F.col(c)).alias(c) for c in docs.columns))
+        kept[length_col] = F.when(hit, F.length(new).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return out.select(*(kept.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))

@@ -1,8 +1,10 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from rankforge.llm import queries
-from tests.llm.helpers import awkward, docs, prose
+from tests.llm.helpers import CLASH, awkward, docs, prose
 
 
 def test_registered():
@@ -44,6 +46,22 @@ def test_stages_one_by_one(spark, tmp_dir):
     assert abs(sum(r.taken for r in out) - 1.5 * sum(r["size"] for r in out)) < 200
 
 
+def test_extra_columns_under_any_names(spark, tmp_dir):
+    rnd = random.Random(2)
+    names = (*CLASH, "evidence", "_found", "_norm", "_digest", "_more", "found", "norm", "_rf_id", "_rf_text", "_rf_leaks", "_rf_blob", "_rf_found", "c0", "k0", "_h", "u", "copies", "taken", "rank", "todo", "have", "a.b")
+    rows = [(i, prose(rnd, 60), "en", "a" if i % 3 else None) for i in range(40)] + [(None, None), (50, "token: abcdef123"), (50, "token: abcdef123")]
+    df = docs(spark, rows).withColumns({c: F.lit(c) for c in names})
+    df.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int").withColumn("text", F.lit("x")).write.parquet(f"{tmp_dir}/labels.parquet")
+    spark.createDataFrame([(1, rows[3][1])], "item_id long, text string").withColumn("leaks", F.lit(1)).write.parquet(f"{tmp_dir}/benchmark.parquet")
+    for name, stage in p.STAGES:
+        out = stage(spark, df, tmp_dir)
+        got = out.collect()
+        if name != "mix":
+            assert out.columns == df.columns and all(r["a.b"] == "a.b" and r["_found"] == "_found" and r["c0"] == "c0" for r in got)
+    assert p.run(spark, tmp_dir).columns == ["doc_id", "source", "size", "source_size", "target", "copies", "taken"]
+
+
 def test_empty_corpus(spark, tmp_dir):
     docs(spark, [], extra=False).write.parquet(f"{tmp_dir}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
