@@ -54,7 +54,9 @@ MAX_CALIBRATION = 2000
 DENSE_SHARE = 0.03
 MAX_DENSE = 8000
 #: Products of posting lists that are held at once.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
+#: Labelled rows that the driver scores at once.
+ROWS = 256
 
 # Every ASCII character that is neither letter nor digit separates; A-Z become a-z.
 _SEPARATE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -201,12 +203,16 @@ def area(vote: np.ndarray, label: np.ndarray) -> float:
     return float((np.searchsorted(order, of) + np.searchsorted(order, of, "right")).mean() / 2 / len(order))
 
 
-def choose(index: Index, own: Vectors, place: np.ndarray) -> None:
-    """Voters and sharpness, by leaving each example out of its own neighbours. place: the examples' numbers in the index, by row of ``own``."""
-    score, who = nearest(index, own.dense, posted(index, own), max(VOTERS) + 1)
-    other = np.argsort(who == place[:, None], axis=1, kind="stable")  # itself last
-    score, who = (np.take_along_axis(x, other, 1)[:, :-1] for x in (score, who))
-    label, best = index.toxic[place], -1.0
+def choose(index: Index, own) -> None:
+    """Voters and sharpness, by leaving each example out of its own neighbours. own: parts of the examples, (vectors, numbers in the index)."""
+    kept, label = [], []
+    for x, place in own:
+        score, who = nearest(index, x.dense, posted(index, x), max(VOTERS) + 1)
+        other = np.argsort(who == place[:, None], axis=1, kind="stable")[:, :-1]  # itself last
+        kept.append((np.take_along_axis(score, other, 1), np.take_along_axis(who, other, 1)))
+        label.append(index.toxic[place])
+    score, who, label = (np.concatenate(a) for a in (*zip(*kept, strict=True), label))
+    best = -1.0
     for voters in VOTERS:
         for sharpness in SHARPNESS:
             a = area(tally(index, score, who, voters, sharpness), label)
@@ -229,28 +235,36 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         bag = [Counter(tokens(t)) for t in texts]
         return {"terms": pa.array([[*b] for b in bag], pa.list_(pa.binary())), "counts": pa.array([[*b.values()] for b in bag], pa.list_(pa.int32()))}
 
-    seen = {}
+    number: dict[bytes, int] = {}  # each term once, whoever has it
+    seen: dict = {}
     for r in per_text(rows, ["_id"], "_text", bags, [T.StructField("terms", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]).toLocalIterator():
-        bag = dict(zip(map(bytes, r["terms"]), r["counts"], strict=True))
-        if r["_id"] not in seen or sorted(bag.items()) < sorted(seen[r["_id"]].items()):  # an id that repeats: the same text in any run
-            seen[r["_id"]] = bag
+        bag = np.array([number.setdefault(bytes(t), len(number)) for t in r["terms"]], np.int32), np.array(r["counts"], np.int32)
+        if r["_id"] in seen:  # an id that repeats: the same text in any run
+            names = list(number)
+            of = lambda x: sorted((names[t], n) for t, n in zip(x[0].tolist(), x[1].tolist(), strict=True))
+            bag = min(seen[r["_id"]], bag, key=of)
+        seen[r["_id"]] = bag
     ids = sorted((i for i in seen if role[i][1] == "example"), key=str)
     calibration = sorted((i for i in seen if role[i][1] == "calibration"), key=str)
-    have = Counter(t for i in ids for t in seen[i])
-    terms = {t: i for i, t in enumerate(sorted(have, key=lambda t: (-have[t], t)))}
-    n_dense = min(MAX_DENSE, sum(n >= max(2, DENSE_SHARE * len(ids)) for n in have.values()))
+    names = list(number)
+    have = np.bincount(np.concatenate([seen[i][0] for i in ids]) if ids else np.zeros(0, int), minlength=len(names))
+    order = sorted(np.flatnonzero(have).tolist(), key=lambda t: (-have[t], names[t]))
+    terms = {names[t]: i for i, t in enumerate(order)}
+    n_dense = min(MAX_DENSE, int((have >= max(2, DENSE_SHARE * len(ids))).sum()))
     idf = document_frequencies(docs, text_col, terms)
 
     def x_of(which):
-        return vectors([seen[i] for i in which], terms, idf, n_dense)
+        return vectors([dict(zip((names[t] for t in seen[i][0].tolist()), seen[i][1].tolist(), strict=True)) for i in which], terms, idf, n_dense)
 
     x = x_of(ids)
     index = build_index(x.dense, ids, np.array([role[i][0] for i in ids], float), terms, idf, k, x)
+    del x
+    in_parts = lambda which: [which[at:at + ROWS] for at in range(0, len(which), ROWS)]
     if index.blocks:
-        number = {i: n for n, i in enumerate(index.ids)}
-        choose(index, x, np.array([number[i] for i in ids]))
-    v, _, _ = votes(index, x_of(calibration))
-    index.curve = calibrated(v, [role[i][0] for i in calibration], n)
+        place = {i: n for n, i in enumerate(index.ids)}
+        choose(index, ((x_of(part), np.array([place[i] for i in part])) for part in in_parts(ids)))
+    v = [votes(index, x_of(part))[0] for part in in_parts(calibration)]
+    index.curve = calibrated(np.concatenate(v) if v else np.zeros(0), [role[i][0] for i in calibration], n)
     return index
 
 
