@@ -94,3 +94,8 @@ def decimal_to_text(c) -> Column:
 def yyyymmdd_to_date(c) -> Column:
     """``'YYYYMMDDhh'`` (or ``'YYYYMMDD'``) text -> date; invalid -> NULL."""
     return F.try_to_date(F.substring(as_col(c), 1, 8), "yyyyMMdd")
+
+
+def total(c, wide: bool = False) -> Column:
+    """Sum of whole numbers: in 64 bits (beyond them an error), or ``wide``, in 38 digits."""
+    return F.sum(as_col(c).cast("decimal(38,0)") if wide else as_col(c))

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.functions.casting import total
+from rankforge.operators.hot_keys import degree_sketch, hot_buckets, with_estimate
 from rankforge.operators.topn import best_per_key
 
-# Parts that the bridge rows of one link are dealt to.
-SALTS = 16
+# Bridge rows of one link that are joined in one place.
+HOT_DEGREE = 4096
 
 
 def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
@@ -26,23 +28,27 @@ def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
 
 def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
                        group_keys: Sequence[str], measure: str, out: str | None = None,
-                       salts: int = SALTS) -> DataFrame:
+                       hot_degree: int = HOT_DEGREE, wide: bool = False) -> DataFrame:
     """Sum a per-(link, ...) measure to (``group_keys``) through a bridge.
 
     ``facts`` should already be aggregated to one row per link key and
     period, so the join sees no raw-level fan-out. The join multiplies each
-    fact row by its link's bridge rows, so its output can dwarf its input and
-    a link with very many bridge rows would expand in one task. Bridge rows
-    are therefore dealt to ``salts`` parts by their other columns and each
-    fact row is repeated once per part: a hot link spreads over ``salts``
-    places. Both sides are placed by (link, part) over the configured number
-    of shuffle partitions, which adaptive coalescing (it sees only the small
-    inputs, not the expansion) leaves alone.
+    fact row by its link's bridge rows, so a link with very many of them would
+    expand in one task. A sketch of the bridge finds such links
+    (``hot_degree`` rows or more) in one mergeable pass: their bridge rows are dealt to
+    one part for each ``hot_degree`` rows by their other columns, and only their fact rows are
+    repeated, once per part. All other links keep one part and their facts are joined as they are. No
+    partition count is set: adaptive execution coalesces and splits as it sees fit.
+
+    ``wide`` sums in 38 digits instead of 64 bits.
     """
     others = [c for c in bridge.columns if c != link_key]
-    n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = bridge.withColumn("__part", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    f = facts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    j = (f.repartition(n, link_key, "__part")
-          .join(b.repartition(n, link_key, "__part"), [link_key, "__part"], "inner"))
-    return j.groupBy(*group_keys).agg(F.sum(measure).alias(out or measure))
+    hot = hot_buckets(degree_sketch(bridge, link_key), hot_degree)
+    # Both sides read the same counts: a link has as many parts on one side as on the other.
+    parts = F.greatest(F.col("__parts"), F.lit(1))
+    b = (with_estimate(bridge, link_key, hot, "__parts")
+         .withColumn("__part", F.pmod(F.xxhash64(*others), parts).cast("int")).drop("__parts"))
+    f = (with_estimate(facts, link_key, hot, "__parts")
+         .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts"))
+    j = f.join(b, [link_key, "__part"], "inner")
+    return j.groupBy(*group_keys).agg(total(measure, wide).alias(out or measure))

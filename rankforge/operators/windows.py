@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.functions.casting import total
+
 
 def expand_anchors(anchors: DataFrame, anchor_date: str, days: int, out: str = "date_day") -> DataFrame:
     """Each anchor row once per day of its window ``[anchor-days+1, anchor]``."""
@@ -20,7 +22,7 @@ def expand_anchors(anchors: DataFrame, anchor_date: str, days: int, out: str = "
 def trailing_window_sum(facts: DataFrame, anchors: DataFrame, fact_date: str, anchor_date: str,
                         group_keys: Sequence[str], measure: str, days: int = 7,
                         out: str = "value_nd", anchor_cols: Sequence[str] | None = None,
-                        pre_aggregate: bool = True) -> DataFrame:
+                        pre_aggregate: bool = True, wide: bool = False) -> DataFrame:
     """Sum ``measure`` per (anchor, ``group_keys``) over the ``days`` days
     ending on each anchor date, both ends inclusive.
 
@@ -36,15 +38,16 @@ def trailing_window_sum(facts: DataFrame, anchors: DataFrame, fact_date: str, an
        strategy Spark picks from run-time sizes;
     4. a final hash aggregate sums per (anchor, group).
 
-    NULL measures stay NULL when every value in a window is NULL.
+    NULL measures stay NULL when every value in a window is NULL. ``wide`` sums
+    in 38 digits instead of 64 bits.
     """
     anchor_cols = list(anchor_cols or anchors.columns)
     if pre_aggregate:
         daily = (facts.groupBy(*group_keys, F.col(fact_date).alias("__day"))
-                      .agg(F.sum(measure).alias("__v")))
+                      .agg(total(measure, wide).alias("__v")))
     else:
         daily = facts.select(*group_keys, F.col(fact_date).alias("__day"), F.col(measure).alias("__v"))
     exp = expand_anchors(anchors.select(*anchor_cols), anchor_date, days, out="__day")
     joined = daily.join(exp, "__day", "inner")
     return (joined.groupBy(*anchor_cols, *group_keys)
-                  .agg(F.sum("__v").alias(out)))
+                  .agg(total("__v", wide).alias(out)))

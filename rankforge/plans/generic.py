@@ -18,6 +18,7 @@ from rankforge.functions import (
     freshest, json_text, safe_date, safe_double, safe_int, safe_long, yyyymmdd_to_date,
 )
 from rankforge.operators.calendar import calendar, week_dimension
+from rankforge.operators.hot_keys import heavy_keys
 from rankforge.operators.joins import join_first_available
 from rankforge.operators.keys import consolidate_keys
 from rankforge.operators.names import explode_names
@@ -139,6 +140,11 @@ def freshest_order_event(spark: SparkSession, root: str) -> DataFrame:
     return j.select("o_orderkey", freshest("o_orderdate", "last_event").alias("freshest_at"))
 
 
+def heavy_parts(spark: SparkSession, root: str) -> DataFrame:
+    """Parts with 40 line items or more, and how many they have."""
+    return heavy_keys(_t(spark, root, "lineitem"), "l_partkey", 40)
+
+
 GENERIC_QUERIES = {
     "generic_events_trailing_7d": events_trailing_7d,
     "generic_orders_best_per_customer": orders_best_per_customer,
@@ -151,4 +157,5 @@ GENERIC_QUERIES = {
     "generic_ship_weeks": ship_weeks,
     "generic_event_text_casts": event_text_casts,
     "generic_freshest_order_event": freshest_order_event,
+    "generic_heavy_parts": heavy_parts,
 }

@@ -102,15 +102,17 @@ class ModelGraph:
     ``null_authors_as_text`` reproduces the reference's phantom "null" author.
     ``dedup_latest`` keeps the latest landing of rows that were landed again;
     by default they count again, as the append-only landing has them.
+    ``wide_sums`` sums views in 38 digits, for totals that 64 bits don't hold.
     """
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | _dt.date,
                  strip_decimal: bool = False, collapse_ws: bool = False,
                  reuse_shared: bool = True, null_authors_as_text: bool = False,
-                 dedup_latest: bool = False):
+                 dedup_latest: bool = False, wide_sums: bool = False):
         self.raw = {n: latest_landing(df, n) for n, df in raw.items()} if dedup_latest else raw
         self.null_authors_as_text = null_authors_as_text
         self.as_of = as_of
+        self.wide_sums = wide_sums
         self.strip_decimal = strip_decimal
         self.collapse_ws = collapse_ws
         self.reuse_shared = reuse_shared
@@ -232,18 +234,18 @@ class ModelGraph:
     def fct_author_views_7d(self):
         # Views summed per (article, day) before the key is derived (see
         # author_day_views); the same sums as aggregating the daily fact.
-        return M.fct_author_views_7d(M.author_day_views(self._m("stg_pageviews"), self.collapse_ws),
-                                     None, self._m("dim_week"))
+        return M.fct_author_views_7d(M.author_day_views(self._m("stg_pageviews"), self.collapse_ws, self.wide_sums),
+                                     None, self._m("dim_week"), wide=self.wide_sums)
 
     @cached_property
     def fct_book_views_7d(self):
-        return M.fct_book_views_7d(self._m("bridge_book_author"), self._m("fct_author_views_7d"))
+        return M.fct_book_views_7d(self._m("bridge_book_author"), self._m("fct_author_views_7d"), self.wide_sums)
 
     @cached_property
     def weekly_scorecard(self):
         return M.weekly_scorecard(self._m("fct_weekly_rank"), self._m("dim_week"),
                                   self._m("dim_book"), bridge=self._m("bridge_book_author"),
-                                  author_views=self._m("fct_author_views_7d"))
+                                  author_views=self._m("fct_author_views_7d"), wide=self.wide_sums)
 
 
 def build(graph: ModelGraph, out_root: str | None = None, checks=None,

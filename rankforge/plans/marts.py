@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    clean_isbn_text, date_from_key, date_key, freshest, md5_key, trimmed_or_null,
+    clean_isbn_text, date_from_key, date_key, freshest, md5_key, total, trimmed_or_null,
 )
 from rankforge.operators.bridge import build_bridge, rollup_over_bridge
 from rankforge.operators.calendar import calendar, week_dimension
@@ -215,7 +215,7 @@ def fct_pageviews_daily(stg_views: DataFrame, wiki_map: DataFrame | None = None,
                     "agent", "project", "granularity", "extracted_at")
 
 
-def author_day_views(stg_views: DataFrame, collapse_ws: bool = False) -> DataFrame:
+def author_day_views(stg_views: DataFrame, collapse_ws: bool = False, wide: bool = False) -> DataFrame:
     """Views per (author, day), summed per (article, day) first.
 
     Same sums as aggregating :func:`fct_pageviews_daily`: the author key is a
@@ -225,13 +225,13 @@ def author_day_views(stg_views: DataFrame, collapse_ws: bool = False) -> DataFra
     All-NULL views stay NULL.
     """
     per_article = (stg_views.where(F.col("view_date").isNotNull())
-                            .groupBy("article", "view_date").agg(F.sum("views").alias("views")))
+                            .groupBy("article", "view_date").agg(total("views", wide).alias("views")))
     keyed = with_article_author_key(per_article, "article", collapse_ws)
     return keyed.select("author_key", "view_date", "views")
 
 
 def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFrame,
-                        days: int = 7) -> DataFrame:
+                        days: int = 7, wide: bool = False) -> DataFrame:
     """Views per (week, author) over the 7 days ending on the list date
     (days -6..0, inclusive).
 
@@ -252,15 +252,15 @@ def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFr
     d = d.select("author_key", "date_day", "views")
     return trailing_window_sum(d, weeks.select("week_key", "week_date"), "date_day", "week_date",
                                ["author_key"], "views", days=days, out="views_7d",
-                               pre_aggregate=not summed).select(
+                               pre_aggregate=not summed, wide=wide).select(
         "week_key", "week_date", "author_key", "views_7d")
 
 
-def fct_book_views_7d(bridge: DataFrame, author_views: DataFrame) -> DataFrame:
+def fct_book_views_7d(bridge: DataFrame, author_views: DataFrame, wide: bool = False) -> DataFrame:
     """Per (book, week): the 7-day views summed over all the book's authors."""
     return rollup_over_bridge(bridge.select("book_key", "author_key"),
                               author_views.select("week_key", "author_key", "views_7d"),
-                              "author_key", ["book_key", "week_key"], "views_7d")
+                              "author_key", ["book_key", "week_key"], "views_7d", wide=wide)
 
 
 # ---------------------------------------------------------------- wide table
@@ -273,7 +273,7 @@ SCORECARD_COLS = [
 ]
 
 
-def listed_book_views(pairs: DataFrame, bridge: DataFrame, author_views: DataFrame) -> DataFrame:
+def listed_book_views(pairs: DataFrame, bridge: DataFrame, author_views: DataFrame, wide: bool = False) -> DataFrame:
     """:func:`fct_book_views_7d` restricted to the given (week, book) pairs.
 
     Same sums, but only for books on the list that week: the pairs join the
@@ -282,12 +282,12 @@ def listed_book_views(pairs: DataFrame, bridge: DataFrame, author_views: DataFra
     """
     pb = pairs.select("week_key", "book_key").join(bridge.select("book_key", "author_key"), "book_key")
     j = pb.join(author_views.select("week_key", "author_key", "views_7d"), ["week_key", "author_key"])
-    return j.groupBy("week_key", "book_key").agg(F.sum("views_7d").alias("views_7d"))
+    return j.groupBy("week_key", "book_key").agg(total("views_7d", wide).alias("views_7d"))
 
 
 def weekly_scorecard(ranks: DataFrame, weeks: DataFrame, books: DataFrame,
                      book_views: DataFrame | None = None, bridge: DataFrame | None = None,
-                     author_views: DataFrame | None = None) -> DataFrame:
+                     author_views: DataFrame | None = None, wide: bool = False) -> DataFrame:
     """One row per (book, week) on the list with book attributes and 7-day views.
 
     Missing views read 0; ``extracted_at`` is the fresher of the rank row
@@ -295,7 +295,7 @@ def weekly_scorecard(ranks: DataFrame, weeks: DataFrame, books: DataFrame,
     cheaper, from ``bridge`` + ``author_views`` for the listed pairs only.
     """
     if book_views is None:
-        book_views = listed_book_views(ranks, bridge, author_views)
+        book_views = listed_book_views(ranks, bridge, author_views, wide)
     # Both sides of the week join are list-sized, so no forced broadcast (and
     # no size-check job): AQE picks the strategy from runtime sizes.
     wk = weeks.select("week_key", F.col("week_date").alias("published_date"))
@@ -308,7 +308,7 @@ def weekly_scorecard(ranks: DataFrame, weeks: DataFrame, books: DataFrame,
               .join(b, "book_key", "inner")
               .join(v, ["week_key", "book_key"], "left"))
     return j.select(*[
-        F.coalesce("__v", F.lit(0).cast("bigint")).alias("views_7d") if c == "views_7d"
+        F.coalesce("__v", F.lit(0).cast("decimal(38,0)" if wide else "bigint")).alias("views_7d") if c == "views_7d"
         else freshest("extracted_at", "__book_ts").alias("extracted_at") if c == "extracted_at"
         else F.col(c)
         for c in SCORECARD_COLS])

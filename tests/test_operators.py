@@ -116,21 +116,53 @@ def test_first_landing_plans_start_no_job(spark):
 
 
 def test_hot_links_spread_over_many_tasks(spark):
-    """16 equally hot authors: the join's rows come from more than 16 partitions."""
-    from rankforge.operators.bridge import rollup_over_bridge
-
-    bridge = spark.range(16 * 200).selectExpr("id as book", "id % 16 as author")
-    facts = spark.range(16 * 4).selectExpr("id % 16 as author", "id div 16 as week", "id as v")
-    n = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    try:
-        out = rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v")
-        want = bridge.join(facts, "author").groupBy("book", "week").agg(F.sum("v").alias("v"))
-        assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
-        parts = bridge.withColumn("__part", F.pmod(F.xxhash64("book"), F.lit(16)).cast("int")).repartition(64, "author", "__part")
-        assert parts.select(F.spark_partition_id().alias("p")).distinct().count() > 16
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", n)
+    """16 hot authors among many: their books are dealt to places of their own, and only their facts are repeated."""
+    from rankforge.operators import degree_sketch, hot_buckets, rollup_over_bridge, with_estimate
+
+    hot = spark.range(16 * 200).selectExpr("id as book", "id % 16 as author")
+    bridge = hot.union(spark.range(3000).selectExpr("id as book", "100 + id div 2 as author")).union(spark.range(5).selectExpr("id as book", "cast(null as bigint) as author"))
+    facts = spark.range(1600 * 3).selectExpr("id % 1600 as author", "id div 1600 as week", "if(id % 5 = 0, null, id) as v")
+    out = rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v", hot_degree=50)
+    want = bridge.join(facts, "author").groupBy("book", "week").agg(F.sum("v").alias("v"))
+    assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+    found = with_estimate(facts, "author", hot_buckets(degree_sketch(bridge, "author"), 50), "parts")
+    rep = found.groupBy((F.col("author") < 16).alias("hot")).agg(F.sum(F.greatest("parts", F.lit(1))).alias("n"), F.count(F.lit(1)).alias("rows"), F.min("parts").alias("least"))
+    by = {r.hot: r for r in rep.collect()}
+    assert by[True].least >= 4 and by[True].n >= 4 * by[True].rows  # 200 books, 50 in a place
+    assert by[False].n <= 1.1 * by[False].rows  # hardly any other is repeated
+    plan = out._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_degree_sketch(spark):
+    """Any order of tasks gives the same counts, no estimate is too low, and the size is bounded."""
+    from rankforge.operators import degree_sketch, heavy_keys, hot_buckets, with_estimate
+
+    rows_ = spark.range(20_000).selectExpr("if(id % 3 = 0, 7, if(id % 100 = 1, null, id % 997)) as k")
+    one, two = degree_sketch(rows_.repartition(7), "k", 64), degree_sketch(rows_.coalesce(1), "k", 64)
+    assert one.exceptAll(two).count() == 0 and one.count() <= 2 * 64
+    true = {r.k: r["count"] for r in rows_.where("k is not null").groupBy("k").count().collect()}
+    for r in with_estimate(rows_.distinct(), "k", one.withColumn("least", F.lit(10)), "est", width=64).where("k is not null").collect():
+        assert r.est * 10 >= true[r.k]
+    assert hot_buckets(degree_sketch(rows_, "k"), 5000).count() == 2
+    assert {(r.k, r.n_rows) for r in heavy_keys(rows_, "k", 15, width=64).collect()} == {(k, n) for k, n in true.items() if n >= 15}
+    assert heavy_keys(rows_.limit(0), "k", 1).collect() == []
+
+
+def test_wide_sums(spark):
+    """Two views of 2 ** 62 have a sum; in 64 bits that is an error."""
+    import pytest
+    from rankforge.operators import rollup_over_bridge
+
+    f = spark.sql("select 1 as author, 1 as week, date'2024-01-01' as d, bigint(4611686018427387904) as v union all select 2, 1, date'2024-01-02', bigint(4611686018427387904)")
+    b = spark.sql("select 9 as book, 1 as author union all select 9, 2")
+    wide = rollup_over_bridge(b, f.select("author", "week", "v"), "author", ["book", "week"], "v", wide=True)
+    assert [int(r.v) for r in wide.collect()] == [1 << 63]
+    a = spark.sql("select date'2024-01-03' as a")
+    got = trailing_window_sum(f.withColumn("g", F.lit(1)), a, "d", "a", ["g"], "v", out="s", wide=True).collect()
+    assert [int(r.s) for r in got] == [1 << 63]
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        rollup_over_bridge(b, f.select("author", "week", "v"), "author", ["book", "week"], "v").collect()
 
 
 def test_calendar_is_inclusive(spark):
