@@ -135,26 +135,37 @@ def _failed(check: Check) -> Column | None:
     return None
 
 
-def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def observed_aggregates(model: str, checks: Sequence[Check]) -> dict[str, Column]:
+    """By check name, the failing rows of the model's checks that look at rows one by one: aggregates to take while it is written."""
+    return {ch.name: f for ch in checks if ch.model == model and (f := _failed(ch)) is not None}
+
+
+def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], observed: dict[str, int] | None = None) -> DataFrame:
     """``check_name, model, kind, failures, status`` - one row per check.
 
     All checks become one Spark job. Those that look at rows one by one share a
-    single aggregate (and scan) per model; unique checks are grouped counts;
-    relationships count the child's rows per key value first and anti-join the
+    single aggregate (and scan) per model, unless ``observed`` has their failing rows already (by check name,
+    from :func:`observed_aggregates` while the model was written); unique checks are grouped counts, without a shuffle where the
+    table is bucketed by the key; relationships count the child's rows per key value first and anti-join the
     values, so a hot key is one row in the join.
     """
-    name = ["check_name", "model", "kind", "failures"]
+    name, observed = ["check_name", "model", "kind", "failures"], observed or {}
 
     def row(ch, failures):
         return F.struct(F.lit(ch.name).alias(name[0]), F.lit(ch.model).alias(name[1]), F.lit(ch.kind).alias(name[2]), failures.alias(name[3]))
 
     parts = []
-    for model in dict.fromkeys(ch.model for ch in checks):
-        local = [(ch, f) for ch in checks if ch.model == model and (f := _failed(ch)) is not None]
+    known = [(ch.name, ch.model, ch.kind, int(observed[ch.name])) for ch in checks if ch.name in observed]
+    if known:
+        spark = tables[known[0][1]].sparkSession
+        parts.append(spark.createDataFrame(known, "check_name string not null, model string not null, kind string not null, failures long not null"))
+    left = [ch for ch in checks if ch.name not in observed]
+    for model in dict.fromkeys(ch.model for ch in left):
+        local = [(ch, f) for ch in left if ch.model == model and (f := _failed(ch)) is not None]
         if local:
             one = tables[model].agg(*(f.alias(f"f{i}") for i, (_, f) in enumerate(local)))
             parts.append(one.select(F.explode(F.array(*(row(ch, F.col(f"f{i}")) for i, (ch, _) in enumerate(local)))).alias("r")).select("r.*"))
-    for ch in checks:
+    for ch in left:
         if ch.kind == "relationships":
             col = ch.args["col"]
             child = tables[ch.model].where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__fk")).agg(F.count(F.lit(1)).alias("n"))

@@ -11,7 +11,6 @@ declared checks.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -21,7 +20,7 @@ from rankforge.operators.quality import run_checks
 from rankforge.plans import intermediate as I
 from rankforge.plans import marts as M
 from rankforge.plans import staging as S
-from rankforge.sources.io import as_table, latest_landing
+from rankforge.sources.io import latest_landing
 
 # What each model reads (the model dependency graph).
 DEPENDS = {
@@ -248,32 +247,51 @@ class ModelGraph:
                                   author_views=self._m("fct_author_views_7d"), wide=self.wide_sums)
 
 
+# How tables are laid out: keys that unique checks group by and that the
+# scorecard joins on are buckets; no key of these tables can hold a third of
+# the rows. The wide table is partitioned by week; the calendar is sorted.
+BUCKETS = {"book_keys": ["book_key"], "dim_book": ["book_key"], "fct_weekly_rank": ["book_key"], "bridge_book_author": ["book_key"],
+           "dim_author": ["author_key"], "fct_author_views_7d": ["author_key"]}
+PARTITIONS = {"weekly_scorecard": ["published_date"]}
+SORTED = {"dim_date": ["date_day"], "dim_week": ["week_date"]}
+
+
 def build(graph: ModelGraph, out_root: str | None = None, checks=None,
-          materialize_all: bool = False, threads: int = 4) -> tuple[dict[str, DataFrame], DataFrame]:
+          materialize_all: bool = False, threads: int = 4, source: dict | None = None,
+          commit_failed: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
     """Run the graph level by level and materialise models, then run the checks.
 
     With ``out_root`` (a shared folder: the warehouse path, never a
-    machine-local one) table models are written there as Parquet and re-read;
-    the wide table is partitioned by ``published_date`` so week filters prune
-    files. Without it, models are written as Parquet tables under the
-    cluster's ``spark.checkpoint.dir``. ``materialize_all`` also materialises the view
+    machine-local one) table models become a new version of the warehouse there
+    (:class:`rankforge.sources.warehouse.Warehouse`): readers keep the version before until all tables are
+    written and checked, and a build that fails changes nothing. Without it, a warehouse under the
+    cluster's ``spark.checkpoint.dir`` is used. ``materialize_all`` also materialises the view
     models. Either way every model is computed once and downstream models
     read it back instead of re-running its lineage, which also keeps the
     check plans small. Models of one level do not read each other, so up to
-    ``threads`` of them run as concurrent Spark jobs. Returns the models and
-    the check summary.
+    ``threads`` of them run as concurrent Spark jobs.
+
+    Checks that look at rows one by one, and row counts, are taken from the rows while they are written; the
+    others read the written tables. ``source`` (raw, format, options) is kept with the version, so that later
+    sessions can read the models that stay views. ``commit_failed=False`` leaves a version with failing checks uncommitted.
+    Returns the models and the check summary.
     """
+    import uuid
     from concurrent.futures import ThreadPoolExecutor
 
+    from rankforge.operators.quality import observed_aggregates
     from rankforge.plans.checks import DECLARED_CHECKS
-    from rankforge.session import write_and_read
+    from rankforge.session import scratch_path
+    from rankforge.sources.warehouse import Warehouse
+
+    checks = checks if checks is not None else DECLARED_CHECKS
+    spark = next(iter(graph.raw.values())).sparkSession
+    house = Warehouse(spark, out_root or scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}"))
+    version, entries, observed = house.begin(), {}, {}
 
-    def materialise(name: str) -> tuple[str, DataFrame]:
-        df = graph[name]
-        if out_root:
-            part = ["published_date"] if name == "weekly_scorecard" else None
-            return name, as_table(df, os.path.join(out_root, name), partition_by=part)
-        return name, write_and_read(df, name)
+    def materialise(name: str):
+        return name, house.write(version, name, graph[name], PARTITIONS.get(name, ()), BUCKETS.get(name, ()), SORTED.get(name, ()),
+                                 observe=observed_aggregates(name, checks))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         for level in build_levels(MODEL_ORDER):
@@ -282,8 +300,12 @@ def build(graph: ModelGraph, out_root: str | None = None, checks=None,
             # is not thread-safe); only the Spark jobs run concurrently.
             for n in todo:
                 graph[n]
-            for name, df in pool.map(materialise, todo):
+            for name, (df, entry, seen) in pool.map(materialise, todo):
                 graph.replace(name, df)
+                entries[name] = entry
+                observed |= seen
     models = {n: graph[n] for n in MODEL_ORDER}
-    summary = run_checks(models, checks if checks is not None else DECLARED_CHECKS)
+    summary = run_checks(models, checks, observed)
+    if commit_failed or summary.where("failures > 0").isEmpty():
+        house.commit(version, entries, source=source)
     return models, summary

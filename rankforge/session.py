@@ -81,3 +81,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there, in whatever file system it names."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, in whatever file system ``path`` names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none if it isn't there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

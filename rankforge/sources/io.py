@@ -11,10 +11,12 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rankforge.operators.topn import latest_per_key
+from rankforge.session import list_names, path_exists, touch
 from rankforge.sources.schemas import RAW_TABLES
 
 
@@ -29,9 +31,31 @@ def read_all_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[s
     return {n: read_raw(spark, root, n, fmt) for n in RAW_TABLES}
 
 
-def land_append(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> None:
-    """Append one extraction batch to the immutable landing table."""
-    df.select(*RAW_TABLES[name].fieldNames()).write.mode("append").format(fmt).save(os.path.join(root, name))
+def land_append(df: DataFrame, root: str, name: str, fmt: str = "parquet", batch_id: str | None = None) -> bool:
+    """Append one extraction batch to the immutable landing table; whether anything was landed.
+
+    With a ``batch_id`` the append can be repeated: the batch goes to a folder of its own, and a marker in
+    ``_batches`` says that it is whole. A batch whose marker is there lands no second time; one that failed half-way has
+    no marker and replaces what it left. Without an id every call appends.
+    """
+    rows = df.select(*RAW_TABLES[name].fieldNames())
+    table = os.path.join(root, name)
+    if batch_id is None:
+        rows.write.mode("append").format(fmt).save(table)
+        return True
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch_id):
+        raise ValueError(f"not a batch id: {batch_id!r}")
+    marker = os.path.join(table, "_batches", batch_id)
+    if path_exists(df.sparkSession, marker):
+        return False
+    rows.write.mode("overwrite").format(fmt).save(os.path.join(table, f"batch-{batch_id}"))
+    touch(df.sparkSession, marker)
+    return True
+
+
+def landed_batches(spark: SparkSession, root: str, name: str) -> list[str]:
+    """The ids of the batches that are whole, in order of their ids."""
+    return list_names(spark, os.path.join(root, name, "_batches"))
 
 
 # What makes two landed rows the same record.
