@@ -67,23 +67,34 @@ def safe_double(c) -> Column:
     return F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", "")).try_cast("double")
 
 
-# Fixed value: the date text forms the warehouse's date cast accepts - a 1-4
-# digit year, month and day joined by one repeated separator (- / or \),
-# optionally followed by blanks or by a time of day after a space or "T".
-_DATE_TEXT = r"^\s*(\d{1,4})([-/\\])(\d{1,2})\2(\d{1,2})(\s*|[ T]\d{1,2}:\d{2}.*)$"
+# The date text forms the warehouse's date cast accepts - a year
+# with an optional minus sign, month and day joined by one repeated separator
+# (- / \ or a blank), then optionally " (BC)", then blanks or a time of day after a
+# space or "T"; or the word "epoch".
+_DATE_TEXT = r"^\s*(-?)0*(\d{1,7})([-/\\ ])(\d{1,2})\3(\d{1,2})( \([bB][cC]\))?(\s*|[ T]\d{1,2}:\d{2}.*)$"
+_YEARS, _DAYS = 400, 146097  # after so many years the calendar repeats, so many days later
+_LAST_DAY = (1 << 31) - 2
 
 
 def safe_date(c) -> Column:
     """Text -> date, requiring year, month and day.
 
     Year-only (``'2021'``) and year-month (``'2021-05'``) text give NULL, as
-    do mixed separators and impossible days; one-digit parts, short years,
+    do mixed separators and impossible days; one-digit parts, short and long years, years BC,
     ``/`` separators, surrounding blanks and a trailing time are accepted.
     """
     c = as_col(c)
     part = lambda i: F.regexp_extract(c, _DATE_TEXT, i)
-    iso = F.concat(F.lpad(part(1), 4, "0"), F.lit("-"), part(3), F.lit("-"), part(4))
-    return F.when(c.rlike(_DATE_TEXT), iso.try_cast("date"))
+    text = part(2).try_cast("int")
+    bc = part(6) != ""
+    # Years before the first one are 0, -1, ...; "1 (BC)" is 0.
+    year = F.when(bc, 1 - text).when(part(1) == "-", -text).otherwise(text)
+    alike = F.lit(2000) + F.pmod(year, F.lit(_YEARS))  # a year with the same calendar, near enough for the parser
+    day = F.concat(alike.cast("string"), F.lit("-"), F.lpad(part(4), 2, "0"), F.lit("-"), F.lpad(part(5), 2, "0")).try_cast("date")
+    days = F.unix_date(day).cast("bigint") + F.floor((year - alike) / F.lit(_YEARS)) * F.lit(_DAYS)
+    ok = c.rlike(_DATE_TEXT) & ~(bc & ((part(1) == "-") | (text == 0))) & (F.abs(days) <= _LAST_DAY)
+    found = F.when(ok, F.date_from_unix_date(days.cast("int")))
+    return F.when(F.lower(c) == "epoch", F.date_from_unix_date(F.lit(0))).otherwise(found)
 
 
 def decimal_to_text(c) -> Column:

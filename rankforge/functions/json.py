@@ -39,6 +39,36 @@ def array_has_struct(arr, match: dict) -> Column:
     return F.coalesce(F.array_contains(as_col(arr), probe), F.lit(False))
 
 
+def json_object(doc) -> Column:
+    """An object document as a map from its keys to their values' texts, entries in the document's
+    order; NULL where the text is no JSON object. Numbers and nested values are their JSON text."""
+    return F.from_json(as_col(doc), "map<string,string>")
+
+
+def first_of(obj, key: str) -> Column:
+    """The value of a key in a :func:`json_object`; of a repeated key the first one."""
+    return F.try_element_at(as_col(obj), F.lit(key))
+
+
+def list_texts(text) -> Column:
+    """A JSON array's elements as texts; NULL for anything else."""
+    return F.from_json(as_col(text), "array<string>")
+
+
+def list_objects(text, fields: list[str]) -> Column:
+    """A JSON array of objects as structs of text ``fields`` (the first value of a repeated key); NULL for anything else."""
+    return F.transform(F.from_json(as_col(text), "array<map<string,string>>"),
+                       lambda m: F.struct(*(first_of(m, f).alias(f) for f in fields)))
+
+
+def is_malformed(doc, parsed=None) -> Column:
+    """Whether a text is no JSON document (NULL is no text). ``parsed``: its :func:`json_object`, so that
+    only texts that are no object are looked at again."""
+    doc = as_col(doc)
+    parsed = json_object(doc) if parsed is None else as_col(parsed)
+    return F.coalesce(doc.isNotNull() & parsed.isNull() & F.try_parse_json(doc).isNull(), F.lit(False))
+
+
 def json_array_contains(doc, field: str, match: dict) -> Column:
     """True when some object of the JSON array ``field`` has all ``match``
     attributes equal to the given columns/literals; False otherwise.
@@ -46,9 +76,7 @@ def json_array_contains(doc, field: str, match: dict) -> Column:
     Parses only the one field (one pass over the document) and tests it
     without generating rows.
     """
-    struct_t = ",".join(f"`{k}`:string" for k in match)
-    parsed = F.from_json(as_col(doc), f"`{field}` array<struct<{struct_t}>>")
-    return array_has_struct(parsed[field], match)
+    return array_has_struct(list_objects(first_of(json_object(doc), field), list(match)), match)
 
 
 def json_flag_true(doc, path: str) -> Column:

@@ -44,6 +44,19 @@ def collapse_spaces(c) -> Column:
     return F.regexp_replace(as_col(c), r"\s+", " ")
 
 
+def collapse_literal(c) -> Column:
+    """The first backslash with letters ``s`` after it becomes a space: what the
+    whitespace pattern, escaped once too often, means to the reference's warehouse."""
+    c = as_col(c)
+    return F.when(F.contains(c, F.lit("\\")), F.regexp_replace(c, r"(?s)^(.*?)\\s+", "$1 ")).otherwise(c)
+
+
+def strip_literal_suffix(c) -> Column:
+    """Remove a trailing backslash, any one character and zeros: the decimal pattern, likewise."""
+    c = as_col(c)
+    return F.when(F.contains(c, F.lit("\\")), F.regexp_replace(c, r"\\[^\n]0+\z", "")).otherwise(c)
+
+
 def strip_decimal_suffix(c) -> Column:
     """Remove a trailing ``.0``, ``.00``, ... from numeric text."""
     return F.regexp_replace(as_col(c), r"\.0+$", "")
@@ -52,18 +65,19 @@ def strip_decimal_suffix(c) -> Column:
 def normalize_name(c, collapse_ws: bool = False) -> Column:
     """Lower-case and trim a person name.
 
-    By default whitespace runs inside the name are kept as they are (the
-    reference behaviour, whose collapsing pattern never matches ordinary
-    text). ``collapse_ws=True`` collapses them to one space.
+    By default whitespace runs inside the name are kept as they are and only a literal
+    backslash pattern is replaced (the reference behaviour, see :func:`collapse_literal`).
+    ``collapse_ws=True`` collapses them to one space.
     """
     out = zs_trim(simple_lower(c))
-    return collapse_spaces(out) if collapse_ws else out
+    return collapse_spaces(out) if collapse_ws else collapse_literal(out)
 
 
 def clean_isbn_text(c, strip_decimal: bool = False) -> Column:
-    """ISBN text as carried by the ranked list: optionally drop ``.0`` tails."""
+    """ISBN text as carried by the ranked list: optionally drop ``.0`` tails, else what the
+    reference's pattern drops."""
     c = as_col(c).cast("string")
-    return strip_decimal_suffix(c) if strip_decimal else c
+    return strip_decimal_suffix(c) if strip_decimal else strip_literal_suffix(c)
 
 
 def strip_chars(c, chars: str) -> Column:

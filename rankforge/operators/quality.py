@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.functions.json import is_malformed
+
 
 def check_not_null(df: DataFrame, col: str) -> DataFrame:
     """Rows where ``col`` is NULL."""
@@ -85,6 +87,11 @@ def check_non_negative(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col) < 0)
 
 
+def check_json(df: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``col`` is no JSON document (NULL passes)."""
+    return df.where(is_malformed(col))
+
+
 @dataclass(frozen=True)
 class Check:
     """One declared test: ``kind`` is a check name, ``model`` the table."""
@@ -105,6 +112,7 @@ _KINDS = {
     "regex": lambda t, m, a: check_regex(t[m], a["col"], a["pattern"]),
     "in_set": lambda t, m, a: check_in_set(t[m], a["col"], a["values"]),
     "non_negative": lambda t, m, a: check_non_negative(t[m], a["col"]),
+    "json": lambda t, m, a: check_json(t[m], a["col"]),
 }
 
 
@@ -132,6 +140,8 @@ def _failed(check: Check) -> Column | None:
         return F.count_if(~c.isin(list(a["values"])))
     if check.kind == "non_negative":
         return F.count_if(c < 0)
+    if check.kind == "json":
+        return F.count_if(is_malformed(c))
     return None
 
 
@@ -176,5 +186,7 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], observed:
         else:
             continue
         parts.append(n.select(row(ch, F.col("failures")).alias("r")).select("r.*"))
+    if not parts:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "check_name string, model string, kind string, failures long, status string")
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))

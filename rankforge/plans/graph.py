@@ -102,16 +102,19 @@ class ModelGraph:
     ``dedup_latest`` keeps the latest landing of rows that were landed again;
     by default they count again, as the append-only landing has them.
     ``wide_sums`` sums views in 38 digits, for totals that 64 bits don't hold.
+    ``on_malformed="fail"`` stops at a catalogue document that is no JSON, which has NULL fields otherwise.
     """
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | _dt.date,
                  strip_decimal: bool = False, collapse_ws: bool = False,
                  reuse_shared: bool = True, null_authors_as_text: bool = False,
-                 dedup_latest: bool = False, wide_sums: bool = False):
+                 dedup_latest: bool = False, wide_sums: bool = False,
+                 on_malformed: str = "null"):
         self.raw = {n: latest_landing(df, n) for n, df in raw.items()} if dedup_latest else raw
         self.null_authors_as_text = null_authors_as_text
         self.as_of = as_of
         self.wide_sums = wide_sums
+        self.on_malformed = on_malformed
         self.strip_decimal = strip_decimal
         self.collapse_ws = collapse_ws
         self.reuse_shared = reuse_shared
@@ -146,11 +149,11 @@ class ModelGraph:
 
     @cached_property
     def stg_volumes_search(self):
-        return S.stg_volumes(self.raw["catalogue_search"])
+        return S.stg_volumes(self.raw["catalogue_search"], self.on_malformed)
 
     @cached_property
     def stg_volumes_isbn(self):
-        return S.stg_volumes(self.raw["catalogue_isbn"])
+        return S.stg_volumes(self.raw["catalogue_isbn"], self.on_malformed)
 
     @cached_property
     def stg_pageviews(self):
@@ -163,7 +166,7 @@ class ModelGraph:
         # document is parsed once (the staging model's columns plus one).
         if "stg_volumes_search" in self._override:
             return I.best_volume(self._m("stg_volumes_search"), match_isbn=True)
-        return I.best_volume(S.parse_volumes(self.raw["catalogue_search"]), match_isbn=True)
+        return I.best_volume(S.parse_volumes(self.raw["catalogue_search"], self.on_malformed).drop("__malformed"), match_isbn=True)
 
     @cached_property
     def listed_volumes(self):

@@ -6,17 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    blank_to_null, decimal_to_text, int_of, long_of, safe_double, safe_long, yyyymmdd_to_date,
+    blank_to_null, decimal_to_text, first_of, int_of, is_malformed, json_object, list_objects, list_texts, long_of, safe_double, safe_long,
+    yyyymmdd_to_date,
 )
 
-# The fields read from a catalogue volume document. Every
-# value is read as text (numbers keep their JSON text), so one parse of the
-# document serves all fields.
-VOLUME_INFO_SCHEMA = (
-    "title string, subtitle string, publisher string, publishedDate string, "
-    "language string, categories array<string>, averageRating string, ratingsCount string, "
-    "industryIdentifiers array<struct<type:string,identifier:string>>"
-)
+# The fields of an industry identifier.
+IDENTIFIER_FIELDS = ["type", "identifier"]
 
 
 def stg_ranked_list(raw: DataFrame) -> DataFrame:
@@ -41,38 +36,58 @@ def stg_ranked_list(raw: DataFrame) -> DataFrame:
     ).where(F.col("isbn13").isNotNull()))
 
 
-def stg_volumes(raw: DataFrame) -> DataFrame:
+def stg_volumes(raw: DataFrame, on_malformed: str = "null") -> DataFrame:
     """Typed catalogue volumes (used for both catalogue streams).
 
     The DECIMAL ISBN becomes integer text (rounded); text fields come out of
     the ``volumeinfo`` JSON document; ratings are safe-cast; the raw JSON
     documents are carried for later steps.
     """
-    return parse_volumes(raw).drop("__identifiers")
+    return parse_volumes(raw, on_malformed).drop("__identifiers", "__malformed")
 
 
-def parse_volumes(raw: DataFrame) -> DataFrame:
+def parse_volumes(raw: DataFrame, on_malformed: str = "null") -> DataFrame:
     """:func:`stg_volumes` plus the parsed identifier list ``__identifiers``
-    (array of ``type, identifier``), all from one parse of the document."""
-    doc = F.from_json("volumeinfo", VOLUME_INFO_SCHEMA)
-    return raw.withColumn("__doc", doc).select(
+    (array of ``type, identifier``) and ``__malformed``, all from one parse of the document.
+
+    The parse keeps the order of keys, so a repeated key reads its first value. A text that is no JSON document has
+    NULL fields, or with ``on_malformed="fail"`` stops the job.
+    """
+    doc = raw.withColumn("__doc", json_object("volumeinfo"))
+    bad = is_malformed("volumeinfo", "__doc")
+    if on_malformed == "fail":
+        doc = doc.withColumn("__doc", F.when(bad, F.raise_error(F.concat(F.lit("malformed document of volume "), F.coalesce("id", F.lit("?"))))
+                                             .cast("map<string,string>")).otherwise(F.col("__doc")))
+    elif on_malformed != "null":
+        raise ValueError(f"on_malformed: {on_malformed!r}")
+
+    def field(name: str):
+        return first_of("__doc", name)
+
+    return doc.select(
         decimal_to_text("isbn13").alias("isbn13_clean"),
         F.col("id").alias("gbooks_id"),
         F.col("selflink").alias("gbooks_selflink"),
         F.col("_airbyte_extracted_at").alias("extracted_at"),
-        F.col("__doc.title").alias("title"),
-        F.col("__doc.subtitle").alias("subtitle"),
-        F.col("__doc.publisher").alias("publisher"),
-        F.col("__doc.publishedDate").alias("published_date_raw"),
-        F.col("__doc.language").alias("language"),
-        F.try_element_at("__doc.categories", F.lit(1)).alias("category_1"),
-        safe_double("__doc.averageRating").alias("average_rating"),
-        safe_long("__doc.ratingsCount").alias("ratings_count"),
+        field("title").alias("title"),
+        field("subtitle").alias("subtitle"),
+        field("publisher").alias("publisher"),
+        field("publishedDate").alias("published_date_raw"),
+        field("language").alias("language"),
+        F.try_element_at(list_texts(field("categories")), F.lit(1)).alias("category_1"),
+        safe_double(field("averageRating")).alias("average_rating"),
+        safe_long(field("ratingsCount")).alias("ratings_count"),
         "volumeinfo", "saleinfo", "accessinfo", "searchinfo",
-        F.col("__doc.industryIdentifiers").alias("__identifiers"),
+        list_objects(field("industryIdentifiers"), IDENTIFIER_FIELDS).alias("__identifiers"),
+        bad.alias("__malformed"),
     )
 
 
+def malformed_volumes(raw: DataFrame) -> DataFrame:
+    """The volumes whose document is no JSON: ``isbn13_clean, gbooks_id, volumeinfo``."""
+    return parse_volumes(raw).where("__malformed").select("isbn13_clean", "gbooks_id", "volumeinfo")
+
+
 def stg_pageviews(raw: DataFrame) -> DataFrame:
     """Typed daily page views; rows whose timestamp text is not a valid
     ``YYYYMMDD..`` date are dropped."""

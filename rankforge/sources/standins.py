@@ -198,6 +198,7 @@ def derive_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 _LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_ROOTS: dict[tuple[str, str], str] = {}
 
 
 def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -223,4 +224,11 @@ def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         with ThreadPoolExecutor(max_workers=4) as pool:
             list(pool.map(land, derive_raw(spark, root).items()))
         _LANDED[key] = {n: read_raw(spark, dest, n) for n in RAW_TABLES}
+        _ROOTS[key] = dest
     return _LANDED[key]
+
+
+def landed_root(spark: SparkSession, root: str) -> str:
+    """The folder that :func:`landed_raw` landed the tables in."""
+    landed_raw(spark, root)
+    return _ROOTS[spark.sparkContext.applicationId, os.path.abspath(root)]
