@@ -72,6 +72,7 @@ def safe_double(c) -> Column:
 # (- / \ or a blank), then optionally " (BC)", then blanks or a time of day after a
 # space or "T"; or the word "epoch".
 _DATE_TEXT = r"^\s*(-?)0*(\d{1,7})([-/\\ ])(\d{1,2})\3(\d{1,2})( \([bB][cC]\))?(\s*|[ T]\d{1,2}:\d{2}.*)$"
+_PLAIN_DATE = r"^[1-9]\d{3}-\d{2}-\d{2}$"
 _YEARS, _DAYS = 400, 146097  # after so many years the calendar repeats, so many days later
 _LAST_DAY = (1 << 31) - 2
 
@@ -94,7 +95,9 @@ def safe_date(c) -> Column:
     days = F.unix_date(day).cast("bigint") + F.floor((year - alike) / F.lit(_YEARS)) * F.lit(_DAYS)
     ok = c.rlike(_DATE_TEXT) & ~(bc & ((part(1) == "-") | (text == 0))) & (F.abs(days) <= _LAST_DAY)
     found = F.when(ok, F.date_from_unix_date(days.cast("int")))
-    return F.when(F.lower(c) == "epoch", F.date_from_unix_date(F.lit(0))).otherwise(found)
+    # Plain dates, nearly all there are, need none of this.
+    return (F.when(c.rlike(_PLAIN_DATE), c.try_cast("date"))
+             .when(F.lower(c) == "epoch", F.date_from_unix_date(F.lit(0))).otherwise(found))
 
 
 def decimal_to_text(c) -> Column:
