@@ -12,7 +12,7 @@ from rankforge.operators.hot_keys import degree_sketch, hot_buckets, with_estima
 from rankforge.operators.topn import best_per_key
 
 # Bridge rows of one link that are joined in one place.
-HOT_DEGREE = 4096
+HOT_DEGREE = 64
 
 
 def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
@@ -28,7 +28,7 @@ def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
 
 def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
                        group_keys: Sequence[str], measure: str, out: str | None = None,
-                       hot_degree: int = HOT_DEGREE, wide: bool = False) -> DataFrame:
+                       hot_degree: int = HOT_DEGREE, wide: bool = False, partitions: int | None = None) -> DataFrame:
     """Sum a per-(link, ...) measure to (``group_keys``) through a bridge.
 
     ``facts`` should already be aggregated to one row per link key and
@@ -37,18 +37,22 @@ def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
     expand in one task. A sketch of the bridge finds such links
     (``hot_degree`` rows or more) in one mergeable pass: their bridge rows are dealt to
     one part for each ``hot_degree`` rows by their other columns, and only their fact rows are
-    repeated, once per part. All other links keep one part and their facts are joined as they are. No
-    partition count is set: adaptive execution coalesces and splits as it sees fit.
+    repeated, once per part; all other links keep one part. Both sides are placed by (link, part) over ``partitions`` places (by default the
+    configured number of shuffle partitions): what the join makes is many times what it reads, and adaptive coalescing,
+    which sees only the bytes read, would bring it together in a task or two (measured: 23 s instead of 9 s at sf0.1). With
+    ``partitions=0`` the placing is left to adaptive execution all the same.
 
     ``wide`` sums in 38 digits instead of 64 bits.
     """
     others = [c for c in bridge.columns if c != link_key]
-    hot = hot_buckets(degree_sketch(bridge, link_key), hot_degree)
+    n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")) if partitions is None else partitions
+    hot = hot_buckets(degree_sketch(bridge, link_key, depth=1), hot_degree)
     # Both sides read the same counts: a link has as many parts on one side as on the other.
     parts = F.greatest(F.col("__parts"), F.lit(1))
-    b = (with_estimate(bridge, link_key, hot, "__parts")
+    b = (with_estimate(bridge, link_key, hot, "__parts", depth=1)
          .withColumn("__part", F.pmod(F.xxhash64(*others), parts).cast("int")).drop("__parts"))
-    f = (with_estimate(facts, link_key, hot, "__parts")
+    f = (with_estimate(facts, link_key, hot, "__parts", depth=1)
          .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts"))
-    j = f.join(b, [link_key, "__part"], "inner")
+    place = [link_key, "__part"]
+    j = f.repartition(n, *place).join(b.repartition(n, *place), place) if n else f.join(b, place)
     return j.groupBy(*group_keys).agg(total(measure, wide).alias(out or measure))

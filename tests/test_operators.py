@@ -131,7 +131,9 @@ def test_hot_links_spread_over_many_tasks(spark):
     assert by[True].least >= 4 and by[True].n >= 4 * by[True].rows  # 200 books, 50 in a place
     assert by[False].n <= 1.1 * by[False].rows  # hardly any other is repeated
     plan = out._jdf.queryExecution().toString()
-    assert "REPARTITION_BY_NUM" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    free = rollup_over_bridge(bridge, facts, "author", ["book", "week"], "v", hot_degree=50, partitions=0)
+    assert "REPARTITION_BY_NUM" not in free._jdf.queryExecution().toString() and free.exceptAll(want).count() == 0
 
 
 def test_degree_sketch(spark):
