@@ -145,14 +145,15 @@ def walk_on(buf: np.ndarray, at: State, walk: Walk, size: int, first: int, last:
     j = stops[first - 1] + 1 if first else 0
     for n in range(first, last):
         end = None if start is None else start[at.rows] + size
-        pos, key = at.pos, at.key
+        pos, key = at.pos.copy(), at.key.copy()
         while j <= stops[n]:
             c = buf.take(pos, mode="clip")
-            if end is not None:
+            if end is not None and j >= size:  # after j steps a walk is j bytes on at most
                 c *= pos < end
             if j in sampled:
-                key = (key ^ c) * _ODD32
-            pos = pos + np.frombuffer(c.tobytes().translate(walk.moves[j]), np.uint8)
+                key ^= c
+                key *= _ODD32
+            pos += np.frombuffer(c.tobytes().translate(walk.moves[j]), np.uint8)
             j += 1
         at = State(at.rows, pos, key)
         if kept is not None:
