@@ -99,6 +99,13 @@ m{0} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM s{
 b{1} AS (SELECT p, e, coalesce(m{0}.v, b{0}.v) AS v FROM b{0} LEFT JOIN m{0} USING (p, e))"""
 _ROUNDS = ",\n".join(f"{_NEAREST.format(r)},\n{_MEANS.format(r, r + 1)}" for r in range(6)) + ",\n" + _NEAREST.format(6)
 
+# A fill: x are the rows with what is taken so far, w the words left by source; those that fit are taken by rank while there is room.
+_FILL = """w{0} AS (SELECT any_value(src) AS src, greatest(any_value(target) - any_value(sure) * any_value(source_size) - sum(extra * size), 0) AS room FROM x{0} GROUP BY src),
+u{0} AS (SELECT r, room, sum(size) OVER (PARTITION BY x.src ORDER BY rank, doc_id NULLS LAST, size, r ROWS UNBOUNDED PRECEDING) AS upto, size FROM x{0} x JOIN w{0} USING (src)
+  WHERE extra = 0 AND rank IS NOT NULL AND size <= {2} * room),
+x{1} AS (SELECT x.* REPLACE (CASE WHEN upto - u.size * {3} <= room THEN 1 ELSE extra END AS extra) FROM x{0} x LEFT JOIN u{0} u USING (r))"""
+_FILLS = ",\n".join(_FILL.format(n, n + 1, *((1, 0) if n < 2 else (2, 0.5))) for n in range(3))
+
 ORACLES = {
     "op1_warc_index_merge": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
@@ -122,6 +129,24 @@ cut AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans,
 SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
        sha256(unhex(CASE WHEN kept IS NULL THEN h ELSE array_to_string(list_transform(kept, lambda x: substr(h, 2 * x.f + 1, 2 * (x.t - x.f))), '') || substr(h, 2 * last_byte + 1) END)) AS kept_sha256
 FROM t LEFT JOIN cut USING (r)""",
+    # Sources are numbered (src), so that a null one joins; c is solved at every size, the largest that isn't certain counts.
+    "op3_pareto_mixing": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, dense_rank() OVER (ORDER BY source NULLS LAST) AS src, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+        (('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(source, '-') || '|' || coalesce(sha256(text), '-')), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM documents),
+g AS (SELECT src, sum(size)::BIGINT AS source_size, ([3, 1, 2])[1 + (src - 1) % 3]::DOUBLE AS w, 2::DOUBLE * sum(size)::BIGINT AS cap FROM d GROUP BY src),
+v AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
+      FROM g WINDOW o AS (ORDER BY cap / w, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT src, source_size, CASE WHEN cap <= w * coalesce(final, cap / w) THEN cap ELSE w * final END AS target
+      FROM v, (SELECT max(level) FILTER (cap > w * level) AS final FROM v)),
+m AS (SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END + 1e-9::DOUBLE) AS sure FROM t),
+n AS (SELECT src, size, count(*) AS n FROM d WHERE size > 0 GROUP BY ALL),
+c AS (SELECT src, size, (greatest(target - sure * source_size, 0) - coalesce(sum(n * size) OVER (PARTITION BY src ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+        / sum(n::DOUBLE * size * size) OVER (PARTITION BY src ORDER BY size ROWS UNBOUNDED PRECEDING) AS c FROM n JOIN m USING (src)),
+o AS (SELECT src, greatest(arg_max(c, size) FILTER (c * size <= 1), 0) AS c FROM c GROUP BY src),
+p AS (SELECT d.*, source_size, target, sure, least(coalesce(c, 0) * size, 1) AS p FROM d JOIN m USING (src) LEFT JOIN o USING (src)),
+x0 AS (SELECT *, CASE WHEN p > 0 AND p < 1 - 1e-9::DOUBLE THEN (u / (1 - u)) / (p / (1 - p)) END AS rank, CASE WHEN p >= 1 - 1e-9::DOUBLE THEN 1 ELSE 0 END AS extra FROM p),
+{_FILLS}
+SELECT doc_id, size, source_size, target, (least(sure + extra, 2) * size)::BIGINT AS taken FROM x3""",
     "op5_topk_taat": """
 WITH e AS (SELECT row_number() OVER () AS r, vec_id::BIGINT AS vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

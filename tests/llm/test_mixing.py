@@ -71,3 +71,61 @@ def test_certain_copies(spark):
     got = {r.source: r.target for r in goal.collect()}
     assert got["a"] == 20 and got["b"] == pytest.approx(1495) and got[None] == 0
     assert goal.where(F.col("target") > 2 * F.col("source_size")).count() == 0
+
+
+def proportional(sizes, left):
+    """Inclusion by bisection on c: the expected words are the words left."""
+    lo, hi = 0.0, 1.0
+    for _ in range(200):
+        c = (lo + hi) / 2
+        lo, hi = (c, hi) if sum(min(1, c * s) * s for s in sizes) < left else (lo, c)
+    return [min(1, c * s) for s in sizes]
+
+
+def test_inclusion_and_its_frequencies(spark):
+    """100 sources of the same 402 documents are 100 draws of one design."""
+    rnd = random.Random(5)
+    sizes = [rnd.choice([1, 2, 3, 5, 8, 13, 21]) for _ in range(400)] + [190, 220]
+    draws, goal = 100, 0.4 * sum(sizes)
+    rows = [(1000 * k + i, " ".join("w" * n), "en", f"s{k}") for k in range(draws) for i, n in enumerate(sizes)]
+    out = m.copies(docs(spark, rows, extra=False), weights=(1,), share=0.4).collect()
+    want = proportional(sizes, goal)
+    assert {i for i, p in enumerate(want) if p > 0.999} == {400, 401}
+    taken, words = [0] * len(sizes), defaultdict(int)
+    for r in out:
+        i = r.doc_id % 1000
+        assert r.inclusion == pytest.approx(want[i])
+        taken[i] += r.copies
+        words[r.source] += r.taken
+    assert taken[400] == taken[401] == draws
+    assert all(abs(w - goal) <= 21 / 2 for w in words.values())  # half of the longest document that isn't certain
+    by_size = defaultdict(list)
+    for n, t, p in zip(sizes, taken, want, strict=True):
+        by_size[n].append((t / draws, p))
+    for n, pairs in by_size.items():
+        assert sum(t - p for t, p in pairs) / len(pairs) == pytest.approx(0, abs=0.05), n
+    # Equal odds would take short and long ones alike.
+    mean = {n: sum(t for t, _ in x) / len(x) for n, x in by_size.items()}
+    assert mean[21] > 4 * mean[3] > 0
+
+
+def test_sql(spark, tmp_dir):
+    import duckdb
+
+    from rankforge.llm.queries import ORACLES
+
+    rows = docs(spark, rows_of(4))
+    rows.write.parquet(f"{tmp_dir}/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_dir}/documents/*.parquet'")
+    cols = ("doc_id", "size", "source_size", "target", "taken")
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLES['op3_pareto_mixing']})").fetchall()
+    got = [tuple(r) for r in m.copies(rows).select(*cols).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_sources_of_equal_size_and_weight_share_alike(spark):
+    sizes = {f"s{i}": 100 for i in range(12)}
+    goal = m.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    want = water_fill(sizes)
+    assert {r.source: pytest.approx(r.target) for r in goal.collect()} == want
