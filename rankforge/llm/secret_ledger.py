@@ -9,7 +9,9 @@ findings back to every path. Copies are scanned once, and a raised rule version
 scans everything again under that rule alone.
 
 Spans are code points, end exclusive. They come from what lies between the
-matches: the lengths of the pieces and the matches in turn add up to the places.
+matches: the lengths of the pieces and the matches in turn add up to the places, a
+running sum over the rows of a blob's matches. Redaction puts together the pieces that stay from
+blocks of the text, so both take time in proportion to a text and its matches.
 
 Nulls and edges: a null text is the empty blob. Null ids are passed through.
 Repeated rows are one blob and stay as many rows. Overlapping spans of
@@ -22,7 +24,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import unused, written
@@ -45,31 +47,59 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{24,}"),
 )
 MASK = "[REDACTED]"
+#: Code points in a block of a text to redact: a piece costs at most two blocks to cut.
+BLOCK = 1024
 
 
 def blob_id(text_col: str) -> Column:
     return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
 
 
-def spans_of(rule: Rule, text: Column) -> Column:
-    """array<struct<start, end>> of the rule's matches in a non-null text."""
+def steps_of(rule: Rule, text: Column) -> Column:
+    """array<struct<gap, len, keep>> of the rule's matches in a non-null text: characters since the match before, its own, whether it counts."""
     pattern = F.lit(rule.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     steps = F.zip_with(found, F.slice(F.split(text, rule.pattern, -1), 1, F.size(found)), lambda m, before: F.struct(F.length(before).alias("gap"), F.length(m).alias("len")))
-    if rule.least:
-        kept = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda g: F.length(g) >= rule.least)
-        steps = F.zip_with(steps, kept, lambda s, k: F.struct(s["gap"].alias("gap"), s["len"].alias("len"), k.alias("keep")))
-    else:
-        steps = F.transform(steps, lambda s: F.struct(s["gap"].alias("gap"), s["len"].alias("len"), F.lit(True).alias("keep")))
-    placed = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,keep:boolean>>)").alias("out")),
-        lambda a, s: F.struct((a["at"] + s["gap"] + s["len"]).alias("at"), F.concat(a["out"], F.array(F.struct(
-            (a["at"] + s["gap"]).alias("start"), (a["at"] + s["gap"] + s["len"]).alias("end"), s["keep"].alias("keep")))).alias("out")),
-        lambda a: a["out"])
-    spans = F.transform(F.filter(placed, lambda s: s["keep"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    kept = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda g: F.length(g) >= rule.least)
+    steps = F.zip_with(steps, kept, lambda s, k: F.struct(s["gap"].alias("gap"), s["len"].alias("len"), k.alias("keep")))
     # Most texts have no match: one search decides, and the rest of the work is for those that have.
-    return F.when(text.rlike(rule.pattern), spans).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
+    return F.when(text.rlike(rule.pattern), steps).otherwise(F.expr("cast(array() as array<struct<gap:int,len:int,keep:boolean>>)"))
+
+
+def placed(scanned: DataFrame) -> DataFrame:
+    """(blob, rule, version, steps) to (blob, rule, version, spans): array<struct<start, end>>, empty where nothing counts."""
+    keys = ["blob", "rule", "version"]
+    rows = scanned.select(*keys, F.posexplode_outer("steps").alias("pos", "s"))
+    end = F.sum(F.col("s.gap") + F.col("s.len")).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    rows = rows.withColumn("end", end)
+    span = F.when(F.col("s.keep"), F.struct((F.col("end") - F.col("s.len")).alias("start"), F.col("end").alias("end")))
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(span)).alias("spans"))
+
+
+def pieces(findings: DataFrame) -> DataFrame:
+    """(blob, found) to (blob, kept): array<struct<from, to>> of what stays around each maximal run of covered characters, the last ``to`` null."""
+    rows = findings.select("blob", F.explode("found").alias("s")).select("blob", "s.start", "s.end")
+    order = Window.partitionBy("blob").orderBy("start", "end")
+    covered = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("covered", covered).withColumn("fresh", F.coalesce(F.col("start") >= F.col("covered"), F.lit(True)))
+    # A run begins where nothing before reaches; what stays before it begins where all before it ends.
+    rows = rows.groupBy("blob").agg(F.sort_array(F.collect_list(F.when(F.col("fresh"), F.struct(F.coalesce("covered", F.lit(0)).alias("from"), F.col("start").alias("to"))))).alias("k"),
+                                    F.max("end").alias("last"))
+    return rows.select("blob", F.concat("k", F.array(F.struct(F.col("last").alias("from"), F.lit(None).cast("int").alias("to")))).alias("kept"))
+
+
+def redacted(blocks: Column, kept: Column) -> Column:
+    """The pieces, ``MASK`` between them, from a text's blocks of ``BLOCK`` code points."""
+    def block(i):
+        return F.coalesce(F.get(blocks, i), F.lit(""))
+
+    def cut(p):
+        first, to = F.floor(p["from"] / BLOCK).cast("int"), F.coalesce(p["to"], F.size(blocks) * BLOCK)
+        last, at = F.floor(to / BLOCK).cast("int"), p["from"] % BLOCK
+        return F.when(first == last, F.substring(block(first), at + 1, to - p["from"])).otherwise(F.concat(
+            F.substring(block(first), at + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substring(block(last), F.lit(1), to % BLOCK)))
+
+    return F.array_join(F.transform(kept, cut), MASK)
 
 
 class Ledger:
@@ -113,9 +143,9 @@ class Ledger:
                      .withColumn("todo", F.array_except(wanted, F.coalesce("have", F.expr("cast(array() as array<struct<rule:string,version:int>>)")))).where(F.size("todo") > 0))
         outcome = blobs.select("blob", F.explode(F.array(*(
             F.when(F.array_contains(F.col("todo"), F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"))),
-                   F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), spans_of(r, F.col("text")).alias("spans")))
-            for r in rules))).alias("x")).where("x is not null").select("blob", "x.rule", "x.version", "x.spans")
-        self.append(outcome)
+                   F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version"), steps_of(r, F.col("text")).alias("steps")))
+            for r in rules))).alias("x")).where("x is not null").select("blob", "x.rule", "x.version", "x.steps")
+        self.append(placed(outcome))
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """blob and ``found``: (start, ord, end, kind) of the given rule versions, sorted; only blobs with findings."""
@@ -141,18 +171,12 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """All columns; each maximal run of covered characters becomes ``MASK``. Other texts stay as they are."""
     ledger = ledger or Ledger(docs.sparkSession)
     ledger.scan(docs, text_col, rules)
-    blob, spans, new = (unused(docs, n) for n in ("_rf_blob", "_rf_found", "_rf_text"))
-    found = written(ledger.findings(rules), "findings").select(F.col("blob").alias(blob), F.col("found").alias(spans))
-    text = F.col(text_col)
-    made = F.aggregate(
-        spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-            F.concat(a["out"], F.when((s["start"] < a["at"]) & (a["at"] > 0), F.lit("")).otherwise(F.concat(text.substr(a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))), F.lit(MASK)))).alias("out"),
-            s["end"].alias("at"))),
-        lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.greatest(F.length(text) - a["at"], F.lit(0)))))
+    blob, spans, blocks, new = (unused(docs, n) for n in ("_rf_blob", "_rf_kept", "_rf_blocks", "_rf_text"))
+    found = written(pieces(ledger.findings(rules)), "findings").select(F.col("blob").alias(blob), F.col("kept").alias(spans))
     hit = F.col(spans).isNotNull()
     joined = docs.withColumn(blob, blob_id(text_col)).join(found, blob, "left")
-    out = joined.withColumn(new, F.when(hit, made).otherwise(text))
+    joined = joined.withColumn(blocks, F.when(hit, F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(f"(?s).{{1,{BLOCK}}}+"), F.lit(0))))
+    out = joined.withColumn(new, F.when(hit, redacted(F.col(blocks), F.col(spans))).otherwise(F.col(f"`{text_col}`")))
     kept = {text_col: F.col(new)}
     if length_col in docs.columns:
         kept[length_col] = F.when(hit, F.length(new).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))

@@ -84,3 +84,21 @@ def test_a_ledger_opened_again_takes_up_its_commits(spark, tmp_dir):
     assert sorted((r.doc_id, [tuple(f) for f in r.found]) for r in out) == sorted((i, brute(t)) for i, t in rows)
     last = s.Ledger(spark, f"{tmp_dir}/ledger")
     assert last.seen().count() == len({t for _, t in rows}) * 3 and len(last.commits) == 3
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    import time
+
+    def text(n):
+        return "".join(f"é\U0001F600 token=abc{i:06d} " + "0123456789abcdef" * 2 + "\n" for i in range(n))
+
+    took = {}
+    for n in (100, 20000):  # the first also warms up
+        rows = [(1, text(n)), (2, "x" * 3000 + "AKIA" + "Z" * 16), (3, "AKIA" + "Z" * 1020)]
+        began = time.monotonic()
+        got = {r.doc_id: r for r in s.redact(docs(spark, rows, extra=False)).collect()}
+        spans = {r.doc_id: r.found for r in s.secrets(docs(spark, rows, extra=False)).collect()}
+        took[n] = time.monotonic() - began
+        assert got[1].text == f"é\U0001F600 {s.MASK} {s.MASK}\n" * n and got[2].text == "x" * 3000 + s.MASK and got[3].text == s.MASK
+        assert [tuple(x) for x in spans[1]] == brute(rows[0][1])
+    assert took[20000] < took[100] + 20  # 1.2 MB with 40,000 matches; in square time more than a minute
