@@ -1,6 +1,6 @@
 """Reusable table operators (DataFrame in, DataFrame out; nothing collected)."""
 
-from rankforge.operators.bridge import build_bridge, rollup_over_bridge  # noqa: F401
+from rankforge.operators.bridge import build_bridge, places, rollup_over_bridge  # noqa: F401
 from rankforge.operators.calendar import calendar, day_spine, week_dimension  # noqa: F401
 from rankforge.operators.hot_keys import degree_sketch, heavy_keys, hot_buckets, with_estimate  # noqa: F401
 from rankforge.operators.joins import join_first_available  # noqa: F401

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.casting import total
-from rankforge.operators.hot_keys import degree_sketch, hot_buckets, with_estimate
 from rankforge.operators.topn import best_per_key
 
-# Bridge rows of one link that are joined in one place.
-HOT_DEGREE = 64
+# Bridge rows that are rolled up in one place.
+PLACE_ROWS = 4096
 
 
 def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
@@ -26,33 +25,46 @@ def build_bridge(links: DataFrame, dim: DataFrame, on: str, keys: Sequence[str],
     return best_per_key(j, keys, order).select(*cols)
 
 
+def places(bridge: DataFrame, rows: int = PLACE_ROWS) -> int:
+    """Places for :func:`rollup_over_bridge`: one for each ``rows`` bridge rows, at least the configured number of shuffle partitions. A count, so a job."""
+    return max(int(bridge.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-bridge.count() // rows))
+
+
 def rollup_over_bridge(bridge: DataFrame, facts: DataFrame, link_key: str,
                        group_keys: Sequence[str], measure: str, out: str | None = None,
-                       hot_degree: int = HOT_DEGREE, wide: bool = False, partitions: int | None = None) -> DataFrame:
+                       hot_degree: int | None = None, wide: bool = False, partitions: int | None = None) -> DataFrame:
     """Sum a per-(link, ...) measure to (``group_keys``) through a bridge.
 
     ``facts`` should already be aggregated to one row per link key and
-    period, so the join sees no raw-level fan-out. The join multiplies each
-    fact row by its link's bridge rows, so a link with very many of them would
-    expand in one task. A sketch of the bridge finds such links
-    (``hot_degree`` rows or more) in one mergeable pass: their bridge rows are dealt to
-    one part for each ``hot_degree`` rows by their other columns, and only their fact rows are
-    repeated, once per part; all other links keep one part. Both sides are placed by (link, part) over ``partitions`` places (by default the
-    configured number of shuffle partitions): what the join makes is many times what it reads, and adaptive coalescing,
-    which sees only the bytes read, would bring it together in a task or two (measured: 23 s instead of 9 s at sf0.1). With
-    ``partitions=0`` the placing is left to adaptive execution all the same.
+    period, so a link's facts are as many as there are periods. What the join makes is
+    (bridge rows x periods), many times what it reads, so it is made where it is summed and never shuffled:
+    bridge rows are dealt to places by their group keys, a link's facts travel as one packed row to each place that
+    has the link (never more than its bridge rows, and never more than there are places), meet the bridge rows there in a
+    window, and are unpacked and summed in the same task. A link with very many bridge rows is so spread over all places.
+
+    ``partitions`` is the number of places, by default the configured number of shuffle partitions; :func:`places` gives one that
+    keeps each place's share of the result bounded, and without ``partitions``, ``hot_degree`` asks for it with so many rows. With ``partitions=0`` the placing is left to adaptive execution: the same rows, with a shuffle of them.
 
     ``wide`` sums in 38 digits instead of 64 bits.
     """
+    if partitions is None and hot_degree:
+        partitions = places(bridge, hot_degree)
+    n = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = [c for c in group_keys if c in bridge.columns]
     others = [c for c in bridge.columns if c != link_key]
-    n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")) if partitions is None else partitions
-    hot = hot_buckets(degree_sketch(bridge, link_key, depth=1), hot_degree)
-    # Both sides read the same counts: a link has as many parts on one side as on the other.
-    parts = F.greatest(F.col("__parts"), F.lit(1))
-    b = (with_estimate(bridge, link_key, hot, "__parts", depth=1)
-         .withColumn("__part", F.pmod(F.xxhash64(*others), parts).cast("int")).drop("__parts"))
-    f = (with_estimate(facts, link_key, hot, "__parts", depth=1)
-         .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts"))
-    place = [link_key, "__part"]
-    j = f.repartition(n, *place).join(b.repartition(n, *place), place) if n else f.join(b, place)
-    return j.groupBy(*group_keys).agg(total(measure, wide).alias(out or measure))
+    periods = [c for c in facts.columns if c != link_key and (c in group_keys or c == measure)]
+    place = F.pmod(F.xxhash64(*(own or others)), F.lit(n)).cast("int")
+    b = bridge.where(F.col(link_key).isNotNull()).withColumn("__place", place)
+    packed = (facts.where(F.col(link_key).isNotNull()).groupBy(link_key)
+              .agg(F.collect_list(F.struct(*periods)).alias("__facts")))
+    sent = b.select(link_key, "__place").distinct().join(packed, link_key)
+    rows = (b.withColumn("__bridge", F.lit(True))
+            .unionByName(sent.withColumn("__bridge", F.lit(False)), allowMissingColumns=True))
+    if partitions != 0:
+        rows = rows.repartitionById(n, "__place")
+    # One packed row for each link of a place: there is only one to find.
+    met = rows.withColumn("__facts", F.first("__facts", ignorenulls=True).over(Window.partitionBy("__place", link_key)))
+    made = met.where(F.col("__bridge") & F.col("__facts").isNotNull()).select(*bridge.columns, "__place", F.inline("__facts"))
+    # The place follows from the group keys, so grouping by it too changes nothing and needs no shuffle.
+    by = (["__place"] if own else []) + list(group_keys)
+    return made.groupBy(*by).agg(total(measure, wide).alias(out or measure)).select(*group_keys, out or measure)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankforge.functions import (
     clean_isbn_text, date_from_key, date_key, freshest, md5_key, total, trimmed_or_null,
 )
-from rankforge.operators.bridge import build_bridge, rollup_over_bridge
+from rankforge.operators.bridge import build_bridge, places, rollup_over_bridge
 from rankforge.operators.calendar import calendar, week_dimension
 from rankforge.operators.joins import join_first_available
 from rankforge.operators.ranking import rank_change_columns
@@ -257,10 +257,13 @@ def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFr
 
 
 def fct_book_views_7d(bridge: DataFrame, author_views: DataFrame, wide: bool = False) -> DataFrame:
-    """Per (book, week): the 7-day views summed over all the book's authors."""
-    return rollup_over_bridge(bridge.select("book_key", "author_key"),
-                              author_views.select("week_key", "author_key", "views_7d"),
-                              "author_key", ["book_key", "week_key"], "views_7d", wide=wide)
+    """Per (book, week): the 7-day views summed over all the book's authors.
+
+    The bridge is counted first (a job), so that places for the sums grow with it.
+    """
+    links = bridge.select("book_key", "author_key")
+    return rollup_over_bridge(links, author_views.select("week_key", "author_key", "views_7d"),
+                              "author_key", ["book_key", "week_key"], "views_7d", wide=wide, partitions=places(links))
 
 
 # ---------------------------------------------------------------- wide table

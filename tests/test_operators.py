@@ -255,3 +255,19 @@ def test_window_without_pre_aggregation_gives_the_same_sums(spark):
     w1 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s"))
     w2 = rows(trailing_window_sum(f, a, "d", "a", ["g"], "v", days=7, out="s", pre_aggregate=False))
     assert w1 == w2 and len(w1) > 0
+
+
+def test_rollup_is_summed_where_it_is_made(spark):
+    """What the bridge makes of the facts isn't shuffled: no exchange above the unpacking. Repeated rows count again, null links don't."""
+    from rankforge.operators import places, rollup_over_bridge
+
+    b = spark.sql("select id as book, id % 3 as author from range(40) union all select 1, 1 union all select 2, 5 union all select 3, null")
+    f = spark.sql("select id % 7 as author, id div 7 as week, if(id % 5 = 0, null, id) as v from range(70) union all select 1, 2, 4 union all select null, 2, 4")
+    out = rollup_over_bridge(b, f, "author", ["book", "week"], "v")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("inline(")]
+    want = b.join(f, "author").groupBy("book", "week").agg(F.sum("v").alias("v"))
+    assert rows(out.fillna(-1)) == rows(want.fillna(-1))
+    by_week = rollup_over_bridge(b, f, "author", ["week"], "v", out="s")
+    assert rows(by_week) == rows(b.join(f, "author").groupBy("week").agg(F.sum("v").alias("s")))
+    assert places(b, 10) == 5 and places(b, 100) == int(spark.conf.get("spark.sql.shuffle.partitions"))
