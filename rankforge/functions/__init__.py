@@ -1,7 +1,7 @@
 """Column expressions. All are built-in Spark expressions (codegen, no UDF)."""
 
 from rankforge.functions.casting import (  # noqa: F401
-    decimal_to_text, int_of, long_of, safe_date, safe_double, safe_int, safe_long, total, yyyymmdd_to_date,
+    decimal_to_text, int_of, long_of, safe_date, safe_double, safe_int, safe_long, total, wide_of, yyyymmdd_to_date,
 )
 from rankforge.functions.dates import EPOCH, date_from_key, date_key, epoch_ts, freshest  # noqa: F401
 from rankforge.functions.json import (  # noqa: F401

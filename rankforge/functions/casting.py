@@ -50,6 +50,13 @@ def long_of(df: DataFrame, name: str) -> Column:
     return safe_long(name)
 
 
+def wide_of(df: DataFrame, name: str) -> Column:
+    """As :func:`long_of`, in 38 digits; a decimal column keeps values that 64 bits don't hold (fractions round half away from zero)."""
+    if isinstance(df.schema[name].dataType, T.DecimalType):
+        return F.col(name).try_cast("decimal(38,0)")
+    return long_of(df, name).cast("decimal(38,0)")
+
+
 def int_of(df: DataFrame, name: str) -> Column:
     """As :func:`long_of`, narrowed to int (NULL on overflow)."""
     return long_of(df, name).try_cast("int")

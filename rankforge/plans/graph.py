@@ -101,7 +101,7 @@ class ModelGraph:
     ``null_authors_as_text`` reproduces the reference's phantom "null" author.
     ``dedup_latest`` keeps the latest landing of rows that were landed again;
     by default they count again, as the append-only landing has them.
-    ``wide_sums`` sums views in 38 digits, for totals that 64 bits don't hold.
+    ``wide_sums`` reads and sums views in 38 digits, for totals (or, landed as decimals, views) that 64 bits don't hold.
     ``on_malformed="fail"`` stops at a catalogue document that is no JSON, which has NULL fields otherwise.
     """
 
@@ -157,7 +157,7 @@ class ModelGraph:
 
     @cached_property
     def stg_pageviews(self):
-        return S.stg_pageviews(self.raw["pageviews"])
+        return S.stg_pageviews(self.raw["pageviews"], self.wide_sums)
 
     # intermediate
     @cached_property

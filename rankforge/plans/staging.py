@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions import (
     blank_to_null, decimal_to_text, first_of, int_of, is_malformed, json_object, list_objects, list_texts, long_of, safe_double, safe_long,
-    yyyymmdd_to_date,
+    wide_of, yyyymmdd_to_date,
 )
 
 # The fields of an industry identifier.
@@ -88,12 +88,13 @@ def malformed_volumes(raw: DataFrame) -> DataFrame:
     return parse_volumes(raw).where("__malformed").select("isbn13_clean", "gbooks_id", "volumeinfo")
 
 
-def stg_pageviews(raw: DataFrame) -> DataFrame:
+def stg_pageviews(raw: DataFrame, wide: bool = False) -> DataFrame:
     """Typed daily page views; rows whose timestamp text is not a valid
-    ``YYYYMMDD..`` date are dropped."""
+    ``YYYYMMDD..`` date are dropped. ``wide`` keeps views in 38 digits, for a
+    landing that declares them as decimals beyond 64 bits."""
     return (raw.select(
         "project", "article", "access", "agent", "granularity", "timestamp",
         yyyymmdd_to_date("timestamp").alias("view_date"),
-        long_of(raw, "views").alias("views"),
+        (wide_of if wide else long_of)(raw, "views").alias("views"),
         F.col("_airbyte_extracted_at").alias("extracted_at"),
     ).where(F.col("view_date").isNotNull()))

@@ -300,3 +300,13 @@ def test_stand_in_data_reaches_the_awkward_branches(spark):
     assert raw.count() > g["stg_pageviews"].count() > g["fct_pageviews_daily"].count() > 0
     lists = g.raw["ranked_list"]
     assert lists.count() > g["stg_ranked_list"].count() > g["fct_weekly_rank"].count() > 0
+
+
+def test_wide_views_beyond_64_bits(spark, graph, monkeypatch):
+    """Single views whose multiple leaves 64 bits: no error, and the whole sum."""
+    import __spark_entry__ as E
+
+    monkeypatch.setattr(E, "landed_raw", lambda spark, sf_dir: {**graph.raw, "pageviews": graph.raw["pageviews"].withColumn("views", F.col("views") * 1000)})
+    want = {(r["book_key"], r["week_key"]): r["views_7d"] for r in graph["fct_book_views_7d"].collect()}
+    got = {(r["book_key"], r["week_key"]): r["views_7d"] for r in E._wide_views(spark, "").collect()}
+    assert got == {k: None if v is None else str(v * 1000 * E._oracle.WIDE_UNIT) for k, v in want.items()}
