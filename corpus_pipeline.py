@@ -16,7 +16,7 @@ from rankforge.llm.common import is_remainder, read, unused, written
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled examples call toxic go.
+    """Documents that the nearest labelled examples call toxic go, at a cut that weighs toxic and clean labels alike.
 
     A null or empty text has the score of no neighbours; without usable labels all stay. Repeated rows stay or go together.
     """

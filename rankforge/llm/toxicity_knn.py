@@ -50,11 +50,12 @@ VOTERS = (15, 31, 63, 127)
 SHARPNESS = (1.0, 2.0, 4.0)
 MAX_EXAMPLES = 1000
 MAX_CALIBRATION = 2000
+LEAST_CUT = 30
 #: Terms that this share of the examples has are dense rows, the most frequent ones; all others are posting lists.
 DENSE_SHARE = 0.03
 MAX_DENSE = 8000
 #: Products of posting lists that are held at once.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 #: Labelled rows that the driver scores at once.
 ROWS = 256
 
@@ -81,6 +82,7 @@ class Index:
     k: int
     voters: int
     sharpness: float = SHARPNESS[0]
+    cut: float = 0.5  # from this score on, ``accepted`` lets a document go
 
 
 @dataclass
@@ -264,10 +266,28 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         place = {i: n for n, i in enumerate(index.ids)}
         choose(index, ((x_of(part), np.array([place[i] for i in part])) for part in in_parts(ids)))
     v = [votes(index, x_of(part))[0] for part in in_parts(calibration)]
-    index.curve = calibrated(np.concatenate(v) if v else np.zeros(0), [role[i][0] for i in calibration], n)
+    v, label = np.concatenate(v) if v else np.zeros(0), np.array([role[i][0] for i in calibration])
+    index.curve = calibrated(v, label, n)
+    index.cut = even_cut(sigmoid(index.curve[0] * v + index.curve[1]), label)
     return index
 
 
+def even_cut(score: np.ndarray, label: np.ndarray) -> float:
+    """The score from which on the share of label 1 is furthest above that of label 0, both labels weighing alike however rare one is.
+
+    Midway between neighbouring scores; of equally good ones that nearest to 0.5, or 0.5 itself where it is as good. 0.5 where
+    either label has fewer than ``LEAST_CUT`` rows, too few to tell a better one.
+    """
+    if min((label == y).sum() for y in (0, 1)) < LEAST_CUT:
+        return 0.5
+    own = np.unique(score)
+    cuts = np.append((own[1:] + own[:-1]) / 2, 0.5)
+    of = [np.sort(score[label == y]) for y in (0, 1)]
+    gain = np.searchsorted(of[0], cuts) / len(of[0]) - np.searchsorted(of[1], cuts) / len(of[1])
+    best = cuts[gain >= gain.max() - 1e-12]
+    return float(best[np.argmin(np.abs(best - 0.5))])
+
+
 def document_frequencies(docs: DataFrame, text_col: str, terms: dict[bytes, int]) -> np.ndarray:
     """idf of each indexed term over all documents: one row of sums per task, then one."""
     n_terms = len(terms)
@@ -322,8 +342,8 @@ def unknown_lengths(docs: DataFrame, held, text_col: str) -> DataFrame:
 _FOUND = T.ArrayType(T.StructType([T.StructField("example", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())]))
 
 
-def judged(docs: DataFrame, index: Index, text_col: str = "text") -> tuple[DataFrame, Callable]:
-    """Every column of ``docs`` by its place (c0, c1, ...), then score, predicted, found, norm and digest; and the shared index."""
+def judged(docs: DataFrame, index: Index, text_col: str = "text", evidence: bool = True) -> tuple[DataFrame, Callable]:
+    """Every column of ``docs`` by its place (c0, c1, ...), then score, predicted and norm, with ``evidence`` found and digest; and the shared index."""
     held = share(docs.sparkSession, index)
 
     def run(texts):
@@ -331,15 +351,18 @@ def judged(docs: DataFrame, index: Index, text_col: str = "text") -> tuple[DataF
         q = vectors([Counter(tokens(x)) for x in texts], ix.terms, ix.idf, len(ix.highest))
         v, s, who = votes(ix, q)
         p = sigmoid(ix.curve[0] * v + ix.curve[1]) if ix.blocks else np.zeros(len(texts))
-        evidence = [[{"example": str(ix.ids[e]), "cosine": float(c), "label": int(ix.toxic[e])} for c, e in zip(cs, es, strict=True) if e >= 0]
-                    for cs, es in zip(s, who, strict=True)]
-        return {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32)),
-                "found": pa.array(evidence, pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))),
-                "norm": pa.array(q.norm), "digest": pa.array([digest(x) for x in texts], pa.binary())}
+        out = {"score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32)), "norm": pa.array(q.norm)}
+        if not evidence:
+            return out
+        near = [[{"example": str(ix.ids[e]), "cosine": float(c), "label": int(ix.toxic[e])} for c, e in zip(cs, es, strict=True) if e >= 0]
+                for cs, es in zip(s, who, strict=True)]
+        return out | {"found": pa.array(near, pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))),
+                      "digest": pa.array([digest(x) for x in texts], pa.binary())}
 
     places = [f"c{i}" for i in range(len(docs.columns))]
-    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("found", _FOUND),
-              T.StructField("norm", T.DoubleType()), T.StructField("digest", T.BinaryType())]
+    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("norm", T.DoubleType())]
+    if evidence:
+        fields += [T.StructField("found", _FOUND), T.StructField("digest", T.BinaryType())]
     return per_text(docs.toDF(*places), places, places[docs.columns.index(text_col)], run, fields), held
 
 
@@ -356,6 +379,11 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
 
 
 def accepted(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not called toxic, with all of their columns."""
-    rows, _ = judged(docs, index, text_col)
-    return rows.where("predicted = 0").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    """The rows of ``docs`` that are not called toxic, with all of their columns.
+
+    Called toxic are scores from the index's ``cut`` on: ``predicted`` asks for even odds, at which most of a rare label
+    passes. Of a text without known words nothing is known but how frequent the label is; it goes only at even odds.
+    """
+    rows, _ = judged(docs, index, text_col, evidence=False)
+    stays = (F.col("score") < index.cut) | ((F.col("norm") == 0) & (F.col("predicted") == 0))
+    return rows.where(stays).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

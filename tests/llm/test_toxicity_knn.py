@@ -127,3 +127,33 @@ def test_any_column_names(spark):
     assert all(r["a.b"] == "a.b" and r["score"] == 7 for r in kept.collect())
     out = t.score(odd, index, keep=odd.columns)
     assert out.columns[-3:] == ["score", "predicted", "evidence"] and len(set(out.columns)) == len(out.columns) and out.count() == 60
+
+
+def test_cut_weighs_both_labels_alike():
+    rng = np.random.default_rng(8)
+    label = (rng.random(400) < .1).astype(int)
+    score = np.clip(rng.normal(.1 + .2 * label, .1), 0, 1).round(2)
+    cut = t.even_cut(score, label)
+    gain = lambda c: (score[label == 1] >= c).mean() - (score[label == 0] >= c).mean()
+    assert gain(cut) >= max(gain(c) for c in np.arange(0, 1, .005)) - 1e-9 and gain(cut) > gain(.5) + .3
+    assert t.even_cut(np.array([.1, .9]), np.array([0, 1])) == t.even_cut(np.array([.7]), np.array([1])) == t.even_cut(np.zeros(0), np.zeros(0)) == .5
+
+
+def test_rare_and_faint_label_is_caught(spark):
+    """A rare label whose words come once: at even odds most rows of it would stay."""
+    rnd = random.Random(9)
+    rows, labels = [], []
+    for i in range(2400):
+        bad = rnd.random() < .1
+        words = prose(rnd, rnd.randint(10, 40)).split()
+        if rnd.random() < (.8 if bad else .08):
+            words.insert(0, rnd.choice(["vilex", "nastyo", "grubby"]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    df = docs(spark, rows + [(3000, None), (3001, " ")])
+    index = t.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") % 3 != 0)
+    kept = {r.doc_id for r in t.accepted(df, index).collect()}
+    even = {r.doc_id for r in t.score(df, index).collect() if r.predicted == 0}
+    caught = lambda k, y: np.mean([i not in k for i, x in labels if i % 3 == 0 and x == y])
+    assert caught(kept, 1) > caught(even, 1) + .2 and caught(kept, 1) - caught(kept, 0) > caught(even, 1) - caught(even, 0) + .1
+    assert {3000, 3001} <= kept
