@@ -28,6 +28,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,38 +200,55 @@ def derive_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             for k, df in raw.items()}
 
 
-_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_ROOTS: dict[tuple[str, str], str] = {}
+class Landed(Mapping):
+    """The stand-in raw tables of one test-data folder by name, each landed when it is first asked for."""
 
+    def __init__(self, spark: SparkSession, root: str):
+        from rankforge.session import checkpoint_dir
 
-def landed_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The stand-in raw tables, landed once per session and test-data folder.
+        self._spark, self.dest = spark, os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
+        self._derived, self._read = derive_raw(spark, root), {}
+        self._each = {n: Lock() for n in RAW_TABLES}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        from rankforge.sources.io import read_raw
+
+        with self._each[name]:
+            if name not in self._read:
+                self._derived[name].write.mode("overwrite").parquet(os.path.join(self.dest, name))
+                self._read[name] = read_raw(self._spark, self.dest, name)
+        return self._read[name]
+
+    def __iter__(self):
+        return iter(RAW_TABLES)
+
+    def __len__(self) -> int:
+        return len(RAW_TABLES)
+
+    def all(self) -> Landed:
+        """Land what is missing; the derivations are independent jobs, submitted together."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(self.__getitem__, self))
+        return self
+
+
+_LANDED: dict[tuple[str, str], Landed] = {}
+
+
+def landed_raw(spark: SparkSession, root: str) -> Landed:
+    """The stand-in raw tables, each landed once per session and test-data folder.
 
     Like the real landing tables, they are written once (Parquet, under the
     session's shared checkpoint folder) and every model run scans them; the
-    first call runs the derivation jobs.
+    first query that reads a table runs its derivation, and those of tables
+    that no query reads never run.
     """
-    from rankforge.session import checkpoint_dir
-    from rankforge.sources.io import read_raw
-
     key = (spark.sparkContext.applicationId, os.path.abspath(root))
     if key not in _LANDED:
-        dest = os.path.join(checkpoint_dir(spark), f"landing-{uuid.uuid4().hex[:12]}")
-
-        def land(item):
-            name, df = item
-            df.write.mode("overwrite").parquet(os.path.join(dest, name))
-
-        # The four derivations are independent jobs: submit them together.
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            list(pool.map(land, derive_raw(spark, root).items()))
-        _LANDED[key] = {n: read_raw(spark, dest, n) for n in RAW_TABLES}
-        _ROOTS[key] = dest
+        _LANDED[key] = Landed(spark, root)
     return _LANDED[key]
 
 
 def landed_root(spark: SparkSession, root: str) -> str:
-    """The folder that :func:`landed_raw` landed the tables in."""
-    landed_raw(spark, root)
-    return _ROOTS[spark.sparkContext.applicationId, os.path.abspath(root)]
+    """The folder that :func:`landed_raw` landed the tables in; all of them are landed."""
+    return landed_raw(spark, root).all().dest

@@ -116,3 +116,14 @@ def test_partitioned_table_writes_few_files_per_value(spark, tmp_dir):
     for v in "0123":
         files = glob.glob(os.path.join(tmp_dir, "pt", f"part={v}", "*.parquet"))
         assert 1 <= len(files) <= 2
+
+
+def test_raw_tables_are_landed_on_demand(spark):
+    """A query that reads one table runs one derivation; each runs once."""
+    from rankforge.session import list_names
+    from rankforge.sources.standins import Landed
+
+    landed = Landed(spark, "/root/testdata/sf0.001")
+    assert landed["ranked_list"] is landed["ranked_list"] and landed["ranked_list"].count() > 0
+    assert list_names(spark, landed.dest) == ["ranked_list"]
+    assert list_names(spark, landed.all().dest) == sorted(landed) and len(landed) == 4
