@@ -137,14 +137,14 @@ def roles(lab: DataFrame, name: str, each: int, calibration: int, id_col: str =
 
 
 def calibrated(vote, label, n: dict, default=(8.0, -6.4)):
-    """Slope and intercept from a vote in 0..1 to the probability of label 1, each label weighing as in all labelled rows."""
+    """Slope (slopes, of votes in columns) and intercept from a vote in 0..1 to the probability of label 1, each label weighing as in all labelled rows."""
     import numpy as np
 
     label = np.asarray(label, float)
     have = [(label == y).sum() for y in (0, 1)]
     if not all(have):
         return np.array(default)
-    return fit_logistic(np.asarray(vote)[:, None], label, weight=np.where(label == 1, n[1] / have[1], n[0] / have[0]) * len(label) / (n[0] + n[1]))
+    return fit_logistic(np.asarray(vote).reshape(len(label), -1), label, weight=np.where(label == 1, n[1] / have[1], n[0] / have[0]) * len(label) / (n[0] + n[1]))
 
 
 def rows_of(docs: DataFrame, ids: list, kind: T.DataType, id_col: str, text_col: str) -> DataFrame:

@@ -157,3 +157,33 @@ def test_rare_and_faint_label_is_caught(spark):
     caught = lambda k, y: np.mean([i not in k for i, x in labels if i % 3 == 0 and x == y])
     assert caught(kept, 1) > caught(even, 1) + .2 and caught(kept, 1) - caught(kept, 0) > caught(even, 1) - caught(even, 0) + .1
     assert {3000, 3001} <= kept
+
+
+def test_few_words_in_long_texts_are_caught(spark):
+    """Long texts of many subjects, in which a few words make the label: cosines over all terms hardly see them."""
+    rnd = random.Random(10)
+    subjects = [prose(rnd, 60, tuple(f"s{s}{x}" for x in "abcdefghi")).split() for s in range(12)]
+    bad_words = ["vilex", "nastyo", "grubby", "sordix", "meanal", "foulum", "rottan", "cruelo"]
+    rows, labels = [], []
+    for i in range(1800):
+        bad = rnd.random() < .15
+        words = rnd.choices(subjects[rnd.randrange(12)], k=rnd.randint(100, 400))
+        for w in rnd.sample(bad_words, 2) if bad else []:
+            words.insert(rnd.randrange(len(words)), w)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    index = t.fit(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") % 3 != 0)
+    assert {w.encode() for w in bad_words} <= set(index.telling.terms)
+    kept = {r.doc_id for r in t.accepted(docs(spark, rows), index).collect()}
+    caught = lambda y: np.mean([i not in kept for i, x in labels if i % 3 == 0 and x == y])
+    assert caught(1) > .95 and caught(0) < .02
+
+
+def test_telling_terms_differ_by_more_than_chance():
+    rng = np.random.default_rng(11)
+    n = np.array([300, 200])
+    have = rng.binomial(n[:, None], rng.random(4000) * .3)  # the same share of either label
+    assert (t.odds(have, n) > 0).sum() <= 2
+    told = t.odds(np.column_stack([have, [0, 60], [200, 20]]), n)[-2:]
+    assert np.allclose(told, [np.log(60.5 / 140.5) - np.log(.5 / 300.5), np.log(200.5 / 100.5) - np.log(20.5 / 180.5)])
+    assert not t.odds(have, np.array([300, 0])).any()
