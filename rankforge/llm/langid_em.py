@@ -21,6 +21,7 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,54 +116,70 @@ def fit(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
     return Models(names, np.log(n / n.sum(0)).astype(np.float32))
 
 
-def _em(like: np.ndarray, base: np.ndarray, doc: np.ndarray, begins: np.ndarray, n: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions (documents x languages) and log-likelihoods; like: of each word, scaled by exp(base)."""
+def _em(like: np.ndarray, base: np.ndarray, doc: np.ndarray, begins: np.ndarray, n: np.ndarray, allowed: np.ndarray, times: np.ndarray | float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions (documents x languages) and log-likelihoods; like: of each word, scaled by exp(base); times: how often the document has it; n: its words, repeats too."""
     share = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(ROUNDS):
-        r = like * share[doc]
-        total = np.maximum(r.sum(1, keepdims=True), 1e-300)
-        share = np.add.reduceat(r / total, begins) / n[:, None]
-    total = np.maximum((like * share[doc]).sum(1), 1e-300)
-    return share, np.add.reduceat(np.log(total) + base, begins)
+    of = [np.ascontiguousarray(c) for c in like.T]
+
+    def mixed():
+        total = of[0] * share[:, 0][doc]
+        for j in range(1, len(of)):
+            total += of[j] * share[:, j][doc]
+        return np.maximum(total, 1e-300, out=total)
+
+    # A single language has every word from the start, unless it gives one no likelihood at all.
+    for _ in range(ROUNDS if len(of) > 1 or of[0].min() < 1e-200 else 0):
+        w = times / mixed()
+        share = share * np.stack([np.add.reduceat(c * w, begins) for c in of], 1) / n[:, None]
+    return share, np.add.reduceat(times * (np.log(mixed()) + base), begins)
 
 
 def mixtures(models: Models, texts: list[bytes]) -> np.ndarray:
-    """Proportions of the selected languages, for each text; all 0 without words."""
+    """Proportions of the selected languages, for each text; all 0 without words.
+
+    A word's likelihoods are worked out once for all texts, and a text's words that repeat are one row that counts so often.
+    """
     k = len(models.names)
     out = np.zeros((len(texts), k))
-    like_parts, counts, who = [], [], []
+    number: dict[bytes, int] = {}
+    which, often, sizes, counts, who = [], [], [], [], []
     for i, t in enumerate(texts):
-        bins, start = words(t)
-        if len(start):
-            like_parts += [np.add.reduceat(models.logp[bins[start[a]:start[a + PIECE] if a + PIECE < len(start) else len(bins)]], start[a:a + PIECE] - start[a], axis=0) for a in range(0, len(start), PIECE)]
-            counts.append(len(start))
+        bag = Counter(t.split())
+        if bag:
+            which += [number.setdefault(w, len(number)) for w in bag]
+            often += bag.values()
+            sizes.append(len(bag))
+            counts.append(bag.total())
             who.append(i)
     if not who or not k:
         return out
-    logl = np.concatenate(like_parts).astype(float)
-    base = logl.max(1)
-    like = np.exp(logl - base[:, None])
-    n = np.array(counts)
-    begins = np.cumsum(n) - n
-    doc = np.repeat(np.arange(len(n)), n)
-    allowed = np.ones((len(n), k))
-    share, ll = _em(like, base, doc, begins, n, allowed)
-    open_ = np.arange(len(n))
-    for _ in range(k - 1):  # backward: try without the least language
-        least = np.where(allowed[open_] > 0, share[open_], np.inf).argmin(1)
-        without = allowed[open_].copy()
-        without[np.arange(len(open_)), least] = 0
-        mine = np.isin(doc, open_) if len(open_) < len(n) else slice(None)
-        n_o = n[open_]
-        b = np.cumsum(n_o) - n_o
-        new, ll_new = _em(like[mine], base[mine], np.repeat(np.arange(len(open_)), n_o), b, n_o, without)
-        better = ll[open_] - ll_new <= PENALTY * np.log(n_o + 1)
-        at = open_[better]
-        allowed[at], share[at], ll[at] = without[better], new[better], ll_new[better]
-        open_ = at
-        if not len(open_):
+    bins, start = words(b" ".join(number))
+    logl = np.concatenate([np.add.reduceat(models.logp[bins[start[a]:start[a + PIECE] if a + PIECE < len(start) else len(bins)]], start[a:a + PIECE] - start[a], axis=0)
+                           for a in range(0, len(start), PIECE)]).astype(float)
+    highest = logl.max(1)
+    which, times, size, n, at = np.array(which), np.array(often, float), np.array(sizes), np.array(counts), np.array(who)
+    like = np.ascontiguousarray(np.exp(logl - highest[:, None]).T)[:, which]
+    base = highest[which]
+    doc, begins = np.repeat(np.arange(len(at)), size), np.cumsum(size) - size
+    names = np.tile(np.arange(k), (len(at), 1))
+    share, ll = _em(like.T, base, doc, begins, n, np.ones(names.shape), times)
+    out[at] = share
+    for left in range(k - 1, 0, -1):  # backward: try without the least language; like, names and share have those left
+        least = share.argmin(1)
+        like = np.where(np.arange(left)[:, None] < least[doc], like[:-1], like[1:])
+        names = names[np.arange(left + 1) != least[:, None]].reshape(-1, left)
+        share, ll_new = _em(like.T, base, doc, begins, n, np.ones(names.shape), times)
+        better = ll - ll_new <= PENALTY * np.log(n + 1)
+        if not better.any():
             break
-    out[who] = share
+        if not better.all():
+            mine = better[doc]
+            like, base, times = like[:, mine], base[mine], times[mine]
+            size, n, at, names, share, ll_new = size[better], n[better], at[better], names[better], share[better], ll_new[better]
+            doc, begins = np.repeat(np.arange(len(at)), size), np.cumsum(size) - size
+        ll = ll_new
+        out[at] = 0
+        out[at[:, None], names] = share
     return out
 
 

@@ -56,3 +56,40 @@ def test_edges(spark):
     assert e.identify(docs(spark, []), models).collect() == []
     none = e.fit(docs(spark, []), F.lit(True))
     assert {(r.lang_pred, r.score) for r in e.identify(docs(spark, rows), none).collect()} == {("und", 0.0)}
+
+
+def test_repeated_words_are_worked_out_once(monkeypatch):
+    """Proportions, set of languages included, as from a loop over every word; a word's trigrams are looked up once for all texts."""
+    rnd = random.Random(4)
+    counts = np.stack([e.count_grams([prose(rnd, 400, s)]) for s in STOCK.values()], 1) + e.SMOOTH
+    models = e.Models(list(STOCK), np.log(counts / counts.sum(0)).astype(np.float32))
+    texts = [" ".join(prose(rnd, 15, s) for s in rnd.sample(list(STOCK.values()), rnd.randint(1, 3))) for _ in range(40)]
+    texts = [e.letters(" ".join(rnd.choices(x.split(), k=120))) for x in texts] + [b"", b" ", b"a", b"ab" * 3000, texts[0].encode()]
+    looked_up = []
+    plain = e.words
+    monkeypatch.setattr(e, "words", lambda data: looked_up.append(data) or plain(data))
+    got = e.mixtures(models, texts)
+    assert sum(len(x.split()) for x in looked_up) == len({w for x in texts for w in x.split()})
+
+    def em(like, of):
+        share = np.ones(len(of)) / len(of)
+        for _ in range(e.ROUNDS):
+            r = like[:, of] * share
+            share = (r / r.sum(1, keepdims=True)).mean(0)
+        return share, np.log((like[:, of] * share).sum(1)).sum()
+
+    for text, mine in zip(texts, got, strict=True):
+        bins, start = plain(text)
+        want = np.zeros(3)
+        if len(start):
+            logl = np.array([models.logp[w].sum(0, dtype=float) for w in np.split(bins, start[1:])])
+            like, of = np.exp(logl - logl.max(1, keepdims=True)), [0, 1, 2]
+            share, ll = em(like, of)
+            while len(of) > 1:
+                fewer = [j for j in of if j != of[share.argmin()]]
+                new, ll_new = em(like, fewer)
+                if not ll - ll_new <= e.PENALTY * np.log(len(start) + 1):
+                    break
+                of, share, ll = fewer, new, ll_new
+            want[of] = share
+        assert np.allclose(mine, want, atol=1e-4) and ((mine > 0) == (want > 0)).all()
