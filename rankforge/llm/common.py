@@ -15,6 +15,8 @@ from rankforge.session import write_and_read
 
 #: Rows per Arrow batch where each row carries a whole text.
 TEXT_BATCH = 256
+#: Bytes from which on an Arrow batch to Python ends, so that long texts come in smaller ones.
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +51,17 @@ def chunks(batch: pa.RecordBatch, rows: int = TEXT_BATCH) -> Iterator[pa.RecordB
         yield batch.slice(i, rows)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches to Python end at ``BATCH_BYTES``, or at less where the session says so.
+
+    Without a limit a batch is 10,000 rows, however long: JVM and Python worker hold it at the same time, each task its own.
+    Spark reads the setting when a query runs, so it stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def text_bytes(col: pa.Array) -> list[bytes]:
     """Each text's UTF-8 bytes; a null is empty."""
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
@@ -71,15 +84,17 @@ def per_text(df: DataFrame, keep: list[str], text_col: str, fn: Callable[[list],
              fields: list[T.StructField], rows: int = TEXT_BATCH) -> DataFrame:
     """Row for row: the ``keep`` columns and what ``fn`` makes of a chunk's texts (None where null).
 
-    Rows stay in their partition; a task holds one Arrow batch of texts.
+    Rows stay in their partition; a task holds one Arrow batch of texts, which are sent once, kept or not.
     """
-    src = df.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), F.col(text_col).alias("text"))
+    bounded_batches(df.sparkSession)
+    src = df.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), *([] if text_col in keep else [F.col(text_col).alias("text")]))
+    at = [*keep, text_col].index(text_col)
     schema = T.StructType([*(T.StructField(c, src.schema[f"k{i}"].dataType) for i, c in enumerate(keep)), *fields])
 
     def run(batches):
         for big in batches:
             for b in chunks(big, rows):
-                made = fn(b.column(len(keep)).to_pylist())
+                made = fn(b.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [made[f.name] for f in fields],
                                                  names=[*keep, *(f.name for f in fields)])
 

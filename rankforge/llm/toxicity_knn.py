@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.llm.common import calibrated, labelled, per_text, roles, rows_of, sigmoid, share
+from rankforge.llm.common import bounded_batches, calibrated, labelled, per_text, roles, rows_of, sigmoid, share
 
 BLOCK = 64
 K = 31
@@ -337,6 +337,7 @@ def document_frequencies(docs: DataFrame, text_col: str, terms: dict[bytes, int]
     """idf of each indexed term over all documents: one row of sums per task, then one."""
     n_terms = len(terms)
     held = share(docs.sparkSession, terms)
+    bounded_batches(docs.sparkSession)
 
     def count(batches):
         total, n = np.zeros(n_terms, np.int64), 0

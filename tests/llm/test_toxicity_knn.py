@@ -187,3 +187,30 @@ def test_telling_terms_differ_by_more_than_chance():
     told = t.odds(np.column_stack([have, [0, 60], [200, 20]]), n)[-2:]
     assert np.allclose(told, [np.log(60.5 / 140.5) - np.log(.5 / 300.5), np.log(200.5 / 100.5) - np.log(20.5 / 180.5)])
     assert not t.odds(have, np.array([300, 0])).any()
+
+
+def test_a_task_holds_few_texts(spark):
+    """Long texts come to Python in small batches, each text once, kept or not."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from rankforge.llm import common
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    df = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(F.lit("words "), 2000)).alias("text"))
+    length = [T.StructField("n", T.IntegerType())]
+    for keep in (["doc_id"], ["doc_id", "text"], ["text", "doc_id"]):
+        rows = common.per_text(df, keep, "text", lambda texts: {"n": pa.array([len(x) for x in texts], pa.int32())}, length)
+        assert rows.columns == [*keep, "n"]
+        assert sorted((r.doc_id, r.n) for r in rows.select("doc_id", "n").collect()) == [(i, 12000 + len(str(i))) for i in range(2000)]
+    index = t.fit(df, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"), F.lit(True))
+    kept = t.accepted(df, index)
+    sizes = df.mapInArrow(size, "rows long, bytes long").collect()
+    assert sum(r.rows for r in sizes) == 2000 and max(r.bytes for r in sizes) < 2 * common.BATCH_BYTES
+    plan = kept._jdf.queryExecution().analyzed()
+    while "MapInArrow" not in plan.nodeName():
+        plan = plan.children().apply(0)
+    assert plan.children().apply(0).output().size() == 2
