@@ -20,7 +20,8 @@ all documents walk through the early sampled steps; only those whose key so far
 is a key of some item window walk on. Hits give (item, place) candidates, which a
 bit-parallel edit distance between the whole item and the best stretch of text
 there decides: an item is in a document at a distance of at most
-``MAX_DISTANCE`` times the item's length (0.2: a similarity of 0.8 or more).
+``MAX_DISTANCE`` times the item's length (0.2: a similarity of 0.8 or more). Places where not even the item's
+first words (``HEAD``) are within the item's edits are left out before; none that the distance would accept is among them.
 
 Items under ``LEAST_ITEM`` bytes are too short for windows that survive their edits. They are cut into one piece more than
 they may have edits, so that one piece is left as it was in any copy; every place of every piece is a candidate for the
@@ -63,6 +64,10 @@ LEAST_PIECES = 10
 BLOCK_BYTES = 1 << 18
 #: Pairs whose edit distances are computed side by side.
 PAIRS = 1 << 12
+#: An item's head, in bytes for each edit that the item may have, and then up to the next 64.
+HEAD = 1.9
+#: Fewer pairs than this for each 64 bytes of item are computed one by one.
+FEW = 16
 #: Windows start this many bytes apart at most.
 STEP = 12
 #: Sampled early steps after which windows that begin like no item's are left out.
@@ -126,7 +131,7 @@ class State:
     key: np.ndarray
 
     def only(self, on: np.ndarray) -> State:
-        return State(self.rows[on], self.pos[on], self.key[on])
+        return State(self.rows.take(on), self.pos.take(on), self.key.take(on))
 
 
 def begin(start: np.ndarray) -> State:
@@ -144,7 +149,7 @@ def walk_on(buf: np.ndarray, at: State, walk: Walk, size: int, first: int, last:
     sampled, stops = walk.samples(size)
     j = stops[first - 1] + 1 if first else 0
     for n in range(first, last):
-        end = None if start is None else start[at.rows] + size
+        end = None if start is None or stops[n] < size else start[at.rows] + size
         pos, key = at.pos.copy(), at.key.copy()
         while j <= stops[n]:
             c = buf.take(pos, mode="clip")
@@ -153,7 +158,7 @@ def walk_on(buf: np.ndarray, at: State, walk: Walk, size: int, first: int, last:
             if j in sampled:
                 key ^= c
                 key *= _ODD32
-            pos += np.frombuffer(c.tobytes().translate(walk.moves[j]), np.uint8)
+            pos += np.frombuffer(c.tobytes().translate(walk.moves[j]), np.uint8).astype(np.intp)
             j += 1
         at = State(at.rows, pos, key)
         if kept is not None:
@@ -203,6 +208,11 @@ def _flags(keys: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def _flagged(flags: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
+    """The places of keys whose upper bits have a flag."""
+    return np.flatnonzero(flags.take((key >> np.uint32(32 - bits)).astype(np.intp), mode="clip"))
+
+
 @dataclass
 class Hits:
     """Sorted keys, and who has them: (item, start) of equal keys lie together."""
@@ -378,18 +388,20 @@ def candidates(index: Items, buf: np.ndarray) -> list[tuple[int, int, int]]:
         parts = []
         for at in range(0, len(every), AT_ONCE):
             part = walk_on(buf, begin(every[at:at + AT_ONCE]), index.walks[tables[0]], index.sizes[0], 0, first,
-                           lambda n, key: np.flatnonzero(marks[number, n].take(key >> np.uint32(32 - _BITS))))
+                           lambda n, key: _flagged(marks[number, n], key, _BITS))
             parts.append((part.rows + at, part.pos, part.key))
         begun = State(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        keys = index.early[number, first - 1]
+        key_at = np.minimum(np.searchsorted(keys, begun.key), len(keys) - 1)
         for w in index.sizes:
-            on = begun.only(np.flatnonzero(_has(index.begun[number, w], begun.key)))
+            on = begun.only(np.flatnonzero(_has(index.begun[number, w], keys)[key_at] & (keys[key_at] == begun.key)))
             if not len(on.rows):
                 continue
             for t in tables:
                 maps = index.seen[t, w]
 
                 def kept(n, key, t=t, w=w, maps=maps):
-                    on = np.flatnonzero(marks[t, w, n - first].take(key >> np.uint32(32 - _LATE_BITS)))
+                    on = _flagged(marks[t, w, n - first], key, _LATE_BITS)
                     return on[_has(maps[n - first], key[on])] if n - first < len(maps) else on
 
                 end = walk_on(buf, on, index.walks[t], w, first, first + len(maps) + 1, kept, every)
@@ -412,12 +424,15 @@ def best_stretches(items: list[bytes], texts: list[bytes]) -> tuple[np.ndarray,
     words = -(-best // 64)
     for w in np.unique(words):
         of = np.flatnonzero(words == w)
+        if len(of) < FEW * w:
+            for i in of:
+                best[i], end[i] = _distance(items[i], texts[i])
+            continue
         kinds = sorted({items[i] for i in of})
         number = {k: n for n, k in enumerate(kinds)}
-        eq = np.zeros((w, 256, len(kinds)), np.uint64)
-        for n, k in enumerate(kinds):
-            for at, c in enumerate(k):
-                eq[at >> 6, c, n] |= np.uint64(1) << np.uint64(at & 63)
+        eq, column = np.zeros((w, 256, len(kinds)), np.uint64), np.arange(len(kinds))
+        for at, c in enumerate(np.frombuffer(b"".join(k.ljust(64 * w, b"\0") for k in kinds), np.uint8).reshape(len(kinds), -1).T):
+            eq[at >> 6, c, column] |= np.uint64(1) << np.uint64(at & 63)
         eq[:, 0] = 0
         flat = eq.reshape(w, -1)
         of = of[np.argsort([-len(texts[i]) for i in of], kind="stable")]
@@ -427,34 +442,85 @@ def best_stretches(items: list[bytes], texts: list[bytes]) -> tuple[np.ndarray,
     return best, end
 
 
+def may_hold(items: list[bytes], texts: list[bytes], most: list[int]) -> np.ndarray:
+    """Which texts may hold their items with at most so many edits; none that does is left out.
+
+    An item's head is there at no more edits than the item, and ahead of as many bytes as the rest of the item takes at least.
+    Of unlike texts more than half the bytes differ, so the head has more edits than the item may have.
+    """
+    head = [64 * max(1, -int(-HEAD * m // 64)) for m in most]
+    cut = np.flatnonzero([h < len(i) for h, i in zip(head, items, strict=True)])
+    least, _ = best_stretches([items[n][:head[n]] for n in cut], [texts[n][:max(0, len(texts[n]) - len(items[n]) + head[n] + most[n])] for n in cut])
+    out = np.ones(len(items), bool)
+    out[cut] = least <= np.array(most, np.int64)[cut]
+    return out
+
+
+def _distance(item: bytes, text: bytes) -> tuple[int, int]:
+    """As ``_distances``, one pair in one long word."""
+    eq: dict[int, int] = {}
+    for at, c in enumerate(item):
+        eq[c] = eq.get(c, 0) | 1 << at
+    eq.pop(0, None)
+    top, every = 1 << (len(item) - 1), (1 << len(item)) - 1
+    up, down, d, low, end = every, 0, len(item), len(item), 0
+    for j, c in enumerate(text):
+        e = eq.get(c, 0)
+        v, h = e | down, ((e & up) + up ^ up) | e
+        plus, minus = down | every & ~(h | up), up & h
+        if plus & top:
+            d += 1
+        elif minus & top:
+            d -= 1
+            if d < low:
+                low, end = d, j + 1
+        plus <<= 1
+        up, down = (minus << 1 | ~(v | plus)) & every, plus & v & every
+    return low, end
+
+
 def _distances(eq: np.ndarray, kinds: int, which: np.ndarray, length: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """eq: by word, the places of each character in each item. texts: longest first."""
-    w, one = len(eq), np.uint64(1)
+    w, one, top = len(eq), np.uint64(1), np.uint64(63)
     size = np.array([len(t) for t in texts])
-    at = np.repeat(which[None, :], int(size.max(initial=0)), 0)  # of the pair's character in eq
-    for n, t in enumerate(texts):
-        at[:size[n], n] += np.frombuffer(t, np.uint8).astype(at.dtype) * kinds
-    tops = [np.full(len(which), one << np.uint64(63))] * (w - 1) + [one << ((length - 1) & 63).astype(np.uint64)]
+    longest = int(size.max(initial=0))
+    chars = np.ascontiguousarray(np.frombuffer(b"".join(t.ljust(longest, b"\0") for t in texts), np.uint8).reshape(len(texts), longest).T)
+    last = ((length - 1) & 63).astype(np.uint64)
     up, down = [np.full(len(which), ~np.uint64(0)) for _ in range(w)], [np.zeros(len(which), np.uint64) for _ in range(w)]
     d, low, end = length.copy(), length.copy(), np.zeros(len(which), np.int64)
-    for j in range(len(at)):
+    for j in range(longest):
         n = int(np.searchsorted(-size, -j, side="left"))  # the pairs whose text goes on
-        rise = fall = None
+        at = chars[j, :n].astype(np.intp)  # of the pair's character in eq
+        at *= kinds
+        at += which[:n]
+        rise = fall = more = less = None
         for b in range(w):
-            p, m, e = up[b][:n], down[b][:n], eq[b].take(at[j, :n])
+            p, m, e = up[b][:n], down[b][:n], eq[b].take(at)
             v = e | m
             if fall is not None:
-                e = e | fall
-            h = (((e & p) + p) ^ p) | e
-            plus, minus = m | ~(h | p), p & h
-            more, less = (plus & tops[b][:n]) != 0, (minus & tops[b][:n]) != 0
-            plus, minus = plus << one, minus << one
-            if rise is not None:
-                plus, minus = plus | rise, minus | fall
+                e |= fall
+            h = e & p
+            h += p
+            h ^= p
+            h |= e
+            plus, minus = h | p, p & h
+            np.invert(plus, out=plus)
+            plus |= m
             if b < w - 1:
-                rise, fall = more.astype(np.uint64), less.astype(np.uint64)
-            up[b][:n], down[b][:n] = minus | ~(v | plus), plus & v
-        d[:n] += more.astype(np.int64) - less
+                more, less = plus >> top, minus >> top
+            else:
+                d[:n] += ((plus >> last[:n]) & one).view(np.int64)
+                d[:n] -= ((minus >> last[:n]) & one).view(np.int64)
+            plus <<= one
+            minus <<= one
+            if rise is not None:
+                plus |= rise
+                minus |= fall
+            rise, fall = more, less
+            np.bitwise_and(plus, v, out=m)
+            v |= plus
+            np.invert(v, out=v)
+            np.bitwise_or(minus, v, out=p)
         better = d[:n] < low[:n]
         if better.any():
             better = np.flatnonzero(better)
@@ -518,6 +584,8 @@ def _look(index: Items, group: list, best: list[dict]) -> None:
         work.append((i, g, left, group[g][2][left:max(left, p + size + most + most // 4)]))
     if not work:
         return
+    on = may_hold([index.texts[i] for i, *_ in work], [w[3] for w in work], [int(index.max_distance * len(index.texts[i])) for i, *_ in work])
+    work = [w for w, x in zip(work, on.tolist(), strict=True) if x]
     distance, end = best_stretches([index.texts[i] for i, *_ in work], [w[3] for w in work])
     for (i, g, left, _), d, e in zip(work, distance.tolist(), end.tolist(), strict=True):
         n, at, _ = group[g]

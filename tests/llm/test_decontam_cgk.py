@@ -174,3 +174,62 @@ def test_the_index_is_compact():
     rnd = random.Random(10)
     index = g.index_items([(i, prose(rnd, rnd.randint(15, 60))) for i in range(200)])
     assert len(pickle.dumps(index)) < 16 << 20
+
+
+def test_heads_leave_out_no_pair_and_most_unlike_ones():
+    rnd = random.Random(11)
+    items, texts, near = [], [], []
+    for n in range(300):
+        item = prose(rnd, rnd.randint(12, 60)).encode().ljust(64, b"q")
+        like = n % 3 != 0
+        mid = edit(rnd, item.decode(), rnd.choice([0, .1, .17, .2, .22])) if like else prose(rnd, 50)
+        items.append(item)
+        texts.append((prose(rnd, rnd.randint(0, 6)) + mid + prose(rnd, rnd.randint(0, 6))).encode())
+        near.append(like)
+    most = [int(g.MAX_DISTANCE * len(i)) for i in items]
+    on = g.may_hold(items, texts, most)
+    within = np.array([distance(i, t) <= m for i, t, m in zip(items, texts, most)])
+    assert within.sum() > 100 and on[within].all()
+    unlike = ~np.array(near) & ~within
+    assert on[unlike].sum() < unlike.sum() / 4
+
+
+def test_may_hold_at_the_edges():
+    item = b"abcdefgh" * 20
+    assert g.may_hold([], [], []).tolist() == []
+    assert g.may_hold([item] * 5, [item, item[32:], item[:128], b"", b"x" * 400], [32] * 5).tolist() == [True, True, True, False, False]
+    assert g.may_hold([item, item], [item, item[1:]], [0, 0]).tolist() == [True, False]
+    assert g.may_hold([item[:64]], [b""], [12]).tolist() == [True]  # no longer than its head: not judged
+
+
+def test_pairs_side_by_side_and_one_by_one_agree(monkeypatch):
+    rnd = random.Random(12)
+    items, texts = [], []
+    for _ in range(120):
+        item = prose(rnd, rnd.randint(2, 40))
+        items.append(item.encode())
+        texts.append((prose(rnd, rnd.randint(0, 8)) + edit(rnd, item, rnd.random() * .3) + prose(rnd, 3)).encode() if rnd.random() < .9 else b"\0a\0")
+    want = [distance(i, t.replace(b"\0", b"\xff")) for i, t in zip(items, texts)]
+    monkeypatch.setattr(g, "FEW", 0)
+    side, ends = g.best_stretches(items, texts)
+    monkeypatch.setattr(g, "FEW", 1 << 20)
+    one, one_ends = g.best_stretches(items, texts)
+    assert side.tolist() == one.tolist() == want and ends.tolist() == one_ends.tolist()
+
+
+def test_whole_items_are_compared_only_where_their_heads_are(monkeypatch):
+    """Of the candidates in unlike texts, which are most, few are compared whole; the copies are all found."""
+    rnd = random.Random(13)
+    words = [prose(rnd, 1)[:4] for _ in range(40)]
+    say = lambda n: " ".join(rnd.choices(words, k=n))
+    items = [(i, say(rnd.randint(30, 60))) for i in range(60)]
+    index = g.index_items(items)
+    texts = [say(400) for _ in range(300)] + [say(40) + " " + t + " " + say(40) for _, t in items]
+    whole, seen = set(map(g.normal, dict(items).values())), []
+    compare, one = g._distances, g._distance
+    monkeypatch.setattr(g, "_distances", lambda eq, kinds, which, length, texts: seen.extend(length.tolist()) or compare(eq, kinds, which, length, texts))
+    monkeypatch.setattr(g, "_distance", lambda item, text: seen.append(len(item)) or one(item, text))
+    got = g.leaks(index, texts)
+    assert all(i in {r["item_id"] for r in rows if r["distance"] == 0} for (i, _), rows in zip(items, got[300:], strict=True))
+    longer = sum(n in set(map(len, whole)) for n in seen)
+    assert len(seen) > 1000 and longer < len(seen) / 3
