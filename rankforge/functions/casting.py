@@ -92,6 +92,15 @@ def safe_date(c) -> Column:
     ``/`` separators, surrounding blanks and a trailing time are accepted.
     """
     c = as_col(c)
+    # Plain dates, nearly all there are, need none of the rest, which stands in a lambda: written out in the
+    # row's own code it would make a method of more than 8000 bytes, which the JVM never compiles.
+    odd = F.element_at(F.transform(F.array(c), _odd_date), 1)
+    return (F.when(c.rlike(_PLAIN_DATE), c.try_cast("date"))
+             .when(F.lower(c) == "epoch", F.date_from_unix_date(F.lit(0))).when(c.rlike(_DATE_TEXT), odd))
+
+
+def _odd_date(c: Column) -> Column:
+    """The date of a text that :data:`_DATE_TEXT` matches."""
     part = lambda i: F.regexp_extract(c, _DATE_TEXT, i)
     text = part(2).try_cast("int")
     bc = part(6) != ""
@@ -100,11 +109,8 @@ def safe_date(c) -> Column:
     alike = F.lit(2000) + F.pmod(year, F.lit(_YEARS))  # a year with the same calendar, near enough for the parser
     day = F.concat(alike.cast("string"), F.lit("-"), F.lpad(part(4), 2, "0"), F.lit("-"), F.lpad(part(5), 2, "0")).try_cast("date")
     days = F.unix_date(day).cast("bigint") + F.floor((year - alike) / F.lit(_YEARS)) * F.lit(_DAYS)
-    ok = c.rlike(_DATE_TEXT) & ~(bc & ((part(1) == "-") | (text == 0))) & (F.abs(days) <= _LAST_DAY)
-    found = F.when(ok, F.date_from_unix_date(days.cast("int")))
-    # Plain dates, nearly all there are, need none of this.
-    return (F.when(c.rlike(_PLAIN_DATE), c.try_cast("date"))
-             .when(F.lower(c) == "epoch", F.date_from_unix_date(F.lit(0))).otherwise(found))
+    ok = ~(bc & ((part(1) == "-") | (text == 0))) & (F.abs(days) <= _LAST_DAY)
+    return F.when(ok, F.date_from_unix_date(days.cast("int")))
 
 
 def decimal_to_text(c) -> Column:

@@ -39,7 +39,7 @@ DEPENDS = {
     "dim_date": ["stg_pageviews", "stg_ranked_list", "fct_catalogue_snapshot"],
     "bridge_book_author": ["author_parse"],
     "fct_author_views_7d": ["stg_pageviews", "dim_week"],
-    "fct_book_views_7d": ["bridge_book_author", "fct_author_views_7d"],
+    "fct_book_views_7d": ["bridge_book_author", "fct_author_views_7d", "dim_week"],
     "weekly_scorecard": ["fct_weekly_rank", "dim_week", "dim_book", "bridge_book_author",
                          "fct_author_views_7d"],
 }
@@ -241,7 +241,7 @@ class ModelGraph:
 
     @cached_property
     def fct_book_views_7d(self):
-        return M.fct_book_views_7d(self._m("bridge_book_author"), self._m("fct_author_views_7d"), self.wide_sums)
+        return M.fct_book_views_7d(self._m("bridge_book_author"), self._m("fct_author_views_7d"), self.wide_sums, self._m("dim_week"))
 
     @cached_property
     def weekly_scorecard(self):

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    array_has_struct, clean_isbn_text, json_array_contains, json_flag_true, json_list_as_csv, md5_key,
+    clean_isbn_text, json_array_contains, json_flag_true, json_list_as_csv, list_contains, md5_key,
     normalize_name, safe_date, trimmed_or_null, zs_trim,
 )
 from rankforge.operators.keys import consolidate_keys
@@ -30,7 +30,7 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     """
     base = stg.where(F.col("isbn13_clean").isNotNull())
     # The identifiers are an array of objects; with ``parse_volumes`` input
-    # they come from the same single parse as the other fields.
+    # their text comes from the same single parse as the other fields.
     base = base.withColumns({
         "is_ebook_flag": json_flag_true("saleinfo", "$.isEbook"),
         "published_date": safe_date("published_date_raw"),
@@ -39,7 +39,7 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     cols = list(BEST_VOLUME_COLS)
     if match_isbn:
         want = {"type": "ISBN_13", "identifier": F.col("isbn13_clean")}
-        has = (array_has_struct("__identifiers", want) if "__identifiers" in stg.columns
+        has = (list_contains("__identifiers", want) if "__identifiers" in stg.columns
                else json_array_contains("volumeinfo", "industryIdentifiers", want))
         base = base.withColumn("has_isbn_match", has.cast("int"))
         order.append(desc("has_isbn_match"))
@@ -77,8 +77,9 @@ def book_keys(stg_list: DataFrame, best_search: DataFrame, strip_decimal: bool =
     from_list = stg_list.select(
         clean_isbn_text(trimmed_or_null(F.col("isbn13").cast("string")), strip_decimal).alias("isbn13_clean"),
         trimmed_or_null("book_uri").alias("book_uri"))
-    from_catalogue = best_search.select(
-        trimmed_or_null(F.col("isbn13_clean").cast("string")).alias("isbn13_clean"),
+    # An ISBN has many volumes: distinct ones by hash first, as the greatest text of a key needs a sort.
+    from_catalogue = best_search.select(F.col("isbn13_clean").cast("string").alias("isbn13_clean")).distinct().select(
+        trimmed_or_null("isbn13_clean").alias("isbn13_clean"),
         F.lit(None).cast("string").alias("book_uri"))
     return consolidate_keys([from_list, from_catalogue], ["isbn13_clean", "book_uri"],
                             nk="book_nk", key="book_key")

@@ -256,14 +256,15 @@ def fct_author_views_7d(daily: DataFrame, dates: DataFrame | None, weeks: DataFr
         "week_key", "week_date", "author_key", "views_7d")
 
 
-def fct_book_views_7d(bridge: DataFrame, author_views: DataFrame, wide: bool = False) -> DataFrame:
+def fct_book_views_7d(bridge: DataFrame, author_views: DataFrame, wide: bool = False, weeks: DataFrame | None = None) -> DataFrame:
     """Per (book, week): the 7-day views summed over all the book's authors.
 
-    The bridge is counted first (a job), so that places for the sums grow with it.
+    The bridge is counted first (a job), so that places for the sums grow with it. ``weeks`` is the week
+    dimension that the author views were made with; without it they are read for their weeks.
     """
     links = bridge.select("book_key", "author_key")
     return rollup_over_bridge(links, author_views.select("week_key", "author_key", "views_7d"),
-                              "author_key", ["book_key", "week_key"], "views_7d", wide=wide, partitions=places(links))
+                              "author_key", ["book_key", "week_key"], "views_7d", wide=wide, partitions=places(links), periods=weeks)
 
 
 # ---------------------------------------------------------------- wide table

@@ -6,14 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    blank_to_null, decimal_to_text, first_of, int_of, is_malformed, json_object, list_objects, list_texts, long_of, safe_double, safe_long,
+    blank_to_null, decimal_to_text, first_of, int_of, is_malformed, json_object, list_texts, long_of, safe_double, safe_long,
     wide_of, yyyymmdd_to_date,
 )
 
-# The fields of an industry identifier.
-IDENTIFIER_FIELDS = ["type", "identifier"]
-
-
 def stg_ranked_list(raw: DataFrame) -> DataFrame:
     """Typed weekly list rows; rows without an ISBN are dropped.
 
@@ -47,8 +43,8 @@ def stg_volumes(raw: DataFrame, on_malformed: str = "null") -> DataFrame:
 
 
 def parse_volumes(raw: DataFrame, on_malformed: str = "null") -> DataFrame:
-    """:func:`stg_volumes` plus the parsed identifier list ``__identifiers``
-    (array of ``type, identifier``) and ``__malformed``, all from one parse of the document.
+    """:func:`stg_volumes` plus the text of the identifier list, ``__identifiers``,
+    and ``__malformed``, all from one parse of the document.
 
     The parse keeps the order of keys, so a repeated key reads its first value. A text that is no JSON document has
     NULL fields, or with ``on_malformed="fail"`` stops the job.
@@ -78,7 +74,7 @@ def parse_volumes(raw: DataFrame, on_malformed: str = "null") -> DataFrame:
         safe_double(field("averageRating")).alias("average_rating"),
         safe_long(field("ratingsCount")).alias("ratings_count"),
         "volumeinfo", "saleinfo", "accessinfo", "searchinfo",
-        list_objects(field("industryIdentifiers"), IDENTIFIER_FIELDS).alias("__identifiers"),
+        field("industryIdentifiers").alias("__identifiers"),
         bad.alias("__malformed"),
     )
 

@@ -100,3 +100,31 @@ def test_integral_columns_are_not_cast_through_text(spark):
     plan = df.select(RF.long_of(df, "views").alias("v"))._jdf.queryExecution().optimizedPlan().toString()
     assert "string" not in plan and "RLIKE" not in plan
     assert df.select(RF.long_of(df, "t").alias("v"), RF.int_of(df, "views").alias("w")).first() == (31, 5)
+
+
+def test_identifier_lists_are_told_by_text_or_parsed(spark):
+    """Plain lists by their text, all others parsed: the same answers as parsing each."""
+    texts = ['[{"type":"ISBN_13","identifier":"97"}]', '[{"type":"ISBN_10","identifier":"1"},{"type":"ISBN_13","identifier":"97"}]',
+             '[{"identifier":"97","type":"ISBN_13"}]', '[{"type":"ISBN_13","identifier":97}]', '[{"type":"ISBN_13","identifier":"9\\u0037"}]',
+             '[{"type":"ISBN_13","identifier":"978"}]', '[{"type":"ISBN_13","identifier":"1","identifier":"97"}]', '[{"x":{"type":"ISBN_13","identifier":"97"}}]',
+             '[{"type":"ISBN_13","identifier":"97","x":1}]', '["{\\"type\\":\\"ISBN_13\\",\\"identifier\\":\\"97\\"}"]', '[]', '[null]', 'x', '{"type":"ISBN_13","identifier":"97"}', '', None,
+             "[" + ",".join(['{"type":"OTHER","identifier":"1"}'] * 5000 + ['{"type":"ISBN_13","identifier":"97"}']) + "]"]
+    df = spark.createDataFrame([(t, i) for t in texts for i in ("97", None, 'a"b')], "t string, i string")
+    want = {"type": "ISBN_13", "identifier": F.col("i")}
+    got = df.select(RF.list_contains("t", want).alias("told"), RF.array_has_struct(RF.list_objects("t", list(want)), want).alias("parsed"), "i").collect()
+    assert [r.told for r in got] == [r.parsed for r in got]
+    assert sum(r.told for r in got) == 7
+
+
+def test_the_date_cast_is_compiled(spark):
+    """A method of more than 8000 bytes is never compiled by the JVM: every row of it is interpreted."""
+    import re
+
+    df = spark.range(5).selectExpr("cast(id as string) as t").repartition(2).select(RF.safe_date("t").alias("d")).sort("d")
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000

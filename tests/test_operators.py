@@ -271,3 +271,41 @@ def test_rollup_is_summed_where_it_is_made(spark):
     by_week = rollup_over_bridge(b, f, "author", ["week"], "v", out="s")
     assert rows(by_week) == rows(b.join(f, "author").groupBy("week").agg(F.sum("v").alias("s")))
     assert places(b, 10) == 5 and places(b, 100) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_rollup_sums_periods_side_by_side(spark):
+    """Bridge rows meet blocks of periods, not one row for each period; more periods than a block has, gaps, nulls, repeated rows and periods of two columns."""
+    from rankforge.operators import rollup_over_bridge
+
+    b = spark.sql("select concat('b', id) as book, id % 7 as author from range(30) union all select 'b1', 2 union all select 'b1', 2 union all select 'b2', null")
+    f = spark.sql("""select id % 5 as author, if(id % 11 = 0, null, cast(id div 5 as int)) as week, cast(id % 3 as int) as kind, if(id % 4 = 0, null, id - 90) as v from range(200)
+                     union all select 1, 3, 0, 5 union all select 3, null, null, null""")
+    for periods in (["week"], ["kind", "week"]):
+        facts = f.select("author", *periods, "v")
+        out = rollup_over_bridge(b, facts, "author", [*periods, "book"], "v", out="s")
+        want = b.join(facts, "author").groupBy(*periods, "book").agg(F.sum("v").alias("s"))
+        assert out.schema["s"].dataType == want.schema["s"].dataType and out.columns == want.columns
+        assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+        given = rollup_over_bridge(b, facts, "author", [*periods, "book"], "v", out="s", periods=f.select(*periods))
+        assert given.exceptAll(want).count() == 0 and want.exceptAll(given).count() == 0
+    none = rollup_over_bridge(b, f.select("author", "v"), "author", ["book"], "v")
+    want = b.join(f, "author").groupBy("book").agg(F.sum("v").alias("v"))
+    assert none.exceptAll(want).count() == 0 and want.exceptAll(none).count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("inline(array(") < plan.index("Aggregate [__place")  # rows of single periods are made of sums only
+
+
+@pytest.mark.parametrize("scale", [1, 10 ** 9, 10 ** 20, 10 ** 33])
+def test_wide_roll_up_is_exact(spark, scale):
+    """Sums of 38 digits in parts: of either sign, mixed and null, with digits in every part."""
+    from decimal import Decimal
+
+    from rankforge.operators import rollup_over_bridge
+
+    values = [i * scale * (-1) ** (i // 3) + i * 987654321987 for i in range(1, 60)]
+    f = spark.createDataFrame([(i % 6, i // 6, None if i % 9 == 0 else Decimal(v)) for i, v in enumerate(values)] + [(1, 99, None)], "author int, week int, v decimal(38,0)")
+    b = spark.createDataFrame([(k, a) for k in range(8) for a in range(6) if (k + a) % 3], "book int, author int")
+    out = rollup_over_bridge(b, f, "author", ["book", "week"], "v", wide=True)
+    want = b.join(f, "author").groupBy("book", "week").agg(F.sum("v").alias("v"))
+    assert out.schema["v"].dataType == want.schema["v"].dataType
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
