@@ -15,6 +15,7 @@ from rankforge.functions._col import as_col
 _BAD_UNDERSCORE = r"(^|[^0-9])_|_([^0-9]|$)"
 _HEX = r"^0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*$"
 _BIN = r"^0[bB][01]+(_[01]+)*$"
+_PLAIN_DIGITS = r"\A[0-9]{1,18}\z"
 
 
 def _digits(c: Column, most: int) -> Column:
@@ -40,7 +41,8 @@ def safe_long(c) -> Column:
         value = F.conv(_digits(c, most), base, 10)
         return F.when(c.rlike(pattern), value.try_cast("decimal(38,0)").try_cast("bigint"))
 
-    return F.coalesce(radix(_HEX, 16, 16), radix(_BIN, 2, 64), dec)
+    # Plain digits, nearly all there are, need none of this.
+    return F.when(c.rlike(_PLAIN_DIGITS), c.try_cast("bigint")).otherwise(F.coalesce(radix(_HEX, 16, 16), radix(_BIN, 2, 64), dec))
 
 
 def long_of(df: DataFrame, name: str) -> Column:
@@ -71,7 +73,8 @@ def safe_double(c) -> Column:
     """Text/number -> double, NULL when impossible (underscores between
     digits ignored; ``inf``/``nan`` spellings accepted)."""
     c = as_col(c).cast("string")
-    return F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", "")).try_cast("double")
+    plain = F.when(F.contains(c, F.lit("_")), F.when(~c.rlike(_BAD_UNDERSCORE), F.regexp_replace(c, "_", ""))).otherwise(c)
+    return plain.try_cast("double")
 
 
 # The date text forms the warehouse's date cast accepts - a year

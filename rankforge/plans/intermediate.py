@@ -46,7 +46,8 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
         cols.insert(1, "has_isbn_match")
     order += [desc("ratings_count"), desc("average_rating"), desc("is_ebook_flag"),
               desc("published_date"), desc("extracted_at"), asc("gbooks_id")]
-    return best_per_key(base, ["isbn13_clean"], order).select(*cols)
+    # Nearly all ISBNs begin alike, so sorting compares their numbers first; the text is what counts.
+    return best_per_key(base, [F.col("isbn13_clean").try_cast("bigint"), "isbn13_clean"], order).select(*cols)
 
 
 def authors_text(null_authors_as_text: bool = False):

@@ -32,7 +32,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.operators.topn import asc, desc, number_in_group, top_k_per_group
@@ -77,11 +77,10 @@ def ranked_list(spark: SparkSession, root: str) -> DataFrame:
     chart = top_k_per_group(weekly, ["week_date"], [desc("qty"), asc("l_partkey")], LIST_SIZE,
                             rank_col="rank")
     chart = number_in_group(chart, ["l_partkey"], [asc("week_date")], out="weeks_on_list")
-    prev = chart.select("l_partkey", F.date_add("week_date", 7).alias("week_date"),
-                        F.col("rank").alias("prev_rank"))
-    c = (chart.join(prev, ["l_partkey", "week_date"], "left")
-              .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"),
-                    "l_partkey", "inner"))
+    # A part is once in a week's chart: a week earlier is the row before or none. The same window, so the chart is made once.
+    before = Window.partitionBy("l_partkey").orderBy(asc("week_date"))
+    chart = chart.withColumn("prev_rank", F.when(F.date_add(F.lag("week_date").over(before), 7) == F.col("week_date"), F.lag("rank").over(before)))
+    c = chart.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey", "inner")
     # Lower ranks have gaps: no ISBN, an empty one, or blanks (a book known by its URI alone).
     isbn = (F.when((F.col("rank") == 15) & (F.col("l_partkey") % 4 == 0), F.lit(None))
              .when((F.col("rank") == 14) & (F.col("l_partkey") % 4 == 1), F.lit(""))
@@ -112,7 +111,7 @@ def _volume_json(title: Column, ident13: Column, n: Column, qty: Column, first_s
     pub = F.when(F.col("p_size") < 10, _s(F.year(first_ship))).otherwise(
         F.date_format(first_ship, "yyyy-MM-dd"))
     authors = F.when(F.col("p_type") == "SMALL", F.lit("[]")).otherwise(
-        F.concat(F.lit('["'), _author(1), F.lit('","'), _author(2), F.lit('","'), _pen(), F.lit('"]')))
+        F.concat(F.lit('["'), F.col("author_1"), F.lit('","'), F.col("author_2"), F.lit('","'), _pen(), F.lit('"]')))
     unrated = qty % 7 == 0
     return F.concat(
         F.lit('{"title":"'), title, F.lit('","publisher":"'), F.col("p_brand"),
@@ -133,8 +132,8 @@ def _catalogue(spark: SparkSession, root: str, grain: str, id_prefix: str) -> Da
                        F.sum(F.col("l_quantity").cast("bigint")).alias("qty"),
                        F.min("l_shipdate").alias("first_ship"),
                        F.max("l_shipdate").alias("last_ship"))
-                  .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand",
-                                    "p_type", "p_size"), "l_partkey", "inner"))
+                  .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_size",
+                                    _author(1).alias("author_1"), _author(2).alias("author_2")), "l_partkey", "inner"))  # names are cut once for a part
     vid = F.concat(F.lit(id_prefix), _s("l_partkey"), F.lit("-"), _s(grain))
     if grain == "l_suppkey":
         ident13 = F.when(F.col("l_suppkey") % 3 == 0, _s(F.col("l_partkey") + (ISBN_BASE + 1))) \
@@ -170,10 +169,10 @@ def pageviews(spark: SparkSession, root: str) -> DataFrame:
     lo = (lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
                   .join(orders.select(F.col("o_orderkey").alias("l_orderkey"),
                                       F.to_date("o_orderdate").alias("day")), "l_orderkey")
-                  .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"))
+                  .join(part.select(F.col("p_partkey").alias("l_partkey"), F.array(_word(1), _word(2)).alias("words")), "l_partkey"))
     lo = lo.select(
         # Line 7 stands for traffic on a page that is no person's.
-        F.explode(F.when(F.col("l_linenumber") == 7, F.array(F.lit(""))).otherwise(F.array(_word(1), _word(2)))).alias("w"), "day",
+        F.explode(F.when(F.col("l_linenumber") == 7, F.array(F.lit(""))).otherwise(F.col("words"))).alias("w"), "day",
         F.when(F.col("l_linenumber") % 2 == 0, F.lit("desktop")).otherwise(F.lit("mobile-web")).alias("access"))
     v = lo.groupBy("w", "day", "access").agg(F.count(F.lit(1)).alias("views"))
     return v.select(

@@ -127,3 +127,20 @@ def test_raw_tables_are_landed_on_demand(spark):
     assert landed["ranked_list"] is landed["ranked_list"] and landed["ranked_list"].count() > 0
     assert list_names(spark, landed.dest) == ["ranked_list"]
     assert list_names(spark, landed.all().dest) == sorted(landed) and len(landed) == 4
+
+
+def test_the_ranked_list_reads_the_lines_once(spark, tmp_dir):
+    """Last week's rank comes from the row before, not from a second chart; a gap of two weeks has none."""
+    from rankforge.sources.standins import ranked_list
+
+    weeks = {1: ["01", "08", "22"], 2: ["01", "08", "15"], 3: ["08", None]}
+    rows = [(p, float(10 * p + (p == 1 and d == "08") * 50), dt.datetime(2024, 1, int(d)) if d else None) for p, ds in weeks.items() for d in ds] + [(None, 5.0, dt.datetime(2024, 1, 1))]
+    spark.createDataFrame(rows, "l_partkey long, l_quantity double, l_shipdate timestamp").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.createDataFrame([(p, f"a b{p}", "x") for p in (1, 2, 3)] + [(3, "a c", "x")], "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_dir}/part.parquet")
+    df = ranked_list(spark, tmp_dir)
+    got = {(r.published_date, r.title, r["rank"], r.rank_last_week, r.weeks_on_list) for r in df.collect()}
+    assert got == {("2024-01-01", "A B1", 2, 0, 1), ("2024-01-01", "A B2", 1, 0, 1), ("2024-01-08", "A B1", 1, 2, 2), ("2024-01-08", "A B2", 3, 1, 2),
+                   ("2024-01-08", "A B3", 2, 0, 1), ("2024-01-08", "A C", 2, 0, 1), ("2024-01-15", "A B2", 1, 3, 3), ("2024-01-22", "A B1", 1, 0, 3),
+                   (None, "A B3", 1, 0, 2), (None, "A C", 1, 0, 2)}
+    # rows, January's again and second places again: each branch reads the lines and the parts once
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 6
