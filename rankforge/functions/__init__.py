@@ -5,7 +5,7 @@ from rankforge.functions.casting import (  # noqa: F401
 )
 from rankforge.functions.dates import EPOCH, date_from_key, date_key, epoch_ts, freshest  # noqa: F401
 from rankforge.functions.json import (  # noqa: F401
-    array_has_struct, first_of, is_malformed, json_array_contains, json_fields, json_flag_true, json_list_as_csv, json_object, json_text,
+    array_has_struct, first_of, first_text, is_malformed, json_array_contains, json_fields, json_flag_true, json_list_as_csv, json_object, json_text,
     list_contains, list_objects, list_texts,
 )
 from rankforge.functions.keys import md5_key  # noqa: F401

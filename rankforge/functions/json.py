@@ -50,6 +50,17 @@ def first_of(obj, key: str) -> Column:
     return F.try_element_at(as_col(obj), F.lit(key))
 
 
+# A JSON string with nothing escaped.
+_PLAIN_TEXT = r'"[^"\\\x00-\x1f]*"'
+_PLAIN_TEXTS = rf'\A\["([^"\\\x00-\x1f]*)"(?:,{_PLAIN_TEXT})*+\]\z'
+
+
+def first_text(text) -> Column:
+    """The first of :func:`list_texts`; lists of strings with nothing escaped aren't parsed for it."""
+    c = as_col(text)
+    return F.when(c.rlike(_PLAIN_TEXTS), F.regexp_extract(c, _PLAIN_TEXTS, 1)).otherwise(F.try_element_at(list_texts(c), F.lit(1)))
+
+
 def list_texts(text) -> Column:
     """A JSON array's elements as texts; NULL for anything else."""
     return F.from_json(as_col(text), "array<string>")
@@ -69,7 +80,8 @@ def list_contains(text, match: dict) -> Column:
     """
     c = as_col(text)
     pairs = [(k, (v if isinstance(v, Column) else F.lit(v)).cast("string")) for k, v in match.items()]
-    plain = r"^\[(?:\{" + ",".join(rf'"{k}":"[^"\\]*"' for k, _ in pairs) + r"\},?)*+\]$"
+    one = r"\{" + ",".join(f'"{k}":{_PLAIN_TEXT}' for k, _ in pairs) + r"\}"
+    plain = rf"\A\[{one}(?:,{one})*+\]\z"
     bits = [b for i, (k, v) in enumerate(pairs) for b in (F.lit(("," if i else "{") + f'"{k}":"'), v, F.lit('"'))]
     told = F.coalesce(F.contains(c, F.concat(*bits, F.lit("}"))), F.lit(False))
     return F.when(c.rlike(plain), told).otherwise(array_has_struct(list_objects(c, list(match)), match))

@@ -151,6 +151,13 @@ class ModelGraph:
     def stg_volumes_search(self):
         return S.stg_volumes(self.raw["catalogue_search"], self.on_malformed)
 
+    @cached_property
+    def told_volumes_search(self):
+        """The staged volumes with ``has_isbn_match``, from the same parse."""
+        own = "stg_volumes_search" in self._override
+        parsed = self._m("stg_volumes_search") if own else S.parse_volumes(self.raw["catalogue_search"], self.on_malformed)
+        return I.with_isbn_match(parsed).select(*self._m("stg_volumes_search").columns, "has_isbn_match")
+
     @cached_property
     def stg_volumes_isbn(self):
         return S.stg_volumes(self.raw["catalogue_isbn"], self.on_malformed)
@@ -164,8 +171,9 @@ class ModelGraph:
     def best_volume_search(self):
         # Built on the parse that also yields the identifier list, so each
         # document is parsed once (the staging model's columns plus one).
+        # Written volumes keep what the parse told about their ISBN.
         if "stg_volumes_search" in self._override:
-            return I.best_volume(self._m("stg_volumes_search"), match_isbn=True)
+            return I.best_volume(self._override.get("told_volumes_search", self._m("stg_volumes_search")), match_isbn=True)
         return I.best_volume(S.parse_volumes(self.raw["catalogue_search"], self.on_malformed).drop("__malformed"), match_isbn=True)
 
     @cached_property
@@ -257,6 +265,8 @@ BUCKETS = {"book_keys": ["book_key"], "dim_book": ["book_key"], "fct_weekly_rank
            "dim_author": ["author_key"], "fct_author_views_7d": ["author_key"]}
 PARTITIONS = {"weekly_scorecard": ["published_date"]}
 SORTED = {"dim_date": ["date_day"], "dim_week": ["week_date"]}
+# Models whose files also hold columns that spare later models a parse; their tables are read without them.
+TOLD = {"stg_volumes_search": "told_volumes_search"}
 
 
 def build(graph: ModelGraph, out_root: str | None = None, checks=None,
@@ -293,8 +303,9 @@ def build(graph: ModelGraph, out_root: str | None = None, checks=None,
     version, entries, observed = house.begin(), {}, {}
 
     def materialise(name: str):
-        return name, house.write(version, name, graph[name], PARTITIONS.get(name, ()), BUCKETS.get(name, ()), SORTED.get(name, ()),
-                                 observe=observed_aggregates(name, checks))
+        more = graph[TOLD[name]] if name in TOLD else None
+        return name, house.write(version, name, graph[name] if more is None else more, PARTITIONS.get(name, ()), BUCKETS.get(name, ()), SORTED.get(name, ()),
+                                 observe=observed_aggregates(name, checks), columns=graph[name].columns)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         for level in build_levels(MODEL_ORDER):
@@ -302,9 +313,11 @@ def build(graph: ModelGraph, out_root: str | None = None, checks=None,
             # Resolve the lazy frames on this thread first (plan construction
             # is not thread-safe); only the Spark jobs run concurrently.
             for n in todo:
-                graph[n]
+                graph[n], graph[TOLD.get(n, n)]
             for name, (df, entry, seen) in pool.map(materialise, todo):
-                graph.replace(name, df)
+                graph.replace(name, df.select(*graph[name].columns))
+                if name in TOLD:
+                    graph.replace(TOLD[name], df)
                 entries[name] = entry
                 observed |= seen
     models = {n: graph[n] for n in MODEL_ORDER}

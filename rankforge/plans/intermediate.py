@@ -21,6 +21,15 @@ BEST_VOLUME_COLS = [
 ]
 
 
+def with_isbn_match(stg: DataFrame) -> DataFrame:
+    """Adds ``has_isbn_match``: 1 where a volume lists its ISBN as its ISBN_13 identifier, else 0. With
+    ``parse_volumes`` input the list's text comes from the same single parse as the other fields."""
+    want = {"type": "ISBN_13", "identifier": F.col("isbn13_clean")}
+    has = (list_contains("__identifiers", want) if "__identifiers" in stg.columns
+           else json_array_contains("volumeinfo", "industryIdentifiers", want))
+    return stg.withColumn("has_isbn_match", has.cast("int"))
+
+
 def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     """One catalogue volume per ISBN.
 
@@ -29,8 +38,6 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     published date (full dates only); later extraction; smaller id.
     """
     base = stg.where(F.col("isbn13_clean").isNotNull())
-    # The identifiers are an array of objects; with ``parse_volumes`` input
-    # their text comes from the same single parse as the other fields.
     base = base.withColumns({
         "is_ebook_flag": json_flag_true("saleinfo", "$.isEbook"),
         "published_date": safe_date("published_date_raw"),
@@ -38,10 +45,8 @@ def best_volume(stg: DataFrame, match_isbn: bool = True) -> DataFrame:
     order = []
     cols = list(BEST_VOLUME_COLS)
     if match_isbn:
-        want = {"type": "ISBN_13", "identifier": F.col("isbn13_clean")}
-        has = (list_contains("__identifiers", want) if "__identifiers" in stg.columns
-               else json_array_contains("volumeinfo", "industryIdentifiers", want))
-        base = base.withColumn("has_isbn_match", has.cast("int"))
+        if "has_isbn_match" not in base.columns:
+            base = with_isbn_match(base)
         order.append(desc("has_isbn_match"))
         cols.insert(1, "has_isbn_match")
     order += [desc("ratings_count"), desc("average_rating"), desc("is_ebook_flag"),

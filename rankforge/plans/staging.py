@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.functions import (
-    blank_to_null, decimal_to_text, first_of, int_of, is_malformed, json_object, list_texts, long_of, safe_double, safe_long,
+    blank_to_null, decimal_to_text, first_of, first_text, int_of, is_malformed, json_object, long_of, safe_double, safe_long,
     wide_of, yyyymmdd_to_date,
 )
 
@@ -70,7 +70,7 @@ def parse_volumes(raw: DataFrame, on_malformed: str = "null") -> DataFrame:
         field("publisher").alias("publisher"),
         field("publishedDate").alias("published_date_raw"),
         field("language").alias("language"),
-        F.try_element_at(list_texts(field("categories")), F.lit(1)).alias("category_1"),
+        first_text(field("categories")).alias("category_1"),
         safe_double(field("averageRating")).alias("average_rating"),
         safe_long(field("ratingsCount")).alias("ratings_count"),
         "volumeinfo", "saleinfo", "accessinfo", "searchinfo",

@@ -108,16 +108,18 @@ class Warehouse:
     # ------------------------------------------------------------- tables
 
     def write(self, version: str, name: str, df: DataFrame, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
-              sort_by: Sequence[str] = (), buckets: int | None = None, observe: dict[str, Column] | None = None) -> tuple[DataFrame, dict, dict]:
+              sort_by: Sequence[str] = (), buckets: int | None = None, observe: dict[str, Column] | None = None,
+              columns: Sequence[str] | None = None) -> tuple[DataFrame, dict, dict]:
         """Write one table of a version: (a scan of it, its manifest entry, what was observed).
 
         ``bucket_by`` deals the rows to files by hash and sorts them, so that later joins and groups by those columns need no
         shuffle. ``sort_by`` without buckets range-partitions: files follow each other in order. ``observe`` are aggregates
-        that are taken from the rows on their way out, at no second scan.
+        that are taken from the rows on their way out, at no second scan. ``columns`` are those of the table; other columns of ``df``
+        are in its files and in the scan that is returned, but in no later one.
         """
         path = f"{name}/{version}"
         seen = None
-        entry = {"path": path, "schema": df.schema.jsonValue(), "partition_by": list(partition_by), "bucket_by": list(bucket_by), "buckets": None}
+        entry = {"path": path, "schema": df.select(*columns or df.columns).schema.jsonValue(), "partition_by": list(partition_by), "bucket_by": list(bucket_by), "buckets": None}
         if bucket_by:
             n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             entry["buckets"] = n
@@ -134,7 +136,7 @@ class Warehouse:
             w.bucketBy(entry["buckets"], *bucket_by).sortBy(*bucket_by).saveAsTable(self._table(version, name))
         else:
             (w.partitionBy(*partition_by) if partition_by else w).save()
-        return self._scan(version, name, entry), entry, dict(seen.get) if seen else {}
+        return self._scan(version, name, entry | {"schema": df.schema.jsonValue()}), entry, dict(seen.get) if seen else {}
 
     def _table(self, version: str, name: str) -> str:
         return f"rf_{version[:16]}_{name}"

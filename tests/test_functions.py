@@ -108,12 +108,22 @@ def test_identifier_lists_are_told_by_text_or_parsed(spark):
              '[{"identifier":"97","type":"ISBN_13"}]', '[{"type":"ISBN_13","identifier":97}]', '[{"type":"ISBN_13","identifier":"9\\u0037"}]',
              '[{"type":"ISBN_13","identifier":"978"}]', '[{"type":"ISBN_13","identifier":"1","identifier":"97"}]', '[{"x":{"type":"ISBN_13","identifier":"97"}}]',
              '[{"type":"ISBN_13","identifier":"97","x":1}]', '["{\\"type\\":\\"ISBN_13\\",\\"identifier\\":\\"97\\"}"]', '[]', '[null]', 'x', '{"type":"ISBN_13","identifier":"97"}', '', None,
-             "[" + ",".join(['{"type":"OTHER","identifier":"1"}'] * 5000 + ['{"type":"ISBN_13","identifier":"97"}']) + "]"]
+             '[{"type":"ISBN_13","identifier":"97"},]', '[{"type":"ISBN_13","identifier":"97"}{"type":"ISBN_13","identifier":"97"}]', '[{"type":"a\tb","identifier":"1"},{"type":"ISBN_13","identifier":"97"}]',
+             '[{"type":"ISBN_13","identifier":"97"}]\n', "[" + ",".join(['{"type":"OTHER","identifier":"1"}'] * 5000 + ['{"type":"ISBN_13","identifier":"97"}']) + "]"]
     df = spark.createDataFrame([(t, i) for t in texts for i in ("97", None, 'a"b')], "t string, i string")
     want = {"type": "ISBN_13", "identifier": F.col("i")}
     got = df.select(RF.list_contains("t", want).alias("told"), RF.array_has_struct(RF.list_objects("t", list(want)), want).alias("parsed"), "i").collect()
     assert [r.told for r in got] == [r.parsed for r in got]
-    assert sum(r.told for r in got) == 7
+    assert sum(r.told for r in got) == 8
+
+
+def test_first_texts_are_told_by_text_or_parsed(spark):
+    texts = ['["a"]', '["a","b"]', '["",2]', '[""]', '["a\\"b"]', '["a\\u0062"]', '["a","b\\n"]', '["a",]', '["a"', '["a"x]', '["a"]\n', '["a\tb"]', '[null,"a"]', '[1]', '[["a"]]', '{"a":1}', '[]', '', 'x', None,
+             '["a"] x', ' ["a"]', "[" + ",".join(['"a"'] * 5000) + "]"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(RF.first_text("t").alias("told"), F.try_element_at(RF.list_texts("t"), F.lit(1)).alias("parsed"), "t").collect()
+    assert [(r.t, r.told) for r in got] == [(r.t, r.parsed) for r in got]
+    assert sum(r.told == "a" for r in got) >= 3
 
 
 def test_the_date_cast_is_compiled(spark):

@@ -190,3 +190,25 @@ def test_malformed_documents_are_caught(spark):
     ch = Check("json_docs", "t", "json", {"col": "volumeinfo"})
     assert failing_rows({"t": raw}, ch).count() == 2
     assert run_checks({"t": raw}, [ch]).first().failures == 2
+
+
+def test_written_volumes_are_parsed_once(spark, tmp_dir):
+    """What the parse told about a volume's ISBN is kept beside the table: ranking reads no identifier list again, and the table doesn't show it."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from rankforge.sources.schemas import RAW_TABLES
+
+    def volume(i, ident):
+        return (Decimal(9780000000000 + i % 3), f"v{i}", "s", dt.datetime(2024, 1, 1 + i), f'{{"title":"t","ratingsCount":{i},"industryIdentifiers":[{{"type":"ISBN_13","identifier":"{ident}"}}]}}', "{}", "{}", "{}")
+
+    rows = [volume(i, 9780000000000 + i % 3 if i < 4 else "x") for i in range(9)]
+    raw = {n: spark.createDataFrame(rows if n == "catalogue_search" else [], s) for n, s in RAW_TABLES.items()}
+    want = sorted(map(str, ModelGraph(raw, as_of="2024-03-01")["best_volume_search"].collect()))
+    g = ModelGraph(raw, as_of="2024-03-01")
+    models, _ = build(g, out_root=tmp_dir, materialize_all=True, checks=[])
+    ranked = g.best_volume_search  # not the written one
+    assert "from_json" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "has_isbn_match" not in models["stg_volumes_search"].columns + Warehouse(spark, tmp_dir).tables()["stg_volumes_search"].columns
+    assert sorted(map(str, ranked.collect())) == want == sorted(map(str, models["best_volume_search"].collect()))
+    assert {"v0", "v1", "v2"} & {r.gbooks_id for r in ranked.collect()}
